@@ -69,18 +69,28 @@ class SourceCatalog:
         self.root = f"{scratch_root(spark)}/tallgrass_sources/{key}/{roles.roles_version()}"
         self._frames: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
+        self._raw_registered = False
+        self._role_locks: dict[str, threading.Lock] = {}
 
     # driver tables -------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _register_raw(self) -> None:
-        for name in roles.DRIVER_TABLES:
-            self.raw(name).createOrReplaceTempView(name)
+        with self._lock:
+            if self._raw_registered:
+                return
+            for name in roles.DRIVER_TABLES:
+                self.raw(name).createOrReplaceTempView(name)
+            self._raw_registered = True
 
     # role tables ---------------------------------------------------------
     def role(self, name: str) -> DataFrame:
         with self._lock:
+            if name in self._frames:
+                return self._frames[name]
+            lock = self._role_locks.setdefault(name, threading.Lock())
+        with lock:  # one writer per table; other tables proceed in parallel
             if name in self._frames:
                 return self._frames[name]
             for dep in roles.ROLE_DEPENDS.get(name, ()):
@@ -90,7 +100,8 @@ class SourceCatalog:
             write_parquet_atomic(self.spark.sql(roles.role_sql(name, "spark")), path,
                                  sort_within=_LAYOUT.get(name, ()))
             df = self.spark.read.parquet(path)
-            self._frames[name] = df
+            with self._lock:
+                self._frames[name] = df
             return df
 
     def __getattr__(self, item: str) -> DataFrame:
@@ -98,9 +109,12 @@ class SourceCatalog:
             return self.role(SOURCE_ROLES[item])
         raise AttributeError(item)
 
-    def materialise_all(self) -> None:
-        for name in roles.ordered_roles(roles.ROLE_SQL):
-            self.role(name)
+    def materialise_all(self, parallelism: int = 4) -> None:
+        """Write every role table; independent tables run as concurrent jobs."""
+        from concurrent.futures import ThreadPoolExecutor
+        self._register_raw()
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            list(pool.map(self.role, roles.ordered_roles(roles.ROLE_SQL)))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> SourceCatalog:
