@@ -434,3 +434,173 @@ from cy left join py on cy.areaid = py.areaid
  left join ce on cy.areaid = ce.areaid left join pe on cy.areaid = pe.areaid
 {comp_joins}
  left join acs on cy.areaid = acs.areaid"""
+
+
+def operator_sql(cfg: MartConfig | None = None) -> dict[str, str]:
+    c = cfg or harness_config()
+    S, B, SN, Y = c.state, c.baseline_year, c.state_name, c.as_of_year
+    q: dict[str, str] = {}
+
+    q["filter_state"] = _wrap(["r_postings"], f"""
+select id as ID, county as COUNTY, county_name as COUNTY_NAME from r_postings where {st('county', S)}""")
+
+    q["filter_state_text"] = _wrap(["r_staffing"], f"""
+select areaid as AREAID, count(*) as N_ROWS from r_staffing where areaid_type = 'COUNTY' and {st('areaid', S)}
+group by areaid""")
+
+    for how in ("left", "inner"):
+        q[f"crosswalk_{how}"] = _wrap(["r_postings", "r_crosswalk"], f"""
+select p.id as ID, p.naics6 as NAICS6, c.lc_bucket_indid as BUCKET
+from r_postings p {how} join r_crosswalk c on p.naics6 = c.postings_naics6""")
+
+    q["index_to_baseline"] = _wrap(["r_labor_force"], f"""
+, lf as (select areaid, year, month, emp from r_labor_force where areaid_type = 'COUNTY')
+select t1.areaid as AREAID, t1.year as YEAR, t1.month as MONTH, t1.emp as EMP, t2.emp as BASE_EMP,
+ t1.emp / t2.emp as EMP_INDEX
+from lf t1 join lf t2 on t1.areaid = t2.areaid and t2.year = {B} and t2.month = 1""")
+
+    q["flatten_hierarchy"] = _wrap(["r_dim_indid"], """
+select c0.indid as INDID, c1.indid as PARENT1, c2.indid as PARENT2, c3.indid as PARENT3, c4.indid as PARENT4,
+ c4.name as TOP_NAME
+from r_dim_indid c0 left join r_dim_indid c1 on c0.indid_parent = c1.indid
+ left join r_dim_indid c2 on c1.indid_parent = c2.indid left join r_dim_indid c3 on c2.indid_parent = c3.indid
+ left join r_dim_indid c4 on c3.indid_parent = c4.indid
+where c0.level = 6""")
+
+    posted_levels = "\n".join(
+        f" union all select distinct naics{n}_name, {n}, naics{n}, {('naics' + str(n - 1)) if n > 2 else 'cast(null as varchar)'}, 'postings'"
+        f" from r_postings where naics{n} is not null and {st('county', S)}"
+        for n in (6, 5, 4, 3, 2))
+    q["prefer_source"] = _wrap(["r_dim_indid", "r_postings"], f"""
+, comb as (
+ select name, level, indid, indid_parent, 'dim_indid' as source from r_dim_indid
+{posted_levels}
+)
+select indid as INDID, name as NAME, level as LEVEL, indid_parent as INDID_PARENT from (
+ select *, row_number() over (partition by indid order by case when source = 'dim_indid' then 1 else 2 end,
+  level nulls last, name nulls last, indid_parent nulls last) as rn from comb) x
+where rn = 1""")
+
+    q["share_of_group"] = _wrap(["r_staffing"], """
+select year as YEAR, areaid as AREAID, occid as OCCID, indid as INDID, classid as CLASSID, emp as EMP,
+ emp / nullif(sum(emp) over (partition by year, areaid, occid), 0) as SHARE
+from r_staffing where areaid_type = 'COUNTY'""")
+
+    q["share_allocation"] = _wrap(["r_occ", "r_staffing", "r_ind"], """
+, occ_totals as (select year, areaid, occid, cast(sum(emp) as bigint) as total from r_occ
+  where areaid_type = 'COUNTY' and classid <> '4' group by 1, 2, 3),
+staff as (select year, areaid, occid, indid, cast(sum(emp) as bigint) as staff_emp from r_staffing
+  where areaid_type = 'COUNTY' and classid = '1' group by 1, 2, 3, 4),
+w as (select *, staff_emp / nullif(sum(staff_emp) over (partition by year, areaid, occid), 0) as pct from staff),
+ind_totals as (select year, areaid, indid, cast(sum(emp) as bigint) as num_emps from r_ind
+  where areaid_type = 'COUNTY' and classid <> '4' group by 1, 2, 3)
+select w.year as YEAR, w.areaid as AREAID, w.indid as INDID, w.occid as OCCID, cast(it.num_emps as double) as NUM_EMPS,
+ o.total * w.pct as OCC_EMPS, cast(w.pct as double) as PERCENT
+from w join occ_totals o on o.year = w.year and o.areaid = w.areaid and o.occid = w.occid
+ left join ind_totals it on it.year = w.year and it.areaid = w.areaid and it.indid = w.indid
+union all
+select o.year, o.areaid, cast(null as varchar), o.occid, cast(null as double), cast(o.total as double), 1.0::double
+from occ_totals o where not exists (select 1 from w where w.year = o.year and w.areaid = o.areaid and w.occid = o.occid)""")
+
+    q["allocate_by_percent"] = _wrap(["r_staffing", "r_hiresseps"], """
+, h as (select year, areaid, indid, cast(sum(hira) as bigint) as hires, cast(sum(sep) as bigint) as seps
+  from r_hiresseps where areaid_type = 'COUNTY' group by 1, 2, 3)
+select p.year as YEAR, p.areaid as AREAID, p.indid as INDID, p.occid as OCCID, p.percent as PERCENT,
+ h.hires as HIRES, h.hires * p.percent as OCC_HIRES, h.seps as SEPS, h.seps * p.percent as OCC_SEPS
+from r_staffing p left join h on p.year = h.year and p.areaid = h.areaid and p.indid = h.indid
+where p.areaid_type = 'COUNTY' and p.classid = '2'""")
+
+    q["location_quotient"] = _wrap(["r_staffing"], f"""
+, base as (select * from r_staffing where classid = '1' and year <= {Y}),
+st_rows as (select * from base where areaid = '{S}' and areaid_type = 'STATE' and areaid_name = '{SN}'),
+co_rows as (select * from base where areaid_type = 'COUNTY' and {st('areaid', S)}),
+st_cat as (select year, occid, cast(sum(emp) as bigint) as e from st_rows group by 1, 2),
+st_cat2 as (select s.*, t.t from st_cat s left join (select year, cast(sum(emp) as bigint) as t from st_rows group by 1) t
+  on s.year = t.year),
+co_cat as (select year, areaid, occid, cast(sum(emp) as bigint) as e from co_rows group by 1, 2, 3),
+co_cat2 as (select c.*, t.t from co_cat c left join (select year, areaid, cast(sum(emp) as bigint) as t from co_rows
+  group by 1, 2) t on c.year = t.year and c.areaid = t.areaid)
+select c.year as YEAR, c.areaid as AREAID, c.occid as OCCID, c.e as COUNTY_OCC_EMPS, c.t as COUNTY_TOTAL_EMPS,
+ cast(c.e as double) / cast(c.t as double) as COUNTY_OCC_CONC, s.e as STATE_OCC_EMPS, s.t as STATE_TOTAL_EMPS,
+ cast(s.e as double) / cast(s.t as double) as STATE_OCC_CONC,
+ (cast(c.e as double) / cast(c.t as double)) / nullif(cast(s.e as double) / cast(s.t as double), 0) as LQ
+from co_cat2 c left join st_cat2 s on c.year = s.year and c.occid = s.occid""")
+
+    q["shift_period"] = _wrap(["r_enrollments"], """
+select year + 2 as YEAR, unitid as UNITID, enrlevelid as ENRLEVELID, enrollments as ENROLLMENTS from r_enrollments""")
+
+    q["year_over_year"] = _wrap(["r_occ"], """
+, b as (select areaid, occid, year, cast(sum(replacements + growth) as bigint) as openings from r_occ
+  where areaid_type = 'COUNTY' and classid <> '4' group by 1, 2, 3)
+select b.areaid as AREAID, b.occid as OCCID, b.year as YEAR, b.openings as OPENINGS, p.openings as PRIOR_OPENINGS
+from b left join b p on p.areaid = b.areaid and p.occid = b.occid and p.year + 1 = b.year""")
+
+    q["flagged_count"] = _wrap(["r_postings", "r_postings_skills"], f"""
+select cast(year(p.posted) as integer) as YEAR_POSTED, p.county as AREAID, count(*) as NUM_JOBS,
+ count(distinct case when p.id in (select id from r_postings_skills where is_software) then p.id end)
+  as NUM_JOBS_WITH_SOFTWARE
+from r_postings p where {st('p.county', S)}
+group by 1, 2""")
+
+    q["sum_with_support"] = _wrap(["r_postings"], """
+select county as AREAID, count(*) as NUM_JOBS, cast(sum(duration) as bigint) as TOTAL_DURATION,
+ count(duration) as N_WITH_DURATION, cast(sum(salary) as decimal(28,2)) as TOTAL_SALARY, count(salary) as N_WITH_SALARY
+from r_postings group by county""")
+
+    q["group_total_alongside"] = _wrap(["r_postings", "r_postings_skills"], """
+, d as (select p.county as areaid, s.skill_id, count(*) as mentions
+  from r_postings_skills s join r_postings p on s.id = p.id group by 1, 2),
+t as (select county as areaid, count(*) as total from r_postings group by 1)
+select d.areaid as AREAID, d.skill_id as SKILL_ID, d.mentions as MENTIONS, t.total as TOTAL_JOBS
+from d join t on d.areaid = t.areaid""")
+
+    q["entity_fanout_count"] = _wrap(["r_profiles_educations", "r_postings"], """
+, e as (select distinct id, school_name from r_profiles_educations),
+s as (select distinct company as id, soc_2 from r_postings),
+m as (select distinct company as id, min_edulevels from r_postings)
+select e.school_name as SCHOOL, s.soc_2 as SOC_2, m.min_edulevels as MIN_EDULEVELS, count(*) as N
+from e join s on e.id = s.id left join m on e.id = m.id
+group by all""")
+
+    q["latest_and_prior_year"] = _wrap(["r_enrollments"], """
+select year as YEAR, unitid as UNITID, raceid as RACEID, genderid as GENDERID, enrlevelid as ENRLEVELID,
+ enrollments as ENROLLMENTS,
+ case when year = (select max(year) from r_enrollments) then 'current' else 'prior' end as PERIOD
+from r_enrollments
+where year = (select max(year) from r_enrollments) or year = (select max(year) - 1 from r_enrollments)""")
+
+    lv = {3: "L3", 5: "L5", 7: "L7", 9: "L9", 11: "L11"}
+    mx = "(select max(year) from r_completions)"
+    piv_cols = ",\n ".join(
+        f"cast(sum(case when awlevelid = {k} and year = {mx} then completions end) as bigint) as CURRENT_{v}, "
+        f"cast(sum(case when awlevelid = {k} and year = {mx} - 1 then completions end) as bigint) as PRIOR_{v}"
+        for k, v in lv.items())
+    pivot_body = f"""
+select unitid as UNITID,
+ {piv_cols}
+from r_completions where year = {mx} or year = {mx} - 1
+group by unitid"""
+    q["pivot_current_prior"] = _wrap(["r_completions"], pivot_body)
+    q["change_and_pct_change"] = _wrap(["r_completions"], f"""
+, p as ({pivot_body}),
+c as (select UNITID, coalesce(CURRENT_L3, 0) as cur, coalesce(PRIOR_L3, 0) as prior from p)
+select UNITID, cur as CUR, prior as PRIOR, cur - prior as RAW_CHANGE,
+ case when prior = 0 then 0.0 else (cur - prior) / prior end as PCT_CHANGE_DIV0,
+ (cur - prior) / nullif(prior, 0) as PCT_CHANGE_NULL
+from c""")
+
+    q["calendar_window_count"] = _wrap(["r_postings"], f"""
+select county as AREAID,
+ cast(sum(case when {Y} - year(posted) < 1 then 1 end) as bigint) as CURRENT_ROLLING,
+ cast(sum(case when {Y} - year(posted) >= 1 and {Y} - year(posted) < 2 then 1 end) as bigint) as PRIOR_ROLLING
+from r_postings group by county
+having sum(case when {Y} - year(posted) < 2 then 1 end) is not null""")
+
+    q["star_join"] = _wrap(["r_postings", "r_unit", "r_acs"], f"""
+, spine as (select distinct cast(county as varchar) as areaid from r_postings where {st('county', S)}),
+po as (select cast(county as varchar) as areaid, count(*) as n from r_postings group by 1),
+un as (select cast(county as varchar) as areaid, count(*) as n from r_unit group by 1)
+select spine.areaid as AREAID, po.n as POSTINGS, un.n as UNITS, acs.median_household_income as MEDIAN_HOUSEHOLD_INCOME
+from spine left join po on spine.areaid = po.areaid left join un on spine.areaid = un.areaid
+ left join r_acs acs on spine.areaid = acs.areaid""")
+    return q
