@@ -22,6 +22,9 @@ class MartConfig:
     excluded_certification: str = "Valid Driver's License"
     hours_per_year: int = 2080
     as_of: _dt.date = field(default_factory=_dt.date.today)
+    # "now" for the operational views (freshness, recent runs)
+    ops_as_of: _dt.datetime = field(default_factory=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+    recent_as_of: _dt.datetime | None = None   # defaults to ops_as_of
     # 'as_written' keeps the source's grouping by the full code (trap T1);
     # 'truncated' groups by the 5-digit code the output column carries.
     lq_group_on: str = "as_written"
@@ -43,4 +46,7 @@ def harness_config() -> MartConfig:
         as_of=_dt.date(2001, 8, 1),
         baseline_year=1995,
         population_years=(2001, 2000),
+        # the run log spans 2024-01-01 .. 2024-01-30
+        ops_as_of=_dt.datetime(2024, 3, 15, 0, 0, 0),
+        recent_as_of=_dt.datetime(2024, 1, 30, 0, 0, 0),
     )

@@ -73,11 +73,11 @@ def parse_fiscal_year(c) -> Column:
     x = _col(c)
     years4 = F.regexp_extract_all(x, F.lit(r"(20\d{2})"), 1)
     years2 = F.regexp_extract_all(x, F.lit(r"(\d{2})"), 1)
-    y1 = F.element_at(years4, 1).cast("int")
-    last2 = (F.lit(2000) + F.element_at(years2, -1).cast("int"))
+    y1 = F.try_element_at(years4, F.lit(1)).cast("int")
+    last2 = (F.lit(2000) + F.try_element_at(years2, F.lit(-1)).cast("int"))
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.size(years4) >= 2,
-                  F.concat(F.element_at(years4, 1), F.lit("-"), F.element_at(years4, 2)))
+                  F.concat(F.try_element_at(years4, F.lit(1)), F.lit("-"), F.try_element_at(years4, F.lit(2))))
             .when(F.size(years4) == 1, F.concat((y1 - 1).cast("string"), F.lit("-"), y1.cast("string")))
             .when(F.size(years2) >= 1, F.concat((last2 - 1).cast("string"), F.lit("-"), last2.cast("string"))))
 
@@ -85,17 +85,10 @@ def parse_fiscal_year(c) -> Column:
 def clean_year(c) -> Column:
     """'2024' or '2024.0' -> '2023-2024'; other text is trimmed and kept."""
     s = F.trim(_col(c).cast("string"))
-    as_num = F.try_cast(s, "double")
-    whole = F.when(as_num.isNotNull() & (F.abs(as_num) < 1e15),
-                   F.floor(as_num).cast("bigint").cast("string"))
-    # int(float(s)) truncates toward zero
-    whole = F.when(as_num.isNotNull() & (as_num < 0) & (F.abs(as_num) < 1e15),
-                   F.ceil(as_num).cast("bigint").cast("string")).otherwise(whole)
-    t = F.coalesce(whole, s)
-    year = F.try_cast(t, "int")
-    return (F.when(s.isNull(), F.lit(None).cast("string"))
-            .when(t.rlike(r"^20\d{2}$"), F.concat((year - 1).cast("string"), F.lit("-"), t))
-            .otherwise(t))
+    # int(float(s)): double, truncated toward zero (a cast to bigint does that)
+    t = F.coalesce(s.try_cast("double").try_cast("bigint").cast("string"), s)
+    return F.when(t.rlike(r"^20\d{2}$"),
+                  F.concat((t.cast("int") - 1).cast("string"), F.lit("-"), t)).otherwise(t)
 
 
 def format_grade(c) -> Column:
@@ -103,15 +96,12 @@ def format_grade(c) -> Column:
     anything else -> 'Other'."""
     s = F.trim(_col(c).cast("string"))
     su = F.upper(s)
-    num = F.try_cast(s, "double")
-    n = F.when(num.isNotNull() & (F.abs(num) < 1e9),
-               F.when(num < 0, F.ceil(num)).otherwise(F.floor(num)).cast("int"))
+    n = s.try_cast("double").try_cast("int")
     suffix = (F.when((n % 100 >= 11) & (n % 100 <= 13), F.lit("th"))
               .when(n % 10 == 1, F.lit("st")).when(n % 10 == 2, F.lit("nd"))
               .when(n % 10 == 3, F.lit("rd")).otherwise(F.lit("th")))
     return (F.when(s.isNull(), F.lit(None).cast("string"))
-            .when(su.isin("3F", "3H"), F.lit("Pre-Kindergarten"))
-            .when(su.startswith("P"), F.lit("Pre-Kindergarten"))
+            .when(su.isin("3F", "3H") | su.startswith("P"), F.lit("Pre-Kindergarten"))
             .when(su.startswith("K"), F.lit("Kindergarten"))
             .when((n >= 1) & (n <= 12), F.concat(n.cast("string"), suffix, F.lit(" Grade")))
             .otherwise(F.lit("Other")))
@@ -120,7 +110,7 @@ def format_grade(c) -> Column:
 def end_year(c) -> Column:
     """'2025-2026' -> 2026 (last four-digit year in the text), else NULL."""
     years = F.regexp_extract_all(_col(c).cast("string"), F.lit(r"((?:19|20)\d{2})"), 1)
-    return F.when(F.size(years) > 0, F.element_at(years, -1).cast("int"))
+    return F.when(F.size(years) > 0, F.try_element_at(years, F.lit(-1)).cast("int"))
 
 
 # Race and gender labels of the enrollment sheets.

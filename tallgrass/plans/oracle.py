@@ -604,3 +604,186 @@ select spine.areaid as AREAID, po.n as POSTINGS, un.n as UNITS, acs.median_house
 from spine left join po on spine.areaid = po.areaid left join un on spine.areaid = un.areaid
  left join r_acs acs on spine.areaid = acs.areaid""")
     return q
+
+
+# ---------------------------------------------------------------------------
+# reshape job
+# ---------------------------------------------------------------------------
+def _clean_year(x: str) -> str:
+    t = f"coalesce(cast(cast(trunc(try_cast(trim({x}) as double)) as bigint) as varchar), trim({x}))"
+    return f"(case when regexp_full_match({t}, '20[0-9]{{2}}') then cast(cast({t} as integer) - 1 as varchar) || '-' || {t} else {t} end)"
+
+
+def _format_grade(x: str) -> str:
+    s = f"trim({x})"
+    n = f"try_cast(trunc(try_cast({s} as double)) as integer)"
+    suffix = (f"(case when {n} % 100 between 11 and 13 then 'th' when {n} % 10 = 1 then 'st' "
+              f"when {n} % 10 = 2 then 'nd' when {n} % 10 = 3 then 'rd' else 'th' end)")
+    return (f"(case when {s} is null then null when upper({s}) in ('3F', '3H') or upper({s}) like 'P%' "
+            f"then 'Pre-Kindergarten' when upper({s}) like 'K%' then 'Kindergarten' "
+            f"when {n} between 1 and 12 then cast({n} as varchar) || {suffix} || ' Grade' else 'Other' end)")
+
+
+_RACES = [("His", "Hispanic or Latino"), ("AmInd", "American Indian or Alaska Native"), ("Asian", "Asian"),
+          ("Black", "Black or African American"), ("Pac Is", "Native Hawaiian or Other Pacific Islander"),
+          ("White", "White"), ("Multi", "Two or more races")]
+
+
+def _melt_body() -> str:
+    branches = "\n union all ".join(
+        f"select schoolyear, county, district, school_name, grade, '{label}' as race, "
+        f"'{'Male' if g == 'M' else 'Female'}' as gender, \"{abbr} {g}\" as total from r_wide_enrollment"
+        for abbr, label in _RACES for g in ("M", "F"))
+    year = _clean_year("schoolyear")
+    return f"""
+, u as ({branches}),
+m as (select {year} as Year, county as County, district as District, school_name as School, race as Race,
+  gender as Gender, {_format_grade('grade')} as Grade, total as Total from u)
+select * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan'"""
+
+
+def _anchors_body() -> str:
+    origin = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+    directory = ("case when regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1) = '' then "
+                 f"{origin} || '/' else regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1) end")
+    h = "trim(href)"
+    link = (f"case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} "
+            f"when starts_with({h}, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || {h} "
+            f"when starts_with({h}, '/') then {origin} || {h} else {directory} || {h} end")
+    return f"""
+, parts as (select page_id, url, string_split(html, '<') as p from pages),
+tok as (select page_id, url, unnest(p) as piece, generate_subscripts(p, 1) as k from parts),
+t2 as (select page_id, url, k - 2 as pos, piece,
+  sum(case when regexp_matches(piece, '^[Ll][Ii]([^A-Za-z0-9>][^>]*)?>') then 1
+           when regexp_matches(piece, '^/[Ll][Ii]([^A-Za-z0-9>][^>]*)?>') then -1 else 0 end)
+   over (partition by page_id order by k rows between unbounded preceding and current row) as li_depth
+  from tok),
+a as (select page_id, url, pos, li_depth, regexp_extract(piece, '^[Aa]([^A-Za-z0-9>][^>]*)?>', 1) as attrs,
+  regexp_replace(piece, '^[^>]*>', '') as rest
+  from t2 where regexp_matches(piece, '^[Aa]([^A-Za-z0-9>][^>]*)?>')),
+anchors as (select page_id, url, pos, li_depth,
+  regexp_extract(attrs, 'href\\s*=\\s*["'']([^"'']*)["'']', 1) as href, trim(rest, ' ') as text
+  from a where regexp_matches(attrs, 'href\\s*=\\s*["'']')),
+resolved as (select page_id, pos, href, {link} as link, text, li_depth > 0 as in_li from anchors)"""
+
+
+def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
+    q: dict[str, str] = {}
+    melt = _wrap(["r_wide_enrollment"], _melt_body())
+    q["melt_wide"] = melt
+    q["enrollment_primary"] = melt
+    q["backfill_blank"] = _wrap(["r_wide_enrollment"], _melt_body() + " and Grade = 'Kindergarten'")
+    years = "(select distinct schoolyear as y from r_wide_enrollment)"
+    q["findings"] = _wrap(["r_wide_enrollment"], f"""
+select 'no_matching_sheet' as kind, 'summary_' || y || ' (pattern school_ethgen_li)' as detail from {years} x""")
+    q["find_header"] = _wrap(["r_wide_enrollment"], f"""
+select 'enrollment_' || y as workbook, 'School Totals by Race' as sheet, cast(1 as bigint) as header_row
+from {years} x""")
+    q["pick_sheet"] = _wrap(["r_wide_enrollment"], f"""
+select 'enrollment_' || y as workbook, 'school_ethgen_li' as pattern, 'School Totals by Race' as sheet,
+ cast(1 as bigint) as header_row from {years} x
+union all
+select 'site_totals_' || y, 'school_site_li', 'ALL sites', cast(1 as bigint) from {years} x""")
+    q["pair_companion"] = _wrap(["r_wide_enrollment"], f"""
+select 'enrollment_' || y as workbook, {_clean_year('y')} as fiscal_year, 'site_totals_' || y || '.xlsx' as companion_file
+from {years} x""")
+    end_year = ("cast(list_extract(regexp_extract_all({x}, '((?:19|20)[0-9]{{2}})'), -1) as integer)")
+    q["newer_period_check"] = _wrap(["r_wide_enrollment"], _melt_body().replace(
+        "select * from m where", "select * from m where", 1).replace(
+        "\nselect * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan'",
+        ", mm as (select * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan')") + f"""
+, c as (select max({end_year.format(x='Year')}) as collected_end_year from mm),
+w as (select max({end_year.format(x='schoolyear')}) as watched_end_year from r_wide_enrollment)
+select c.collected_end_year, w.watched_end_year,
+ case when c.collected_end_year is null or w.watched_end_year is null then 'unknown'
+  when w.watched_end_year > c.collected_end_year then 'newer_period_available' else 'ok' end as status
+from c, w""")
+    q["page_anchors"] = "WITH x AS (select 1)" + _anchors_body() + "\nselect * from resolved"
+    fname = "regexp_extract(url_decode(regexp_replace(link, '[?#].*$', '')), '([^/]*)$', 1)"
+    q["incremental_skip"] = "WITH x AS (select 1)" + _anchors_body() + f"""
+select 1 as RUN, count(distinct {fname}) as NEW_FILES,
+ case when count(distinct {fname}) = 0 then 'success_no_change' else 'rebuild' end as STATUS from resolved
+union all select 2, 0, 'success_no_change'"""
+    return q
+
+
+# ---------------------------------------------------------------------------
+# data operations
+# ---------------------------------------------------------------------------
+def ops_sql(cfg: MartConfig | None = None) -> dict[str, str]:
+    c = cfg or harness_config()
+    now = c.ops_as_of.strftime("%Y-%m-%d %H:%M:%S")
+    recent = (c.recent_as_of or c.ops_as_of)
+    since = (recent.replace(microsecond=0) - __import__("datetime").timedelta(hours=24)).strftime("%Y-%m-%d %H:%M:%S")
+    q: dict[str, str] = {}
+    q["previous_successful"] = _wrap(["r_runs"], """
+select * exclude (rn) from (select *, row_number() over (partition by pipeline, dataset
+  order by finished_at desc, run_id desc) as rn from r_runs where status = 'success' and row_count is not null) x
+where rn = 1""")
+    q["rollback"] = _wrap(["r_runs"], """
+select * exclude (rn, n) from (select *, row_number() over (partition by dataset order by finished_at desc, run_id desc) as rn,
+  count(*) over (partition by dataset) as n from r_runs where status = 'success' and source_uri is not null) x
+where rn = case when n >= 2 then 2 else 1 end""")
+    q["dataset_freshness"] = _wrap(["r_runs"], f"""
+, ok as (select * from r_runs where status in ('success', 'success_no_change')),
+latest as (select * from (select *, row_number() over (partition by pipeline, dataset
+  order by finished_at desc, run_id desc) as rn from ok) x where rn = 1)
+select ok.pipeline, ok.dataset, max(ok.group_name) as schedule_group, max(ok.finished_at) as last_success_at,
+ cast(floor(epoch(timestamp '{now}' - max(ok.finished_at)) / 86400) as bigint) as days_since_success,
+ any_value(l.row_count) as last_row_count, any_value(l.max_year) as last_max_year,
+ any_value(l.git_sha) as last_git_sha
+from ok join latest l on ok.pipeline = l.pipeline and ok.dataset = l.dataset
+group by ok.pipeline, ok.dataset""")
+    stale = f"""
+, latest as (select pipeline, dataset, group_name, max(finished_at) as last from r_runs
+  where status in ('success', 'success_no_change') group by all),
+t as (select * from (values ('lightcast', 'monthly', 792), ('lightcast', 'quarterly', 2304),
+  ('lightcast', 'yearly', 8952), ('enrollment', 'monthly', 816)) v(pipeline, group_name, max_age_hours)),
+stale as (select l.pipeline, l.dataset, l.group_name,
+  cast(floor(epoch(timestamp '{now}' - l.last) / 3600) as bigint) as age_hours,
+  cast(t.max_age_hours as bigint) as max_age_hours
+  from latest l join t on l.pipeline = t.pipeline and l.group_name = t.group_name
+  where floor(epoch(timestamp '{now}' - l.last) / 3600) > t.max_age_hours)"""
+    q["freshness_check"] = _wrap(["r_runs"], stale + "\nselect * from stale")
+    q["freshness_message"] = _wrap(["r_runs"], stale + """
+, top as (select * from stale order by age_hours desc, pipeline, dataset, group_name limit 20)
+select case when (select count(*) from stale) > 0 then
+ printf('PIPELINE FRESHNESS FAILURE: %d dataset(s) overdue: %s', (select count(*) from stale),
+  (select string_agg(printf('%s.%s (%s) %d h old, limit %d h', pipeline, dataset, group_name, age_hours,
+     max_age_hours), '; ' order by age_hours desc, pipeline, dataset, group_name) from top)) end as message""")
+    q["manifest_recent"] = _wrap(["r_runs"], """
+select started_at, finished_at, pipeline, dataset, group_name, status, row_count, max_year,
+ round(duration_seconds, 1) as duration_seconds, bytes, source_query_id, source_uri, git_sha, env, run_id, error
+from r_runs""")
+    q["manifest_last_day"] = _wrap(["r_runs"], f"""
+select started_at, pipeline, dataset, status, row_count, round(duration_seconds, 1) as secs, left(error, 60) as error,
+ run_id from r_runs where started_at > timestamp '{since}'
+order by started_at desc, run_id desc limit 50""")
+    marts = mart_sql(c)
+    jobs = marts["fact_jobs"]
+    q["measure_staging"] = f"""
+select count(*) as row_count, cast(max(YEAR_POSTED) as bigint) as max_year,
+ count_if(AREAID is null) as null__AREAID, count_if(OCCID is null) as null__OCCID,
+ count_if(INDID is null) as null__INDID, count_if(MIN_EDULEVELS is null) as null__MIN_EDULEVELS,
+ 'fact_jobs' as dataset
+from ({jobs}) j"""
+    q["publish_cycle"] = f"""
+select * replace (cast(YEAR_POSTED as bigint) as YEAR_POSTED, cast(QUARTER_POSTED as bigint) as QUARTER_POSTED,
+ cast(MONTH_POSTED as bigint) as MONTH_POSTED, cast(AREAID as bigint) as AREAID)
+from ({jobs}) j"""
+    q["limited_run"] = f"""
+select 'fact_jobs' as DATASET, 'success_limited' as STATUS, false as PUBLISHED,
+ cast(least(100, count(*)) as bigint) as ROW_COUNT from ({jobs}) j"""
+    batch = ("dim_area", "dim_awlevels", "dim_company", "dim_edulevels", "dim_occ", "dim_schools")
+    q["run_batch"] = "\nunion all\n".join(
+        f"select '{n}' as dataset, 'success' as status, count(*) as row_count, cast(null as varchar) as error "
+        f"from ({marts[n]}) b{i}" for i, n in enumerate(batch))
+    q["load_reference"] = """
+select 'Program ' || p_name as CIP2020Title,
+ lpad(cast(10 + p_size % 40 as varchar), 2, '0') || '.' || lpad(cast((p_partkey * 7) % 10000 as varchar), 4, '0')
+  as PROGRAMID,
+ cast(11 + p_size % 4 as varchar) || '-' || cast(1011 + p_partkey % 7 as varchar) as OCCID,
+ 'Occupation ' || p_type as SOC2018Title
+from part"""
+    q["snapshot_pages"] = "select page_id, url, length(html) as html_chars, 'snapshot' as run_id from pages"
+    return q

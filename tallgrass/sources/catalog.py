@@ -104,6 +104,27 @@ class SourceCatalog:
                 self._frames[name] = df
             return df
 
+    def derived(self, name: str, build, sort_within: tuple[str, ...] = ()) -> DataFrame:
+        """Write a table Spark derives from the sources once, then scan it.
+
+        Cuts long lineages (and re-derivation at every use) the way a
+        written table in the shared folder does.
+        """
+        key = f"derived:{name}"
+        with self._lock:
+            if key in self._frames:
+                return self._frames[key]
+            lock = self._role_locks.setdefault(key, threading.Lock())
+        with lock:
+            if key in self._frames:
+                return self._frames[key]
+            path = f"{self.root}/derived/{name}"
+            write_parquet_atomic(build(), path, sort_within=sort_within)
+            df = self.spark.read.parquet(path)
+            with self._lock:
+                self._frames[key] = df
+            return df
+
     def __getattr__(self, item: str) -> DataFrame:
         if item in SOURCE_ROLES:
             return self.role(SOURCE_ROLES[item])

@@ -185,30 +185,51 @@ from r_postings where naics6 is not null""",
     # PROFILES_EDUCATIONS
     "r_profiles_educations": """
 select o_custkey as id, concat('School ', cast(o_orderkey % 5 as varchar(9))) as school_name from orders""",
-    # run manifest
+    # run manifest (one row per dataset per run)
     "r_runs": """
-select concat('run_', cast(event_id as varchar(12))) as run_id, concat('p', cast(user_id % 2 as varchar(9))) as pipeline,
+select concat('run_', cast(event_id as varchar(12))) as run_id,
+ case when user_id % 2 = 0 then 'lightcast' else 'enrollment' end as pipeline,
  concat('d', cast(user_id % 7 as varchar(9))) as dataset,
- case when user_id % 7 < 4 then 'monthly' else 'yearly' end as group_name,
+ case when user_id % 2 = 1 or user_id % 7 < 3 then 'monthly' when user_id % 7 < 5 then 'quarterly' else 'yearly' end
+  as group_name,
  case when event_type = 'error' then 'failed' when event_type = 'view' then 'success_no_change'
   when event_type = 'click' then 'success_limited' else 'success' end as status,
  case when event_type = 'view' then null else cast(floor(value) as bigint) end as row_count,
- cast(2000 + event_id % 25 as int) as max_year, ts as finished_at,
- case when event_type = 'error' then null else concat('mem://', cast(event_id as varchar(12))) end as source_uri,
- case when event_type = 'error' then concat('step failed: ', props) else cast(null as varchar(9)) end as error
+ cast(null as bigint) as bytes,
+ case when event_type = 'view' then null else cast(2000 + event_id % 25 as bigint) end as max_year,
+ concat('q', cast(event_id as varchar(12))) as source_query_id,
+ case when event_type in ('error', 'view') then null
+  else concat('runs/d', cast(user_id % 7 as varchar(9)), '/run_id=run_', cast(event_id as varchar(12))) end
+  as source_uri,
+ {started_at} as started_at, ts as finished_at,
+ cast(event_id % 600 as double) + 0.25 as duration_seconds,
+ concat('sha', cast(user_id % 5 as varchar(9))) as git_sha, 'prod' as env,
+ case when event_type = 'error' then concat('step failed after retries, last response was: ', props)
+  else cast(null as varchar(9)) end as error
 from events""",
-    # one wide enrollment sheet, 4 of the 14 value columns
+    # one wide enrollment sheet: ids + 14 race/gender count columns
     "r_wide_enrollment": """
 select cast(year(o_orderdate) as varchar(9)) as schoolyear, n_name as county, c_mktsegment as district,
  concat('School ', cast(c_custkey % 9 as varchar(9))) as school_name,
+ concat(cast(c_nationkey as varchar(9)), '-', cast(c_custkey % 9 as varchar(9))) as school_code,
  case when c_custkey % 13 = 0 then 'PK' when c_custkey % 13 = 1 then 'K' when c_custkey % 13 = 2 then '3H'
   when c_custkey % 13 = 3 then 'OHP' else cast(c_custkey % 13 as varchar(9)) end as grade,
- cast(sum(case when o_orderstatus = 'F' and o_orderkey % 2 = 0 then 1 end) as bigint) as {q}His M{q},
- cast(sum(case when o_orderstatus = 'F' and o_orderkey % 2 = 1 then 1 end) as bigint) as {q}His F{q},
- cast(sum(case when o_orderstatus = 'P' and o_orderkey % 2 = 0 then 1 end) as bigint) as {q}Pac Is M{q},
- cast(sum(case when o_orderstatus = 'P' and o_orderkey % 2 = 1 then 1 end) as bigint) as {q}Pac Is F{q}
+ cast(sum(case when o_orderkey % 14 = 0 then 1 end) as bigint) as {q}His M{q},
+ cast(sum(case when o_orderkey % 14 = 1 then 1 end) as bigint) as {q}His F{q},
+ cast(sum(case when o_orderkey % 14 = 2 then 1 end) as bigint) as {q}AmInd M{q},
+ cast(sum(case when o_orderkey % 14 = 3 then 1 end) as bigint) as {q}AmInd F{q},
+ cast(sum(case when o_orderkey % 14 = 4 then 1 end) as bigint) as {q}Asian M{q},
+ cast(sum(case when o_orderkey % 14 = 5 then 1 end) as bigint) as {q}Asian F{q},
+ cast(sum(case when o_orderkey % 14 = 6 then 1 end) as bigint) as {q}Black M{q},
+ cast(sum(case when o_orderkey % 14 = 7 then 1 end) as bigint) as {q}Black F{q},
+ cast(sum(case when o_orderkey % 14 = 8 then 1 end) as bigint) as {q}Pac Is M{q},
+ cast(sum(case when o_orderkey % 14 = 9 then 1 end) as bigint) as {q}Pac Is F{q},
+ cast(sum(case when o_orderkey % 14 = 10 then 1 end) as bigint) as {q}White M{q},
+ cast(sum(case when o_orderkey % 14 = 11 then 1 end) as bigint) as {q}White F{q},
+ cast(sum(case when o_orderkey % 14 = 12 then 1 end) as bigint) as {q}Multi M{q},
+ cast(sum(case when o_orderkey % 14 = 13 then 1 end) as bigint) as {q}Multi F{q}
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-group by year(o_orderdate), n_name, c_mktsegment, c_custkey % 9, c_custkey % 13""",
+group by year(o_orderdate), c_nationkey, n_name, c_mktsegment, c_custkey % 9, c_custkey % 13""",
 }
 
 # Role views that read other role views (built after them).
@@ -221,10 +242,17 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# The one dialect difference: subtracting a number of seconds from a timestamp.
+_STARTED_AT = {
+    "spark": "timestampadd(SECOND, -cast(event_id % 600 as int), ts)",
+    "duckdb": "ts - to_seconds(cast(event_id % 600 as bigint))",
+}
+
+
 def role_sql(name: str, dialect: str = "spark") -> str:
     text = ROLE_SQL[name]
     quote = "`" if dialect == "spark" else '"'
-    return text.replace("{q}", quote).strip()
+    return text.replace("{q}", quote).replace("{started_at}", _STARTED_AT[dialect]).strip()
 
 
 def roles_version() -> str:
