@@ -142,3 +142,24 @@ OPS_QUERIES = {
     "snapshot_pages": q_snapshot_pages,
 }
 
+
+
+def q_incremental_landing(src, cfg: MartConfig) -> DataFrame:
+    """Pages arrive as files in a landing folder; two landing runs follow.
+
+    The first run lands every file, the second finds nothing new.  The
+    result is what the target holds afterwards (each page exactly once).
+    """
+    from tallgrass.streaming import incremental_landing, landed
+    base = f"{scratch_root(src.spark)}/tallgrass_landing/{uuid.uuid4().hex}"
+    pages = src.raw("pages").select("page_id", "url", F.length("html").alias("html_chars"))
+    pages.repartition(4, "page_id").write.parquet(f"{base}/incoming")
+    schema = pages.schema
+    first = incremental_landing(src.spark, f"{base}/incoming", schema, f"{base}/landed", f"{base}/_checkpoint")
+    second = incremental_landing(src.spark, f"{base}/incoming", schema, f"{base}/landed", f"{base}/_checkpoint")
+    if second.rows != 0 or first.rows != pages.count():
+        raise RuntimeError(f"landing not incremental: first {first.rows}, second {second.rows}")
+    return landed(src.spark, f"{base}/landed", schema)
+
+
+OPS_QUERIES["incremental_landing"] = q_incremental_landing

@@ -786,4 +786,5 @@ select 'Program ' || p_name as CIP2020Title,
  'Occupation ' || p_type as SOC2018Title
 from part"""
     q["snapshot_pages"] = "select page_id, url, length(html) as html_chars, 'snapshot' as run_id from pages"
+    q["incremental_landing"] = "select page_id, url, length(html) as html_chars from pages"
     return q
