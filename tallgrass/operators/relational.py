@@ -40,6 +40,15 @@ def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> D
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small intermediate once and read it back (reliable checkpoint
+    in the shared ``spark.checkpoint.dir``; survives executor loss), so a
+    plan that uses it several times scans its sources once."""
+    from tallgrass.session import scratch_root
+    scratch_root(df.sparkSession)  # make sure a checkpoint dir is set
+    return df.checkpoint(eager=True)
+
+
 def _cols(names: Iterable[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
@@ -72,19 +81,19 @@ def flatten_hierarchy(df: DataFrame, id_col: str, parent_col: str, carry: Sequen
 
     Returns columns ``{prefix}0_<col>`` for the leaf and ``{prefix}k_<col>``
     for the k-th ancestor, for ``id_col`` and each column in ``carry``.
-    The hierarchy is a code list (small), so every step is a broadcast join.
+    The hierarchy is a code list (small): every step joins the same
+    broadcast side under a new alias, so the side is built and broadcast
+    once and reused by every step.
     """
     keep = [id_col, parent_col, *[c for c in carry if c not in (id_col, parent_col)]]
-
-    def level(k: int, frame: DataFrame) -> DataFrame:
-        return frame.select(*[F.col(c).alias(f"{prefix}{k}_{c}") for c in keep])
-
-    out = level(0, df.filter(leaf))
     side_src = broadcast_if_bounded(df.select(*keep))
+    out = df.filter(leaf).select(*keep).alias(f"{prefix}0")
+    cols = [F.col(f"{prefix}0.{c}").alias(f"{prefix}0_{c}") for c in keep]
     for k in range(1, depth + 1):
-        side = level(k, side_src)
-        out = out.join(side, out[f"{prefix}{k - 1}_{parent_col}"] == side[f"{prefix}{k}_{id_col}"], how)
-    return out
+        side = side_src.alias(f"{prefix}{k}")
+        out = out.join(side, F.col(f"{prefix}{k - 1}.{parent_col}") == F.col(f"{prefix}{k}.{id_col}"), how)
+        cols += [F.col(f"{prefix}{k}.{c}").alias(f"{prefix}{k}_{c}") for c in keep]
+    return out.select(*cols)
 
 
 # ---------------------------------------------------------------------------
@@ -111,13 +120,21 @@ def asc_nulls_last(c) -> list[Column]:
     return [x.isNull(), x]
 
 
-def share_of_group(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:
+def share_of_group(df: DataFrame, keys: Sequence[str], measure: str, out: str,
+                   method: str = "join") -> DataFrame:
     """``x / NULLIF(SUM(x) OVER (PARTITION BY keys), 0)``.
 
-    Totals come from a partial aggregation joined back on the keys
-    (null-safe, like a window partition), so a hot group is split by AQE's
-    skew join instead of being sorted in one task.
+    ``method='join'`` (default, for raw rows): totals come from a partial
+    aggregation joined back on the keys (null-safe, like a window
+    partition), so a hot group is split by AQE's skew join instead of being
+    sorted in one task.  ``method='window'``: a window over the keys, for
+    inputs already aggregated below the keys, where a partition holds one
+    row per code of the remaining key (bounded by the code list) and the
+    input is read once.
     """
+    if method == "window":
+        total = F.sum(measure).over(Window.partitionBy(*keys)).cast("double")
+        return df.withColumn(out, F.col(measure).cast("double") / F.nullif(total, F.lit(0.0)))
     totals = df.groupBy(*keys).agg(F.sum(measure).alias("__group_total"))
     t = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__group_total")
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(t[f"__k_{k}"]) for k in keys])

@@ -163,89 +163,77 @@ def _resolve(base: Column, href: Column) -> Column:
              .otherwise(F.concat(directory, h)))
 
 
+def _inside(t: DataFrame, opens: Column, name: str, upto, page_w) -> DataFrame:
+    """Flag tokens inside the most recent element opened where ``opens``.
+
+    Segment = number of such opens so far; within a segment a token is
+    inside while the div depth never dropped below the opening depth.
+    Only windows partitioned by page (one bounded document each).
+    """
+    seg = f"__{name}_seg"
+    t = t.withColumn(seg, F.sum(opens.cast("int")).over(upto))
+    sw = Window.partitionBy("page_id", seg).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_depth = F.first(F.when(opens, F.col("__depth")), ignorenulls=True).over(sw)
+    min_depth = F.min(F.col("__depth")).over(sw)   # depth after each token; the element's close drops it
+    inside = (F.col(seg) > 0) & (min_depth >= open_depth)
+    return t.withColumn(f"__in_{name}", inside).withColumn(
+        f"__{name}_pos", F.when(inside, F.first(F.when(opens, F.col("pos")), ignorenulls=True).over(sw)))
+
+
+def _element_text(t: DataFrame, tag: str, name: str, upto) -> DataFrame:
+    """Text of each ``<tag>`` element (all tokens up to its close), on the
+    opening token's row; NULL elsewhere."""
+    is_open = (F.col("tag") == tag) & ~F.col("closing")
+    is_close = (F.col("tag") == tag) & F.col("closing")
+    seg = f"__{name}_tseg"
+    t = t.withColumn(seg, F.sum(is_open.cast("int")).over(upto))
+    sw = Window.partitionBy("page_id", seg).orderBy("pos")
+    closed = F.sum(is_close.cast("int")).over(sw.rowsBetween(Window.unboundedPreceding, Window.currentRow)) > 0
+    t = t.withColumn(f"__{name}_inside", (F.col(seg) > 0) & ~closed)
+    # a segment starts at its element's opening token, so the whole segment
+    # (one aggregate per segment, not per row) holds exactly its text
+    whole = sw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    texts = F.collect_list(F.when(F.col(f"__{name}_inside"), F.col("text"))).over(whole)
+    return t.withColumn(f"__{name}_text", F.when(is_open, F.trim(F.array_join(texts, ""))))
+
+
 def page_anchors(pages: DataFrame) -> DataFrame:
     """Every ``<a href>`` with its text, position and context flags.
 
-    Columns: page_id, pos, href, url (resolved), text (all text inside the
+    Columns: page_id, pos, href, link (resolved), text (all text inside the
     anchor, stripped), in_li, in_wrapper, container (position of the
     enclosing text container, NULL outside one), heading (nearest
     preceding FY heading inside a title container), page_has_wrapper.
+
+    The pages are hash-partitioned by ``page_id`` once; every later step is
+    a window partitioned by page (plus a segment key), so no further
+    shuffle happens and no step holds more than one document.
     """
-    t = page_tokens(pages)
+    t = page_tokens(pages.repartition("page_id"))
     w = Window.partitionBy("page_id").orderBy("pos")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_div = F.col("tag") == "div"
     opening = is_div & ~F.col("closing")
-    t = t.withColumn("__dd", F.when(opening, 1).when(is_div & F.col("closing"), -1).otherwise(0))
-    t = t.withColumn("__depth", F.sum("__dd").over(upto))
-    # a div opened at depth d is closed by the next close that returns to d - 1
-    t = t.withColumn("__level", F.when(opening, F.col("__depth")).when(is_div, F.col("__depth") + 1))
-    divs = t.filter(is_div).select("page_id", "pos", "__level", "closing", "attrs")
-    lw = Window.partitionBy("page_id", "__level").orderBy("pos")
-    divs = divs.withColumn("__close", F.lead("pos").over(lw)).filter(~F.col("closing"))
-    divs = divs.select(
-        "page_id", F.col("pos").alias("__open"), "__close",
-        _class_has(F.col("attrs"), *WRAPPER_CLASSES).alias("__wrapper"),
-        _class_has(F.col("attrs"), "text", CONTAINER_CLASS).alias("__text"),
-        _class_has(F.col("attrs"), "title", CONTAINER_CLASS).alias("__title"),
-    ).filter(F.col("__wrapper") | F.col("__text") | F.col("__title"))
-    # mark open/close events of interesting divs on the token stream
-    events = divs.select("page_id", F.col("__open").alias("pos"), F.lit(1).alias("__sign"),
-                         "__wrapper", "__text", "__title").unionByName(
-        divs.filter(F.col("__close").isNotNull()).select(
-            "page_id", F.col("__close").alias("pos"), F.lit(-1).alias("__sign"), "__wrapper", "__text", "__title"))
-    t = t.join(events, on=["page_id", "pos"], how="left")
-
-    def running(flag: str) -> Column:
-        return F.sum(F.when(F.col(flag), F.col("__sign")).otherwise(0)).over(upto)
-
+    t = t.withColumn("__closing_div", is_div & F.col("closing"))
+    t = t.withColumn("__depth", F.sum(F.when(opening, 1).when(F.col("__closing_div"), -1).otherwise(0)).over(upto))
+    wrapper_open = opening & _class_has(F.col("attrs"), *WRAPPER_CLASSES)
+    t = _inside(t, wrapper_open, "wrapper", upto, w)
+    t = _inside(t, opening & _class_has(F.col("attrs"), "text", CONTAINER_CLASS), "text", upto, w)
+    t = _inside(t, opening & _class_has(F.col("attrs"), "title", CONTAINER_CLASS), "title", upto, w)
     is_li = F.col("tag") == "li"
-    t = (t.withColumn("__in_wrapper", running("__wrapper") > 0)
-          .withColumn("__in_text", running("__text") > 0)
-          .withColumn("__in_title", running("__title") > 0)
-          .withColumn("__li", F.sum(F.when(is_li & ~F.col("closing"), 1).when(is_li, -1).otherwise(0)).over(upto))
-          .withColumn("__container", F.last(F.when(F.col("__text") & (F.col("__sign") == 1), F.col("pos")),
-                                            ignorenulls=True).over(upto))
-          .withColumn("__container", F.when(F.col("__in_text"), F.col("__container")))
-          .withColumn("__page_wrapper", F.max(F.coalesce(F.col("__wrapper"), F.lit(False)))
-                      .over(Window.partitionBy("page_id"))))
-    # headings: text of <h2> (up to its close) when it sits in a title container
-    is_h2 = (F.col("tag") == "h2") & ~F.col("closing")
-    t = t.withColumn("__h2_open", F.last(F.when(is_h2, F.col("pos")), ignorenulls=True).over(upto))
-    t = t.withColumn("__h2_close", F.last(F.when((F.col("tag") == "h2") & F.col("closing"), F.col("pos")),
-                                          ignorenulls=True).over(upto))
-    # anchors: text of every token from <a> up to </a>
-    is_a = (F.col("tag") == "a") & ~F.col("closing")
-    t = t.withColumn("__a_open", F.last(F.when(is_a, F.col("pos")), ignorenulls=True).over(upto))
-    t = t.withColumn("__a_close", F.last(F.when((F.col("tag") == "a") & F.col("closing"), F.col("pos")),
-                                         ignorenulls=True).over(upto))
-    inside_a = F.col("__a_open").isNotNull() & (F.col("__a_close").isNull() | (F.col("__a_close") < F.col("__a_open")))
-    inside_h2 = F.col("__h2_open").isNotNull() & (F.col("__h2_close").isNull() | (F.col("__h2_close") < F.col("__h2_open")))
-    texts = (t.filter(inside_a).groupBy("page_id", F.col("__a_open").alias("pos"))
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("__parts")))
-    texts = texts.select("page_id", "pos", F.trim(F.array_join(F.transform("__parts", lambda p: p["text"]), ""))
-                         .alias("anchor_text"))
-    heads = (t.filter(inside_h2 & F.col("__in_title")).groupBy("page_id", F.col("__h2_open").alias("__hpos"))
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("__parts")))
-    heads = heads.select("page_id", "__hpos", F.trim(F.array_join(F.transform("__parts", lambda p: p["text"]), ""))
-                         .alias("__htext")).filter(F.upper("__htext").startswith("FY"))
+    t = t.withColumn("__li", F.sum(F.when(is_li & ~F.col("closing"), 1).when(is_li, -1).otherwise(0)).over(upto))
+    t = t.withColumn("__page_wrapper", F.max(wrapper_open).over(Window.partitionBy("page_id")))
+    t = _element_text(t, "a", "a", upto)
+    t = _element_text(t, "h2", "h2", upto)
+    heading = F.when(F.col("__in_title") & F.upper(F.col("__h2_text")).startswith("FY"), F.col("__h2_text"))
+    t = t.withColumn("heading", F.last(heading, ignorenulls=True).over(upto))
     href = F.regexp_extract("attrs", r"""href\s*=\s*["']([^"']*)["']""", 1)
-    anchors = t.filter(is_a & F.col("attrs").rlike(r"""href\s*=\s*["']""")).select(
-        "page_id", "url", "pos", href.alias("href"), (F.col("__li") > 0).alias("in_li"),
-        F.col("__in_wrapper").alias("in_wrapper"), F.col("__container").alias("container"),
-        F.col("__page_wrapper").alias("page_has_wrapper"))
-    anchors = anchors.join(texts, on=["page_id", "pos"], how="left")
-    # nearest preceding FY heading: the page's FY headings before the anchor
-    hw = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marks = heads.select("page_id", F.col("__hpos").alias("pos"), F.lit(None).cast("string").alias("href"),
-                         "__htext")
-    stream = (anchors.select("page_id", "pos", "href", F.lit(None).cast("string").alias("__htext"))
-              .unionByName(marks))
-    stream = stream.withColumn("heading", F.last("__htext", ignorenulls=True).over(hw)).filter(F.col("href").isNotNull())
-    anchors = anchors.join(stream.select("page_id", "pos", "heading"), on=["page_id", "pos"], how="left")
-    return anchors.select("page_id", "pos", "href", _resolve(F.col("url"), F.col("href")).alias("link"),
-                          F.coalesce("anchor_text", F.lit("")).alias("text"), "in_li", "in_wrapper", "container",
-                          "heading", "page_has_wrapper")
+    is_a = (F.col("tag") == "a") & ~F.col("closing") & F.col("attrs").rlike(r"""href\s*=\s*["']""")
+    anchors = t.filter(is_a)
+    return anchors.select("page_id", "pos", href.alias("href"), _resolve(F.col("url"), href).alias("link"),
+                          F.coalesce("__a_text", F.lit("")).alias("text"), (F.col("__li") > 0).alias("in_li"),
+                          F.col("__in_wrapper").alias("in_wrapper"), F.col("__text_pos").alias("container"),
+                          "heading", F.col("__page_wrapper").alias("page_has_wrapper"))
 
 
 def classify_anchor(text: Column, in_li: Column) -> Column:

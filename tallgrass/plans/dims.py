@@ -11,6 +11,7 @@ from tallgrass.operators.relational import (
     asc_nulls_last,
     broadcast_if_bounded,
     flatten_hierarchy,
+    materialize,
     prefer_source,
 )
 
@@ -122,7 +123,8 @@ def prioritized_industries(combined: DataFrame) -> DataFrame:
 
 
 def dim_ind(src, cfg: MartConfig) -> DataFrame:
-    combined = combined_industries(src, cfg)
+    # the combined code list is small and read five times below: one scan
+    combined = materialize(combined_industries(src, cfg))
     prio = prioritized_industries(combined)
     flat = flatten_hierarchy(prio, "indid", "indid_parent", ["name", "level"],
                              leaf=F.col("level") == 6, depth=4, how="left", prefix="c")

@@ -32,22 +32,22 @@ def share_allocation(occ_totals: DataFrame, staffing: DataFrame, ind_totals: Dat
                      keys: list[str], target: str, measure: str, total: str) -> DataFrame:
     """Allocate group totals over a target dimension by observed weights.
 
-    ``staffing`` holds ``keys + [target, measure]``; each group's weights are
-    ``measure / SUM(measure)`` over the group.  Groups in ``occ_totals``
-    without weights are kept whole with a NULL target and share 1.0.
+    ``staffing`` holds ``keys + [target, measure]`` aggregated to that grain;
+    each group's weights are ``measure / SUM(measure)`` over the group (a
+    window: the group holds one row per target code).  One left join of the
+    totals to the weights yields both the allocated rows and the groups
+    without weights, which are kept whole with a NULL target and share 1.0
+    (mapped rows UNION ALL unmapped rows, without reading anything twice).
     """
-    weights = share_of_group(staffing, keys, measure, "__pct")
-    mapped = (weights.join(occ_totals, on=keys, how="inner")
-                     .join(ind_totals, on=[k for k in keys if k != keys[-1]] + [target], how="left"))
-    mapped = mapped.select(*keys[:-1], target, keys[-1],
-                           F.col("__num").cast("double").alias("NUM_EMPS"),
-                           (F.col(total) * F.col("__pct")).alias("OCC_EMPS"),
-                           F.col("__pct").alias("PERCENT"))
-    unmapped = (occ_totals.join(weights.select(*keys).distinct(), on=keys, how="left_anti")
-                .select(*keys[:-1], F.lit(None).cast("string").alias(target), keys[-1],
-                        F.lit(None).cast("double").alias("NUM_EMPS"),
-                        F.col(total).cast("double").alias("OCC_EMPS"), F.lit(1.0).alias("PERCENT")))
-    return mapped.unionByName(unmapped)
+    weights = share_of_group(staffing, keys, measure, "__pct", method="window").withColumn("__mapped", F.lit(True))
+    j = occ_totals.join(weights, on=keys, how="left")
+    j = j.join(ind_totals, on=[k for k in keys if k != keys[-1]] + [target], how="left")
+    mapped = F.col("__mapped").isNotNull()
+    return j.select(
+        *keys[:-1], F.when(mapped, F.col(target)).cast("string").alias(target), keys[-1],
+        F.when(mapped, F.col("__num").cast("double")).alias("NUM_EMPS"),
+        F.when(mapped, F.col(total) * F.col("__pct")).otherwise(F.col(total).cast("double")).alias("OCC_EMPS"),
+        F.when(mapped, F.col("__pct")).otherwise(F.lit(1.0)).alias("PERCENT"))
 
 
 def fact_emp(src, cfg: MartConfig) -> DataFrame:

@@ -86,11 +86,17 @@ def q_newer_period_check(src, cfg: MartConfig) -> DataFrame:
 def q_incremental_skip(src, cfg: MartConfig) -> DataFrame:
     """Two runs over the same pages: the first finds every file new, the
     second finds none and short-circuits (J18, K19)."""
+    import uuid
+
+    from tallgrass.session import scratch_root
+    inventory = f"{scratch_root(src.spark)}/tallgrass_inventory/{uuid.uuid4().hex}"
     files = R.page_anchors(src.raw("pages")).select(
         F.regexp_extract(F.url_decode(F.regexp_replace("link", r"[?#].*$", "")), r"([^/]*)$", 1).alias("file_name"))
     new1, skip1 = E.incremental_skip(files, None)
-    new2, skip2 = E.incremental_skip(files, new1)
-    n1, n2 = new1.count(), new2.count()
+    new1.write.parquet(inventory)                      # the files the first run now holds
+    held = src.spark.read.parquet(inventory)
+    new2, skip2 = E.incremental_skip(files, held)
+    n1, n2 = held.count(), new2.count()
     return src.spark.createDataFrame(
         [(1, n1, "success_no_change" if skip1 else "rebuild"), (2, n2, "success_no_change" if skip2 else "rebuild")],
         "RUN int, NEW_FILES bigint, STATUS string")

@@ -17,7 +17,6 @@ from tallgrass.config import MartConfig
 from tallgrass.functions import div0, filter_state, round_ratio, safe_ratio
 from tallgrass.operators.relational import (
     broadcast_if_bounded,
-    calendar_window_count,
     pivot_current_prior,
     star_join,
 )
@@ -56,11 +55,13 @@ def fact_regional_indicators(src, cfg: MartConfig) -> DataFrame:
         "areaid", F.col("median_household_income").alias("MEDIAN_HOUSEHOLD_INCOME"),
         F.col("poverty_level_pct").alias("POVERTY_LEVEL"))
 
-    p = filter_state(src.postings, "county", cfg.state).withColumn("areaid", F.col("county").cast("string"))
-    postings = calendar_window_count(p, "posted", cfg.as_of, ["areaid"], "CURRENT_ROLLING_NUMBER_POSTINGS",
-                                     "PRIOR_ROLLING_NUMBER_POSTINGS")
-    same_year = (p.filter(F.year("posted") == cfg.as_of_year).groupBy("areaid")
-                  .agg(F.count(F.lit(1)).alias("CURRENT_NUMBER_POSTINGS")))
+    # one pass over postings: same-year count and the two calendar windows
+    p = filter_state(src.postings, "county", cfg.state)
+    gap = F.lit(cfg.as_of_year) - F.year("posted")
+    postings = p.groupBy(F.col("county").cast("string").alias("areaid")).agg(
+        F.sum(F.when(F.year("posted") == cfg.as_of_year, F.lit(1))).cast("bigint").alias("CURRENT_NUMBER_POSTINGS"),
+        F.sum(F.when(gap < 1, F.lit(1))).cast("bigint").alias("CURRENT_ROLLING_NUMBER_POSTINGS"),
+        F.sum(F.when((gap >= 1) & (gap < 2), F.lit(1))).cast("bigint").alias("PRIOR_ROLLING_NUMBER_POSTINGS"))
 
     units = in_state_units(src, cfg).withColumn("areaid", F.col("county").cast("string"))
     en = totals_only(src.enrollments, raceid=0, genderid=0, enrlevelid=1)
@@ -73,7 +74,7 @@ def fact_regional_indicators(src, cfg: MartConfig) -> DataFrame:
     completions = pivot_current_prior(cd, "areaid", "awlevelid", COMPLETION_LEVELS, "completions", "year",
                                       current_year=src.completions.select(F.max("year")).scalar())
 
-    j = star_join(spine, [population, same_year, postings, enrolled, completions, acs], "areaid")
+    j = star_join(spine, [population, postings, enrolled, completions, acs], "areaid")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0)).cast("bigint")
