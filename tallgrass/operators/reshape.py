@@ -444,14 +444,13 @@ def row_records(grid: DataFrame, hdr: DataFrame) -> DataFrame:
     def cell(pos_col: str) -> Column:
         return F.when(F.col(pos_col).isNotNull(), F.try_element_at(F.col("cells"), F.col(pos_col)))
 
-    values = F.transform(F.col("value_layout"), lambda v: F.struct(
-        v["name"].alias("name"), v["race"].alias("race"), v["gender"].alias("gender"),
-        F.try_element_at(F.col("cells"), v["i"]).alias("value")))
+    # value cells stay in the row (with the header's layout); melt_records
+    # explodes the layout and indexes the cells, all in generated code
     return rows.select(
         "workbook", "sheet", "row_no", "names",
         *[cell(f"__pos_{c}").alias(c) for c in ID_COLUMNS],
         F.trim(cell("__pos_code")).alias("school_code"),
-        values.alias("values"),
+        "value_layout", "cells",
     )
 
 
@@ -474,7 +473,7 @@ def backfill_blank(recs: DataFrame, lookup: DataFrame, pairing: DataFrame) -> Da
     (J11, C15; deviation T15)."""
     r = recs.join(broadcast_if_bounded(pairing), on="workbook", how="left")
     lk = lookup.withColumnRenamed("companion", "__lc").withColumnRenamed("school_code", "__lcode")
-    r = r.join(lk, on=(F.col("companion") == F.col("__lc")) & (F.col("school_code") == F.col("__lcode")),
+    r = r.join(broadcast_if_bounded(lk), on=(F.col("companion") == F.col("__lc")) & (F.col("school_code") == F.col("__lcode")),
                how="left").drop("__lc", "__lcode")
     for col, fill in (("County", "c_county"), ("District", "c_district"), ("School Name", "c_school")):
         r = r.withColumn(col, F.when(is_blank(F.col(col)) & F.col(fill).isNotNull(), F.col(fill)).otherwise(F.col(col)))
@@ -488,8 +487,8 @@ def melt_records(recs: DataFrame, fiscal_year: Column | None = None) -> DataFram
     if fiscal_year is not None:
         year = F.when(F.array_contains(F.col("names"), "SchoolYear"), year).otherwise(fiscal_year)
     long = recs.select("*", clean_year(year).alias("__year"), format_grade(F.col("Grade")).alias("__grade"),
-                       F.explode("values").alias("__v"))
-    total = F.trim(F.col("__v.value")).try_cast("double").try_cast("bigint")
+                       F.explode("value_layout").alias("__v"))
+    total = F.trim(F.try_element_at(F.col("cells"), F.col("__v.i"))).try_cast("double").try_cast("bigint")
     out = long.select(
         "workbook", F.col("__year").alias("Year"), "County", "District", F.col("School Name").alias("School"),
         F.col("__v.race").alias("Race"), F.col("__v.gender").alias("Gender"), F.col("__grade").alias("Grade"),

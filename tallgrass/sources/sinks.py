@@ -101,8 +101,12 @@ def write_observed(df: DataFrame, path: str, table: str, quality: QualityConfig)
 
 def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConfig, *,
                   pipeline: str = "lightcast", group_name: str | None = None, run_id: str | None = None,
-                  allow_empty: bool = False, row_limit: int | None = None) -> LandResult:
-    """Stage -> measure -> validate -> publish -> record."""
+                  allow_empty: bool = False, row_limit: int | None = None, records: list | None = None) -> LandResult:
+    """Stage -> measure -> validate -> publish -> record.
+
+    The run record is appended to the manifest, or to ``records`` when a
+    caller (a batch) writes all of its records in one append.
+    """
     spark = wh.spark
     run_id = run_id or new_run_id()
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -132,27 +136,42 @@ def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConf
         raise
     finally:
         finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        append_run_records(spark, wh.manifest_path, [run_record(
-            run_id, pipeline, table, status, started, finished, group_name=group_name,
-            row_count=m.get("row_count"), max_year=m.get("max_year"),
-            source_uri=path if status == "success" else None, error=error)])
+        rec = run_record(run_id, pipeline, table, status, started, finished, group_name=group_name,
+                         row_count=m.get("row_count"), max_year=m.get("max_year"),
+                         source_uri=path if status == "success" else None, error=error)
+        if records is None:
+            append_run_records(spark, wh.manifest_path, [rec])
+        else:
+            records.append(rec)
     return LandResult(table, run_id, status, m["row_count"], m.get("max_year"), not limited, report_rows)
 
 
 def run_batch(wh: Warehouse, builders: dict, quality: QualityConfig, *, pipeline: str = "lightcast",
-              row_limit: int | None = None, raise_at_end: bool = True) -> DataFrame:
+              row_limit: int | None = None, raise_at_end: bool = True, parallelism: int = 4) -> DataFrame:
     """Build and publish many marts; one outcome row each.
 
-    A failing dataset does not stop the others; the batch fails at the end
+    Datasets run as concurrent Spark jobs (``parallelism`` at a time, like
+    the source's four parallel tasks); each writes only its own run folder
+    and pointer, and the batch appends all run records in one write.  A
+    failing dataset does not stop the others; the batch fails at the end
     naming every failure.
     """
-    outcomes = []
-    for name, build in builders.items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    records: list = []
+
+    def one(item):
+        name, build = item
         try:
-            r = publish_cycle(wh, build(), name, quality, pipeline=pipeline, row_limit=row_limit)
-            outcomes.append((name, r.status, r.row_count, None))
+            r = publish_cycle(wh, build(), name, quality, pipeline=pipeline, row_limit=row_limit, records=records)
+            return (name, r.status, r.row_count, None)
         except Exception as e:  # noqa: BLE001
-            outcomes.append((name, "failed", None, f"{type(e).__name__}: {str(e)[:200]}"))
+            return (name, "failed", None, f"{type(e).__name__}: {str(e)[:200]}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        outcomes = list(pool.map(one, builders.items()))
+    if records:
+        append_run_records(wh.spark, wh.manifest_path, records)
     result = wh.spark.createDataFrame(outcomes, "dataset string, status string, row_count bigint, error string")
     failed = [o[0] for o in outcomes if o[1] == "failed"]
     if failed and raise_at_end:
