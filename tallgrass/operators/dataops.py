@@ -269,10 +269,10 @@ def quality_report(measurement: DataFrame, dataset: str, cfg: QualityConfig,
     """
     m = measurement
     if previous is not None and not limited:
-        prev = previous.filter(F.col("dataset") == dataset).select(
-            "dataset", F.col("row_count").cast("bigint").alias("prev_rows"),
-            F.col("max_year").cast("bigint").alias("prev_year"))
-        m = m.join(F.broadcast(prev), on="dataset", how="left")  # at most one baseline row per dataset
+        # the baseline is at most one row per dataset: two scalar subqueries
+        prev = previous.filter(F.col("dataset") == dataset)
+        m = (m.withColumn("prev_rows", prev.select(F.max(F.col("row_count").cast("bigint"))).scalar())
+              .withColumn("prev_year", prev.select(F.max(F.col("max_year").cast("bigint"))).scalar()))
     else:
         m = m.withColumn("prev_rows", F.lit(None).cast("bigint")).withColumn("prev_year", F.lit(None).cast("bigint"))
     checks: list[Column] = []

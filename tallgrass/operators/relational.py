@@ -240,11 +240,14 @@ def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, how
 def latest_and_prior_year(df: DataFrame, year: str, tag: str = "PERIOD") -> DataFrame:
     """Rows of the latest year and the year before, tagged current / prior.
 
-    The maximum is an uncorrelated scalar subquery (evaluated once).
+    The maximum is an uncorrelated scalar subquery, bound once as a column
+    (so it is planned and run once) and referenced from there.
     """
-    max_year = df.select(F.max(year)).scalar()
-    return (df.filter((F.col(year) == max_year) | (F.col(year) == max_year - 1))
-              .withColumn(tag, F.when(F.col(year) == max_year, F.lit("current")).otherwise(F.lit("prior"))))
+    d = df.withColumn("__max", df.select(F.max(year)).scalar())
+    cur = F.col("__max")
+    return (d.filter((F.col(year) == cur) | (F.col(year) == cur - 1))
+             .withColumn(tag, F.when(F.col(year) == cur, F.lit("current")).otherwise(F.lit("prior")))
+             .drop("__max"))
 
 
 def pivot_current_prior(df: DataFrame, key: str, level: str, levels: dict, measure: str,
@@ -253,15 +256,18 @@ def pivot_current_prior(df: DataFrame, key: str, level: str, levels: dict, measu
 
     ``levels`` maps a level value to an output stem; columns are
     ``CURRENT_<stem>`` and ``PRIOR_<stem>``.  The current year defaults to
-    the table's maximum (a scalar subquery).  NULL where a key has no row.
+    the table's maximum (a scalar subquery, bound once as a column).  NULL
+    where a key has no row.
     """
-    cur = df.select(F.max(year)).scalar() if current_year is None else F.lit(current_year)
+    cur_value = df.select(F.max(year)).scalar() if current_year is None else F.lit(current_year)
+    d = df.withColumn("__cur", cur_value)
+    cur = F.col("__cur")
     aggs = []
     for value, stem in levels.items():
         is_level = F.lit(True) if value is None else (F.col(level) == F.lit(value))
         aggs.append(F.sum(F.when(is_level & (F.col(year) == cur), F.col(measure))).alias(f"CURRENT_{stem}"))
         aggs.append(F.sum(F.when(is_level & (F.col(year) == cur - 1), F.col(measure))).alias(f"PRIOR_{stem}"))
-    return (df.filter((F.col(year) == cur) | (F.col(year) == cur - 1))
+    return (d.filter((F.col(year) == cur) | (F.col(year) == cur - 1))
               .groupBy(key).agg(*aggs))
 
 

@@ -27,7 +27,7 @@ COMPLETION_LEVELS = {3: "ASSOC_COMPLETIONS", 5: "BACH_COMPLETIONS", 7: "MASTERS_
 
 
 def _labour_force_year(lf: DataFrame, year, cfg: MartConfig, prefix: str) -> DataFrame:
-    d = lf.filter((F.col("year") == year) & (F.col("areaid") != F.lit(cfg.state)))
+    d = lf.filter((F.col("year") == year) & (F.col("areaid") != F.lit(cfg.state))).drop("__max")
     return (d.groupBy("areaid", "areaid_name", "lfp_denom").agg(
         round_ratio(F.avg(safe_ratio(F.col("emp") + F.col("unemp"), F.col("pop"))), cfg.ratio_digits).alias(f"{prefix}LFPR"),
         F.round(F.avg("unemp"), 0).alias(f"{prefix}UNEMP"),
@@ -37,10 +37,10 @@ def _labour_force_year(lf: DataFrame, year, cfg: MartConfig, prefix: str) -> Dat
 
 def fact_regional_indicators(src, cfg: MartConfig) -> DataFrame:
     county_lf = src.labor_force.filter(F.col("areaid_type") == "COUNTY")
-    lf_max = county_lf.select(F.max("year")).scalar()
-    lf = filter_state(county_lf, "areaid", cfg.state)
-    spine = _labour_force_year(lf, lf_max, cfg, "")
-    prior = _labour_force_year(lf, lf_max - 1, cfg, "P_").drop("areaid_name", "lfp_denom")
+    # latest county year: a scalar subquery bound once as a column
+    lf = filter_state(county_lf, "areaid", cfg.state).withColumn("__max", county_lf.select(F.max("year")).scalar())
+    spine = _labour_force_year(lf, F.col("__max"), cfg, "")
+    prior = _labour_force_year(lf, F.col("__max") - 1, cfg, "P_").drop("areaid_name", "lfp_denom")
     spine = spine.join(prior, on="areaid", how="left")
 
     cur_pop, prior_pop = cfg.population_years
