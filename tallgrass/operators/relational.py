@@ -30,8 +30,9 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - plan stats unavailable
+        # a Scala BigInt; py4j hands it over as an int or as a Java object
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - plan stats unavailable: never broadcast
         return 1 << 62
 
 
