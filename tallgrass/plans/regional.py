@@ -41,7 +41,7 @@ def fact_regional_indicators(src, cfg: MartConfig) -> DataFrame:
     lf = filter_state(county_lf, "areaid", cfg.state).withColumn("__max", county_lf.select(F.max("year")).scalar())
     spine = _labour_force_year(lf, F.col("__max"), cfg, "")
     prior = _labour_force_year(lf, F.col("__max") - 1, cfg, "P_").drop("areaid_name", "lfp_denom")
-    spine = spine.join(prior, on="areaid", how="left")
+    spine = spine.join(broadcast_if_bounded(prior), on="areaid", how="left")
 
     cur_pop, prior_pop = cfg.population_years
     demog = totals_only(filter_state(src.demog.filter((F.col("areaid_type") == "COUNTY")

@@ -23,6 +23,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # partitions sized for executor memory on a cluster: AQE coalesces small
+    # shuffle partitions toward 128 MB and splits skewed ones (5x median)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
