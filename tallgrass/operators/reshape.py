@@ -248,7 +248,7 @@ def classify_anchor(text: Column, in_li: Column) -> Column:
              .when(in_li & (n == py_normalize(COMPANION_LINK_TEXT)), F.lit("school_site_li")))
 
 
-def discover_links(pages: DataFrame) -> DataFrame:
+def discover_links(pages: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
     """Enrollment source links per page.
 
     Only anchors inside text containers count, and only inside the grid
@@ -256,7 +256,7 @@ def discover_links(pages: DataFrame) -> DataFrame:
     containers without a primary link; a URL is kept at its first
     occurrence on the page.
     """
-    a = page_anchors(pages)
+    a = page_anchors(pages) if anchors is None else anchors
     a = a.filter(F.col("container").isNotNull() & (F.col("in_wrapper") | ~F.col("page_has_wrapper")))
     a = a.withColumn("pattern", classify_anchor(F.col("text"), F.col("in_li"))).filter(F.col("pattern").isNotNull())
     cw = Window.partitionBy("page_id", "container")
@@ -272,11 +272,11 @@ def discover_links(pages: DataFrame) -> DataFrame:
 def link_warnings(pages: DataFrame) -> DataFrame:
     """Pages without the grid wrapper (searched whole) and pages where no
     link was found at all (J1 warning, J21 error)."""
-    a = page_anchors(pages)
+    a = page_anchors(pages)  # tokenised once, used for both checks
     wrapper = a.groupBy("page_id").agg(F.max("page_has_wrapper").alias("w"))
     no_wrapper = pages.select("page_id").join(wrapper.filter("w"), "page_id", "left_anti").select(
         "page_id", F.lit("grid_wrapper_not_found").alias("kind"))
-    found = discover_links(pages).select("page_id").distinct()
+    found = discover_links(pages, anchors=a).select("page_id").distinct()
     none = pages.select("page_id").join(found, "page_id", "left_anti").select(
         "page_id", F.lit("no_enrollment_links").alias("kind"))
     return no_wrapper.unionByName(none)
