@@ -187,6 +187,12 @@ def snapshot_pages(pages: DataFrame, root: str, run_id: str) -> DataFrame:
         "page_id", "url", F.length("html").alias("html_chars"), "run_id")
 
 
+def retain_inventory(held: DataFrame, discovered: DataFrame) -> DataFrame:
+    """Retention (J19): keep only held files that a found record still
+    names; written as the next version of the inventory table."""
+    return held.join(discovered.select("file_name").distinct(), "file_name", "left_semi")
+
+
 def incremental_skip(discovered: DataFrame, held: DataFrame | None) -> tuple[DataFrame, bool]:
     """Files not yet held (J18); an empty result means nothing to rebuild.
 
@@ -196,3 +202,52 @@ def incremental_skip(discovered: DataFrame, held: DataFrame | None) -> tuple[Dat
     files = discovered.select("file_name").distinct()
     new = files if held is None else files.join(held.select("file_name"), "file_name", "left_anti")
     return new, new.isEmpty()
+
+
+class NewerPeriodError(RuntimeError):
+    pass
+
+
+def run_enrollment_pipeline(wh, grid: DataFrame, records: DataFrame, *, held: DataFrame | None = None,
+                            watched: DataFrame | None = None, quality=None, table: str = "enrollment_primary",
+                            pipeline: str = "enrollment") -> dict:
+    """One enrollment run in the source's order (§3.2):
+
+    findings gate -> newer-period guard -> short-circuit when every found
+    file is already held -> publish.  A failed run writes exactly one
+    manifest row (K13); a run with nothing new writes a no-change row with
+    the published row count (K19).  Returns a small summary.
+    """
+    import datetime as _dt
+
+    from tallgrass.operators.dataops import QualityConfig, append_run_records, run_record
+    from tallgrass.sources.sinks import new_run_id, publish_cycle, record_no_change
+
+    run_id = new_run_id()
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+    def fail(exc: Exception):
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        append_run_records(wh.spark, wh.manifest_path, [run_record(
+            run_id, pipeline, table, "failed", started, now, error=f"{type(exc).__name__}: {exc}")])
+        raise exc
+
+    long, findings = run_enrollment(grid, records)
+    try:
+        gate_on_findings(findings)
+    except EnrollmentFindingsError as e:
+        fail(e)
+    warning = None
+    if watched is not None:
+        status = newer_period_check(long, watched).first()["status"]  # one row
+        if status == "newer_period_available":
+            fail(NewerPeriodError("a newer period is published than the one collected"))
+        if status == "unknown":
+            warning = "newer_period_unknown"
+    files = records.select(F.col("workbook").alias("file_name"))
+    new, nothing_new = incremental_skip(files, held)
+    if nothing_new:
+        rec = record_no_change(wh, table, pipeline=pipeline, run_id=run_id)
+        return {"status": "success_no_change", "row_count": rec["row_count"], "warning": warning}
+    r = publish_cycle(wh, long, table, quality or QualityConfig(), pipeline=pipeline, run_id=run_id)
+    return {"status": r.status, "row_count": r.row_count, "warning": warning}

@@ -71,6 +71,13 @@ class Warehouse:
             raise FileNotFoundError(f"{table} has never been published")
         return self.spark.read.parquet(self.run_dir(table, run_id))
 
+    def published_row_count(self, table: str) -> int | None:
+        """Rows of the published version (Parquet footers only); None if the
+        table was never published."""
+        if self.current_run(table) is None:
+            return None
+        return self.read(table).count()
+
     def point_to(self, table: str, run_id: str) -> None:
         if not exists(self.spark, f"{self.run_dir(table, run_id)}/_SUCCESS"):
             raise FileNotFoundError(f"no artifact for {table} run {run_id}")
@@ -146,6 +153,17 @@ def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConf
     return LandResult(table, run_id, status, m["row_count"], m.get("max_year"), not limited, report_rows)
 
 
+def record_no_change(wh: Warehouse, table: str, *, pipeline: str = "enrollment",
+                     group_name: str | None = None, run_id: str | None = None) -> dict:
+    """A run that found nothing new: one ``success_no_change`` record carrying
+    the row count of what stays published (K19; NULL when unknown)."""
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rec = run_record(run_id or new_run_id(), pipeline, table, "success_no_change", now, now,
+                     group_name=group_name, row_count=wh.published_row_count(table))
+    append_run_records(wh.spark, wh.manifest_path, [rec])
+    return rec
+
+
 def run_batch(wh: Warehouse, builders: dict, quality: QualityConfig, *, pipeline: str = "lightcast",
               row_limit: int | None = None, raise_at_end: bool = True, parallelism: int = 4) -> DataFrame:
     """Build and publish many marts; one outcome row each.
@@ -195,5 +213,5 @@ def rollback(wh: Warehouse, table: str, run_id: str | None = None) -> str:
     return chosen
 
 
-__all__ = ["Warehouse", "LandResult", "publish_cycle", "run_batch", "rollback", "write_observed",
+__all__ = ["Warehouse", "LandResult", "publish_cycle", "run_batch", "rollback", "write_observed", "record_no_change",
            "QualityCheckError", "new_run_id"]

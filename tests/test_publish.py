@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dataops import QualityCheckError, QualityConfig, conform, publishable, run_record
-from tallgrass.sources.sinks import Warehouse, publish_cycle, rollback, run_batch
+from tallgrass.sources.sinks import Warehouse, publish_cycle, record_no_change, rollback, run_batch
 
 
 def frame(spark, n):
@@ -98,3 +98,12 @@ def test_run_record_clips_error_and_rejects_unknown_status():
     assert r["duration_seconds"] in (1.234, 1.235)
     with pytest.raises(ValueError):
         run_record("r", "p", "d", "weird", t0)
+
+
+def test_no_change_run_records_published_row_count(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    assert record_no_change(wh, "t")["row_count"] is None          # never published: unknown
+    publish_cycle(wh, frame(spark, 42), "t", QualityConfig())
+    rec = record_no_change(wh, "t")
+    assert rec["status"] == "success_no_change" and rec["row_count"] == 42
+    assert sorted(r["status"] for r in wh.manifest().collect()) == ["success", "success_no_change", "success_no_change"]

@@ -175,3 +175,28 @@ def test_incremental_skip(spark):
     assert new.count() == 2 and not skip
     new, skip = E.incremental_skip(found, found)
     assert new.count() == 0 and skip
+
+
+def test_retention_keeps_only_files_still_found(spark):
+    held = spark.createDataFrame([("a.xlsx",), ("old.xlsx",)], "file_name string")
+    found = spark.createDataFrame([("a.xlsx",), ("b.xlsx",)], "file_name string")
+    assert [r[0] for r in E.retain_inventory(held, found).collect()] == ["a.xlsx"]
+
+
+def test_pipeline_order_gate_publish_and_no_change(spark, scratch):
+    from tallgrass.sources.sinks import Warehouse
+    grid, records = fixture_grids(spark)
+    wh = Warehouse(spark, scratch)
+    with pytest.raises(E.EnrollmentFindingsError):      # the odd workbook fails the run first
+        E.run_enrollment_pipeline(wh, grid, records)
+    assert [r["status"] for r in wh.manifest().collect()] == ["failed"]
+    good = records.filter("workbook <> 'odd'")
+    newer = spark.createDataFrame([("2030-2031",)], "Year string")
+    with pytest.raises(E.NewerPeriodError):
+        E.run_enrollment_pipeline(wh, grid, good, watched=newer)
+    out = E.run_enrollment_pipeline(wh, grid, good, watched=spark.createDataFrame([("2023-2024",)], "Year string"))
+    assert out["status"] == "success" and out["row_count"] == 70
+    held = good.select(F.col("workbook").alias("file_name"))
+    again = E.run_enrollment_pipeline(wh, grid, good, held=held)
+    assert again == {"status": "success_no_change", "row_count": 70, "warning": None}
+    assert sorted(r["status"] for r in wh.manifest().collect()) == ["failed", "failed", "success", "success_no_change"]
