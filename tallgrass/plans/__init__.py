@@ -50,3 +50,44 @@ MARTS = {
 VARIANTS = {
     "fact_lq_ind_truncated": employment.fact_lq_ind_truncated,
 }
+
+# ---------------------------------------------------------------------------
+# Schedule groups: a mart runs in the default group unless another group
+# names it (so a new mart is picked up without configuration).
+# ---------------------------------------------------------------------------
+DEFAULT_GROUP = "monthly"
+GROUPS: dict[str, tuple[str, ...]] = {"monthly": (), "quarterly": (), "yearly": ()}
+
+
+def group_for(name: str, groups: dict[str, tuple[str, ...]] = GROUPS) -> str:
+    for group, names in groups.items():
+        if name in names:
+            return group
+    return DEFAULT_GROUP
+
+
+def datasets_in_group(group: str, groups: dict[str, tuple[str, ...]] = GROUPS) -> list[str]:
+    if group not in groups:
+        raise KeyError(f"unknown group {group!r}; known: {sorted(groups)}")
+    unknown = sorted(set(groups[group]) - set(MARTS))
+    if unknown:
+        raise KeyError(f"group {group!r} names unknown marts: {', '.join(unknown)}")
+    return [m for m in MARTS if group_for(m, groups) == group]
+
+
+def default_quality():
+    """The published marts' quality gate (fixed values of the source's config)."""
+    from tallgrass.operators.dataops import QualityConfig
+    return QualityConfig(row_count_drift_pct=20.0, known_row_counts={"dim_area": 78},
+                         not_null={"dim_area": ["AREAID"]})
+
+
+def run_marts(wh, src, cfg, names=None, group: str | None = None, quality=None, row_limit: int | None = None,
+              parallelism: int = 4, raise_at_end: bool = True):
+    """Build and publish marts (by name or schedule group), one outcome row
+    each; the batch fails at the end naming every failed mart (K12)."""
+    from tallgrass.sources.sinks import run_batch
+    selected = list(names) if names else (datasets_in_group(group) if group else list(MARTS))
+    builders = {n: (lambda n=n: MARTS[n](src, cfg)) for n in selected}
+    return run_batch(wh, builders, quality or default_quality(), row_limit=row_limit, parallelism=parallelism,
+                     raise_at_end=raise_at_end)
