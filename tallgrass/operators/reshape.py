@@ -272,11 +272,14 @@ def discover_links(pages: DataFrame, anchors: DataFrame | None = None) -> DataFr
 def link_warnings(pages: DataFrame) -> DataFrame:
     """Pages without the grid wrapper (searched whole) and pages where no
     link was found at all (J1 warning, J21 error)."""
-    a = page_anchors(pages)  # tokenised once, used for both checks
-    wrapper = a.groupBy("page_id").agg(F.max("page_has_wrapper").alias("w"))
-    no_wrapper = pages.select("page_id").join(wrapper.filter("w"), "page_id", "left_anti").select(
+    # wrapper presence straight from the tags (a page may have a wrapper but
+    # no anchors); a filter on the token stream, no window
+    t = page_tokens(pages)
+    wrapped = t.filter((F.col("tag") == "div") & ~F.col("closing")
+                       & _class_has(F.col("attrs"), *WRAPPER_CLASSES)).select("page_id").distinct()
+    no_wrapper = pages.select("page_id").join(wrapped, "page_id", "left_anti").select(
         "page_id", F.lit("grid_wrapper_not_found").alias("kind"))
-    found = discover_links(pages, anchors=a).select("page_id").distinct()
+    found = discover_links(pages).select("page_id").distinct()
     none = pages.select("page_id").join(found, "page_id", "left_anti").select(
         "page_id", F.lit("no_enrollment_links").alias("kind"))
     return no_wrapper.unionByName(none)
@@ -367,7 +370,7 @@ def choose_sheets(index: DataFrame, records: DataFrame) -> DataFrame:
     'school_site_li': preferred sheet name, else the first sheet (J5),
     companion header (J8).  ``header_row`` is NULL when nothing matched.
     """
-    j = index.join(F.broadcast(records.select("workbook", "pattern")), "workbook")
+    j = index.join(broadcast_if_bounded(records.select("workbook", "pattern")), "workbook")
     name = normalize(F.col("sheet"))
     pref = F.lit(len(SITE_SHEET_PREFERENCE))
     for i, want in reversed(list(enumerate(SITE_SHEET_PREFERENCE))):

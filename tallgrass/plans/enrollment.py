@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions import clean_year, end_year
 from tallgrass.operators import reshape as R
+from tallgrass.operators.relational import broadcast_if_bounded
 
 _PRIMARY_HEADERS = {
     0: ["SchoolYear", "County", "District", "School Name", "School Code", "Grade", *R.VALUE_COLUMNS],
@@ -122,7 +123,7 @@ def run_enrollment(grid: DataFrame, records: DataFrame) -> tuple[DataFrame, Data
     chosen = R.choose_sheets(R.sheet_index(grid), records)
     found = chosen.filter(F.col("header_row").isNotNull())
     recs = R.row_records(grid, found.select("workbook", "sheet", "header_row", "header_cells"))
-    recs = recs.join(F.broadcast(records.select("workbook", "pattern", "fiscal_year")), "workbook")
+    recs = recs.join(broadcast_if_bounded(records.select("workbook", "pattern", "fiscal_year")), "workbook")
     prim = recs.filter(F.col("pattern") != "school_site_li")
     comp = recs.filter(F.col("pattern") == "school_site_li")
 

@@ -667,6 +667,96 @@ anchors as (select page_id, url, pos, li_depth,
 resolved as (select page_id, pos, href, {link} as link, text, li_depth > 0 as in_li from anchors)"""
 
 
+def _links_body() -> str:
+    """Link discovery over ``pages`` restated in DuckDB: tag tokens, div
+    depth, the three kinds of containers, element texts, headings, then the
+    classification and per-container / per-link rules (J1-J3)."""
+    from tallgrass.operators.reshape import (
+        CLICK_HERE_TEXT, COMPANION_LINK_TEXT, CONTAINER_CLASS, PRIMARY_LINK_TEXT, WRAPPER_CLASSES, py_normalize)
+
+    def classes_have(*names: str) -> str:
+        want = ", ".join(f"'{n}'" for n in names)
+        return ("list_has_all(regexp_split_to_array(trim(regexp_extract(attrs, "
+                "'class\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)), '\\s+'), [" + want + "])")
+
+    tag_re = "'^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>'"
+    run = "partition by page_id order by pos rows between unbounded preceding and current row"
+
+    def container(prev: str, name: str, opens: str) -> str:
+        return f"""
+{name}_s as (select *, sum(case when {opens} then 1 else 0 end) over ({run}) as {name}_seg from {prev}),
+{name}_i as (select *, {name}_seg > 0 and min(depth) over (partition by page_id, {name}_seg order by pos
+    rows between unbounded preceding and current row)
+   >= first_value(depth) over (partition by page_id, {name}_seg order by pos) as in_{name},
+  first_value(pos) over (partition by page_id, {name}_seg order by pos) as {name}_first from {name}_s),"""
+
+    def element_text(prev: str, name: str) -> str:
+        return f"""
+{name}_s as (select *, sum(case when tag = '{name}' and not closing then 1 else 0 end) over ({run}) as {name}_seg
+  from {prev}),
+{name}_c as (select *, {name}_seg > 0 and sum(case when tag = '{name}' and closing then 1 else 0 end)
+   over (partition by page_id, {name}_seg order by pos rows between unbounded preceding and current row) = 0
+   as in_{name} from {name}_s),
+{name}_t as (select *, case when tag = '{name}' and not closing then trim(array_to_string(
+   list(case when in_{name} then text end) over (partition by page_id, {name}_seg order by pos
+     rows between unbounded preceding and unbounded following), '')) end as {name}_text from {name}_c),"""
+
+    h = "trim(href)"
+    origin = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+    dir_ = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1)"
+    link = (f"case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} "
+            f"when starts_with({h}, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || {h} "
+            f"when starts_with({h}, '/') then {origin} || {h} "
+            f"else (case when {dir_} = '' then {origin} || '/' else {dir_} end) || {h} end")
+    norm = "regexp_replace(lower(text), '[^a-z0-9]', '', 'g')"
+    y4 = "regexp_extract_all(heading, '(20[0-9]{2})', 1)"
+    y2 = "regexp_extract_all(heading, '([0-9]{2})', 1)"
+    fy = (f"case when heading is null then null "
+          f"when len({y4}) >= 2 then {y4}[1] || '-' || {y4}[2] "
+          f"when len({y4}) = 1 then cast(cast({y4}[1] as integer) - 1 as varchar) || '-' || "
+          f"cast(cast({y4}[1] as integer) as varchar) "
+          f"when len({y2}) >= 1 then cast(2000 + cast({y2}[-1] as integer) - 1 as varchar) || '-' || "
+          f"cast(2000 + cast({y2}[-1] as integer) as varchar) end")
+    fname = "regexp_extract(url_decode(regexp_replace(link, '[?#].*$', '')), '([^/]*)$', 1)"
+    return f"""
+, parts as (select page_id, url, html, string_split(html, '<') as p from pages),
+pieces as (select page_id, url, starts_with(html, '<') as lead, unnest(p) as raw, generate_subscripts(p, 1) as k
+  from parts),
+tok as (select page_id, url, k - 1 - cast(lead as integer) as pos, piece,
+  lower(regexp_extract(piece, {tag_re}, 2)) as tag, regexp_extract(piece, {tag_re}, 1) = '/' as closing,
+  regexp_extract(piece, {tag_re}, 3) as attrs, regexp_replace(piece, '^<[^>]*>', '') as text
+  from (select *, case when k = 1 then raw else '<' || raw end as piece from pieces) x
+  where not (k = 1 and lead)),
+d as (select *, tag = 'div' and not closing as div_open,
+  sum(case when tag = 'div' and not closing then 1 when tag = 'div' and closing then -1 else 0 end)
+   over ({run}) as depth,
+  sum(case when tag = 'li' and not closing then 1 when tag = 'li' then -1 else 0 end) over ({run}) as li_depth
+  from tok),
+flags as (select *, div_open and {classes_have(*WRAPPER_CLASSES)} as wrapper_open,
+  div_open and {classes_have("text", CONTAINER_CLASS)} as text_open,
+  div_open and {classes_have("title", CONTAINER_CLASS)} as title_open from d),
+wrapped as (select distinct page_id from flags where wrapper_open),{container("flags", "wrapper", "wrapper_open")}{
+container("wrapper_i", "textc", "text_open")}{container("textc_i", "title", "title_open")}{
+element_text("title_i", "a")}{element_text("a_t", "h2")}
+hd as (select *, last_value(case when in_title and starts_with(upper(h2_text), 'FY') then h2_text end ignore nulls)
+   over ({run}) as heading from h2_t),
+anchors as (select page_id, url, pos, regexp_extract(attrs, 'href\\s*=\\s*["'']([^"'']*)["'']', 1) as href,
+  coalesce(a_text, '') as text, li_depth > 0 as in_li, in_wrapper,
+  case when in_textc then textc_first end as container, heading,
+  page_id in (select page_id from wrapped) as page_has_wrapper
+  from hd where tag = 'a' and not closing and regexp_matches(attrs, 'href\\s*=\\s*["'']')),
+classified as (select *, {link} as link,
+  case when lower(trim(text)) = '{CLICK_HERE_TEXT}' then 'click_here'
+       when in_li and {norm} = '{py_normalize(PRIMARY_LINK_TEXT)}' then 'school_ethgen_li'
+       when in_li and {norm} = '{py_normalize(COMPANION_LINK_TEXT)}' then 'school_site_li' end as pattern
+  from anchors where container is not null and (in_wrapper or not page_has_wrapper)),
+kept as (select * from (select *, max(case when pattern = 'school_ethgen_li' then 1 else 0 end)
+   over (partition by page_id, container) as has_primary from classified where pattern is not null) x
+  where pattern <> 'school_site_li' or has_primary = 1),
+links as (select page_id, pos, link, text, pattern, heading, {fy} as fiscal_year, {fname} as file_name
+  from (select *, row_number() over (partition by page_id, link order by pos) as n from kept) x where n = 1)"""
+
+
 def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
     q: dict[str, str] = {}
     melt = _wrap(["r_wide_enrollment"], _melt_body())
@@ -699,6 +789,13 @@ select c.collected_end_year, w.watched_end_year,
   when w.watched_end_year > c.collected_end_year then 'newer_period_available' else 'ok' end as status
 from c, w""")
     q["page_anchors"] = "WITH x AS (select 1)" + _anchors_body() + "\nselect * from resolved"
+    q["discover_links"] = "WITH x AS (select 1)" + _links_body() + "\nselect * from links"
+    q["link_warnings"] = "WITH x AS (select 1)" + _links_body() + """
+select p.page_id, 'grid_wrapper_not_found' as kind from pages p
+ where not exists (select 1 from wrapped w where w.page_id = p.page_id)
+union all
+select p.page_id, 'no_enrollment_links' as kind from pages p
+ where not exists (select 1 from links l where l.page_id = p.page_id)"""
     fname = "regexp_extract(url_decode(regexp_replace(link, '[?#].*$', '')), '([^/]*)$', 1)"
     q["incremental_skip"] = "WITH x AS (select 1)" + _anchors_body() + f"""
 select 1 as RUN, count(distinct {fname}) as NEW_FILES,

@@ -72,6 +72,29 @@ def test_page_without_wrapper_is_searched_whole_with_a_warning(pages):
     assert warnings == {(2, "grid_wrapper_not_found"), (3, "grid_wrapper_not_found"), (3, "no_enrollment_links")}
 
 
+def test_wrapper_without_anchors_only_lacks_links(spark):
+    only_wrapper = spark.createDataFrame(
+        [(4, "https://state.example.gov/w.html", '<div class="aem-Grid aem-Grid--12 aem-Grid--default--12"></div>')],
+        "page_id long, url string, html string")
+    assert {(r["page_id"], r["kind"]) for r in R.link_warnings(only_wrapper).collect()} == {
+        (4, "no_enrollment_links")}
+
+
+def test_link_discovery_matches_duckdb_restatement(spark, pages):
+    """The same rules written as DuckDB SQL over the fixture pages."""
+    import duckdb
+
+    from tallgrass.plans.oracle import reshape_sql
+    con = duckdb.connect()
+    local = pages.toPandas()  # three fixture pages
+    con.register("pages", local)
+    sql = reshape_sql()
+    for key, got in [("discover_links", R.discover_links(pages)), ("link_warnings", R.link_warnings(pages))]:
+        want = con.execute(sql[key]).fetchall()
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr), key
+    assert len(con.execute(sql["discover_links"]).fetchall()) == 5
+
+
 def _grid(spark, rows):
     return spark.createDataFrame(rows, "workbook string, sheet string, sheet_no int, row_no bigint, cells array<string>")
 
