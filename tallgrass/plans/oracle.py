@@ -864,6 +864,30 @@ select count(*) as row_count, cast(max(YEAR_POSTED) as bigint) as max_year,
  count_if(INDID is null) as null__INDID, count_if(MIN_EDULEVELS is null) as null__MIN_EDULEVELS,
  'fact_jobs' as dataset
 from ({jobs}) j"""
+    measured = ["AREAID", "OCCID", "INDID", "MIN_EDULEVELS"]   # fact_jobs columns configured not-null
+    not_null = "".join(f"""
+union all select 'fact_jobs', 'not_null', null__{c} = 0, printf('fact_jobs.{c} has %d null(s)', null__{c}),
+ cast(null__{c} as varchar), '0' from p""" for c in measured)
+    q["quality_report"] = _wrap(["r_runs"], f"""
+, m as ({q["measure_staging"]}),
+b as (select cast(row_count as bigint) as pr, cast(max_year as bigint) as py from (select *, row_number() over
+  (order by finished_at desc, run_id desc) as rn from r_runs
+  where status = 'success' and row_count is not null and dataset = 'd0') x where rn = 1),
+p as (select m.*, (select max(pr) from b) as prev_rows, (select max(py) from b) as prev_year,
+  case when (select max(pr) from b) = 0 then 0.0
+   else abs(row_count - (select max(pr) from b)) / cast((select max(pr) from b) as double) * 100.0 end as pct from m)
+select 'fact_jobs' as dataset, 'empty_result' as "check", row_count > 0 as passed,
+ case when row_count = 0 then 'fact_jobs returned 0 rows' else printf('%d rows', row_count) end as detail,
+ cast(row_count as varchar) as observed, '> 0' as expected from p
+union all select 'fact_jobs', 'row_count_drift', prev_rows = 0 or pct <= 20.0,
+ printf('fact_jobs row count moved %.1f%% (%d -> %d), limit 20.0%%', pct, prev_rows, row_count),
+ cast(row_count as varchar), printf('%d ±20.0%%', prev_rows) from p where prev_rows is not null
+union all select 'fact_jobs', 'max_year_regressed', max_year >= prev_year,
+ printf('fact_jobs max(YEAR) went backwards: %d -> %d', prev_year, max_year), cast(max_year as varchar),
+ printf('>= %d', prev_year) from p where prev_rows is not null and max_year is not null and prev_year is not null
+{not_null}
+union all select 'fact_jobs', 'not_null', false, 'fact_jobs.SKILL_ID is configured not-null but was not measured',
+ cast(null as varchar), '0' from p""")
     q["publish_cycle"] = f"""
 select * replace (cast(YEAR_POSTED as bigint) as YEAR_POSTED, cast(QUARTER_POSTED as bigint) as QUARTER_POSTED,
  cast(MONTH_POSTED as bigint) as MONTH_POSTED, cast(AREAID as bigint) as AREAID)
