@@ -757,6 +757,30 @@ links as (select page_id, pos, link, text, pattern, heading, {fy} as fiscal_year
   from (select *, row_number() over (partition by page_id, link order by pos) as n from kept) x where n = 1)"""
 
 
+def _rename_body(years: str) -> str:
+    """Canonical names of each chosen header row: the header layouts the
+    derived workbooks carry (by year mod 3, companion layout), the alias
+    vocabulary as a lookup table, code column over prose column."""
+    from tallgrass.operators.reshape import alias_lookup
+    from tallgrass.plans.enrollment import _PRIMARY_HEADERS
+
+    def arr(cells) -> str:
+        return "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in cells) + "]"
+
+    comp = ["County", "District", "School Name/Site", "School Name", "School Code", "Total"]
+    layout = " ".join(f"when cast(y as integer) % 3 = {k} then {arr(v)}" for k, v in _PRIMARY_HEADERS.items())
+    vocab = ", ".join(f"('{k}', '{v}')" for k, v in alias_lookup().items())
+    return f"""
+, hdr as (select 'enrollment_' || y as workbook, case {layout} end as cells from {years} x
+  union all select 'site_totals_' || y, {arr(comp)} from {years} x),
+cells as (select workbook, list_contains(list_transform(cells, lambda c: trim(c)), 'Grade Code') as has_code,
+  unnest(cells) as cell, generate_subscripts(cells, 1) as i from hdr),
+al(k, v) as (values {vocab}),
+named as (select c.workbook, c.i, case when c.has_code and trim(c.cell) = 'Grade' then null else al.v end as name
+  from cells c left join al on al.k = regexp_replace(lower(c.cell), '[^a-z0-9]', '', 'g'))
+select workbook, string_agg(coalesce(name, '<none>'), '|' order by i) as names from named group by workbook"""
+
+
 def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
     q: dict[str, str] = {}
     melt = _wrap(["r_wide_enrollment"], _melt_body())
@@ -769,6 +793,7 @@ select 'no_matching_sheet' as kind, 'summary_' || y || ' (pattern school_ethgen_
     q["find_header"] = _wrap(["r_wide_enrollment"], f"""
 select 'enrollment_' || y as workbook, 'School Totals by Race' as sheet, cast(1 as bigint) as header_row
 from {years} x""")
+    q["rename_by_alias"] = _wrap(["r_wide_enrollment"], _rename_body(years))
     q["pick_sheet"] = _wrap(["r_wide_enrollment"], f"""
 select 'enrollment_' || y as workbook, 'school_ethgen_li' as pattern, 'School Totals by Race' as sheet,
  cast(1 as bigint) as header_row from {years} x

@@ -25,8 +25,8 @@ def con():
 
 def test_every_query_is_registered_with_an_oracle_or_a_reason():
     without = sorted(set(QUERIES) - set(ORACLE))
-    # non-SQL outputs: JSON text of float arrays and header name lists
-    assert without == ["rename_by_alias", "schema_normalize"]
+    # non-SQL output: JSON text of float arrays (float formatting differs by engine)
+    assert without == ["schema_normalize"]
     assert set(ORACLE) <= set(QUERIES)
 
 
