@@ -42,12 +42,18 @@ def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> D
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a small intermediate once and read it back (reliable checkpoint
-    in the shared ``spark.checkpoint.dir``; survives executor loss), so a
-    plan that uses it several times scans its sources once."""
+    """Write an intermediate once as Parquet under the shared
+    ``spark.checkpoint.dir`` and read it back (survives executor loss; the
+    lineage is cut), so a plan that uses it several times computes it once.
+    A written table rather than ``checkpoint()``, which computes its input a
+    second time for the checkpoint write unless it is cached."""
+    import uuid
+
     from tallgrass.session import scratch_root
-    scratch_root(df.sparkSession)  # make sure a checkpoint dir is set
-    return df.checkpoint(eager=True)
+    from tallgrass.sources.fs import write_parquet_atomic
+    spark = df.sparkSession
+    path = write_parquet_atomic(df, f"{scratch_root(spark)}/tallgrass_materialized/{uuid.uuid4().hex}")
+    return spark.read.parquet(path)
 
 
 def _cols(names: Iterable[str]) -> list[Column]:

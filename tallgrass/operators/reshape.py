@@ -163,38 +163,9 @@ def _resolve(base: Column, href: Column) -> Column:
              .otherwise(F.concat(directory, h)))
 
 
-def _inside(t: DataFrame, opens: Column, name: str, upto, page_w) -> DataFrame:
-    """Flag tokens inside the most recent element opened where ``opens``.
-
-    Segment = number of such opens so far; within a segment a token is
-    inside while the div depth never dropped below the opening depth.
-    Only windows partitioned by page (one bounded document each).
-    """
-    seg = f"__{name}_seg"
-    t = t.withColumn(seg, F.sum(opens.cast("int")).over(upto))
-    sw = Window.partitionBy("page_id", seg).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    open_depth = F.first(F.when(opens, F.col("__depth")), ignorenulls=True).over(sw)
-    min_depth = F.min(F.col("__depth")).over(sw)   # depth after each token; the element's close drops it
-    inside = (F.col(seg) > 0) & (min_depth >= open_depth)
-    return t.withColumn(f"__in_{name}", inside).withColumn(
-        f"__{name}_pos", F.when(inside, F.first(F.when(opens, F.col("pos")), ignorenulls=True).over(sw)))
-
-
-def _element_text(t: DataFrame, tag: str, name: str, upto) -> DataFrame:
-    """Text of each ``<tag>`` element (all tokens up to its close), on the
-    opening token's row; NULL elsewhere."""
-    is_open = (F.col("tag") == tag) & ~F.col("closing")
-    is_close = (F.col("tag") == tag) & F.col("closing")
-    seg = f"__{name}_tseg"
-    t = t.withColumn(seg, F.sum(is_open.cast("int")).over(upto))
-    sw = Window.partitionBy("page_id", seg).orderBy("pos")
-    closed = F.sum(is_close.cast("int")).over(sw.rowsBetween(Window.unboundedPreceding, Window.currentRow)) > 0
-    t = t.withColumn(f"__{name}_inside", (F.col(seg) > 0) & ~closed)
-    # a segment starts at its element's opening token, so the whole segment
-    # (one aggregate per segment, not per row) holds exactly its text
-    whole = sw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    texts = F.collect_list(F.when(F.col(f"__{name}_inside"), F.col("text"))).over(whole)
-    return t.withColumn(f"__{name}_text", F.when(is_open, F.trim(F.array_join(texts, ""))))
+def _running(*keys: str):
+    return (Window.partitionBy("page_id", *keys).orderBy("pos")
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
@@ -207,32 +178,65 @@ def page_anchors(pages: DataFrame) -> DataFrame:
 
     The pages are hash-partitioned by ``page_id`` once; every later step is
     a window partitioned by page (plus a segment key), so no further
-    shuffle happens and no step holds more than one document.
+    shuffle happens and no step holds more than one document.  Only the
+    first pass sorts every token: it computes all running values over one
+    page-ordered window.  Later windows see only the tokens that carry
+    them (text inside anchors and headings, then just div / anchor /
+    heading tags).
     """
     t = page_tokens(pages.repartition("page_id"))
-    w = Window.partitionBy("page_id").orderBy("pos")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    is_div = F.col("tag") == "div"
-    opening = is_div & ~F.col("closing")
-    t = t.withColumn("__closing_div", is_div & F.col("closing"))
-    t = t.withColumn("__depth", F.sum(F.when(opening, 1).when(F.col("__closing_div"), -1).otherwise(0)).over(upto))
-    wrapper_open = opening & _class_has(F.col("attrs"), *WRAPPER_CLASSES)
-    t = _inside(t, wrapper_open, "wrapper", upto, w)
-    t = _inside(t, opening & _class_has(F.col("attrs"), "text", CONTAINER_CLASS), "text", upto, w)
-    t = _inside(t, opening & _class_has(F.col("attrs"), "title", CONTAINER_CLASS), "title", upto, w)
-    is_li = F.col("tag") == "li"
-    t = t.withColumn("__li", F.sum(F.when(is_li & ~F.col("closing"), 1).when(is_li, -1).otherwise(0)).over(upto))
-    t = t.withColumn("__page_wrapper", F.max(wrapper_open).over(Window.partitionBy("page_id")))
-    t = _element_text(t, "a", "a", upto)
-    t = _element_text(t, "h2", "h2", upto)
+    tag, closing, pos = F.col("tag"), F.col("closing"), F.col("pos")
+    div_open, div_close = (tag == "div") & ~closing, (tag == "div") & closing
+    opens = {"wrapper": div_open & _class_has(F.col("attrs"), *WRAPPER_CLASSES),
+             "textc": div_open & _class_has(F.col("attrs"), "text", CONTAINER_CLASS),
+             "title": div_open & _class_has(F.col("attrs"), "title", CONTAINER_CLASS)}
+    t = t.select("*", *[c.alias(f"__{n}_open") for n, c in opens.items()])
+    page = _running()
+
+    # pass 1: one sort of all tokens; every running value shares the page window
+    def last_pos(cond: Column) -> Column:
+        return F.max(F.when(cond, pos)).over(page)
+
+    elements = {}
+    for e in ("a", "h2"):
+        o, c = last_pos((tag == e) & ~closing), last_pos((tag == e) & closing)
+        # inside an element from its opening tag until its first closing tag
+        elements[e] = [F.sum(((tag == e) & ~closing).cast("int")).over(page).alias(f"__{e}_seg"),
+                       (o.isNotNull() & (c.isNull() | (c < o))).alias(f"__{e}_in")]
+    t = t.select(
+        "*",
+        F.sum(F.when(div_open, 1).when(div_close, -1).otherwise(0)).over(page).alias("__depth"),
+        F.sum(F.when((tag == "li") & ~closing, 1).when(tag == "li", -1).otherwise(0)).over(page).alias("__li"),
+        *[F.sum(F.col(f"__{n}_open").cast("int")).over(page).alias(f"__{n}_seg") for n in opens],
+        *elements["a"], *elements["h2"])
+
+    # pass 2: element texts, over the tokens inside an anchor or heading
+    t = t.filter((tag == "div") | F.col("__a_in") | F.col("__h2_in"))
+    for e in ("a", "h2"):
+        whole = (Window.partitionBy("page_id", f"__{e}_seg").orderBy("pos")
+                       .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        texts = F.collect_list(F.when(F.col(f"__{e}_in"), F.col("text"))).over(whole)
+        t = t.withColumn(f"__{e}_text", F.when((tag == e) & ~closing, F.trim(F.array_join(texts, ""))))
+
+    # pass 3: containers, over div / anchor / heading tags only (the depth
+    # changes only at div tags, so the minimum since an opening is unchanged)
+    t = t.filter((tag == "div") | (((tag == "a") | (tag == "h2")) & ~closing))
+    for n in opens:
+        run = _running(f"__{n}_seg")
+        is_open = F.col(f"__{n}_open")
+        open_depth = F.first(F.when(is_open, F.col("__depth")), ignorenulls=True).over(run)
+        inside = (F.col(f"__{n}_seg") > 0) & (F.min("__depth").over(run) >= open_depth)
+        t = t.withColumn(f"__in_{n}", inside).withColumn(
+            f"__{n}_pos", F.when(inside, F.first(F.when(is_open, pos), ignorenulls=True).over(run)))
+    t = t.withColumn("__page_wrapper", F.max("__wrapper_open").over(Window.partitionBy("page_id")))
     heading = F.when(F.col("__in_title") & F.upper(F.col("__h2_text")).startswith("FY"), F.col("__h2_text"))
-    t = t.withColumn("heading", F.last(heading, ignorenulls=True).over(upto))
+    t = t.withColumn("heading", F.last(heading, ignorenulls=True).over(page))
     href = F.regexp_extract("attrs", r"""href\s*=\s*["']([^"']*)["']""", 1)
-    is_a = (F.col("tag") == "a") & ~F.col("closing") & F.col("attrs").rlike(r"""href\s*=\s*["']""")
+    is_a = (tag == "a") & ~closing & F.col("attrs").rlike(r"""href\s*=\s*["']""")
     anchors = t.filter(is_a)
     return anchors.select("page_id", "pos", href.alias("href"), _resolve(F.col("url"), href).alias("link"),
                           F.coalesce("__a_text", F.lit("")).alias("text"), (F.col("__li") > 0).alias("in_li"),
-                          F.col("__in_wrapper").alias("in_wrapper"), F.col("__text_pos").alias("container"),
+                          F.col("__in_wrapper").alias("in_wrapper"), F.col("__textc_pos").alias("container"),
                           "heading", F.col("__page_wrapper").alias("page_has_wrapper"))
 
 
