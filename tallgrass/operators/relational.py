@@ -227,20 +227,48 @@ def group_total_alongside(detail: DataFrame, base: DataFrame, keys: Sequence[str
     return detail.join(totals, on=list(keys), how="inner")
 
 
+FANOUT_HOT_PAIRS = 1_000_000   # driving pairs per id from which the id is split
+FANOUT_SALTS = 64              # buckets a hot id is split into
+FANOUT_MAX_SPLIT = 10_000      # ids split at most (the broadcast list's bound)
+
+
 def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, hows: Sequence[str],
-                        out: str) -> DataFrame:
+                        out: str, hot_pairs: int = FANOUT_HOT_PAIRS, salts: int = FANOUT_SALTS,
+                        max_split: int = FANOUT_MAX_SPLIT) -> DataFrame:
     """Counts over the join of distinct (id, attribute) relations.
 
     ``pairs`` = [(relation, attribute column)], joined on ``id_col`` in
     order with ``hows``; the count is per combination of attributes.
     Every relation is reduced to distinct pairs first (a map-side partial
     aggregation), so the fan-out join sees one row per pair.
+
+    Hot ids are split. An id with at least ``hot_pairs`` rows in the driving
+    (first) relation (an upper bound of its pairs) spreads its pairs over ``salts`` buckets by attribute
+    hash, and its pairs in the other relations are copied to every bucket.
+    The join runs on (id, bucket), so no single task emits a hot id's whole
+    product. The split list is the largest ``max_split`` such ids (a top-k,
+    so its broadcast has a fixed bound). Any id not on it joins unsplit,
+    which gives the same rows, so the result does not depend on the split.
+    The split list is computed before the join is planned (one small job).
     """
     rels = [rel.select(id_col, attr).distinct() for rel, attr in pairs]
-    joined = rels[0]
-    for rel, how in zip(rels[1:], hows):
-        joined = joined.join(rel, on=id_col, how=how)
     attrs = [attr for _, attr in pairs]
+    # rows per id of the raw driving relation bound its distinct pairs from
+    # above (a superset of the hot ids; splitting any id is exact), and need
+    # only a partial count over the id column, not a second distinct
+    sizes = (pairs[0][0].groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
+             .filter(F.col("__n") >= hot_pairs))
+    # written once (every relation is tagged from it), at most max_split rows
+    split = F.broadcast(materialize(sizes.orderBy(F.col("__n").desc(), F.col(id_col)).limit(max_split)
+                                    .select(id_col, F.lit(True).alias("__hot"))))
+    hot = F.coalesce(F.col("__hot"), F.lit(False))
+    first = rels[0].join(split, id_col, "left").select(
+        id_col, attrs[0], F.when(hot, F.pmod(F.xxhash64(attrs[0]), F.lit(salts))).otherwise(F.lit(0)).alias("__b"))
+    joined = first
+    for rel, attr, how in zip(rels[1:], attrs[1:], hows):
+        copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+        side = rel.join(split, id_col, "left").select(id_col, attr, F.explode(copies).alias("__b"))
+        joined = joined.join(side, on=[id_col, "__b"], how=how)
     return joined.groupBy(*attrs).agg(F.count(F.lit(1)).alias(out))
 
 

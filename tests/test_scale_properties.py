@@ -75,3 +75,26 @@ def test_index_to_baseline_matches_self_join(spark):
     out = O.index_to_baseline(df, ["a"], "m", F.col("y") == 2015, "base", "idx")
     got = sorted((r["a"], r["y"], r["base"], r["idx"]) for r in out.collect())
     assert got == [("x", 2015, 10, 1.0), ("x", 2016, 10, 1.5)]   # y has no base row: dropped
+
+
+def test_fanout_splits_a_hot_id_and_keeps_the_counts(spark):
+    # id 0 holds a third of the schools; ids 1-9 are small; id 11 has no county
+    edu = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 11).alias("id"),
+                                  (F.col("id") % 97).cast("string").alias("school"))
+    cty = spark.range(40).select((F.col("id") % 10).alias("id"), (F.col("id") % 4).cast("string").alias("county"))
+    occ = spark.range(30).select((F.col("id") % 10).alias("id"), (F.col("id") % 6).cast("string").alias("occ"))
+    pairs = [(edu, "school"), (cty, "county"), (occ, "occ")]
+
+    def plain():
+        e, c, o = (r.select("id", a).distinct() for r, a in pairs)
+        return e.join(c, "id").join(o, "id", "left").groupBy("school", "county", "occ").agg(F.count(F.lit(1)).alias("n"))
+
+    split = O.entity_fanout_count(pairs, "id", ["inner", "left"], "n", hot_pairs=20, salts=4)
+    unsplit = O.entity_fanout_count(pairs, "id", ["inner", "left"], "n", hot_pairs=10 ** 9)
+    want = sorted(map(tuple, plain().collect()), key=repr)
+    assert sorted(map(tuple, split.collect()), key=repr) == want
+    assert sorted(map(tuple, unsplit.collect()), key=repr) == want
+    # the hot id really is split: its driving pairs land in several buckets
+    hot_buckets = (edu.select("id", "school").distinct().filter("id = 0")
+                   .select(F.pmod(F.xxhash64("school"), F.lit(4)).alias("b")).distinct().count())
+    assert hot_buckets > 1
