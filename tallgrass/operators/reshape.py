@@ -16,6 +16,7 @@ the only joins are with small per-workbook header tables.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from tallgrass.functions import (
@@ -511,12 +512,21 @@ def melt_wide(df: DataFrame, id_map: dict[str, str], value_columns=VALUE_COLUMNS
     (a finding in the grid path).
     """
     present = [c for c in value_columns if c in df.columns]
-    ids = [F.col(src).cast("string").alias(dst) for src, dst in id_map.items()]
-    stacked = df.select(*ids, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in present])).alias("__v"))
-    race, gender = split_race_gender(F.col("__v.name"))
-    out = stacked.select(
-        clean_year(F.col("SchoolYear")).alias("Year"), "County", "District", F.col("School Name").alias("School"),
-        race.alias("Race"), gender.alias("Gender"), format_grade(F.col("Grade")).alias("Grade"),
-        F.col("__v.value").try_cast("bigint").alias("Total"))
-    return out.filter(~is_blank(F.col("Year")))
+    ids = {dst: F.col(src).cast("string") for src, dst in id_map.items()}
+
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+    def cell(name: str) -> Column:
+        race, gender = split_race_gender(F.lit(name))  # literals: folded by the optimizer
+        v = F.col(f"`{name}`")
+        total = v.cast("bigint") if isinstance(df.schema[name].dataType, integral) \
+            else v.cast("string").try_cast("bigint")   # text cells: unparseable -> NULL
+        return F.struct(race.alias("race"), gender.alias("gender"), total.alias("total"))
+
+    # labels cleaned once per wide row, before the 14-way explode
+    rows = df.select(clean_year(ids["SchoolYear"]).alias("Year"), ids["County"].alias("County"),
+                     ids["District"].alias("District"), ids["School Name"].alias("School"),
+                     format_grade(ids["Grade"]).alias("Grade"), F.array(*[cell(c) for c in present]).alias("__cells"))
+    stacked = rows.filter(~is_blank(F.col("Year"))).select("*", F.explode("__cells").alias("__v"))
+    return stacked.select("Year", "County", "District", "School", F.col("__v.race").alias("Race"),
+                          F.col("__v.gender").alias("Gender"), "Grade", F.col("__v.total").alias("Total"))
