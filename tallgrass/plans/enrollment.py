@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions import clean_year, end_year
 from tallgrass.operators import reshape as R
-from tallgrass.operators.relational import broadcast_if_bounded
+from tallgrass.operators.relational import broadcast_if_bounded, materialize
 
 _PRIMARY_HEADERS = {
     0: ["SchoolYear", "County", "District", "School Name", "School Code", "Grade", *R.VALUE_COLUMNS],
@@ -120,7 +120,10 @@ def run_enrollment(grid: DataFrame, records: DataFrame) -> tuple[DataFrame, Data
     chosen header broadcast to them.  Everything in between works on one
     row per sheet.
     """
-    chosen = R.choose_sheets(R.sheet_index(grid), records)
+    # one row per workbook each: written once, so the later steps (records,
+    # lookup, pairing, findings) do not each re-derive them from the grid
+    records = materialize(records)
+    chosen = materialize(R.choose_sheets(R.sheet_index(grid), records))
     found = chosen.filter(F.col("header_row").isNotNull())
     recs = R.row_records(grid, found.select("workbook", "sheet", "header_row", "header_cells"))
     recs = recs.join(broadcast_if_bounded(records.select("workbook", "pattern", "fiscal_year")), "workbook")
