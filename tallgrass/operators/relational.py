@@ -249,7 +249,8 @@ def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, how
     product. The split list is the largest ``max_split`` such ids (a top-k,
     so its broadcast has a fixed bound). Any id not on it joins unsplit,
     which gives the same rows, so the result does not depend on the split.
-    The split list is computed before the join is planned (one small job).
+    The split list is computed before the join is planned (one small job);
+    when it is empty the relations are joined on the id alone.
     """
     rels = [rel.select(id_col, attr).distinct() for rel, attr in pairs]
     attrs = [attr for _, attr in pairs]
@@ -259,8 +260,14 @@ def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, how
     sizes = (pairs[0][0].groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
              .filter(F.col("__n") >= hot_pairs))
     # written once (every relation is tagged from it), at most max_split rows
-    split = F.broadcast(materialize(sizes.orderBy(F.col("__n").desc(), F.col(id_col)).limit(max_split)
-                                    .select(id_col, F.lit(True).alias("__hot"))))
+    split_ids = materialize(sizes.orderBy(F.col("__n").desc(), F.col(id_col)).limit(max_split)
+                            .select(id_col, F.lit(True).alias("__hot")))
+    if split_ids.isEmpty():   # no hot id: the plain join chain on the id
+        joined = rels[0]
+        for rel, how in zip(rels[1:], hows):
+            joined = joined.join(rel, on=id_col, how=how)
+        return joined.groupBy(*attrs).agg(F.count(F.lit(1)).alias(out))
+    split = F.broadcast(split_ids)
     hot = F.coalesce(F.col("__hot"), F.lit(False))
     first = rels[0].join(split, id_col, "left").select(
         id_col, attrs[0], F.when(hot, F.pmod(F.xxhash64(attrs[0]), F.lit(salts))).otherwise(F.lit(0)).alias("__b"))

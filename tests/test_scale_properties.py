@@ -94,6 +94,8 @@ def test_fanout_splits_a_hot_id_and_keeps_the_counts(spark):
     want = sorted(map(tuple, plain().collect()), key=repr)
     assert sorted(map(tuple, split.collect()), key=repr) == want
     assert sorted(map(tuple, unsplit.collect()), key=repr) == want
+    # the salted join is planned only when there is a hot id
+    assert "xxhash64" in plan(split) and "xxhash64" not in plan(unsplit)
     # the hot id really is split: its driving pairs land in several buckets
     hot_buckets = (edu.select("id", "school").distinct().filter("id = 0")
                    .select(F.pmod(F.xxhash64("school"), F.lit(4)).alias("b")).distinct().count())
