@@ -100,3 +100,22 @@ def test_fanout_splits_a_hot_id_and_keeps_the_counts(spark):
     hot_buckets = (edu.select("id", "school").distinct().filter("id = 0")
                    .select(F.pmod(F.xxhash64("school"), F.lit(4)).alias("b")).distinct().count())
     assert hot_buckets > 1
+
+
+def test_link_discovery_shuffles_pages_once_and_sorts_all_tokens_once(spark):
+    import re
+
+    from tallgrass.operators import reshape as R
+    html = ('<div class="aem-Grid aem-Grid--12 aem-Grid--default--12"><div class="text aem-GridColumn--default--12">'
+            '<ul><li><a href="a.xlsx">School Site Totals</a></li></ul></div></div>')
+    pages = spark.createDataFrame([(i, f"https://x.example/{i}.html", html) for i in range(4)],
+                                  "page_id long, url string, html string")
+    out = R.discover_links(pages)
+    out.collect()
+    p = plan(out).split("== Initial Plan ==")[0]   # the final adaptive plan
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1   # the pages, by page_id
+    assert "Generate posexplode" in p
+    # the first window after tokenising sees every token; every later one
+    # sits above a filter that keeps only tag / text-carrying rows
+    first_window_input = p[p.rindex("Window ["):]
+    assert "Filter" not in first_window_input.split("Generate posexplode")[0]
