@@ -103,19 +103,23 @@ def test_fanout_splits_a_hot_id_and_keeps_the_counts(spark):
 
 
 def test_link_discovery_shuffles_pages_once_and_sorts_all_tokens_once(spark):
-    import re
-
     from tallgrass.operators import reshape as R
-    html = ('<div class="aem-Grid aem-Grid--12 aem-Grid--default--12"><div class="text aem-GridColumn--default--12">'
-            '<ul><li><a href="a.xlsx">School Site Totals</a></li></ul></div></div>')
-    pages = spark.createDataFrame([(i, f"https://x.example/{i}.html", html) for i in range(4)],
-                                  "page_id long, url string, html string")
-    out = R.discover_links(pages)
+
+    from .conftest import SF_SMALL
+    out = R.discover_links(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
     out.collect()
-    p = plan(out).split("== Initial Plan ==")[0]   # the final adaptive plan
-    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1   # the pages, by page_id
-    assert "Generate posexplode" in p
+    lines = plan(out).split("== Initial Plan ==")[0].split("\n")   # the final adaptive plan
+    # exchanges above a scan that reads the html: exactly one (the pages, by
+    # page_id); the URL comes back through the narrow (page_id, url) scan
+    html_exchanges = 0
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            scan = next(x for x in lines[i:] if "FileScan parquet" in x)
+            html_exchanges += "html" in scan.split("]")[0]
+    assert html_exchanges == 1
+    text = "\n".join(lines)
+    assert "Generate posexplode" in text
     # the first window after tokenising sees every token; every later one
     # sits above a filter that keeps only tag / text-carrying rows
-    first_window_input = p[p.rindex("Window ["):]
+    first_window_input = text[text.rindex("Window ["):]
     assert "Filter" not in first_window_input.split("Generate posexplode")[0]
