@@ -128,17 +128,20 @@ def _norm_cells(c: Column) -> Column:
 # pages -> tag tokens -> links
 # ---------------------------------------------------------------------------
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """One row per markup token: ``(page_id, pos, tag, closing, attrs, text)``.
+    """One row per markup token: ``(page_id, url, pos, tag, closing, attrs, text)``.
 
     The whole page is split before every ``<``; each piece is one tag plus
-    the text up to the next tag.  Positions give document order.
+    the text up to the next tag.  Positions give document order.  The page
+    URL is kept on opening anchor tags only (the rows that resolve links);
+    elsewhere it is NULL, so the token sorts do not carry it.
     """
-    pieces = pages.select("page_id", F.posexplode(F.split(F.col("html"), "(?=<)")).alias("pos", "piece"))
+    pieces = pages.select("page_id", "url", F.posexplode(F.split(F.col("html"), "(?=<)")).alias("pos", "piece"))
     tag_re = r"^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>"
+    tag = F.lower(F.regexp_extract("piece", tag_re, 2))
+    closing = F.regexp_extract("piece", tag_re, 1) == "/"
     return pieces.select(
-        "page_id", "pos",
-        F.lower(F.regexp_extract("piece", tag_re, 2)).alias("tag"),
-        (F.regexp_extract("piece", tag_re, 1) == "/").alias("closing"),
+        "page_id", F.when((tag == "a") & ~closing, F.col("url")).alias("url"), "pos",
+        tag.alias("tag"), closing.alias("closing"),
         F.regexp_extract("piece", tag_re, 3).alias("attrs"),
         F.regexp_replace("piece", r"^<[^>]*>", "").alias("text"),
     )
@@ -185,8 +188,7 @@ def page_anchors(pages: DataFrame) -> DataFrame:
     them (text inside anchors and headings, then just div / anchor /
     heading tags).
     """
-    by_page = pages.repartition("page_id")
-    t = page_tokens(by_page)   # the page URL is not carried per token
+    t = page_tokens(pages.repartition("page_id"))
     tag, closing, pos = F.col("tag"), F.col("closing"), F.col("pos")
     div_open, div_close = (tag == "div") & ~closing, (tag == "div") & closing
     opens = {"wrapper": div_open & _class_has(F.col("attrs"), *WRAPPER_CLASSES),
@@ -235,9 +237,7 @@ def page_anchors(pages: DataFrame) -> DataFrame:
     t = t.withColumn("heading", F.last(heading, ignorenulls=True).over(page))
     href = F.regexp_extract("attrs", r"""href\s*=\s*["']([^"']*)["']""", 1)
     is_a = (tag == "a") & ~closing & F.col("attrs").rlike(r"""href\s*=\s*["']""")
-    # the URL is joined back to the anchors only (already partitioned by
-    # page_id); the other side is the narrow (page_id, url) column pair
-    anchors = t.filter(is_a).join(pages.select("page_id", "url"), "page_id")
+    anchors = t.filter(is_a)
     return anchors.select("page_id", "pos", href.alias("href"), _resolve(F.col("url"), href).alias("link"),
                           F.coalesce("__a_text", F.lit("")).alias("text"), (F.col("__li") > 0).alias("in_li"),
                           F.col("__in_wrapper").alias("in_wrapper"), F.col("__textc_pos").alias("container"),

@@ -109,8 +109,7 @@ def test_link_discovery_shuffles_pages_once_and_sorts_all_tokens_once(spark):
     out = R.discover_links(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
     out.collect()
     lines = plan(out).split("== Initial Plan ==")[0].split("\n")   # the final adaptive plan
-    # exchanges above a scan that reads the html: exactly one (the pages, by
-    # page_id); the URL comes back through the narrow (page_id, url) scan
+    # exchanges above a scan that reads the html: exactly one (the pages, by page_id)
     html_exchanges = 0
     for i, line in enumerate(lines):
         if "Exchange hashpartitioning" in line:
