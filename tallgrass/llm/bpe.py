@@ -29,20 +29,24 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from struct import pack
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from tallgrass.llm import runs
 from tallgrass.llm.common import few_arrow_rows
 
 LEAF = 2_048
 WINDOW = 32
 #: Entries of each memo before it starts anew.
 MEMO = 400_000
+#: Bytes of text that are encoded together.
+GATHER = 8 << 20
 #: Pieces beyond this many characters are not kept.
 MEMO_CHARS = 64
 
@@ -71,6 +75,23 @@ def _byte_symbols() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+_ASCII_SPACE = np.zeros(256, bool)
+_ASCII_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+_C2_SPACE = np.zeros(256, bool)
+_C2_SPACE[[0x85, 0xA0]] = True
+
+
+def _wide_space(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Whether three bytes are white space beyond Latin-1."""
+    general = (b == 0x80) & (((c >= 0x80) & (c <= 0x8A)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    return ((a == 0xE2) & (general | ((b == 0x81) & (c == 0x9F)))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) \
+        | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+
+
+def _u4(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
@@ -90,42 +111,97 @@ class Codec:
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.first: dict[str, tuple[int, ...]] = {}
-        self.inner: dict[str, tuple[int, ...]] = {}
-        self.pre: dict[str, tuple[int, ...]] = {}
+        self.hashed: dict[int, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
+        self.pre: dict[str, bytes] = {}
 
     # -- encoding ---------------------------------------------------------
     def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
+
+    def encode_bytes(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
         if not text:
-            return []
+            return b""
         if not any(a in text for a in self.added):
             return self._plain(text)
-        out: list[int] = []
-        for part in self.added_re.split(text):
-            out.extend([self.added[part]] if part in self.added else self._plain(part))
-        return out
-
-    def _plain(self, text: str) -> list[int]:
+        return b"".join(_u4([self.added[part]]) if part in self.added else self._plain(part)
+                        for part in self.added_re.split(text))
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text.  Pieces of all texts are hashed together, and each
+        distinct piece is looked up once; texts with white space beside a space
+        or with added tokens go one by one."""
+        raw = [t.encode() for t in texts]
+        data, begin = runs.join_texts(raw)
+        odd = self._odd(data, begin, texts)
+        out = [np.frombuffer(self.encode_bytes(texts[i]), "<u4") if odd[i] else None for i in range(len(texts))]
+        if odd.any():
+            data, begin = runs.join_texts([b"" if o else r for o, r in zip(odd, raw)])
+        starts, ends = runs.bounds(data, runs.BLANK)
+        keys = runs.hashes(data, starts, ends)
+        owner = np.searchsorted(begin, starts, side="right") - 1
+        first = starts == begin[owner]  # no space before it
+        keys[first] = runs.mix(keys[first] + np.uint64(1))
+        codes, uniques = pd.factorize(keys)
+        sample = np.empty(len(uniques), np.int64)
+        sample[codes[::-1]] = np.arange(len(codes))[::-1]
+        values = [self.hashed.get(h) for h in uniques.tolist()]
+        for j in [j for j, v in enumerate(values) if v is None]:
+            k = sample[j]
+            text = data[starts[k]:ends[k]].tobytes().decode()
+            values[j] = b"".join(map(self._pre_token, self._pre_tokens(text if first[k] else " " + text)))
+            if len(values[j]) <= 4 * MEMO_CHARS:
+                self.hashed[int(uniques[j])] = values[j]
+        if len(self.hashed) > 2 * MEMO:
+            self.hashed.clear()
+        lens = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<u4")
+        counts = lens[codes]
+        upto = np.cumsum(counts)
+        ids = flat[np.repeat((np.cumsum(lens) - lens)[codes] - (upto - counts), counts) + np.arange(counts.sum())]
+        cut = np.concatenate([[0], upto])[np.searchsorted(starts, begin)]
+        return [ids[cut[i]:cut[i + 1]] if o is None else o for i, o in enumerate(out)]
+
+    def _odd(self, data: np.ndarray, begin: np.ndarray, texts: list[str]) -> np.ndarray:
+        """Texts with white space beside a space or at an end, or with an added token."""
+        pad = np.concatenate([np.full(3, 120, np.uint8), data, np.full(3, 120, np.uint8)])
+        at = np.flatnonzero(data == 32) + 3
+        p1, p2, p3, n1, n2, n3 = (pad[at + d] for d in (-1, -2, -3, 1, 2, 3))
+        bad = _ASCII_SPACE[p1] | _ASCII_SPACE[n1]
+        wide = np.flatnonzero((p1 >= 128) | (n1 >= 128))
+        bad[wide] |= _wide_space(p3[wide], p2[wide], p1[wide]) | _wide_space(n1[wide], n2[wide], n3[wide]) \
+            | ((p2[wide] == 0xC2) & _C2_SPACE[p1[wide]]) | ((n1[wide] == 0xC2) & _C2_SPACE[n2[wide]])
+        odd = np.zeros(len(texts), bool)
+        # a gap after a text belongs to the text before it
+        odd[np.searchsorted(begin, at[bad] - 3, side="right") - 1] = True
+        for i, t in enumerate(texts):
+            if not odd[i] and (not t or t[0].isspace() or t[-1].isspace() or any(a in t for a in self.added)):
+                odd[i] = True
+        # white space that begins the next text is not this one's
+        return odd
+
+    def _plain(self, text: str) -> bytes:
         """Text without added tokens."""
         if not text:
-            return []
+            return b""
         if _UNSAFE.search(text) or text[0] == " " or text[-1] == " ":
             pieces = _CUT.split(text)
         else:
             pieces = text.split(" ")
-        inner = self.inner
+        head, inner = pieces[0], self.inner
+        out = self.first.get(head) or self._piece(head, head, self.first)
         if len(inner) > MEMO:
             inner.clear()
+        del pieces[0]
         try:
-            rest = list(map(inner.__getitem__, pieces[1:]))
+            return out + b"".join(map(inner.__getitem__, pieces))
         except KeyError:
-            rest = [inner[p] if p in inner else self._piece(p, " " + p, inner) for p in pieces[1:]]
-        head = pieces[0]
-        start = self.first[head] if head in self.first else self._piece(head, head, self.first)
-        return list(chain(start, chain.from_iterable(rest)))
+            return out + b"".join([inner.get(p) or self._piece(p, " " + p, inner) for p in pieces])
 
-    def _piece(self, key: str, text: str, memo: dict) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(map(self._pre_token, self._pre_tokens(text))))
+    def _piece(self, key: str, text: str, memo: dict) -> bytes:
+        ids = b"".join(map(self._pre_token, self._pre_tokens(text)))
         if len(key) <= MEMO_CHARS:
             if len(memo) > MEMO:
                 memo.clear()
@@ -137,17 +213,16 @@ class Codec:
             text.encode("latin-1")
             return _PRE_LATIN1.findall(text)
         except UnicodeEncodeError:
-            pass
-        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+            return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _pre_token(self, piece: str) -> tuple[int, ...]:
+    def _pre_token(self, piece: str) -> bytes:
         kept = self.pre.get(piece)
         if kept is not None:
             return kept
         if len(piece) > LEAF // 4 and len(piece.encode()) > LEAF:
-            return tuple(self.tree(piece))
+            return _u4(self.tree(piece))
         symbols = piece.encode().decode("latin-1").translate(self.symbols)
-        ids = tuple(t.id for t in self.model.tokenize(symbols))
+        ids = _u4([t.id for t in self.model.tokenize(symbols)])
         if len(piece) <= MEMO_CHARS:
             if len(self.pre) > MEMO:
                 self.pre.clear()
@@ -220,6 +295,20 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = GATHER) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(first column, texts of the second) of about ``size`` characters at a time."""
+    keys, texts, held = [], [], 0
+    for batch in batches:
+        keys.append(batch.column(0))
+        texts.extend(batch.column(1).to_pylist())
+        held += batch.column(1).nbytes
+        if held >= size:
+            yield pa.concat_arrays(keys), texts
+            keys, texts, held = [], [], 0
+    if keys:
+        yield pa.concat_arrays(keys), texts
+
+
 def encode_column(text: Column, path: str | None = None) -> Column:
     """array<int> of the ids; null and empty texts give an empty array."""
     path = path or tokenizer_path()
@@ -227,7 +316,7 @@ def encode_column(text: Column, path: str | None = None) -> Column:
     @F.pandas_udf(ArrayType(IntegerType()))
     def encode(s):
         c = codec(path)
-        return s.map(lambda t: c.encode(t or ""))
+        return pd.Series([x.tolist() for x in c.encode_batch([t or "" for t in s])], index=s.index, dtype=object)
     return encode(F.coalesce(text, F.lit("")))
 
 
@@ -258,15 +347,15 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for batch in batches:
+        for keys, texts in gathered(batches):
             n, ids_sha, text_sha = [], [], []
-            for t in batch.column(1):
-                ids = c.encode(t.as_py())
+            for found in c.encode_batch(texts):
+                ids = found.tolist()
                 n.append(len(ids))
                 ids_sha.append(c.digest(ids))
                 text_sha.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                [keys, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return own.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -4,21 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm.common import few_arrow_rows, table
-from tallgrass.llm import quality_rules, secret_scan, sharding
+from tallgrass.llm.common import table
+from tallgrass.llm import bpe, decontaminate, quality_rules, secret_scan, sharding, token_files
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_rows(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op7_secret_scan, op9_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_bpe_round_trip, op5_token_files, op7_secret_scan, op8_decontaminate, op9_sharding)}
 ORACLE_SQL: dict[str, str] = {}
