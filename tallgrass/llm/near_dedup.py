@@ -93,8 +93,8 @@ def _near_size(a: Column, b: Column) -> Column:
 
 
 def _alike(a: Column, b: Column) -> Column:
-    """The exact test on two full sets."""
-    return let(F.size(F.array_intersect(a, b)), lambda i: 100 * i >= PERCENT * (F.size(a) + F.size(b) - i))
+    """The exact test on two full sets: 100 i >= P (|a| + |b| - i) for the intersection's size i."""
+    return (100 + PERCENT) * F.size(F.array_intersect(a, b)) >= PERCENT * (F.size(a) + F.size(b))
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -119,13 +119,17 @@ def hub_links(lists: DataFrame, order: Column, nodes: DataFrame, sets: DataFrame
 
 
 def last_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between classes of different components that share a list."""
-    full = lists.join(sets, "node").select("value", "node", "n", "comp", "set")
+    """Links between classes of different components that share a list; a pair
+    is tested in the first list that both are in."""
+    mine = lists.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))),
+                                                 lambda e: e["value"]).alias("values"))  # at most LAST_LISTS
+    full = lists.join(mine, "node").join(sets, "node").select("value", "node", "n", "comp", "values", "set")
     a, b = full.alias("a"), full.alias("b")
     on = (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node")) \
         & (F.col("a.comp") != F.col("b.comp")) & _near_size(F.col("a.n"), F.col("b.n")) \
+        & (F.array_intersect("a.values", "b.values")[0] == F.col("a.value")) \
         & _alike(F.col("a.set"), F.col("b.set"))
-    return durable(a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "links")
+    return durable(a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
