@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm.common import table
-from tallgrass.llm import bpe, decontaminate, html_text, near_dedup, quality_gam, quality_rules, secret_scan, sharding, token_files
+from tallgrass.llm import bpe, decontaminate, html_text, near_dedup, pitman_yor, quality_gam, quality_rules, secret_scan, sharding, token_files
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,6 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_bpe_round_trip, op3_quality_gam, op4_near_dedup, op5_token_files, op7_secret_scan, op8_decontaminate,
+    op1_quality_rules, op2_bpe_round_trip, op3_quality_gam, op4_near_dedup, op5_token_files, op6_pitman_yor, op7_secret_scan, op8_decontaminate,
     op9_sharding, op10_html_text)}
 ORACLE_SQL: dict[str, str] = {}
