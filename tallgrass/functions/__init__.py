@@ -27,8 +27,9 @@ def in_state(c, dtype: T.DataType | None = None, state: str = "40") -> Column:
     Padding only ever adds leading zeros, so for a non-zero state prefix the
     test is exactly "at least five characters and starts with the prefix".
     For strings that is ``startswith`` (a pushed-down StringStartsWith);
-    for integers the implied lower bound ``x >= state * 1000`` is added so
-    row groups below the state's code range are skipped.
+    for integers the test is exactly a union of ranges, one for each number of
+    digits the type can hold (40000-40999, 400000-409999, ...); every range is
+    pushed down, so row groups beyond the state's codes are skipped on both sides.
     """
     x = _col(c)
     exact = F.left(area_code(x), F.lit(2)) == F.lit(state)
@@ -37,7 +38,12 @@ def in_state(c, dtype: T.DataType | None = None, state: str = "40") -> Column:
     if isinstance(dtype, T.StringType):
         return x.startswith(state) & (F.length(x) >= 5)
     if isinstance(dtype, _INTEGRAL):
-        return (x >= F.lit(int(state) * 1000)) & exact
+        most = {T.ShortType: 2**15, T.IntegerType: 2**31}.get(type(dtype), 2**63) - 1
+        first, test, width = int(state), F.lit(False), 1000
+        while first * width <= most:
+            test = test | x.between(first * width, min((first + 1) * width - 1, most))
+            width *= 10
+        return test
     return exact
 
 

@@ -162,9 +162,9 @@ def dataset_freshness(runs: DataFrame, as_of: _dt.datetime) -> DataFrame:
 
 # Schedule interval plus grace, in hours, per (pipeline, group).
 FRESHNESS_THRESHOLDS = [
-    ("lightcast", "monthly", 792),
-    ("lightcast", "quarterly", 2304),
-    ("lightcast", "yearly", 8952),
+    ("labour_market", "monthly", 792),
+    ("labour_market", "quarterly", 2304),
+    ("labour_market", "yearly", 8952),
     ("enrollment", "monthly", 816),
 ]
 

@@ -167,6 +167,12 @@ def _resolve(base: Column, href: Column) -> Column:
              .otherwise(F.concat(directory, h)))
 
 
+def file_name(link: Column) -> Column:
+    """Last path segment of a link, percent-decoded; a segment that does not decode stays as it is."""
+    path = F.regexp_replace(link, r"[?#].*$", "")
+    return F.regexp_extract(F.coalesce(F.try_url_decode(path), path), r"([^/]*)$", 1)
+
+
 def _running(*keys: str):
     return (Window.partitionBy("page_id", *keys).orderBy("pos")
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -272,9 +278,8 @@ def discover_links(pages: DataFrame, anchors: DataFrame | None = None) -> DataFr
     a = a.filter((F.col("pattern") != "school_site_li") | F.col("__has_primary"))
     first = Window.partitionBy("page_id", "link").orderBy("pos")
     a = a.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") == 1)
-    file_name = F.regexp_extract(F.url_decode(F.regexp_replace("link", r"[?#].*$", "")), r"([^/]*)$", 1)
     return a.select("page_id", "pos", "link", "text", "pattern", "heading",
-                    parse_fiscal_year(F.col("heading")).alias("fiscal_year"), file_name.alias("file_name"))
+                    parse_fiscal_year(F.col("heading")).alias("fiscal_year"), file_name(F.col("link")).alias("file_name"))
 
 
 def link_warnings(pages: DataFrame) -> DataFrame:

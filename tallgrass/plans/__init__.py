@@ -89,5 +89,5 @@ def run_marts(wh, src, cfg, names=None, group: str | None = None, quality=None,
     from tallgrass.sources.sinks import run_batch
     selected = list(names) if names else (datasets_in_group(group) if group else list(MARTS))
     builders = {n: (lambda n=n: MARTS[n](src, cfg)) for n in selected}
-    return run_batch(wh, builders, quality or default_quality(), row_limit=row_limit, parallelism=parallelism,
+    return run_batch(wh, builders, quality or default_quality(), groups={n: group_for(n) for n in selected}, row_limit=row_limit, parallelism=parallelism,
                      raise_at_end=raise_at_end)

@@ -181,8 +181,8 @@ def fact_lq_ind_truncated(src, cfg: MartConfig) -> DataFrame:
 # wages and openings ---------------------------------------------------------
 def fact_wages_ind(src, cfg: MartConfig) -> DataFrame:
     d = _county(src.ind, cfg).filter(F.col("classid") == "1")
-    # decimal division, rounded half-up to cents
-    wages = F.round(F.try_divide(F.col("earn"), F.col("emp").cast("decimal(20,0)")), 2).cast("decimal(20,2)")
+    # employment may be fractional: divide the plain value, round once (half up) to cents
+    wages = F.round(F.try_divide(F.col("earn"), F.col("emp").cast("decimal(20,6)")), 2).cast("decimal(20,2)")
     return d.select(F.col("year").alias("YEAR"), F.col("areaid").alias("AREAID"), F.col("indid").alias("INDID"),
                     wages.alias("YEARLY_WAGES"))
 

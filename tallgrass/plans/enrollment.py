@@ -12,12 +12,15 @@ fill), so the job runs on data that grows with the driver's tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.functions import clean_year, end_year
 from tallgrass.operators import reshape as R
 from tallgrass.operators.relational import broadcast_if_bounded, materialize
+from tallgrass.session import scratch_root
 
 _PRIMARY_HEADERS = {
     0: ["SchoolYear", "County", "District", "School Name", "School Code", "Grade", *R.VALUE_COLUMNS],
@@ -164,10 +167,17 @@ class EnrollmentFindingsError(RuntimeError):
 
 
 def gate_on_findings(findings: DataFrame) -> None:
-    """Any finding fails the run before anything is published."""
-    rows = findings.limit(50).collect()  # a bounded sample for the message
+    """Any finding fails the run before anything is published.
+
+    All findings are written to a table in the shared folder; the message has
+    their count by kind, the table's path and the texts (one per workbook at
+    most of each kind, so the driver's share is bounded by the file list)."""
+    path = f"{scratch_root(findings.sparkSession)}/tallgrass_findings/{uuid.uuid4().hex}"
+    findings.write.parquet(path)
+    rows = findings.sparkSession.read.schema(findings.schema).parquet(path).orderBy("kind", "detail").collect()
     if rows:
-        raise EnrollmentFindingsError("; ".join(f"{r['kind']}: {r['detail']}" for r in rows))
+        raise EnrollmentFindingsError(f"{len(rows)} finding(s), all in {path}: "
+                                      + "; ".join(f"{r['kind']}: {r['detail']}" for r in rows))
 
 
 def newer_period_check(collected: DataFrame, watched: DataFrame, period_col: str = "Year") -> DataFrame:

@@ -93,7 +93,7 @@ def q_incremental_skip(src, cfg: MartConfig) -> DataFrame:
     from tallgrass.operators.relational import materialize
     # the discovered file list, written once (both runs and their checks reuse it)
     files = materialize(R.page_anchors(src.raw("pages")).select(
-        F.regexp_extract(F.url_decode(F.regexp_replace("link", r"[?#].*$", "")), r"([^/]*)$", 1).alias("file_name"))
+        R.file_name(F.col("link")).alias("file_name"))
         .distinct())
     new1, skip1 = E.incremental_skip(files, None)
     new1.write.parquet(inventory)                      # the files the first run now holds

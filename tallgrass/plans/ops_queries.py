@@ -95,12 +95,9 @@ def q_limited_run(src, cfg: MartConfig) -> DataFrame:
                                      "DATASET string, STATUS string, PUBLISHED boolean, ROW_COUNT bigint")
 
 
-BATCH = ("dim_area", "dim_awlevels", "dim_company", "dim_edulevels", "dim_occ", "dim_schools")
-
-
 def q_run_batch(src, cfg: MartConfig) -> DataFrame:
     wh = _warehouse(src)
-    builders = {name: (lambda n=name: MARTS[n](src, cfg)) for name in BATCH}
+    builders = {name: (lambda n=name: MARTS[n](src, cfg)) for name in MARTS}
     return run_batch(wh, builders, dataops.QualityConfig())
 
 
@@ -153,7 +150,7 @@ def q_incremental_landing(src, cfg: MartConfig) -> DataFrame:
     from tallgrass.streaming import incremental_landing, landed
     base = f"{scratch_root(src.spark)}/tallgrass_landing/{uuid.uuid4().hex}"
     pages = src.raw("pages").select("page_id", "url", F.length("html").alias("html_chars"))
-    pages.repartition(4, "page_id").write.parquet(f"{base}/incoming")
+    pages.write.parquet(f"{base}/incoming")
     schema = pages.schema
     first = incremental_landing(src.spark, f"{base}/incoming", schema, f"{base}/landed", f"{base}/_checkpoint")
     second = incremental_landing(src.spark, f"{base}/incoming", schema, f"{base}/landed", f"{base}/_checkpoint")

@@ -859,8 +859,8 @@ group by ok.pipeline, ok.dataset""")
     stale = f"""
 , latest as (select pipeline, dataset, group_name, max(finished_at) as last from r_runs
   where status in ('success', 'success_no_change') group by all),
-t as (select * from (values ('lightcast', 'monthly', 792), ('lightcast', 'quarterly', 2304),
-  ('lightcast', 'yearly', 8952), ('enrollment', 'monthly', 816)) v(pipeline, group_name, max_age_hours)),
+t as (select * from (values ('labour_market', 'monthly', 792), ('labour_market', 'quarterly', 2304),
+  ('labour_market', 'yearly', 8952), ('enrollment', 'monthly', 816)) v(pipeline, group_name, max_age_hours)),
 stale as (select l.pipeline, l.dataset, l.group_name,
   cast(floor(epoch(timestamp '{now}' - l.last) / 3600) as bigint) as age_hours,
   cast(t.max_age_hours as bigint) as max_age_hours
@@ -920,7 +920,7 @@ from ({jobs}) j"""
     q["limited_run"] = f"""
 select 'fact_jobs' as DATASET, 'success_limited' as STATUS, false as PUBLISHED,
  cast(least(100, count(*)) as bigint) as ROW_COUNT from ({jobs}) j"""
-    batch = ("dim_area", "dim_awlevels", "dim_company", "dim_edulevels", "dim_occ", "dim_schools")
+    batch = [n for n in marts if n != "fact_lq_ind_truncated"]
     q["run_batch"] = "\nunion all\n".join(
         f"select '{n}' as dataset, 'success' as status, count(*) as row_count, cast(null as varchar) as error "
         f"from ({marts[n]}) b{i}" for i, n in enumerate(batch))

@@ -59,12 +59,15 @@ def apply_session_settings(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint dir.
 
-    Read from the session; set our own only when it is unset (local tests).
+    Read from the session; set our own only when it is unset on a local master
+    (tests).  ``local-cluster`` executors share the machine's folders too.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tallgrass-ckpt-")
         sc.setCheckpointDir(root)

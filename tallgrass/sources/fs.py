@@ -26,15 +26,20 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically (temp name, then rename over)."""
+    """Write a small text file atomically: a temp name, then one rename that
+    replaces the old file, so a reader sees the old or the new text."""
     fs, p = _fs_and_path(spark, path)
     tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

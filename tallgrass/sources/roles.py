@@ -188,7 +188,7 @@ select o_custkey as id, concat('School ', cast(o_orderkey % 5 as varchar(9))) as
     # run manifest (one row per dataset per run)
     "r_runs": """
 select concat('run_', cast(event_id as varchar(12))) as run_id,
- case when user_id % 2 = 0 then 'lightcast' else 'enrollment' end as pipeline,
+ case when user_id % 2 = 0 then 'labour_market' else 'enrollment' end as pipeline,
  concat('d', cast(user_id % 7 as varchar(9))) as dataset,
  case when user_id % 2 = 1 or user_id % 7 < 3 then 'monthly' when user_id % 7 < 5 then 'quarterly' else 'yearly' end
   as group_name,

@@ -16,13 +16,16 @@ to an earlier run's folder (A11, K14).
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dataops import (
+    ERROR_LIMIT,
     QualityCheckError,
     QualityConfig,
     append_run_records,
@@ -106,8 +109,8 @@ def write_observed(df: DataFrame, path: str, table: str, quality: QualityConfig)
             "missing": missing}
 
 
-def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConfig, *,
-                  pipeline: str = "lightcast", group_name: str | None = None, run_id: str | None = None,
+def publish_cycle(wh: Warehouse, df: DataFrame | Callable[[], DataFrame], table: str, quality: QualityConfig, *,
+                  pipeline: str = "labour_market", group_name: str | None = None, run_id: str | None = None,
                   allow_empty: bool = False, row_limit: int | None = None, records: list | None = None) -> LandResult:
     """Stage -> measure -> validate -> publish -> record.
 
@@ -118,19 +121,22 @@ def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConf
     run_id = run_id or new_run_id()
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     limited = row_limit is not None
-    if limited:
-        if row_limit <= 0:
-            raise ValueError("row limit must be positive")
-        df = df.limit(row_limit)
+    if limited and row_limit <= 0:
+        raise ValueError("row limit must be positive")
     path = wh.run_dir(table, run_id)
     status, error, report_rows, m = "failed", None, [], {"row_count": None, "max_year": None}
     try:
+        if callable(df):
+            df = df()  # a failing build is recorded like any other failure
+        if limited:
+            df = df.limit(row_limit)
         m = write_observed(df, path, table, quality)
         schema = ", ".join(["dataset string", "row_count bigint", "max_year bigint",
                             *[f"`null__{c}` bigint" for c in m["null_counts"]]])
         measurement = spark.createDataFrame(
             [(table, m["row_count"], m["max_year"], *m["null_counts"].values())], schema)
-        previous = None if limited else previous_successful(wh.manifest(), keys=("dataset",))
+        previous = None if limited else previous_successful(
+            wh.manifest().filter(F.col("pipeline") == pipeline))
         report = quality_report(measurement, table, quality, previous=previous, allow_empty=allow_empty,
                                 limited=limited)
         report_rows = [r.asDict() for r in report.collect()]  # a handful of check rows
@@ -147,12 +153,20 @@ def publish_cycle(wh: Warehouse, df: DataFrame, table: str, quality: QualityConf
                          row_count=m.get("row_count"), max_year=m.get("max_year"),
                          source_uri=path if status == "success" else None, error=error)
         if records is None:
-            append_run_records(spark, wh.manifest_path, [rec])
+            _record(wh, rec)
         else:
             records.append(rec)
     return LandResult(table, run_id, status, m["row_count"], m.get("max_year"), not limited, report_rows)
 
 
+def _record(wh: Warehouse, rec: dict) -> None:
+    """Append a run record; a failing append is logged and leaves the run's outcome as it is."""
+    try:
+        append_run_records(wh.spark, wh.manifest_path, [rec])
+    except Exception:  # noqa: BLE001
+        logging.getLogger(__name__).exception("run record of %s not appended", rec["dataset"])
+
+
 def record_no_change(wh: Warehouse, table: str, *, pipeline: str = "enrollment",
                      group_name: str | None = None, run_id: str | None = None) -> dict:
     """A run that found nothing new: one ``success_no_change`` record carrying
@@ -164,32 +178,31 @@ def record_no_change(wh: Warehouse, table: str, *, pipeline: str = "enrollment",
     return rec
 
 
-def run_batch(wh: Warehouse, builders: dict, quality: QualityConfig, *, pipeline: str = "lightcast",
-              row_limit: int | None = None, raise_at_end: bool = True, parallelism: int = 4) -> DataFrame:
+def run_batch(wh: Warehouse, builders: dict, quality: QualityConfig, *, pipeline: str = "labour_market",
+              row_limit: int | None = None, raise_at_end: bool = True, parallelism: int = 4,
+              groups: dict[str, str] | None = None) -> DataFrame:
     """Build and publish many marts; one outcome row each.
 
     Datasets run as concurrent Spark jobs (``parallelism`` at a time, like
     the source's four parallel tasks); each writes only its own run folder
-    and pointer, and the batch appends all run records in one write.  A
-    failing dataset does not stop the others; the batch fails at the end
+    and pointer, and its run record is appended when it ends, whether it
+    fails while building, writing or in a check.  ``groups`` names the schedule
+    group of each dataset, which the freshness gate reads.  A failing dataset does not stop the others; the batch fails at the end
     naming every failure.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    records: list = []
-
     def one(item):
         name, build = item
         try:
-            r = publish_cycle(wh, build(), name, quality, pipeline=pipeline, row_limit=row_limit, records=records)
+            r = publish_cycle(wh, build, name, quality, pipeline=pipeline, row_limit=row_limit,
+                              group_name=(groups or {}).get(name))
             return (name, r.status, r.row_count, None)
         except Exception as e:  # noqa: BLE001
-            return (name, "failed", None, f"{type(e).__name__}: {str(e)[:200]}")
+            return (name, "failed", None, f"{type(e).__name__}: {str(e)[:ERROR_LIMIT]}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         outcomes = list(pool.map(one, builders.items()))
-    if records:
-        append_run_records(wh.spark, wh.manifest_path, records)
     result = wh.spark.createDataFrame(outcomes, "dataset string, status string, row_count bigint, error string")
     failed = [o[0] for o in outcomes if o[1] == "failed"]
     if failed and raise_at_end:

@@ -11,10 +11,40 @@ resume on any driver after a failure.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
+
+
+class _Counts(StreamingQueryListener):
+    """Rows per batch of every run (the query itself keeps its last 100 updates only)."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, dict[int, int]] = defaultdict(dict)
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            self.rows[str(p.runId)][p.batchId] = p.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def wait(self, query_id: str, run_id: str, seconds: int = 60) -> None:
+        """Events come in order, so after the run's end all its batches are counted."""
+        if not self.ended[run_id].wait(seconds):
+            raise RuntimeError(f"no end event of streaming query {query_id}")
 
 
 @dataclass
@@ -33,17 +63,21 @@ def incremental_landing(spark: SparkSession, source_dir: str, schema: T.StructTy
     stream: DataFrame = reader.load(source_dir)
     if transform is not None:
         stream = transform(stream)
+    counts = _Counts()
+    spark.streams.addListener(counts)
     query = (stream.writeStream.format("parquet")
              .option("path", target_dir)
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination()
-    progress = query.recentProgress
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress if p)
-    batches = sum(1 for p in progress if p and int(p.get("numInputRows", 0)) > 0)
-    return LandingRun(rows=rows, batches=batches)
+    try:
+        query.awaitTermination()
+        counts.wait(str(query.id), str(query.runId))
+    finally:
+        spark.streams.removeListener(counts)
+    rows = counts.rows[str(query.runId)]
+    return LandingRun(rows=sum(rows.values()), batches=sum(1 for n in rows.values() if n))
 
 
 def landed(spark: SparkSession, target_dir: str, schema: T.StructType) -> DataFrame:

@@ -43,8 +43,8 @@ def test_rollback_target_is_second_newest_or_only(spark):
 
 def test_freshness_uses_newest_row_even_when_null(spark):
     r = runs(spark, [
-        ("a", "lightcast", "d", "monthly", "success", 10, 2020, T(2024, 1, 1), "u", "s1"),
-        ("b", "lightcast", "d", "monthly", "success_no_change", None, None, T(2024, 1, 10), None, "s2"),
+        ("a", "labour_market", "d", "monthly", "success", 10, 2020, T(2024, 1, 1), "u", "s1"),
+        ("b", "labour_market", "d", "monthly", "success_no_change", None, None, T(2024, 1, 10), None, "s2"),
     ])
     f = D.dataset_freshness(r, T(2024, 1, 20, 12)).first()
     assert (f["days_since_success"], f["last_row_count"], f["last_git_sha"]) == (10, None, "s2")
@@ -52,16 +52,16 @@ def test_freshness_uses_newest_row_even_when_null(spark):
 
 def test_freshness_gate_message_and_raise(spark):
     r = runs(spark, [
-        ("a", "lightcast", "d1", "monthly", "success", 10, 2020, T(2024, 1, 1), "u", "s"),
-        ("b", "lightcast", "d2", "yearly", "success", 10, 2020, T(2024, 1, 1), "u", "s"),
+        ("a", "labour_market", "d1", "monthly", "success", 10, 2020, T(2024, 1, 1), "u", "s"),
+        ("b", "labour_market", "d2", "yearly", "success", 10, 2020, T(2024, 1, 1), "u", "s"),
         ("c", "enrollment", "d3", "monthly", "success", 10, 2020, T(2024, 1, 25), "u", "s"),
-        ("d", "lightcast", "never", "monthly", "failed", None, None, T(2024, 1, 1), None, "s"),
+        ("d", "labour_market", "never", "monthly", "failed", None, None, T(2024, 1, 1), None, "s"),
     ])
     now = T(2024, 2, 5)  # 35 days after Jan 1: 840 h > 792 h for monthly
     stale = D.stale_datasets(r, D.thresholds_frame(spark), now)
     assert [x["dataset"] for x in stale.collect()] == ["d1"]
     msg = D.freshness_message(stale).first()["message"]
-    assert msg == "PIPELINE FRESHNESS FAILURE: 1 dataset(s) overdue: lightcast.d1 (monthly) 840 h old, limit 792 h"
+    assert msg == "PIPELINE FRESHNESS FAILURE: 1 dataset(s) overdue: labour_market.d1 (monthly) 840 h old, limit 792 h"
     with pytest.raises(D.FreshnessError, match="PIPELINE FRESHNESS FAILURE"):
         D.raise_if_stale(D.freshness_message(stale))
     fresh = D.stale_datasets(r, D.thresholds_frame(spark), T(2024, 1, 20))
