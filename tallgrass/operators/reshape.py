@@ -15,7 +15,7 @@ the only joins are with small per-workbook header tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
@@ -125,26 +125,24 @@ def _norm_cells(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# pages -> tag tokens -> links
+# pages -> tags -> links, all inside the page's own row
 # ---------------------------------------------------------------------------
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """One row per markup token: ``(page_id, url, pos, tag, closing, attrs, text)``.
+#: Comments, scripts and styles hold no markup (an unclosed one runs to the end).
+_UNREAD = (r"(?is)<!--(?:.*?-->|.*\z)|<script\b(?:.*?</script\s*>|.*\z)|<style\b(?:.*?</style\s*>|.*\z)")
+_TAG = r"^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>"
+_HREF = r"""(?i)(?:^|\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_EDGE = "^[ \t\r\n\f ]+|[ \t\r\n\f ]+$"
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_STRUCTURE = ("div", "a", "h2", "li", "ul", "ol")
+_OPEN = "struct<pos:int,depth:int>"
+_ANCHOR = "struct<pos:int,stop:int,attrs:string,in_li:boolean,any_box:int,wrapped_box:int>"
+_STATE = (f"struct<depth:int,items:int,lists:array<int>,wrapper:int,title:int,any_box:{_OPEN},wrapped_box:{_OPEN},"
+          f"has_wrapper:boolean,a:{_ANCHOR},anchors:array<{_ANCHOR}>,h2:int,headings:array<{_OPEN}>>")
 
-    The whole page is split before every ``<``; each piece is one tag plus
-    the text up to the next tag.  Positions give document order.  The page
-    URL is kept on opening anchor tags only (the rows that resolve links);
-    elsewhere it is NULL, so the token sorts do not carry it.
-    """
-    pieces = pages.select("page_id", "url", F.posexplode(F.split(F.col("html"), "(?=<)")).alias("pos", "piece"))
-    tag_re = r"^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>"
-    tag = F.lower(F.regexp_extract("piece", tag_re, 2))
-    closing = F.regexp_extract("piece", tag_re, 1) == "/"
-    return pieces.select(
-        "page_id", F.when((tag == "a") & ~closing, F.col("url")).alias("url"), "pos",
-        tag.alias("tag"), closing.alias("closing"),
-        F.regexp_extract("piece", tag_re, 3).alias("attrs"),
-        F.regexp_replace("piece", r"^<[^>]*>", "").alias("text"),
-    )
+
+def _let(value: Column, body) -> Column:
+    """``body`` over ``value``, which is evaluated once per row."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _class_has(attrs: Column, *names: str) -> Column:
@@ -155,99 +153,147 @@ def _class_has(attrs: Column, *names: str) -> Column:
     return cond
 
 
+def _decoded(text: Column) -> Column:
+    """The few character references that links and headings use."""
+    for name, char in _ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, _EDGE, "")
+
+
 def _resolve(base: Column, href: Column) -> Column:
     """Join a link with its page URL (absolute, root-relative, relative)."""
-    h = F.trim(href)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     directory = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)", 1)
     directory = F.when(directory == "", F.concat(origin, F.lit("/"))).otherwise(directory)
-    return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-             .when(h.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), h))
-             .when(h.startswith("/"), F.concat(origin, h))
-             .otherwise(F.concat(directory, h)))
+    return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+             .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
+             .when(href.startswith("/"), F.concat(origin, href))
+             .otherwise(F.concat(directory, href)))
 
 
 def file_name(link: Column) -> Column:
-    """Last path segment of a link, percent-decoded; a segment that does not decode stays as it is."""
-    path = F.regexp_replace(link, r"[?#].*$", "")
-    return F.regexp_extract(F.coalesce(F.try_url_decode(path), path), r"([^/]*)$", 1)
-
-
-def _running(*keys: str):
-    return (Window.partitionBy("page_id", *keys).orderBy("pos")
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    """Last segment of a link with its query string, percent-decoded (``+``
+    stays); a link that does not decode stays as it is."""
+    decoded = F.try_url_decode(F.replace(link, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(F.coalesce(decoded, link), r"([^/]*)$", 1)
+
+
+def _tokens(html: Column) -> Column:
+    """The page split before every ``<``: one tag and the text up to the next."""
+    pieces = F.split(F.regexp_replace(F.coalesce(html, F.lit("")), _UNREAD, ""), "(?=<)")
+    return F.transform(pieces, lambda p, i: F.struct(
+        i.alias("pos"), F.lower(F.regexp_extract(p, _TAG, 2)).alias("tag"),
+        (F.regexp_extract(p, _TAG, 1) == "/").alias("closing"), F.regexp_extract(p, _TAG, 3).alias("attrs"),
+        F.regexp_replace(p, r"^<[^>]*>", "").alias("text")))
+
+
+def _step(s: Column, t: Column) -> Column:
+    """One tag of the fold.  A container is open while the div depth has not
+    fallen below the depth at its opening; only the outermost open one counts,
+    as it holds whatever an inner one holds.  ``items`` counts the open list
+    items; the end of a list ends the items opened in it."""
+    tag, opens = t["tag"], ~t["closing"]
+    div = tag == "div"
+    depth = s["depth"] + F.when(div & opens, 1).when(div, -1).otherwise(0)
+    is_wrapper = div & opens & _class_has(t["attrs"], *WRAPPER_CLASSES)
+    is_box = div & opens & _class_has(t["attrs"], "text", CONTAINER_CLASS)
+    is_title = div & opens & _class_has(t["attrs"], "title", CONTAINER_CLASS)
+    here = F.struct(t["pos"].alias("pos"), depth.alias("depth"))
+
+    def outermost(old: Column, old_depth: Column, opened: Column, new: Column) -> Column:
+        return F.when(old.isNotNull() & (depth >= old_depth), old).when(old.isNull() & opened, new)
+
+    is_list = (tag == "ul") | (tag == "ol")
+    base = F.when(F.size(s["lists"]) > 0, F.element_at(s["lists"], -1)).otherwise(F.lit(0))
+    items = (F.when((tag == "li") & opens, s["items"] + 1).when(tag == "li", F.greatest(s["items"] - 1, base))
+              .when(is_list & ~opens, base).otherwise(s["items"]))
+    lists = (F.when(is_list & opens, F.concat(s["lists"], F.array(s["items"])))
+              .when(is_list & (F.size(s["lists"]) > 0), F.slice(s["lists"], F.lit(1), F.size(s["lists"]) - 1))
+              .otherwise(s["lists"]))
+    anchor = F.struct(t["pos"].alias("pos"), F.lit(None).cast("int").alias("stop"), t["attrs"].alias("attrs"),
+                      (s["items"] > 0).alias("in_li"), s["any_box"]["pos"].alias("any_box"),
+                      s["wrapped_box"]["pos"].alias("wrapped_box"))
+    return F.struct(
+        depth.alias("depth"), items.alias("items"), lists.alias("lists"),
+        outermost(s["wrapper"], s["wrapper"], is_wrapper, depth).alias("wrapper"),
+        outermost(s["title"], s["title"], is_title, depth).alias("title"),
+        outermost(s["any_box"], s["any_box"]["depth"], is_box, here).alias("any_box"),
+        outermost(s["wrapped_box"], s["wrapped_box"]["depth"], is_box & s["wrapper"].isNotNull(), here)
+        .alias("wrapped_box"),
+        (s["has_wrapper"] | is_wrapper).alias("has_wrapper"),
+        F.when(tag != "a", s["a"]).when(opens, anchor).alias("a"),
+        F.when((tag == "a") & s["a"].isNotNull(), _closed(s, t["pos"])).otherwise(s["anchors"]).alias("anchors"),
+        F.when(tag != "h2", s["h2"]).when(opens & s["title"].isNotNull(), t["pos"]).alias("h2"),
+        F.when((tag == "h2") & s["h2"].isNotNull(), _headed(s, t["pos"])).otherwise(s["headings"]).alias("headings"))
+
+
+def _closed(s: Column, pos: Column) -> Column:
+    return F.concat(s["anchors"], F.array(s["a"].withField("stop", pos)))
+
+
+def _headed(s: Column, pos: Column) -> Column:
+    """``headings`` with the open heading, from its tag (pos) up to ``pos`` (held as depth)."""
+    return F.concat(s["headings"], F.array(F.struct(s["h2"].alias("pos"), pos.alias("depth"))))
+
+
+def _folded(tokens: Column) -> Column:
+    start = F.from_json(F.lit('{"depth":0,"items":0,"lists":[],"has_wrapper":false,"anchors":[],"headings":[]}'),
+                        _STATE)
+    tags = F.filter(tokens, lambda t: t["tag"].isin(*_STRUCTURE))
+    return F.aggregate(tags, start, lambda s, t: _step(s, t).cast(_STATE))
+
+
+def _page_row(html: Column, url: Column) -> Column:
+    """struct(has_wrapper, anchors) of one page."""
+    def of(tokens: Column) -> Column:
+        def text(start: Column, stop: Column) -> Column:
+            inner = F.slice(tokens, start + 1, stop - start)
+            return _stripped(_decoded(F.array_join(F.transform(inner, lambda t: t["text"]), "")))
+
+        def read(s: Column) -> Column:
+            size = F.size(tokens)
+            anchors = F.when(s["a"].isNotNull(), _closed(s, size)).otherwise(s["anchors"])
+            headings = F.filter(F.transform(s["headings"], lambda h: F.struct(
+                h["depth"].alias("stop"), text(h["pos"], h["depth"]).alias("text"))),
+                lambda h: F.upper(h["text"]).startswith("FY"))
+            def described(heads: Column) -> Column:
+                return F.transform(F.filter(anchors, lambda a: a["attrs"].rlike(_HREF)), lambda a: _let(
+                    _stripped(_decoded(F.regexp_replace(F.regexp_extract(a["attrs"], _HREF, 1), "^[\"']|[\"']$", ""))),
+                    lambda href: F.struct(
+                        a["pos"].alias("pos"), href.alias("href"), _resolve(url, href).alias("link"),
+                        text(a["pos"], a["stop"]).alias("text"), a["in_li"].alias("in_li"),
+                        F.when(s["has_wrapper"], a["wrapped_box"]).otherwise(a["any_box"]).alias("container"),
+                        F.try_element_at(F.filter(heads, lambda h: h["stop"] <= a["pos"]), F.lit(-1))["text"]
+                        .alias("heading"))))
+            return F.struct(s["has_wrapper"].alias("has_wrapper"), _let(headings, described).alias("anchors"))
+        return _let(_folded(tokens), read)
+    return _let(_tokens(html), of)
+
+
+def page_markup(pages: DataFrame) -> DataFrame:
+    """``(page_id, has_wrapper, anchors)``: one row per page, read inside its row.
+
+    Comments, scripts and styles are dropped, the rest is split into tags, and
+    one fold over the page's structural tags follows containers, lists, anchors
+    and headings; no page is shuffled, sorted or joined.  A null or empty page
+    has no wrapper and no anchors.  Unclosed elements run to the page's end (an
+    anchor or heading to the next of its kind); stray closing tags end nothing
+    that was opened after them.
+    """
+    return pages.select("page_id", _page_row(F.col("html"), F.col("url")).alias("m")) \
+        .select("page_id", "m.has_wrapper", "m.anchors")
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
-    """Every ``<a href>`` with its text, position and context flags.
-
-    Columns: page_id, pos, href, link (resolved), text (all text inside the
-    anchor, stripped), in_li, in_wrapper, container (position of the
-    enclosing text container, NULL outside one), heading (nearest
-    preceding FY heading inside a title container), page_has_wrapper.
-
-    The pages are hash-partitioned by ``page_id`` once; every later step is
-    a window partitioned by page (plus a segment key), so no further
-    shuffle happens and no step holds more than one document.  Only the
-    first pass sorts every token: it computes all running values over one
-    page-ordered window.  Later windows see only the tokens that carry
-    them (text inside anchors and headings, then just div / anchor /
-    heading tags).
-    """
-    t = page_tokens(pages.repartition("page_id"))
-    tag, closing, pos = F.col("tag"), F.col("closing"), F.col("pos")
-    div_open, div_close = (tag == "div") & ~closing, (tag == "div") & closing
-    opens = {"wrapper": div_open & _class_has(F.col("attrs"), *WRAPPER_CLASSES),
-             "textc": div_open & _class_has(F.col("attrs"), "text", CONTAINER_CLASS),
-             "title": div_open & _class_has(F.col("attrs"), "title", CONTAINER_CLASS)}
-    t = t.select("*", *[c.alias(f"__{n}_open") for n, c in opens.items()])
-    page = _running()
-
-    # pass 1: one sort of all tokens; every running value shares the page window
-    def last_pos(cond: Column) -> Column:
-        return F.max(F.when(cond, pos)).over(page)
-
-    elements = {}
-    for e in ("a", "h2"):
-        o, c = last_pos((tag == e) & ~closing), last_pos((tag == e) & closing)
-        # inside an element from its opening tag until its first closing tag
-        elements[e] = [F.sum(((tag == e) & ~closing).cast("int")).over(page).alias(f"__{e}_seg"),
-                       (o.isNotNull() & (c.isNull() | (c < o))).alias(f"__{e}_in")]
-    t = t.select(
-        "*",
-        F.sum(F.when(div_open, 1).when(div_close, -1).otherwise(0)).over(page).alias("__depth"),
-        F.sum(F.when((tag == "li") & ~closing, 1).when(tag == "li", -1).otherwise(0)).over(page).alias("__li"),
-        *[F.sum(F.col(f"__{n}_open").cast("int")).over(page).alias(f"__{n}_seg") for n in opens],
-        *elements["a"], *elements["h2"])
-
-    # pass 2: element texts, over the tokens inside an anchor or heading
-    t = t.filter((tag == "div") | F.col("__a_in") | F.col("__h2_in"))
-    for e in ("a", "h2"):
-        whole = (Window.partitionBy("page_id", f"__{e}_seg").orderBy("pos")
-                       .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        texts = F.collect_list(F.when(F.col(f"__{e}_in"), F.col("text"))).over(whole)
-        t = t.withColumn(f"__{e}_text", F.when((tag == e) & ~closing, F.trim(F.array_join(texts, ""))))
-
-    # pass 3: containers, over div / anchor / heading tags only (the depth
-    # changes only at div tags, so the minimum since an opening is unchanged)
-    t = t.filter((tag == "div") | (((tag == "a") | (tag == "h2")) & ~closing))
-    for n in opens:
-        run = _running(f"__{n}_seg")
-        is_open = F.col(f"__{n}_open")
-        open_depth = F.first(F.when(is_open, F.col("__depth")), ignorenulls=True).over(run)
-        inside = (F.col(f"__{n}_seg") > 0) & (F.min("__depth").over(run) >= open_depth)
-        t = t.withColumn(f"__in_{n}", inside).withColumn(
-            f"__{n}_pos", F.when(inside, F.first(F.when(is_open, pos), ignorenulls=True).over(run)))
-    t = t.withColumn("__page_wrapper", F.max("__wrapper_open").over(Window.partitionBy("page_id")))
-    heading = F.when(F.col("__in_title") & F.upper(F.col("__h2_text")).startswith("FY"), F.col("__h2_text"))
-    t = t.withColumn("heading", F.last(heading, ignorenulls=True).over(page))
-    href = F.regexp_extract("attrs", r"""href\s*=\s*["']([^"']*)["']""", 1)
-    is_a = (tag == "a") & ~closing & F.col("attrs").rlike(r"""href\s*=\s*["']""")
-    anchors = t.filter(is_a)
-    return anchors.select("page_id", "pos", href.alias("href"), _resolve(F.col("url"), href).alias("link"),
-                          F.coalesce("__a_text", F.lit("")).alias("text"), (F.col("__li") > 0).alias("in_li"),
-                          F.col("__in_wrapper").alias("in_wrapper"), F.col("__textc_pos").alias("container"),
-                          "heading", F.col("__page_wrapper").alias("page_has_wrapper"))
+    """Every ``<a href>``: page_id, pos (place among the page's tags), href,
+    link (resolved), text (all text inside, stripped), in_li, container (place
+    of the outermost text container that counts, NULL outside one), heading
+    (the last FY heading that ended before it inside a title container)."""
+    return page_markup(pages).select("page_id", F.inline("anchors"))
 
 
 def classify_anchor(text: Column, in_li: Column) -> Column:
@@ -262,40 +308,49 @@ def classify_anchor(text: Column, in_li: Column) -> Column:
              .when(in_li & (n == py_normalize(COMPANION_LINK_TEXT)), F.lit("school_site_li")))
 
 
-def discover_links(pages: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
+def _page_links(anchors: Column) -> Column:
+    """The links that count, in page order: classified anchors inside a text
+    container; companions only beside a primary link of their container; a URL
+    at its first occurrence."""
+    named = F.filter(F.transform(F.filter(anchors, lambda a: a["container"].isNotNull()), lambda a: F.struct(
+        a["pos"].alias("pos"), a["link"].alias("link"), a["text"].alias("text"),
+        classify_anchor(a["text"], a["in_li"]).alias("pattern"), a["heading"].alias("heading"),
+        a["container"].alias("container"))), lambda a: a["pattern"].isNotNull())
+
+    def beside_primary(found: Column) -> Column:
+        primaries = F.transform(F.filter(found, lambda a: a["pattern"] == "school_ethgen_li"), lambda a: a["container"])
+        return _let(primaries, lambda p: F.filter(found, lambda a: (a["pattern"] != "school_site_li")
+                                                  | F.array_contains(p, a["container"])))
+
+    def first_only(found: Column) -> Column:
+        return _let(F.transform(found, lambda a: a["link"]), lambda urls: F.filter(
+            found, lambda a, i: F.array_position(urls, a["link"]) == i + 1))
+
+    return _let(_let(named, beside_primary), first_only)
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """``(page_id, has_wrapper, links)``: the enrollment links of each page."""
+    return page_markup(pages).select("page_id", "has_wrapper", _page_links(F.col("anchors")).alias("links"))
+
+
+def discover_links(pages: DataFrame) -> DataFrame:
     """Enrollment source links per page.
 
-    Only anchors inside text containers count, and only inside the grid
-    wrapper when the page has one.  Companion links are dropped from
-    containers without a primary link; a URL is kept at its first
-    occurrence on the page.
+    Only anchors inside text containers count, and only containers inside a
+    grid wrapper when the page has one.
     """
-    a = page_anchors(pages) if anchors is None else anchors
-    a = a.filter(F.col("container").isNotNull() & (F.col("in_wrapper") | ~F.col("page_has_wrapper")))
-    a = a.withColumn("pattern", classify_anchor(F.col("text"), F.col("in_li"))).filter(F.col("pattern").isNotNull())
-    cw = Window.partitionBy("page_id", "container")
-    a = a.withColumn("__has_primary", F.max((F.col("pattern") == "school_ethgen_li").cast("int")).over(cw) > 0)
-    a = a.filter((F.col("pattern") != "school_site_li") | F.col("__has_primary"))
-    first = Window.partitionBy("page_id", "link").orderBy("pos")
-    a = a.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") == 1)
+    a = page_links(pages).select("page_id", F.inline("links"))
     return a.select("page_id", "pos", "link", "text", "pattern", "heading",
                     parse_fiscal_year(F.col("heading")).alias("fiscal_year"), file_name(F.col("link")).alias("file_name"))
 
 
 def link_warnings(pages: DataFrame) -> DataFrame:
     """Pages without the grid wrapper (searched whole) and pages where no
-    link was found at all (J1 warning, J21 error)."""
-    # wrapper presence straight from the tags (a page may have a wrapper but
-    # no anchors); a filter on the token stream, no window
-    t = page_tokens(pages)
-    wrapped = t.filter((F.col("tag") == "div") & ~F.col("closing")
-                       & _class_has(F.col("attrs"), *WRAPPER_CLASSES)).select("page_id").distinct()
-    no_wrapper = pages.select("page_id").join(wrapped, "page_id", "left_anti").select(
-        "page_id", F.lit("grid_wrapper_not_found").alias("kind"))
-    found = discover_links(pages).select("page_id").distinct()
-    none = pages.select("page_id").join(found, "page_id", "left_anti").select(
-        "page_id", F.lit("no_enrollment_links").alias("kind"))
-    return no_wrapper.unionByName(none)
+    link was found at all (J1 warning, J21 error), from one pass."""
+    kinds = F.array_compact(F.array(F.when(~F.col("has_wrapper"), F.lit("grid_wrapper_not_found")),
+                                    F.when(F.size("links") == 0, F.lit("no_enrollment_links"))))
+    return page_links(pages).select("page_id", F.explode(kinds).alias("kind"))
 
 
 def pair_companion(links: DataFrame) -> DataFrame:

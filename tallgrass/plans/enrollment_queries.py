@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from tallgrass.config import MartConfig
 from tallgrass.operators import reshape as R
 from tallgrass.plans import enrollment as E
+from tallgrass.sources.roles import ENROLLMENT_HTML
 
 WIDE_IDS = {"schoolyear": "SchoolYear", "county": "County", "district": "District",
             "school_name": "School Name", "grade": "Grade"}
 
 
+def enrollment_pages(src) -> DataFrame:
+    """The given pages, each with an enrollment section of its own links."""
+    return src.raw("pages").select("page_id", "url", F.expr(ENROLLMENT_HTML).alias("html"))
+
+
 def q_page_anchors(src, cfg: MartConfig) -> DataFrame:
-    a = R.page_anchors(src.raw("pages"))
-    return a.select("page_id", "pos", "href", "link", "text", "in_li")
+    return R.page_anchors(enrollment_pages(src))
 
 
 def q_discover_links(src, cfg: MartConfig) -> DataFrame:
-    return R.discover_links(src.raw("pages"))
+    return R.discover_links(enrollment_pages(src))
 
 
 def q_link_warnings(src, cfg: MartConfig) -> DataFrame:
-    return R.link_warnings(src.raw("pages"))
+    return R.link_warnings(enrollment_pages(src))
 
 
 def q_melt_wide(src, cfg: MartConfig) -> DataFrame:
@@ -92,9 +97,7 @@ def q_incremental_skip(src, cfg: MartConfig) -> DataFrame:
     inventory = f"{scratch_root(src.spark)}/tallgrass_inventory/{uuid.uuid4().hex}"
     from tallgrass.operators.relational import materialize
     # the discovered file list, written once (both runs and their checks reuse it)
-    files = materialize(R.page_anchors(src.raw("pages")).select(
-        R.file_name(F.col("link")).alias("file_name"))
-        .distinct())
+    files = materialize(R.discover_links(enrollment_pages(src)).select("file_name").distinct())
     new1, skip1 = E.incremental_skip(files, None)
     new1.write.parquet(inventory)                      # the files the first run now holds
     held = src.spark.read.parquet(inventory)

@@ -642,72 +642,41 @@ m as (select {year} as Year, county as County, district as District, school_name
 select * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan'"""
 
 
-def _anchors_body() -> str:
-    origin = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
-    directory = ("case when regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1) = '' then "
-                 f"{origin} || '/' else regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1) end")
-    h = "trim(href)"
-    link = (f"case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} "
-            f"when starts_with({h}, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || {h} "
-            f"when starts_with({h}, '/') then {origin} || {h} else {directory} || {h} end")
-    return f"""
-, parts as (select page_id, url, string_split(html, '<') as p from pages),
-tok as (select page_id, url, unnest(p) as piece, generate_subscripts(p, 1) as k from parts),
-t2 as (select page_id, url, k - 2 as pos, piece,
-  sum(case when regexp_matches(piece, '^[Ll][Ii]([^A-Za-z0-9>][^>]*)?>') then 1
-           when regexp_matches(piece, '^/[Ll][Ii]([^A-Za-z0-9>][^>]*)?>') then -1 else 0 end)
-   over (partition by page_id order by k rows between unbounded preceding and current row) as li_depth
-  from tok),
-a as (select page_id, url, pos, li_depth, regexp_extract(piece, '^[Aa]([^A-Za-z0-9>][^>]*)?>', 1) as attrs,
-  regexp_replace(piece, '^[^>]*>', '') as rest
-  from t2 where regexp_matches(piece, '^[Aa]([^A-Za-z0-9>][^>]*)?>')),
-anchors as (select page_id, url, pos, li_depth,
-  regexp_extract(attrs, 'href\\s*=\\s*["'']([^"'']*)["'']', 1) as href, trim(rest, ' ') as text
-  from a where regexp_matches(attrs, 'href\\s*=\\s*["'']')),
-resolved as (select page_id, pos, href, {link} as link, text, li_depth > 0 as in_li from anchors)"""
-
-
 def _links_body() -> str:
-    """Link discovery over ``pages`` restated in DuckDB: tag tokens, div
-    depth, the three kinds of containers, element texts, headings, then the
-    classification and per-container / per-link rules (J1-J3)."""
+    """Link discovery over the derived pages restated in DuckDB, by intervals:
+    every container, list item, anchor and heading gets the place where it
+    ends by a join with the later tags of its page; the rules are then range
+    conditions (the Spark form folds over the tags of a page instead)."""
     from tallgrass.operators.reshape import (
         CLICK_HERE_TEXT, COMPANION_LINK_TEXT, CONTAINER_CLASS, PRIMARY_LINK_TEXT, WRAPPER_CLASSES, py_normalize)
+    from tallgrass.sources.roles import ENROLLMENT_HTML
 
     def classes_have(*names: str) -> str:
         want = ", ".join(f"'{n}'" for n in names)
         return ("list_has_all(regexp_split_to_array(trim(regexp_extract(attrs, "
                 "'class\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)), '\\s+'), [" + want + "])")
 
-    tag_re = "'^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>'"
-    run = "partition by page_id order by pos rows between unbounded preceding and current row"
+    def plain(text: str) -> str:
+        for name, char in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                           ("&amp;", "&")):
+            text = f"replace({text}, '{name}', '{char}')"
+        return f"trim({text}, ' \t\r\n\f\u00a0')"
 
-    def container(prev: str, name: str, opens: str) -> str:
-        return f"""
-{name}_s as (select *, sum(case when {opens} then 1 else 0 end) over ({run}) as {name}_seg from {prev}),
-{name}_i as (select *, {name}_seg > 0 and min(depth) over (partition by page_id, {name}_seg order by pos
-    rows between unbounded preceding and current row)
-   >= first_value(depth) over (partition by page_id, {name}_seg order by pos) as in_{name},
-  first_value(pos) over (partition by page_id, {name}_seg order by pos) as {name}_first from {name}_s),"""
+    def ends(name: str, of: str, later: str) -> str:
+        return (f"\n{name} as (select o.page_id, o.pos, coalesce(min(x.pos), 2000000000) as stop from ({of}) o "
+                f"left join d x on x.page_id = o.page_id and x.pos > o.pos and ({later}) group by 1, 2),")
 
-    def element_text(prev: str, name: str) -> str:
-        return f"""
-{name}_s as (select *, sum(case when tag = '{name}' and not closing then 1 else 0 end) over ({run}) as {name}_seg
-  from {prev}),
-{name}_c as (select *, {name}_seg > 0 and sum(case when tag = '{name}' and closing then 1 else 0 end)
-   over (partition by page_id, {name}_seg order by pos rows between unbounded preceding and current row) = 0
-   as in_{name} from {name}_s),
-{name}_t as (select *, case when tag = '{name}' and not closing then trim(array_to_string(
-   list(case when in_{name} then text end) over (partition by page_id, {name}_seg order by pos
-     rows between unbounded preceding and unbounded following), '')) end as {name}_text from {name}_c),"""
-
-    h = "trim(href)"
+    tag_re = "'^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>'"
+    unread = "(?is)<!--(?:.*?-->|.*\\z)|<script\\b(?:.*?</script\\s*>|.*\\z)|<style\\b(?:.*?</style\\s*>|.*\\z)"
+    href_re = "(?i)(?:^|\\s)href\\s*=\\s*(\"[^\"]*\"|''[^'']*''|[^\\s\"''>]+)"
+    run = "partition by page_id order by pos rows between unbounded preceding and current row"
+    lists = "case when tag in ('ul', 'ol') and not closing then 1 when tag in ('ul', 'ol') then -1 else 0 end"
     origin = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
     dir_ = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1)"
-    link = (f"case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} "
-            f"when starts_with({h}, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || {h} "
-            f"when starts_with({h}, '/') then {origin} || {h} "
-            f"else (case when {dir_} = '' then {origin} || '/' else {dir_} end) || {h} end")
+    link = ("case when regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') then href "
+            "when starts_with(href, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) || href "
+            f"when starts_with(href, '/') then {origin} || href "
+            f"else (case when {dir_} = '' then {origin} || '/' else {dir_} end) || href end")
     norm = "regexp_replace(lower(text), '[^a-z0-9]', '', 'g')"
     y4 = "regexp_extract_all(heading, '(20[0-9]{2})', 1)"
     y2 = "regexp_extract_all(heading, '([0-9]{2})', 1)"
@@ -717,39 +686,51 @@ def _links_body() -> str:
           f"cast(cast({y4}[1] as integer) as varchar) "
           f"when len({y2}) >= 1 then cast(2000 + cast({y2}[-1] as integer) - 1 as varchar) || '-' || "
           f"cast(2000 + cast({y2}[-1] as integer) as varchar) end")
-    fname = "regexp_extract(url_decode(regexp_replace(link, '[?#].*$', '')), '([^/]*)$', 1)"
+    fname = "regexp_extract(url_decode(replace(link, '+', '%2B')), '([^/]*)$', 1)"
+    opened = "select page_id, pos, depth from d where tag = 'div' and not closing and "
     return f"""
-, parts as (select page_id, url, html, string_split(html, '<') as p from pages),
+, source as (select page_id, url, {ENROLLMENT_HTML} as html from pages),
+clean as (select page_id, url, regexp_replace(coalesce(html, ''), '{unread}', '', 'g') as html from source),
+parts as (select page_id, url, html, string_split(html, '<') as p from clean),
 pieces as (select page_id, url, starts_with(html, '<') as lead, unnest(p) as raw, generate_subscripts(p, 1) as k
   from parts),
-tok as (select page_id, url, k - 1 - cast(lead as integer) as pos, piece,
+tok as (select page_id, url, k - 1 - cast(lead as integer) as pos,
   lower(regexp_extract(piece, {tag_re}, 2)) as tag, regexp_extract(piece, {tag_re}, 1) = '/' as closing,
   regexp_extract(piece, {tag_re}, 3) as attrs, regexp_replace(piece, '^<[^>]*>', '') as text
   from (select *, case when k = 1 then raw else '<' || raw end as piece from pieces) x
   where not (k = 1 and lead)),
-d as (select *, tag = 'div' and not closing as div_open,
-  sum(case when tag = 'div' and not closing then 1 when tag = 'div' and closing then -1 else 0 end)
-   over ({run}) as depth,
-  sum(case when tag = 'li' and not closing then 1 when tag = 'li' then -1 else 0 end) over ({run}) as li_depth
-  from tok),
-flags as (select *, div_open and {classes_have(*WRAPPER_CLASSES)} as wrapper_open,
-  div_open and {classes_have("text", CONTAINER_CLASS)} as text_open,
-  div_open and {classes_have("title", CONTAINER_CLASS)} as title_open from d),
-wrapped as (select distinct page_id from flags where wrapper_open),{container("flags", "wrapper", "wrapper_open")}{
-container("wrapper_i", "textc", "text_open")}{container("textc_i", "title", "title_open")}{
-element_text("title_i", "a")}{element_text("a_t", "h2")}
-hd as (select *, last_value(case when in_title and starts_with(upper(h2_text), 'FY') then h2_text end ignore nulls)
-   over ({run}) as heading from h2_t),
-anchors as (select page_id, url, pos, regexp_extract(attrs, 'href\\s*=\\s*["'']([^"'']*)["'']', 1) as href,
-  coalesce(a_text, '') as text, li_depth > 0 as in_li, in_wrapper,
-  case when in_textc then textc_first end as container, heading,
-  page_id in (select page_id from wrapped) as page_has_wrapper
-  from hd where tag = 'a' and not closing and regexp_matches(attrs, 'href\\s*=\\s*["'']')),
-classified as (select *, {link} as link,
+d1 as (select *, sum(case when tag = 'div' and not closing then 1 when tag = 'div' then -1 else 0 end) over ({run})
+   as depth, sum({lists}) over ({run}) as lvl from tok),
+d as (select *, sum(case when tag = 'li' and not closing then 1 when tag = 'li' then -1 else 0 end)
+   over (partition by page_id, lvl order by pos rows between unbounded preceding and current row) as items from d1),{
+ends("wrappers", opened + classes_have(*WRAPPER_CLASSES), "x.depth < o.depth")}{
+ends("titles", opened + classes_have("title", CONTAINER_CLASS), "x.depth < o.depth")}{
+ends("boxes", opened + classes_have("text", CONTAINER_CLASS), "x.depth < o.depth")}{
+ends("lis", "select page_id, pos, lvl, items from d where tag = 'li' and not closing",
+     "x.lvl < o.lvl or (x.tag = 'li' and x.closing and x.lvl = o.lvl and x.items < o.items)")}{
+ends("a_ends", "select page_id, pos from d where tag = 'a' and not closing", "x.tag = 'a'")}{
+ends("h_ends", "select page_id, pos from d where tag = 'h2' and not closing", "x.tag = 'h2'")}
+heads as (select h.page_id, h.stop, {plain("string_agg(t.text, '' order by t.pos)")} as text from h_ends h
+  join d t on t.page_id = h.page_id and t.pos >= h.pos and t.pos < h.stop where h.stop < 2000000000
+  and exists (select 1 from titles c where c.page_id = h.page_id and c.pos < h.pos and h.pos < c.stop)
+  group by h.page_id, h.pos, h.stop),
+counted as (select b.* from boxes b where b.page_id not in (select page_id from wrappers) or exists
+  (select 1 from wrappers w where w.page_id = b.page_id and w.pos < b.pos and b.pos < w.stop)),
+texts as (select a.page_id, a.pos, {plain("string_agg(t.text, '' order by t.pos)")} as text from a_ends a
+  join d t on t.page_id = a.page_id and t.pos >= a.pos and t.pos < a.stop group by 1, 2),
+anchors as (select o.page_id, o.url, o.pos, o.text, {plain("trim(regexp_extract(o.attrs, '" + href_re + "', 1), '\"''')")} as href,
+  exists (select 1 from lis l where l.page_id = o.page_id and l.pos < o.pos and o.pos < l.stop) as in_li,
+  (select min(b.pos) from counted b where b.page_id = o.page_id and b.pos < o.pos and o.pos < b.stop) as container,
+  (select max_by(h.text, h.stop) from heads h where h.page_id = o.page_id and h.stop <= o.pos
+     and starts_with(upper(h.text), 'FY')) as heading
+  from (select d.page_id, d.url, d.pos, d.attrs, texts.text from d join texts using (page_id, pos)) o
+  where regexp_matches(o.attrs, '{href_re}')),
+resolved as (select *, {link} as link from anchors),
+classified as (select *,
   case when lower(trim(text)) = '{CLICK_HERE_TEXT}' then 'click_here'
        when in_li and {norm} = '{py_normalize(PRIMARY_LINK_TEXT)}' then 'school_ethgen_li'
        when in_li and {norm} = '{py_normalize(COMPANION_LINK_TEXT)}' then 'school_site_li' end as pattern
-  from anchors where container is not null and (in_wrapper or not page_has_wrapper)),
+  from resolved where container is not null),
 kept as (select * from (select *, max(case when pattern = 'school_ethgen_li' then 1 else 0 end)
    over (partition by page_id, container) as has_primary from classified where pattern is not null) x
   where pattern <> 'school_site_li' or has_primary = 1),
@@ -813,18 +794,18 @@ select c.collected_end_year, w.watched_end_year,
  case when c.collected_end_year is null or w.watched_end_year is null then 'unknown'
   when w.watched_end_year > c.collected_end_year then 'newer_period_available' else 'ok' end as status
 from c, w""")
-    q["page_anchors"] = "WITH x AS (select 1)" + _anchors_body() + "\nselect * from resolved"
+    q["page_anchors"] = ("WITH x AS (select 1)" + _links_body()
+                         + "\nselect page_id, pos, href, link, text, in_li, container, heading from resolved")
     q["discover_links"] = "WITH x AS (select 1)" + _links_body() + "\nselect * from links"
     q["link_warnings"] = "WITH x AS (select 1)" + _links_body() + """
 select p.page_id, 'grid_wrapper_not_found' as kind from pages p
- where not exists (select 1 from wrapped w where w.page_id = p.page_id)
+ where not exists (select 1 from wrappers w where w.page_id = p.page_id)
 union all
 select p.page_id, 'no_enrollment_links' as kind from pages p
  where not exists (select 1 from links l where l.page_id = p.page_id)"""
-    fname = "regexp_extract(url_decode(regexp_replace(link, '[?#].*$', '')), '([^/]*)$', 1)"
-    q["incremental_skip"] = "WITH x AS (select 1)" + _anchors_body() + f"""
-select 1 as RUN, count(distinct {fname}) as NEW_FILES,
- case when count(distinct {fname}) = 0 then 'success_no_change' else 'rebuild' end as STATUS from resolved
+    q["incremental_skip"] = "WITH x AS (select 1)" + _links_body() + """
+select 1 as RUN, count(distinct file_name) as NEW_FILES,
+ case when count(distinct file_name) = 0 then 'success_no_change' else 'rebuild' end as STATUS from links
 union all select 2, 0, 'success_no_change'"""
     return q
 

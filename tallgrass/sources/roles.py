@@ -283,3 +283,25 @@ def duckdb_with(names) -> str:
     """``WITH`` prefix that inlines the named role views for a DuckDB oracle."""
     parts = [f"{n} AS ({role_sql(n, 'duckdb')})" for n in ordered_roles(names)]
     return "WITH " + ",\n".join(parts)
+
+
+#: SQL for Spark and DuckDB: a given page followed by an enrollment section
+#: made of its own first link.  By page: a nested grid or text container before
+#: the list, a script with closing tags in it, a malformed percent sign, list
+#: items left open, an unquoted link, references in texts, no grid at all.
+_FIRST = """coalesce(regexp_extract(html, 'href="([^"]*)"', 1), '')"""
+ENROLLMENT_HTML = f"""(coalesce(html, '')
+ || case when page_id % 7 = 3 then '<div>' else '<div class="aem-Grid aem-Grid--12 aem-Grid--default--12">' end
+ || '<div class="title aem-GridColumn aem-GridColumn--default--12"><h2>'
+ || case page_id % 4 when 0 then 'FY 20' || cast(10 + page_id % 15 as string) || '/20' || cast(11 + page_id % 15 as string)
+     when 1 then 'FY' || cast(10 + page_id % 15 as string) when 2 then 'Notes' else 'FY&nbsp;2024' end || '</h2></div>'
+ || '<div class="text aem-GridColumn aem-GridColumn--default--12">'
+ || case page_id % 3 when 0 then '<script>var end = "</div></div>";</script>'
+     when 1 then '<div class="aem-Grid aem-Grid--12 aem-Grid--default--12"><p>inner</p></div>'
+     else '<div class="text aem-GridColumn--default--12"><b>inner</b></div>' end
+ || '<p><a href="' || {_FIRST} || '_all.xlsx">Click here</a></p><ul>'
+ || case when page_id % 5 = 4 then '' else '<li><a href="' || case when page_id % 5 = 2 then '/50%zz' else '' end
+     || {_FIRST} || '_race.xlsx?v=' || cast(page_id % 2 as string)
+     || '">School Site Totals w/Ethnicity &amp; and Gender</a>' end
+ || '<li><a href=' || {_FIRST} || '_site.xlsx>School <i>Site</i> Totals</a></ul>'
+ || '<a href="after_list.xlsx">School Site Totals</a></div></div><a href="outside.xlsx">Click here</a>')"""

@@ -54,15 +54,15 @@ def test_classify_anchor(spark):
 def test_discover_links_scopes_classifies_and_pairs(pages):
     links = {r["file_name"]: r.asDict() for r in R.discover_links(pages.filter("page_id = 1")).collect()}
     assert set(links) == {"fy2024_totals.xlsx", "fy2024_ethgen.xlsx", "fy2024 site totals.xlsx",
-                          "fy2025_ethgen.xlsx"}
+                          "fy2025_ethgen.xlsx?v=2"}   # versions by query string are files of their own
     assert links["fy2024_totals.xlsx"]["pattern"] == "click_here"
     assert links["fy2024_ethgen.xlsx"]["link"] == "https://state.example.gov/enrollment/fy2024_ethgen.xlsx"
     assert links["fy2024_ethgen.xlsx"]["fiscal_year"] == "2023-2024"
-    assert links["fy2025_ethgen.xlsx"]["fiscal_year"] == "2024-2025"   # nested tag text, "FY24" heading
+    assert links["fy2025_ethgen.xlsx?v=2"]["fiscal_year"] == "2024-2025"   # nested tag text, "FY24" heading
     assert links["fy2024 site totals.xlsx"]["pattern"] == "school_site_li"
     paired = {r["file_name"]: r["companion_file"] for r in R.pair_companion(R.discover_links(pages)).collect()}
     assert paired["fy2024_ethgen.xlsx"] == "fy2024 site totals.xlsx"
-    assert paired["fy2025_ethgen.xlsx"] is None
+    assert paired["fy2025_ethgen.xlsx?v=2"] is None
 
 
 def test_page_without_wrapper_is_searched_whole_with_a_warning(pages):
@@ -80,19 +80,69 @@ def test_wrapper_without_anchors_only_lacks_links(spark):
         (4, "no_enrollment_links")}
 
 
+GRID = '<div class="aem-Grid aem-Grid--12 aem-Grid--default--12">'
+BOX = '<div class="text aem-GridColumn--default--12">'
+PROBES = {
+    "after a nested grid": f'{GRID}{BOX}{GRID}<p>x</p></div><a href="a.xlsx">Click here</a></div></div>',
+    "after a nested text block": f'{GRID}{BOX}{BOX}<p>x</p></div><a href="a.xlsx">Click here</a></div></div>',
+    "script with closing tags": f'{GRID}{BOX}<script>w("</div></div>")</script><a href="a.xlsx">Click here</a></div></div>',
+    "comment with closing tags": f'{GRID}{BOX}<!-- </div></div> --><a href="a.xlsx">Click here</a></div></div>',
+    "unquoted link": f'{GRID}{BOX}<a class=x href=a.xlsx>Click here</a></div></div>',
+    "references": f'{GRID}{BOX}<a href="a.xlsx">&nbsp;Click here </a></div></div>',
+    "anchor left open": f'{GRID}{BOX}<a href="a.xlsx">Click here',
+}
+NO_LINKS = {
+    "container around the grid only": f'{BOX}{GRID}<a href="a.xlsx">Click here</a></div></div>',
+    "after the container": f'{GRID}{BOX}</div><a href="a.xlsx">Click here</a></div>',
+    "list item left open, after its list": f'{GRID}{BOX}<ul><li>x</ul><a href="a.xlsx">{R.PRIMARY_LINK_TEXT}</a></div></div>',
+    "inside an open script": f'{GRID}{BOX}<script><a href="a.xlsx">Click here</a></div></div>',
+    "empty": "",
+    "null": None,
+}
+
+
+def _as_pages(spark, htmls):
+    return spark.createDataFrame([(i, "https://h.example.org/d/p.html", h) for i, h in enumerate(htmls)],
+                                 "page_id long, url string, html string")
+
+
+def test_links_through_nesting_scripts_and_open_elements(spark):
+    got = {r["page_id"]: r["link"] for r in R.discover_links(_as_pages(spark, PROBES.values())).collect()}
+    assert got == {i: "https://h.example.org/d/a.xlsx" for i in range(len(PROBES))}
+    assert R.discover_links(_as_pages(spark, NO_LINKS.values())).count() == 0
+
+
+def test_open_list_items_still_classify(spark):
+    html = f'{GRID}{BOX}<ul><li><a href="p.xlsx">{R.PRIMARY_LINK_TEXT}</a><li><a href="c.xlsx">{R.COMPANION_LINK_TEXT}</a></ul>'
+    got = [r["pattern"] for r in R.discover_links(_as_pages(spark, [html])).orderBy("pos").collect()]
+    assert got == ["school_ethgen_li", "school_site_li"]
+
+
+def test_file_names_decode_or_stay(spark):
+    links = ["https://h/x/a%20b.xlsx", "https://h/x/a+b.xlsx", "https://h/x/50%zz.xlsx", "https://h/x/a.xlsx?v=1"]
+    df = spark.createDataFrame([(x,) for x in links], "link string")
+    assert [r[0] for r in df.select(R.file_name(F.col("link"))).collect()] == [
+        "a b.xlsx", "a+b.xlsx", "50%zz.xlsx", "a.xlsx?v=1"]
+
+
 def test_link_discovery_matches_duckdb_restatement(spark, pages):
-    """The same rules written as DuckDB SQL over the fixture pages."""
+    """The same rules as range joins in DuckDB, over the fixture pages."""
     import duckdb
 
     from tallgrass.plans.oracle import reshape_sql
+    from tallgrass.sources.roles import ENROLLMENT_HTML
     con = duckdb.connect()
-    local = pages.toPandas()  # three fixture pages
-    con.register("pages", local)
+    htmls = [*PROBES.values(), *NO_LINKS.values()]
+    every = pages.unionByName(_as_pages(spark, htmls).withColumn("page_id", F.col("page_id") + 10))
+    con.register("pages", every.toPandas())  # some fixture pages
     sql = reshape_sql()
-    for key, got in [("discover_links", R.discover_links(pages)), ("link_warnings", R.link_warnings(pages))]:
-        want = con.execute(sql[key]).fetchall()
-        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr), key
-    assert len(con.execute(sql["discover_links"]).fetchall()) == 5
+    # the pages as they are, then with the derived enrollment section
+    for html in ("html", ENROLLMENT_HTML):
+        derived = every.select("page_id", "url", F.expr(html).alias("html"))
+        for key, got in [("discover_links", R.discover_links(derived)), ("link_warnings", R.link_warnings(derived)),
+                         ("page_anchors", R.page_anchors(derived))]:
+            want = con.execute(sql[key].replace(ENROLLMENT_HTML, html)).fetchall()
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr), (key, html)
 
 
 def _grid(spark, rows):
