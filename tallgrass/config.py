@@ -28,8 +28,6 @@ class MartConfig:
     # 'as_written' keeps the source's grouping by the full code (trap T1);
     # 'truncated' groups by the 5-digit code the output column carries.
     lq_group_on: str = "as_written"
-    # Averaged ratios are rounded so results do not depend on summation order.
-    ratio_digits: int = 9
 
     @property
     def as_of_year(self) -> int:

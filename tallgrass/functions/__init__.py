@@ -148,5 +148,9 @@ def split_race_gender(c) -> tuple[Column, Column]:
     return _map_or_keep(race, RACE_LABELS), _map_or_keep(gender, GENDER_LABELS)
 
 
-def round_ratio(c, digits: int = 9) -> Column:
-    return F.round(_col(c).cast("double"), digits)
+def avg_ratio(a, b) -> Column:
+    """Average of the rows' a / b, independent of the order of summation: the
+    ratios are summed as whole numbers of 1e-15, the precision of a double
+    near 1, so nothing is rounded that a double would hold."""
+    units = F.round(safe_ratio(a, b) * F.lit(1e15)).cast("decimal(28,0)")
+    return F.try_divide(F.sum(units).cast("double"), F.count(units).cast("double") * F.lit(1e15))

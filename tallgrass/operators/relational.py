@@ -156,15 +156,12 @@ def index_to_baseline(df: DataFrame, keys: Sequence[str], measure: str, is_base:
 
     Same rows as the self-join ``t1 JOIN t1 AS t2 ON keys AND t2 is base``:
     rows of keys without a baseline are dropped, several baseline rows
-    multiply.  One scan: the baseline values of a key are gathered by a
-    window over the (per-period, already aggregated) input.
+    multiply.  A plain equi-join to the few baseline rows: it streams, and a
+    hot key is split like any skewed join; no group is gathered.
     """
-    w = Window.partitionBy(*keys)
-    base_vals = F.collect_list(F.when(is_base, F.struct(F.col(measure).alias("v")))).over(w)
-    out = (df.withColumn("__bases", base_vals)
-             .withColumn("__base", F.explode("__bases"))
-             .withColumn(base_out, F.col("__base.v"))
-             .drop("__bases", "__base"))
+    base = df.filter(is_base).select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(measure).alias(base_out))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    out = df.join(base, on).drop(*[f"__k_{k}" for k in keys])
     return out.withColumn(index_out, F.try_divide(F.col(measure).cast("double"), F.col(base_out).cast("double")))
 
 

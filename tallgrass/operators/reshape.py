@@ -362,7 +362,10 @@ def pair_companion(links: DataFrame) -> DataFrame:
                                        F.col("file_name").alias("companion_file")), F.col("pos")).alias("c"))
                 .select("page_id", "fiscal_year", "c.*"))
     prim = links.filter(F.col("pattern") != "school_site_li")
-    return prim.join(comp, on=["page_id", "fiscal_year"], how="left")
+    paired = prim.join(comp, on=["page_id", "fiscal_year"], how="left")
+    for c in ("companion_link", "companion_file"):   # "click here" workbooks carry their own locations
+        paired = paired.withColumn(c, F.when(F.col("pattern") == "school_ethgen_li", F.col(c)))
+    return paired
 
 
 # ---------------------------------------------------------------------------
@@ -372,22 +375,6 @@ def sheets(grid: DataFrame) -> DataFrame:
     return grid.select("workbook", "sheet", "sheet_no").distinct()
 
 
-def pick_sheet_by_name(grid: DataFrame, name: str) -> DataFrame:
-    """First sheet (by order) whose normalised name equals ``name``."""
-    s = sheets(grid).filter(normalize(F.col("sheet")) == py_normalize(name))
-    return s.groupBy("workbook").agg(F.min_by("sheet", "sheet_no").alias("sheet"))
-
-
-def pick_sheet_by_preference(grid: DataFrame, preference=SITE_SHEET_PREFERENCE) -> DataFrame:
-    """First preferred name contained in a sheet name, else the first sheet."""
-    s = sheets(grid)
-    rank = F.lit(len(preference))
-    for i, want in reversed(list(enumerate(preference))):
-        rank = F.when(normalize(F.col("sheet")).contains(py_normalize(want)), F.lit(i)).otherwise(rank)
-    s = s.withColumn("__rank", rank)
-    return s.groupBy("workbook").agg(F.min_by("sheet", F.struct("__rank", "sheet_no")).alias("sheet"))
-
-
 def _signature_match(ncells: Column) -> Column:
     return F.exists(F.array(*[_lit_array(sig) for sig in SIGNATURES]),
                     lambda sig: F.size(F.array_except(sig, ncells)) == 0)
@@ -399,23 +386,6 @@ def _companion_match(ncells: Column) -> Column:
     return has_loc & F.arrays_overlap(ncells, _lit_array(SCHOOL_CODE_NAMES))
 
 
-def find_header(grid: DataFrame, kind: str = "signature") -> DataFrame:
-    """Header row per (workbook, sheet): the first of rows 0-7 whose
-    normalised cells contain a known signature (J6) or, for companion
-    workbooks, county + school name/site + school/site code (J8)."""
-    g = grid.filter(F.col("row_no") < HEADER_SCAN_ROWS).withColumn("__n", _norm_cells(F.col("cells")))
-    match = _signature_match(F.col("__n")) if kind == "signature" else _companion_match(F.col("__n"))
-    return (g.filter(match).groupBy("workbook", "sheet")
-             .agg(F.min("row_no").alias("header_row")))
-
-
-def sheet_by_signature(grid: DataFrame) -> DataFrame:
-    """First sheet (by order) that has a header row."""
-    h = find_header(grid).join(sheets(grid), on=["workbook", "sheet"])
-    return h.groupBy("workbook").agg(F.min_by(F.struct("sheet", "header_row"), "sheet_no").alias("s")).select(
-        "workbook", "s.sheet", "s.header_row")
-
-
 def sheet_index(grid: DataFrame) -> DataFrame:
     """Per sheet: its order, and the first of rows 0-7 matching the
     value-column signature and the companion shape, with their cells
@@ -465,18 +435,10 @@ def rename_by_alias(header_cells: Column) -> Column:
                        .otherwise(F.try_element_at(lookup, F.regexp_replace(F.lower(x), "[^a-z0-9]", ""))))
 
 
-def headers(grid: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Header cells of each chosen (workbook, sheet, header_row)."""
-    h = grid.join(chosen, on=["workbook", "sheet"]).filter(F.col("row_no") == F.col("header_row"))
-    return h.select("workbook", "sheet", "header_row", F.col("cells").alias("header_cells"))
-
-
 def _code_index(header_cells: Column) -> Column:
-    """1-based position of the school/site code column, or NULL."""
-    n = _norm_cells(header_cells)
-    pos = F.array_position(n, F.lit("schoolcode"))
-    pos2 = F.array_position(n, F.lit("sitecode"))
-    return F.when(pos > 0, pos).when(pos2 > 0, pos2).cast("int")
+    """1-based position of the first school/site code column, or NULL."""
+    is_code = F.transform(_norm_cells(header_cells), lambda x: x.isin(*SCHOOL_CODE_NAMES))
+    return F.nullif(F.array_position(is_code, F.lit(True)), F.lit(0)).cast("int")
 
 
 def header_layout(hdr: DataFrame) -> DataFrame:
@@ -525,29 +487,17 @@ def row_records(grid: DataFrame, hdr: DataFrame) -> DataFrame:
     )
 
 
-def companion_lookup(grid: DataFrame) -> DataFrame:
-    """School code -> County / District / School Name from companion
-    workbooks; the first row per code wins (C15, E3)."""
-    chosen = pick_sheet_by_preference(grid)
-    h = find_header(grid.join(chosen, on=["workbook", "sheet"]), kind="companion")
-    recs = row_records(grid, headers(grid, h)).filter(F.col("school_code").isNotNull() & (F.col("school_code") != ""))
-    payload = F.struct(F.col("County").alias("c_county"), F.col("District").alias("c_district"),
-                       F.col("School Name").alias("c_school"))
-    return (recs.groupBy("workbook", "school_code")
-                .agg(F.min_by(payload, F.struct("sheet", "row_no")).alias("p"))
-                .select(F.col("workbook").alias("companion"), "school_code", "p.*"))
-
-
 def backfill_blank(recs: DataFrame, lookup: DataFrame, pairing: DataFrame) -> DataFrame:
     """Fill blank County / District / School Name from the paired companion
-    by school code; only blank cells change, and a NULL code never matches
-    (J11, C15; deviation T15)."""
+    by school code; only blank cells change, a blank without a match becomes
+    NULL, and a NULL code never matches (J11, C15; deviation T15)."""
     r = recs.join(broadcast_if_bounded(pairing), on="workbook", how="left")
     lk = lookup.withColumnRenamed("companion", "__lc").withColumnRenamed("school_code", "__lcode")
     r = r.join(broadcast_if_bounded(lk), on=(F.col("companion") == F.col("__lc")) & (F.col("school_code") == F.col("__lcode")),
                how="left").drop("__lc", "__lcode")
     for col, fill in (("County", "c_county"), ("District", "c_district"), ("School Name", "c_school")):
-        r = r.withColumn(col, F.when(is_blank(F.col(col)) & F.col(fill).isNotNull(), F.col(fill)).otherwise(F.col(col)))
+        r = r.withColumn(col, F.when(is_blank(F.col(col)) & F.col("companion").isNotNull()
+                                  & F.col("school_code").isNotNull(), F.col(fill)).otherwise(F.col(col)))
     return r.drop("c_county", "c_district", "c_school", "companion")
 
 

@@ -140,17 +140,18 @@ def run_enrollment(grid: DataFrame, records: DataFrame) -> tuple[DataFrame, Data
                   .groupBy(F.col("workbook").alias("companion"), "school_code")
                   .agg(F.min_by(payload, F.struct("sheet", "row_no")).alias("p"))
                   .select("companion", "school_code", "p.*"))
-    # pair each primary with the companion of its fiscal year (last listed wins)
+    # a listed primary workbook is paired with the last readable companion listed
+    # under its fiscal year (records without a position count in name order)
+    place = F.col("pos") if "pos" in records.columns else F.lit(0)
     r = records.filter(F.col("fiscal_year").isNotNull())
-    pairing = (r.filter(F.col("pattern") != "school_site_li").select("workbook", "fiscal_year")
-               .join(r.filter(F.col("pattern") == "school_site_li")
-                     .select(F.col("workbook").alias("companion"), "fiscal_year"), "fiscal_year")
-               .groupBy("workbook").agg(F.max("companion").alias("companion")))
+    last = (r.filter(F.col("pattern") == "school_site_li").join(found.select("workbook"), "workbook", "left_semi")
+            .groupBy("fiscal_year").agg(F.max_by("workbook", F.struct(place, F.col("workbook"))).alias("companion")))
+    pairing = r.filter(F.col("pattern") == "school_ethgen_li").select("workbook", "fiscal_year") \
+        .join(last, "fiscal_year").select("workbook", "companion")
     filled = R.backfill_blank(prim, lookup, pairing)
     long = R.melt_records(filled, fiscal_year=F.col("fiscal_year"))
 
-    prim_records = records.filter(F.col("pattern") != "school_site_li")
-    missing_sheet = prim_records.join(found.select("workbook"), "workbook", "left_anti").select(
+    missing_sheet = records.join(found.select("workbook"), "workbook", "left_anti").select(
         F.lit("no_matching_sheet").alias("kind"),
         F.concat(F.col("workbook"), F.lit(" (pattern "), F.col("pattern"), F.lit(")")).alias("detail"))
     names = found.filter(F.col("pattern") != "school_site_li").select(
@@ -253,12 +254,13 @@ def run_enrollment_pipeline(wh, grid: DataFrame, records: DataFrame, *, held: Da
         fail(e)
     warning = None
     if watched is not None:
-        status = newer_period_check(long, watched).first()["status"]  # one row
+        periods = records.filter(F.col("pattern") != "school_site_li").select(F.col("fiscal_year").alias("Year"))
+        status = newer_period_check(periods, watched).first()["status"]  # one row
         if status == "newer_period_available":
             fail(NewerPeriodError("a newer period is published than the one collected"))
         if status == "unknown":
             warning = "newer_period_unknown"
-    files = records.select(F.col("workbook").alias("file_name"))
+    files = records.filter(F.col("pattern") != "school_site_li").select(F.col("workbook").alias("file_name"))
     new, nothing_new = incremental_skip(files, held)
     if nothing_new:
         rec = record_no_change(wh, table, pipeline=pipeline, run_id=run_id)

@@ -70,7 +70,7 @@ def q_rename_by_alias(src, cfg: MartConfig) -> DataFrame:
 
 def q_backfill_blank(src, cfg: MartConfig) -> DataFrame:
     long, _ = _job(src)
-    return long.filter(F.col("Grade") == "Kindergarten")
+    return long  # all rows: the blanks that are filled and the rows that must not change
 
 
 def q_pair_companion(src, cfg: MartConfig) -> DataFrame:
@@ -83,9 +83,11 @@ def q_pair_companion(src, cfg: MartConfig) -> DataFrame:
 
 
 def q_newer_period_check(src, cfg: MartConfig) -> DataFrame:
-    long, _ = _job(src)
+    # the found workbooks' fiscal years, before any reshaping
+    periods = E.records_for(E.derived_grid(src)).filter(F.col("pattern") != "school_site_li").select(
+        F.col("fiscal_year").alias("Year"))
     watched = src.wide_enrollment.select(F.col("schoolyear").alias("Year"))
-    return E.newer_period_check(long, watched)
+    return E.newer_period_check(periods, watched)
 
 
 def q_incremental_skip(src, cfg: MartConfig) -> DataFrame:

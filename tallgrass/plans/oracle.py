@@ -333,14 +333,19 @@ from r_occ where classid = '1' and areaid_type = 'COUNTY' and {st('areaid', S)}
 
 
 def regional_sql(c: MartConfig) -> str:
-    S, Y, D = c.state, c.as_of_year, c.ratio_digits
+    S, Y = c.state, c.as_of_year
+
+    def avg_ratio(a: str, b: str) -> str:
+        units = f"cast(round(cast({a} as double) / nullif(cast({b} as double), 0) * 1e15) as hugeint)"
+        return f"cast(sum({units}) as double) / (cast(count({units}) as double) * 1e15)"
+
     cur_pop, prior_pop = c.population_years
 
     def lf(delta: str) -> str:
         return f"""
  select areaid, areaid_name, lfp_denom,
-  round(avg((emp + unemp) / pop), {D}) as lfpr, round(avg(unemp), 0) as unemp,
-  round(avg(unemp / (emp + unemp)), {D}) as unempr, round(avg(emp), 0) as emp
+  {avg_ratio("(emp + unemp)", "pop")} as lfpr, round(avg(unemp), 0) as unemp,
+  {avg_ratio("unemp", "(emp + unemp)")} as unempr, round(avg(emp), 0) as emp
  from r_labor_force
  where year = (select max(year){delta} from r_labor_force where areaid_type = 'COUNTY')
   and areaid <> '{S}' and areaid_type = 'COUNTY' and {st('areaid', S)}
@@ -767,7 +772,7 @@ def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
     melt = _wrap(["r_wide_enrollment"], _melt_body())
     q["melt_wide"] = melt
     q["enrollment_primary"] = melt
-    q["backfill_blank"] = _wrap(["r_wide_enrollment"], _melt_body() + " and Grade = 'Kindergarten'")
+    q["backfill_blank"] = melt
     years = "(select distinct schoolyear as y from r_wide_enrollment)"
     q["findings"] = _wrap(["r_wide_enrollment"], f"""
 select 'no_matching_sheet' as kind, 'summary_' || y || ' (pattern school_ethgen_li)' as detail from {years} x""")

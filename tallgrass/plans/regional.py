@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.config import MartConfig
-from tallgrass.functions import div0, filter_state, round_ratio, safe_ratio
+from tallgrass.functions import avg_ratio, div0, filter_state, safe_ratio
 from tallgrass.operators.relational import (
     broadcast_if_bounded,
     pivot_current_prior,
@@ -29,9 +29,9 @@ COMPLETION_LEVELS = {3: "ASSOC_COMPLETIONS", 5: "BACH_COMPLETIONS", 7: "MASTERS_
 def _labour_force_year(lf: DataFrame, year, cfg: MartConfig, prefix: str) -> DataFrame:
     d = lf.filter((F.col("year") == year) & (F.col("areaid") != F.lit(cfg.state))).drop("__max")
     return (d.groupBy("areaid", "areaid_name", "lfp_denom").agg(
-        round_ratio(F.avg(safe_ratio(F.col("emp") + F.col("unemp"), F.col("pop"))), cfg.ratio_digits).alias(f"{prefix}LFPR"),
+        avg_ratio(F.col("emp") + F.col("unemp"), F.col("pop")).alias(f"{prefix}LFPR"),
         F.round(F.avg("unemp"), 0).alias(f"{prefix}UNEMP"),
-        round_ratio(F.avg(safe_ratio(F.col("unemp"), F.col("emp") + F.col("unemp"))), cfg.ratio_digits).alias(f"{prefix}UNEMPR"),
+        avg_ratio(F.col("unemp"), F.col("emp") + F.col("unemp")).alias(f"{prefix}UNEMPR"),
         F.round(F.avg("emp"), 0).alias(f"{prefix}EMP")))
 
 

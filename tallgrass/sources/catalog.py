@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.session import apply_session_settings, scratch_root
 from tallgrass.sources import roles
-from tallgrass.sources.fs import write_parquet_atomic
+from tallgrass.sources.fs import fingerprint, write_parquet_atomic
 
 # logical source name -> role table
 SOURCE_ROLES = {
@@ -58,14 +58,16 @@ _LAYOUT = {
 }
 
 _LOCK = threading.Lock()
-_CATALOGS: dict[tuple[int, str], "SourceCatalog"] = {}
+_CATALOGS: dict[tuple[int, str, str], "SourceCatalog"] = {}
 
 
 class SourceCatalog:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, seen: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        key = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
+        # new data under the same folder name gets tables of its own
+        seen = fingerprint(spark, self.sf_dir) if seen is None else seen
+        key = hashlib.sha1(f"{self.sf_dir} {seen}".encode()).hexdigest()[:10]
         self.root = f"{scratch_root(spark)}/tallgrass_sources/{key}/{roles.roles_version()}"
         self._frames: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
@@ -141,8 +143,9 @@ class SourceCatalog:
 def catalog(spark: SparkSession, sf_dir: str) -> SourceCatalog:
     """Per-session, per-folder catalog (role tables are written once)."""
     apply_session_settings(spark)
-    key = (id(spark), sf_dir.rstrip("/"))
+    seen = fingerprint(spark, sf_dir)
+    key = (id(spark), sf_dir.rstrip("/"), seen)
     with _LOCK:
         if key not in _CATALOGS:
-            _CATALOGS[key] = SourceCatalog(spark, sf_dir)
+            _CATALOGS[key] = SourceCatalog(spark, sf_dir, seen)
         return _CATALOGS[key]

@@ -60,11 +60,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs_and_path(spark, path)
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and modification times of the files of a folder of tables
+    (a table is a file or a folder of files)."""
+    fs, p = _fs_and_path(spark, folder)
     if not fs.exists(p):
-        return []
-    return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory())
+        return ""
+    seen = []
+    for table in fs.listStatus(p):
+        for f in fs.listStatus(table.getPath()) if table.isDirectory() else [table]:
+            seen.append(f"{table.getPath().getName()}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return " ".join(sorted(seen))
 
 
 def write_parquet_atomic(df, path: str, sort_within: tuple[str, ...] = ()) -> str:

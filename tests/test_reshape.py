@@ -213,6 +213,35 @@ def test_reshape_renames_backfills_and_unpivots(spark):
         E.gate_on_findings(findings)
 
 
+def test_pairing_by_place_and_pattern(spark):
+    """The last companion listed counts, whatever its name; "click here" workbooks
+    are not filled; a blank without a match becomes NULL; a companion without a
+    fitting sheet is a finding and pairs with nothing."""
+    vals = [str(i) for i in range(1, 15)]
+    head = ["SchoolYear", "County", "District", "School Name", "Site Code", "School Code", "Grade", *R.VALUE_COLUMNS]
+
+    def primary(workbook, sheet):
+        return [(workbook, sheet, 0, 0, head),
+                (workbook, sheet, 0, 1, ["2024", " ", "D1", "S1", "7", "0", "5", *vals]),
+                (workbook, sheet, 0, 2, ["2024", "", "D2", "S2", "8", "0", "5", *vals])]
+
+    def companion(workbook, county):
+        return [(workbook, "ALL sites", 0, 0, ["County", "School Site", "School Code"]),
+                (workbook, "ALL sites", 0, 1, [county, "S1", "7"])]
+
+    grid = _grid(spark, primary("listed", "A") + primary("clicked", R.TOTALS_SHEET) + companion("z_first", "WRONG")
+                 + companion("a_last", "RIGHT") + [("broken", "ALL sites", 0, 0, ["nothing"])])
+    records = spark.createDataFrame([
+        ("listed", "school_ethgen_li", "2023-2024", 1), ("clicked", "click_here", "2023-2024", 2),
+        ("z_first", "school_site_li", "2023-2024", 3), ("a_last", "school_site_li", "2023-2024", 4),
+        ("broken", "school_site_li", "2023-2024", 5),
+    ], "workbook string, pattern string, fiscal_year string, pos int")
+    long, findings = E.run_enrollment(grid, records)
+    got = {(r["School"], r["County"]) for r in long.collect()}
+    assert got == {("S1", "RIGHT"), ("S2", None), ("S1", " "), ("S2", "")}
+    assert [r["detail"] for r in findings.collect()] == ["broken (pattern school_site_li)"]
+
+
 def test_rename_by_alias_three_conventions(spark):
     df = spark.createDataFrame([
         (["School Year", "County", "Grade Code", "Grade", "Hispanic Male", "White Female, (Non Hispanic)"],),
