@@ -142,8 +142,11 @@ def fact_skills_lagged(src, cfg: MartConfig) -> DataFrame:
 
 def fact_profiles(src, cfg: MartConfig) -> DataFrame:
     prof = filter_state(src.profiles, "county", cfg.state)
+    # the national education rows first meet the in-state ids: the inner join
+    # below keeps no others, and their distinct pairs need no further exchange
+    schools = src.profiles_educations.join(prof.select("id"), "id", "left_semi")
     out = entity_fanout_count(
-        [(src.profiles_educations, "school_name"), (prof, "county"), (prof, "naics6"), (prof, "soc_5")],
+        [(schools, "school_name"), (prof, "county"), (prof, "naics6"), (prof, "soc_5")],
         "id", ["inner", "left", "left"], "TOTAL_PROFILES_COUNT")
     return out.select(F.col("county").alias("AREAID"), F.col("naics6").alias("INDID"),
                       F.col("soc_5").alias("OCCID"), F.col("school_name").alias("SCHOOL"), "TOTAL_PROFILES_COUNT")
