@@ -171,8 +171,22 @@ def _resolve(base: Column, href: Column) -> Column:
     directory = F.when(directory == "", F.concat(origin, F.lit("/"))).otherwise(directory)
     return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
              .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
-             .when(href.startswith("/"), F.concat(origin, href))
-             .otherwise(F.concat(directory, href)))
+             .when(href.startswith("/"), _without_dots(F.concat(origin, href)))
+             .otherwise(_without_dots(F.concat(directory, href))))
+
+
+def _without_dots(link: Column) -> Column:
+    """Path segments ``.`` and ``..`` of an absolute link taken away; ``..`` at the root stays at the root."""
+    origin = F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(link, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
+    rest = F.regexp_extract(link, r"([?#].*)$", 1)
+    # a last segment of dots names a folder
+    segments = F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, x: F.when(
+        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x))))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(origin, F.lit("/"), F.array_join(kept, "/"), rest)) \
+        .otherwise(link)
 
 
 def file_name(link: Column) -> Column:

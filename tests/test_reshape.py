@@ -118,6 +118,16 @@ def test_open_list_items_still_classify(spark):
     assert got == ["school_ethgen_li", "school_site_li"]
 
 
+def test_relative_links(spark):
+    hrefs = ["a.xlsx", "../a.xlsx", "../../../a.xlsx", "./a/../b.xlsx?v=../1", "/x/./y/../a.xlsx", "//o.org/a", "..",
+             "https://o.org/a/../b", "a..b/c.xlsx"]
+    html = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    got = [r["link"] for r in R.page_anchors(_as_pages(spark, [html])).orderBy("pos").collect()]
+    assert got == ["https://h.example.org/d/a.xlsx", "https://h.example.org/a.xlsx", "https://h.example.org/a.xlsx",
+                   "https://h.example.org/d/b.xlsx?v=../1", "https://h.example.org/x/a.xlsx", "https://o.org/a",
+                   "https://h.example.org/", "https://o.org/a/../b", "https://h.example.org/d/a..b/c.xlsx"]
+
+
 def test_file_names_decode_or_stay(spark):
     links = ["https://h/x/a%20b.xlsx", "https://h/x/a+b.xlsx", "https://h/x/50%zz.xlsx", "https://h/x/a.xlsx?v=1"]
     df = spark.createDataFrame([(x,) for x in links], "link string")
