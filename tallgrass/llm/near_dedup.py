@@ -18,10 +18,11 @@ every class meets one hub per list; the first hub is the class with the
 fewest values of its own, the nearest to what the group has in common.  The
 union sketch of a pair estimates its similarity and drops pairs five standard
 deviations below the limit; the rest is verified on the full sets.  Links
-join into components, which two such rounds leave nearly complete.  A last
-join compares, within the lists that still hold several components, classes
-of different components; its condition is the exact test, so it emits links
-only, and pairs inside a component are not compared any more.
+join into components; rounds with other hubs follow while many pairs are open
+and a round settles at least half of them.  A last join compares, within all
+lists that still hold several components, classes of different components;
+its condition is the exact test, so it emits links only, and pairs inside a
+component are not compared any more.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is its own component; repeated rows and ids are fine (classes go by set,
@@ -43,8 +44,8 @@ from tallgrass.llm.common import ascii_lower, durable, let, small_side, window_h
 SHINGLE = 5
 SKETCH = 64
 PERCENT = 85
-#: Lists per class in the last join, the rarest values first.
-LAST_LISTS = 8
+#: Hub rounds end below this many open pairs a class; the last join compares those.
+OPEN_PAIRS = 4
 BROADCAST_IDS = 2_000_000
 
 _SPREAD = 5 * math.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / SKETCH)
@@ -122,7 +123,7 @@ def last_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between classes of different components that share a list; a pair
     is tested in the first list that both are in."""
     mine = lists.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))),
-                                                 lambda e: e["value"]).alias("values"))  # at most LAST_LISTS
+                                                 lambda e: e["value"]).alias("values"))  # at most SKETCH
     full = lists.join(mine, "node").join(sets, "node").select("value", "node", "n", "comp", "values", "set")
     a, b = full.alias("a"), full.alias("b")
     on = (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node")) \
@@ -160,6 +161,13 @@ def _with_comp(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return named.join(mixed, "value", "left_semi")
 
 
+def _open_pairs(mixed: DataFrame) -> int:
+    """Pairs of classes of different components, counted in each list they share."""
+    held = mixed.groupBy("value", "comp").agg(F.count("*").alias("m")).groupBy("value").agg(
+        F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("inside"))
+    return held.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.lit(0))).first()[0]
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -174,11 +182,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sets = durable(named.join(small_side(listed.select("node"), BROADCAST_IDS), "node", "left_semi")
                    .groupBy("node").agg(F.min("set").alias("set")), "sets")
     links = hub_links(lists.withColumn("comp", F.col("node")), F.col("own"), nodes, sets)
-    comps = components(links)
-    rarest = lists.where(F.col("rank") < LAST_LISTS)
-    mixed = durable(_with_comp(rarest, comps), "mixed")
-    links = links.unionByName(hub_links(mixed, F.xxhash64("node", "value"), nodes, sets))
-    mixed = durable(_with_comp(rarest, components(links)), "mixed")
+    mixed = durable(_with_comp(lists, components(links)), "mixed")
+    few, before, left, salt = OPEN_PAIRS * nodes.count(), math.inf, _open_pairs(mixed), 0
+    while left > few and left <= before / 2:
+        links = links.unionByName(hub_links(mixed, F.xxhash64("node", "value", F.lit(salt)), nodes, sets))
+        mixed = durable(_with_comp(lists, components(links)), "mixed")
+        before, left, salt = left, _open_pairs(mixed), salt + 1
     comps = components(links.unionByName(last_links(mixed, sets)))
     named = nodes.select("node", "first_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))

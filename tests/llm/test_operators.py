@@ -156,6 +156,19 @@ def test_components_match_brute_force(make_docs):
         assert (out[i].n_shingles, out[i].component_id, out[i].kept) == (len(sets[i]), comp[i], comp[i] == i), texts[i]
 
 
+def test_links_beyond_the_rarest_lists(make_docs):
+    # a + passage is linked to its base only; the passage's values are rarer than the base's, whose hubs are trimmed copies
+    texts = []
+    for g in range(12):
+        b, passage = [f"f{g}w{k}" for k in range(104)], [f"f{g}p{k}" for k in range(17)]
+        trimmed = [b[i:104 - cut + i] for cut in range(1, 8) for i in range(cut + 1)][-30:]
+        other = b[-4:] + passage + [f"f{g}o{k}" for k in range(60)]
+        texts += [" ".join(w) for w in [b, b + passage, other, *trimmed]]
+    _, comp = jaccard_components(texts)
+    out = by_id(near_dedup.near_duplicates(make_docs(texts)))
+    assert {i: out[i].component_id for i in comp} == comp
+
+
 def test_components_with_null_and_repeated_ids(make_docs):
     long = " ".join(f"w{i}" for i in range(40))
     out = near_dedup.near_duplicates(make_docs([long, long, long, "other"], [7, None, 7, None])).collect()
