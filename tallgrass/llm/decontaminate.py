@@ -9,12 +9,14 @@ Windows of an item's size class begin at every word of every document.  The
 CGK random walk embeds a window: step j writes the word under the pointer and
 moves on if a random bit of (j, word) is set.  Words in both sequences that
 the walk has brought into step agree, so a small edit distance becomes a
-small Hamming distance.  Each of ``REPEATS`` walks samples ``SAMPLED`` of its
-coordinates; windows and items that agree on all of them in some repeat are
-candidates, and a dynamic programme then verifies the edit distance exactly.
-Equal passages always collide.  With a Hamming distance of h of the embedding
-the chance to be a candidate is ``1 - (1 - (1 - h)**SAMPLED)**REPEATS``: 0.999
-at h = 0.15, 0.97 at h = 0.3.
+small Hamming distance.  Each of ``REPEATS`` walks goes over the whole window
+(the pointer moves half a word a step) and samples ``SAMPLED`` coordinates of
+it; an item takes part in the repeats whose coordinates lie inside it.  Windows
+and items that agree on all coordinates in some repeat are candidates, and a
+dynamic programme then verifies the edit distance exactly, for every start
+within the tolerance of the window's.  Equal passages always collide: the
+first repeat samples steps that lie inside every item.  The recall at the
+tolerance is measured (README), not derived.
 
 Before embedding, windows that cannot pass are left out without loss: a
 window within the tolerance has all but that many of its words from the
@@ -46,8 +48,10 @@ from tallgrass.llm import runs
 from tallgrass.llm.common import few_arrow_rows
 
 TOLERANCE = 0.2
-REPEATS = 8
+REPEATS = 56
 SAMPLED = 3
+#: Steps of a walk for a word of a class's shortest items.
+STEPS = 2.25
 MIN_ITEM_WORDS = 8
 CLASS_STEP = 1.25
 BLOCK_ITEMS = 50_000
@@ -57,7 +61,8 @@ GATHER = 4 << 20
 
 _BREAKS = np.ones(256, bool)
 _BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-_PAD = np.uint64(0x5851F42D4C957F2D)
+#: Stands behind every text and item; a walk that reaches it stays there (0 times anything has no top bit).
+_PAD = np.zeros(1, np.uint64)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,13 +73,14 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return runs.hashes(data, starts, ends), np.searchsorted(starts, begin)
 
 
-def edit_distance(item: np.ndarray, text: np.ndarray, most: int) -> int:
-    """Least word edit distance between the item and a prefix of the text, or
-    ``most + 1`` if it is above ``most``."""
-    n = min(len(text), len(item) + most)
+def edit_distance(item: np.ndarray, text: np.ndarray, most: int, skip: int = 0) -> int:
+    """Least word edit distance between the item and a prefix of the text (of
+    what is left after up to ``skip`` words), or ``most + 1`` if it is above
+    ``most``."""
+    n = min(len(text), skip + len(item) + most)
     if len(item) <= n and (item == text[:len(item)]).all():
         return 0
-    row = np.arange(n + 1)
+    row = np.maximum(np.arange(n + 1) - skip, 0)
     steps = np.arange(1, n + 1)
     for i, w in enumerate(item, 1):
         best = np.minimum(row[:-1] + (text[:n] != w), row[1:] + 1)
@@ -106,33 +112,39 @@ class Index:
                 low = int(low * CLASS_STEP) + 1
             by_size[low].append(k)
         for low, members in sorted(by_size.items()):
-            steps = 2 * low
+            steps = int(STEPS * low)
             walks = rng.integers(0, 2**64, (REPEATS, steps), dtype=np.uint64) | np.uint64(1)
-            # coordinates within the first `low` steps: they lie in the window whatever the walk
-            sampled = [sorted(rng.choice(low, SAMPLED, replace=False).tolist()) for _ in range(REPEATS)]
+            # the first repeat's coordinates lie within `low` steps: inside every item whatever the walk
+            sampled = [sorted(rng.choice(steps if r else low, SAMPLED, replace=False).tolist()) for r in range(REPEATS)]
             vocab = np.unique(np.concatenate([self.words[k] for k in members]))
             most = max(self.most[k] for k in members)
-            flat = np.concatenate([self.words[k][:low] for k in members])
-            keys = self._keys(flat, np.arange(len(members)) * low, np.arange(1, len(members) + 1) * low, walks, sampled)
+            flat = np.concatenate([a for k in members for a in (self.words[k], _PAD)])
+            end = np.cumsum([len(self.words[k]) + 1 for k in members])
+            keys, whole = self._keys(flat, np.concatenate([[0], end[:-1]]), walks, sampled)
             tables = []
             for r in range(REPEATS):
                 order = np.argsort(keys[r], kind="stable")
+                order = order[whole[r][order]]
                 tables.append((keys[r][order], np.asarray(members)[order]))
             self.classes.append((low, most, vocab, walks, sampled, tables))
 
     @staticmethod
-    def _keys(words: np.ndarray, at: np.ndarray, end: np.ndarray, walks: np.ndarray, sampled: list) -> np.ndarray:
-        """One key per repeat for the window that begins at each of ``at`` (padded beyond ``end``)."""
+    def _keys(words: np.ndarray, at: np.ndarray, walks: np.ndarray, sampled: list) -> tuple[np.ndarray, np.ndarray]:
+        """One key per repeat for the window that begins at each of ``at``, and
+        whether all its coordinates lie before the padding."""
         out = np.zeros((len(sampled), len(at)), np.uint64)
+        whole = np.ones(out.shape, bool)
         for r, coords in enumerate(sampled):
-            place = at.copy()
+            place = at.astype(np.int64)
             for j in range(coords[-1] + 1):
-                inside = place < end
-                word = np.where(inside, words[np.minimum(place, len(words) - 1)], _PAD)
+                word = words[place]
                 if j in coords:
                     out[r] = runs.mix(out[r] + word)
-                place = place + ((word * walks[r, j]) >> np.uint64(63)).astype(np.int64)
-        return out
+                    whole[r] &= word != _PAD
+                word *= walks[r, j]
+                word >>= np.uint64(63)
+                place += word.view(np.int64)
+        return out, whole
 
     def search(self, texts: list[bytes]) -> list[dict[int, int]]:
         """For every text: item id -> least edit distance found."""
@@ -142,6 +154,7 @@ class Index:
             return found
         owner = np.repeat(np.arange(len(texts)), np.diff(first))
         ends = first[1:][owner]
+        padded = np.insert(words, first[1:], _PAD[0])
         for low, most, vocab, walks, sampled, tables in self.classes:
             known = _member(vocab, words)
             upto = np.concatenate([[0], np.cumsum(known)])
@@ -149,12 +162,13 @@ class Index:
             at = np.flatnonzero(upto[stop] - upto[:-1] >= low - most)
             if not len(at):
                 continue
-            keys = self._keys(words, at, ends[at], walks, sampled)
+            keys, _ = self._keys(padded, at + owner[at], walks, sampled)
             for place, k in self._candidates(at, keys, tables):
                 doc, item = owner[place], self.ids[k]
                 if found[doc].get(item) == 0:
                     continue
-                d = edit_distance(self.words[k], words[place:ends[place]], self.most[k])
+                begin = max(first[doc], place - self.most[k])
+                d = edit_distance(self.words[k], words[begin:ends[place]], self.most[k], place - begin + self.most[k])
                 if d <= self.most[k]:
                     found[doc][item] = min(d, found[doc].get(item, d))
         return found

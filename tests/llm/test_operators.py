@@ -260,6 +260,33 @@ def test_leaks_exact_and_edited(make_docs, spark):
     assert decontaminate.clean_documents(make_docs(texts), items).count() == len(texts) - 2
 
 
+def edited_leaks(n, where, draws, rng):
+    """Items of n words, and texts that hold them with as many edits as the tolerance allows."""
+    items, texts = [], []
+    for _ in range(draws):
+        item = [f"w{rng.integers(10**12)}" for _ in range(n)]
+        out = list(item)
+        for _ in range(int(decontaminate.TOLERANCE * n)):
+            lo, hi = {"start": (0, 0.5), "middle": (0.25, 0.75), "end": (0.5, 1)}.get(where, (0, 1))
+            i, kind = int(rng.integers(int(lo * len(out)), int(hi * len(out)))), rng.integers(0, 3)
+            new = [f"z{rng.integers(10**12)}"]
+            out[i:i + 1] = new if where == "replaced" or kind == 0 else [] if kind == 1 else new + out[i:i + 1]
+        fill = [f"f{rng.integers(10**12)}" for _ in range(2 * n)]
+        items.append(" ".join(item).encode())
+        texts.append(" ".join(fill[:n] + out + fill[n:]).encode())
+    return items, texts
+
+
+@pytest.mark.parametrize("n", [10, 30, 50, 80])
+def test_recall_at_the_tolerance(n):
+    rng = np.random.default_rng(n)
+    for where in ("start", "middle", "end", "spread", "replaced"):
+        items, texts = edited_leaks(n, where, 60, rng)
+        found = decontaminate.Index(list(enumerate(items))).search(texts)
+        recall = np.mean([i in f for i, f in enumerate(found)])
+        assert recall >= 0.98, (where, recall)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), max_size=10))
 def test_edit_distance(a, b):
