@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm.common import table
-from tallgrass.llm import bpe, decontaminate, html_text, near_dedup, pitman_yor, quality_gam, quality_rules, secret_scan, sharding, token_files
+from tallgrass.llm import (bpe, decontaminate, html_text, lexical_search, near_dedup, pitman_yor, quality_gam, quality_rules,
+                           secret_scan, sharding, token_files, url_rules, whitening)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,19 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_bpe_round_trip, op3_quality_gam, op4_near_dedup, op5_token_files, op6_pitman_yor, op7_secret_scan, op8_decontaminate,
-    op9_sharding, op10_html_text)}
-ORACLE_SQL: dict[str, str] = {}
+    op9_sharding, op10_html_text, op11_lexical_search, op12_url_rules, op13_whitening)}
+ORACLE_SQL: dict[str, str] = {"op11_lexical_search": lexical_search.ORACLE_SQL}
