@@ -148,9 +148,12 @@ def split_race_gender(c) -> tuple[Column, Column]:
     return _map_or_keep(race, RACE_LABELS), _map_or_keep(gender, GENDER_LABELS)
 
 
+RATIO_DIGITS = 18
+
+
 def avg_ratio(a, b) -> Column:
-    """Average of the rows' a / b, independent of the order of summation: the
-    ratios are summed as whole numbers of 1e-15, the precision of a double
-    near 1, so nothing is rounded that a double would hold."""
-    units = F.round(safe_ratio(a, b) * F.lit(1e15)).cast("decimal(28,0)")
-    return F.try_divide(F.sum(units).cast("double"), F.count(units).cast("double") * F.lit(1e15))
+    """Average of the rows' a / b for whole numbers, in any order of summation: each ratio
+    is a decimal of 18 places (half up), the sum is exact; NULL where b is 0 or NULL."""
+    ratio = F.try_divide(_col(a).cast("decimal(20,0)"), _col(b).cast("decimal(20,0)")).cast(f"decimal(38,{RATIO_DIGITS})")
+    units = (F.sum(ratio) * F.lit(10 ** RATIO_DIGITS).cast("decimal(19,0)")).cast("decimal(38,0)").cast("double")
+    return F.try_divide(units, F.count(ratio).cast("double") * F.lit(float(10 ** RATIO_DIGITS)))

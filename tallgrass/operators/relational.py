@@ -8,9 +8,8 @@ Design rules followed throughout:
   aggregation makes hot keys cheap).
 * Windows only over already-aggregated inputs whose partitions are bounded
   by a code list (e.g. industries per occupation), never over raw rows.
-* A side is broadcast only when the optimizer's size estimate (an upper
-  bound for scans, filters, projections and aggregates) is under a limit;
-  otherwise the join is left to sort-merge / AQE, which re-plans at runtime
+* A side is broadcast only when the optimizer's size estimate (of compressed
+  files, so no strict upper bound) is under a limit; otherwise the join is left to sort-merge / AQE, which re-plans at runtime
   with real sizes and splits skewed partitions.
 """
 
@@ -199,15 +198,29 @@ def sum_with_support(df: DataFrame, keys: Sequence[str], cols: dict[str, tuple[s
     return df.groupBy(*keys).agg(*aggs)
 
 
+def reduce_to_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is among ``ids``, before anything of ``df`` is shuffled.
+
+    A bounded id list is broadcast and tested in the scan's own stage.  A longer one is
+    left to the join that follows, into whose scan Spark puts a Bloom filter of the other
+    side's ids (session.py sets the sizes from which it does)."""
+    keys = ids.select(F.col(id_col).alias("__key"))
+    if estimated_bytes(keys) > BROADCAST_LIMIT_BYTES:
+        return df
+    return df.join(F.broadcast(keys.distinct()), df[id_col] == F.col("__key"), "left_semi")
+
+
 def flagged_count(df: DataFrame, flagged_ids: DataFrame, id_col: str, keys: Sequence[str],
                   n_out: str, flagged_out: str) -> DataFrame:
     """Rows per group, and distinct flagged ids per group (I5 decorrelated).
 
     Equals the correlated form ``(SELECT COUNT(DISTINCT id) ... WHERE k = k)``:
     a group with a NULL key never matches under ``=``, so it gets 0 (T2).
-    One pass over ``df``: flags are attached by a join to the distinct ids.
+    One pass over ``df``: flags are attached by a join to the distinct ids, and
+    only flags of ids that ``df`` holds are made distinct.
     """
-    flags = flagged_ids.select(F.col(id_col).alias("__fid")).distinct().withColumn("__flag", F.lit(True))
+    near = reduce_to_ids(flagged_ids.select(id_col), id_col, df)
+    flags = near.select(F.col(id_col).alias("__fid")).distinct().withColumn("__flag", F.lit(True))
     marked = df.join(flags, df[id_col] == F.col("__fid"), "left")
     all_keys = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     out = marked.groupBy(*keys).agg(
@@ -224,14 +237,66 @@ def group_total_alongside(detail: DataFrame, base: DataFrame, keys: Sequence[str
     return detail.join(totals, on=list(keys), how="inner")
 
 
-FANOUT_HOT_PAIRS = 1_000_000   # driving pairs per id from which the id is split
-FANOUT_SALTS = 64              # buckets a hot id is split into
-FANOUT_MAX_SPLIT = 10_000      # ids split at most (the broadcast list's bound)
+FANOUT_CELL = 1_000_000   # joined rows from which an id is split, and about the rows of a cell
+
+
+def _axis_buckets(sizes: Column, cell: float) -> Column:
+    """Buckets per axis so that a cell, one bucket of each, joins to about ``cell`` rows.
+
+    Axes are cut from the shortest on: an axis shorter than an even share of the
+    cell stays whole and leaves its share to the longer ones."""
+    order = F.array_sort(F.transform(sizes, lambda n, i: F.struct(F.greatest(n, F.lit(1)).alias("n"), i.alias("i"))))
+    start = F.from_json(F.lit(f'{{"room":{float(cell)},"axes":0,"cut":[]}}'),
+                        "struct<room:double,axes:int,cut:array<struct<i:int,g:bigint>>>")
+
+    def cut(s: Column, e: Column) -> Column:
+        share = F.floor(F.pow(s["room"], F.lit(1.0) / (F.size(sizes) - s["axes"])) + F.lit(1e-9))
+        width = F.greatest(F.lit(1), F.least(e["n"], share))
+        return F.struct(F.greatest(F.lit(1.0), s["room"] / width).alias("room"), (s["axes"] + 1).alias("axes"),
+                        F.concat(s["cut"], F.array(F.struct(e["i"].alias("i"), F.ceil(e["n"] / width).alias("g"))))
+                        .alias("cut"))
+
+    done = F.aggregate(order, start, lambda s, e: cut(s, e).cast(
+        "struct<room:double,axes:int,cut:array<struct<i:int,g:bigint>>>"), lambda s: F.array_sort(s["cut"]))
+    return F.transform(done, lambda e: e["g"])
+
+
+def _axis_sizes(rels: Sequence[DataFrame], id_col: str) -> DataFrame:
+    """Rows per id of every relation, as one array (partial counts before the shuffle)."""
+    parts = [rel.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).select(id_col, F.lit(i).alias("__i"), "__n")
+             for i, rel in enumerate(rels)]
+    return reduce(DataFrame.unionByName, parts).filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col("__i") == i, F.col("__n"))), F.lit(0)) for i in range(len(rels))])
+        .alias("__n"))
+
+
+def _joined_rows(sizes: Column, hows: Sequence[str]) -> Column:
+    """Rows an id joins to: the product of its relations' rows (a left join keeps at least one)."""
+    out = sizes[0].cast("double")
+    for i, how in enumerate(hows, start=1):
+        out = out * (sizes[i] if how == "inner" else F.greatest(sizes[i], F.lit(1))).cast("double")
+    return out
+
+
+def fanout_grid(pairs: Sequence[tuple[DataFrame, str]], id_col: str, hows: Sequence[str],
+                cell: int = FANOUT_CELL) -> DataFrame:
+    """Ids that join to more than ``cell`` rows: their distinct pairs per relation (``__n``)
+    and the buckets of each axis (``__g``).
+
+    Raw row counts, which never lie below the distinct ones, name the candidates; distinct
+    pairs are counted for those alone.  Both tables are written and of any length."""
+    many = _joined_rows(F.col("__n"), hows) > cell
+    raw = _axis_sizes([rel.select(id_col) for rel, _ in pairs], id_col)
+    some = materialize(raw.filter(many).select(id_col))
+    if some.isEmpty():
+        return some.select(id_col, F.array().cast("array<bigint>").alias("__n"), F.array().cast("array<bigint>").alias("__g"))
+    known = broadcast_if_bounded(some)
+    exact = _axis_sizes([rel.select(id_col, attr).join(known, id_col, "left_semi").distinct() for rel, attr in pairs], id_col)
+    return materialize(exact.filter(many).withColumn("__g", _axis_buckets(F.col("__n"), cell)))
 
 
 def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, hows: Sequence[str],
-                        out: str, hot_pairs: int = FANOUT_HOT_PAIRS, salts: int = FANOUT_SALTS,
-                        max_split: int = FANOUT_MAX_SPLIT) -> DataFrame:
+                        out: str, cell: int = FANOUT_CELL) -> DataFrame:
     """Counts over the join of distinct (id, attribute) relations.
 
     ``pairs`` = [(relation, attribute column)], joined on ``id_col`` in
@@ -239,40 +304,43 @@ def entity_fanout_count(pairs: Sequence[tuple[DataFrame, str]], id_col: str, how
     Every relation is reduced to distinct pairs first (a map-side partial
     aggregation), so the fan-out join sees one row per pair.
 
-    Hot ids are split. An id with at least ``hot_pairs`` rows in the driving
-    (first) relation (an upper bound of its pairs) spreads its pairs over ``salts`` buckets by attribute
-    hash, and its pairs in the other relations are copied to every bucket.
-    The join runs on (id, bucket), so no single task emits a hot id's whole
-    product. The split list is the largest ``max_split`` such ids (a top-k,
-    so its broadcast has a fixed bound). Any id not on it joins unsplit,
-    which gives the same rows, so the result does not depend on the split.
-    The split list is computed before the join is planned (one small job);
-    when it is empty the relations are joined on the id alone.
+    An id whose relations join to more than ``cell`` rows is spread over a grid:
+    each relation is cut along its own axis into buckets of its attribute's hash,
+    and a pair is copied to every cell that holds its bucket.  The join runs on
+    (id, cell), so about ``cell`` rows of an id are made in one place, however
+    they come about (one long relation or several middling ones).  Copies stay few
+    beside the rows joined: a cell of a * b * c rows receives a + b + c pairs.
+    A left-joined relation with pairs of the id, but none in a cell, adds no row
+    there.  Without such ids the relations are joined on the id alone.
     """
     rels = [rel.select(id_col, attr).distinct() for rel, attr in pairs]
     attrs = [attr for _, attr in pairs]
-    # rows per id of the raw driving relation bound its distinct pairs from
-    # above (a superset of the hot ids; splitting any id is exact), and need
-    # only a partial count over the id column, not a second distinct
-    sizes = (pairs[0][0].groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") >= hot_pairs))
-    # written once (every relation is tagged from it), at most max_split rows
-    split_ids = materialize(sizes.orderBy(F.col("__n").desc(), F.col(id_col)).limit(max_split)
-                            .select(id_col, F.lit(True).alias("__hot")))
-    if split_ids.isEmpty():   # no hot id: the plain join chain on the id
+    grid = fanout_grid(pairs, id_col, hows, cell)
+    if grid.isEmpty():
         joined = rels[0]
         for rel, how in zip(rels[1:], hows):
             joined = joined.join(rel, on=id_col, how=how)
         return joined.groupBy(*attrs).agg(F.count(F.lit(1)).alias(out))
-    split = F.broadcast(split_ids)
-    hot = F.coalesce(F.col("__hot"), F.lit(False))
-    first = rels[0].join(split, id_col, "left").select(
-        id_col, attrs[0], F.when(hot, F.pmod(F.xxhash64(attrs[0]), F.lit(salts))).otherwise(F.lit(0)).alias("__b"))
-    joined = first
-    for rel, attr, how in zip(rels[1:], attrs[1:], hows):
-        copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
-        side = rel.join(split, id_col, "left").select(id_col, attr, F.explode(copies).alias("__b"))
-        joined = joined.join(side, on=[id_col, "__b"], how=how)
+    side = broadcast_if_bounded(grid)
+    buckets = [F.col("__g")[i] for i in range(len(rels))]
+
+    def in_cells(i: int) -> DataFrame:
+        """Relation ``i`` with one row per cell of each pair (cell numbers: mixed radix of the axes' buckets)."""
+        low = reduce(lambda a, b: a * b, buckets[:i], F.lit(1).cast("bigint"))
+        copies = reduce(lambda a, b: a * b, [b for j, b in enumerate(buckets) if j != i], F.lit(1).cast("bigint"))
+        own = F.pmod(F.xxhash64(attrs[i]), buckets[i])
+        cells = F.transform(F.sequence(F.lit(0).cast("bigint"), copies - 1),
+                            lambda r: (F.floor(r / low) * buckets[i] + own) * low + F.pmod(r, low))
+        placed = F.when(F.col("__g").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(cells)
+        return rels[i].join(side, id_col, "left").withColumn("__cell", F.explode(placed))
+
+    joined = in_cells(0).select(id_col, "__cell", "__n", attrs[0])
+    for i, how in enumerate(hows, start=1):
+        right = in_cells(i).select(id_col, "__cell", attrs[i], F.lit(True).alias("__met"))
+        joined = joined.join(right, on=[id_col, "__cell"], how=how)
+        if how != "inner":
+            joined = joined.filter(F.col("__met").isNotNull() | F.col("__n").isNull() | (F.col("__n")[i] == 0))
+        joined = joined.drop("__met")
     return joined.groupBy(*attrs).agg(F.count(F.lit(1)).alias(out))
 
 

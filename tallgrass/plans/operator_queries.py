@@ -30,6 +30,9 @@ from tallgrass.operators.relational import (
 )
 from tallgrass.plans.dims import combined_industries, prioritized_industries
 from tallgrass.plans.employment import allocate_by_percent, location_quotient, share_allocation
+from tallgrass.plans.postings import fact_skills
+from tallgrass.sources.catalog import SOURCE_ROLES
+from tallgrass.sources.tables import TableCatalog, register_external
 
 
 def q_filter_state(src, cfg: MartConfig) -> DataFrame:
@@ -201,13 +204,22 @@ def q_star_join(src, cfg: MartConfig) -> DataFrame:
     return star_join(spine, sides, "areaid").withColumnRenamed("areaid", "AREAID")
 
 
+def q_table_source(src, cfg: MartConfig) -> DataFrame:
+    """fact_skills read through catalog tables instead of paths (A1)."""
+    names = ("postings", "postings_skills", "crosswalk")
+    paths = {name: f"{src.root}/{SOURCE_ROLES[name]}" for name in names}
+    contract = {name: getattr(src, name).schema for name in names}
+    database = "tallgrass_" + src.root.rsplit("/", 2)[1]
+    tables = register_external(src.spark, database, paths, f"{src.root}/{database}")
+    return fact_skills(TableCatalog(src.spark, tables, contract), cfg)
+
+
 OPERATOR_QUERIES = {
     "filter_state": q_filter_state,
     "filter_state_text": q_filter_state_text,
     "crosswalk_left": q_crosswalk_left,
     "crosswalk_inner": q_crosswalk_inner,
     "index_to_baseline": q_index_to_baseline,
-    "flatten_hierarchy": q_flatten_hierarchy,
     "prefer_source": q_prefer_source,
     "share_of_group": q_share_of_group,
     "share_allocation": q_share_allocation,
@@ -224,4 +236,6 @@ OPERATOR_QUERIES = {
     "change_and_pct_change": q_change_and_pct_change,
     "calendar_window_count": q_calendar_window_count,
     "star_join": q_star_join,
+    "table_source": q_table_source,
+    "flatten_hierarchy": q_flatten_hierarchy,
 }

@@ -336,8 +336,10 @@ def regional_sql(c: MartConfig) -> str:
     S, Y = c.state, c.as_of_year
 
     def avg_ratio(a: str, b: str) -> str:
-        units = f"cast(round(cast({a} as double) / nullif(cast({b} as double), 0) * 1e15) as hugeint)"
-        return f"cast(sum({units}) as double) / (cast(count({units}) as double) * 1e15)"
+        # whole numbers of 1e-18, half up (nothing here is negative)
+        units = (f"case when {b} <> 0 then (cast({a} as hugeint) * 2 * cast(1000000000000000000 as hugeint) + {b}) "
+                 f"// (2 * cast({b} as hugeint)) end")
+        return f"cast(sum({units}) as double) / (cast(count({units}) as double) * 1e18)"
 
     cur_pop, prior_pop = c.population_years
 
@@ -464,6 +466,8 @@ select t1.areaid as AREAID, t1.year as YEAR, t1.month as MONTH, t1.emp as EMP, t
  t1.emp / t2.emp as EMP_INDEX
 from lf t1 join lf t2 on t1.areaid = t2.areaid and t2.year = {B} and t2.month = 1""")
 
+    q["table_source"] = mart_sql(c)["fact_skills"]
+
     q["flatten_hierarchy"] = _wrap(["r_dim_indid"], """
 select c0.indid as INDID, c1.indid as PARENT1, c2.indid as PARENT2, c3.indid as PARENT3, c4.indid as PARENT4,
  c4.name as TOP_NAME

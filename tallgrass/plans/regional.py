@@ -1,7 +1,8 @@
 """fact_regional_indicators: one scorecard row per county.
 
 The source query is ~20 CTEs; here each source table is read once:
-labour force for the current and prior year, one conditional aggregation
+labour force averaged per county and year, of which the newest two years are
+taken from the small result; one conditional aggregation
 per table for population, postings, enrollments and completions (the ten
 near-identical completion CTEs become one pass, D17), then a star of
 broadcast left joins onto the labour-force spine (C14).  Every side is
@@ -10,11 +11,11 @@ grouped by county, so its size is bounded by the number of areas.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.config import MartConfig
-from tallgrass.functions import avg_ratio, div0, filter_state, safe_ratio
+from tallgrass.functions import avg_ratio, div0, filter_state, in_state, safe_ratio
 from tallgrass.operators.relational import (
     broadcast_if_bounded,
     pivot_current_prior,
@@ -26,30 +27,56 @@ COMPLETION_LEVELS = {3: "ASSOC_COMPLETIONS", 5: "BACH_COMPLETIONS", 7: "MASTERS_
                      9: "DOCTORS_COMPLETIONS", 11: "CERT_COMPLETIONS"}
 
 
-def _labour_force_year(lf: DataFrame, year, cfg: MartConfig, prefix: str) -> DataFrame:
-    d = lf.filter((F.col("year") == year) & (F.col("areaid") != F.lit(cfg.state))).drop("__max")
-    return (d.groupBy("areaid", "areaid_name", "lfp_denom").agg(
-        avg_ratio(F.col("emp") + F.col("unemp"), F.col("pop")).alias(f"{prefix}LFPR"),
-        F.round(F.avg("unemp"), 0).alias(f"{prefix}UNEMP"),
-        avg_ratio(F.col("unemp"), F.col("emp") + F.col("unemp")).alias(f"{prefix}UNEMPR"),
-        F.round(F.avg("emp"), 0).alias(f"{prefix}EMP")))
+def _current_and_prior(per_year: DataFrame, keys: list[str], age: Column, values: list[str],
+                       current_only: bool) -> DataFrame:
+    """Rows of the current year (``age`` 0) beside those of the year before (1), by ``areaid``.
+
+    What belongs to an area is a handful of rows (its names, two years): they are
+    gathered and paired without a second read.  The year before has prefix ``P_``;
+    an area without current rows goes if ``current_only``."""
+    row = F.struct(*keys, *values)
+    two = per_year.withColumn("__age", age).filter(F.col("__age").isin(0, 1)).groupBy("areaid").agg(
+        F.collect_list(F.when(F.col("__age") == 0, row)).alias("now"),
+        F.collect_list(F.when(F.col("__age") == 1, row)).alias("before"))
+    unroll = F.explode if current_only else F.explode_outer
+    paired = two.select("areaid", unroll("now").alias("now"), "before") \
+        .select("areaid", "now", F.explode_outer("before").alias("before"))
+    return paired.select("areaid", *[F.col(f"now.{c}").alias(c) for c in [*keys, *values]],
+                         *[F.col(f"before.{c}").alias(f"P_{c}") for c in values])
+
+
+def _labour_force(src, cfg: MartConfig) -> DataFrame:
+    """The spine from one read: averages per county and year, of which the newest two
+    years count.  The newest year is the nation's, so rows of other states stay in the
+    aggregation, but only as one row per year."""
+    lf = src.labor_force.filter(F.col("areaid_type") == "COUNTY")
+    mine = F.coalesce(in_state("areaid", lf.schema["areaid"].dataType, cfg.state), F.lit(False)) \
+        & (F.col("areaid") != F.lit(cfg.state))
+    own = lf.select("year", *[F.when(mine, F.col(c)).alias(c) for c in
+                              ("areaid", "areaid_name", "lfp_denom", "emp", "unemp", "pop")])
+    force = F.col("emp") + F.col("unemp")
+    per_year = own.groupBy("areaid", "areaid_name", "lfp_denom", "year").agg(
+        avg_ratio(force, F.col("pop")).alias("LFPR"), F.round(F.avg("unemp"), 0).alias("UNEMP"),
+        avg_ratio(F.col("unemp"), force).alias("UNEMPR"), F.round(F.avg("emp"), 0).alias("EMP"))
+    # one row per county and year is left: a window without partitions over a code list
+    newest = per_year.withColumn("__newest", F.max("year").over(Window.partitionBy())).filter(F.col("areaid").isNotNull())
+    return _current_and_prior(newest, ["areaid_name", "lfp_denom"], F.col("__newest") - F.col("year"),
+                              ["LFPR", "UNEMP", "UNEMPR", "EMP"], current_only=True)
 
 
 def fact_regional_indicators(src, cfg: MartConfig) -> DataFrame:
-    county_lf = src.labor_force.filter(F.col("areaid_type") == "COUNTY")
-    # latest county year: a scalar subquery bound once as a column
-    lf = filter_state(county_lf, "areaid", cfg.state).withColumn("__max", county_lf.select(F.max("year")).scalar())
-    spine = _labour_force_year(lf, F.col("__max"), cfg, "")
-    prior = _labour_force_year(lf, F.col("__max") - 1, cfg, "P_").drop("areaid_name", "lfp_denom")
-    spine = spine.join(broadcast_if_bounded(prior), on="areaid", how="left")
+    spine = _labour_force(src, cfg)
 
     cur_pop, prior_pop = cfg.population_years
     demog = totals_only(filter_state(src.demog.filter((F.col("areaid_type") == "COUNTY")
                                                       & F.col("ageid").startswith("G")), "areaid", cfg.state),
                         raceid=0, genderid=0)
-    population = (demog.filter(F.col("year").isin(cur_pop, prior_pop)).groupBy("areaid").agg(
-        F.round(F.sum(F.when(F.col("year") == cur_pop, F.col("pop"))), 0).cast("bigint").alias("CURRENT_POPULATION"),
-        F.round(F.sum(F.when(F.col("year") == prior_pop, F.col("pop"))), 0).cast("bigint").alias("PRIOR_POPULATION")))
+    # grouped with the county's name, so a renamed county keeps a row per name
+    people = (demog.filter(F.col("year").isin(cur_pop, prior_pop))
+              .groupBy("areaid", "areaid_name", F.when(F.col("year") == cur_pop, 0).otherwise(1).alias("age"))
+              .agg(F.round(F.sum("pop"), 0).cast("bigint").alias("POPULATION")))
+    population = _current_and_prior(people, ["areaid_name"], F.col("age"), ["POPULATION"], current_only=False) \
+        .select("areaid", F.col("POPULATION").alias("CURRENT_POPULATION"), F.col("P_POPULATION").alias("PRIOR_POPULATION"))
 
     acs = filter_state(src.acs.filter(F.col("areaid_type") == "COUNTY"), "areaid", cfg.state).select(
         "areaid", F.col("median_household_income").alias("MEDIAN_HOUSEHOLD_INCOME"),

@@ -28,6 +28,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # a filtered join side sends a Bloom filter of its keys (8 MB at most) into
+    # the scan of the other side, before that is shuffled
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "2g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -52,7 +57,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_session_settings(spark: SparkSession) -> None:
     """Runtime SQL settings the library relies on (safe on an existing session)."""
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
-                "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+                "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.optimizer.runtime.bloomFilter.enabled",
+                "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold",
+                "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"):
         spark.conf.set(key, SESSION_DEFAULTS[key])
 
 

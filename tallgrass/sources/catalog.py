@@ -2,7 +2,7 @@
 
 ``SourceCatalog`` stands between the marts and storage.  With a driver
 folder it derives the role tables (see ``roles``) once and serves them as
-Parquet scans; in production the same names would map to catalog tables.
+Parquet scans; ``tables.TableCatalog`` serves the same names from catalog tables.
 """
 
 from __future__ import annotations
@@ -61,18 +61,45 @@ _LOCK = threading.Lock()
 _CATALOGS: dict[tuple[int, str, str], "SourceCatalog"] = {}
 
 
-class SourceCatalog:
+class DerivedTables:
+    """Tables that Spark derives from a set of sources, written once under ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self._frames: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
+        self._role_locks: dict[str, threading.Lock] = {}
+
+    def derived(self, name: str, build, sort_within: tuple[str, ...] = ()) -> DataFrame:
+        """Write a table Spark derives from the sources once, then scan it.
+
+        Cuts long lineages (and re-derivation at every use) the way a
+        written table in the shared folder does.
+        """
+        key = f"derived:{name}"
+        with self._lock:
+            if key in self._frames:
+                return self._frames[key]
+            lock = self._role_locks.setdefault(key, threading.Lock())
+        with lock:
+            if key in self._frames:
+                return self._frames[key]
+            path = f"{self.root}/derived/{name}"
+            write_parquet_atomic(build(), path, sort_within=sort_within)
+            df = self.spark.read.parquet(path)
+            with self._lock:
+                self._frames[key] = df
+            return df
+
+
+class SourceCatalog(DerivedTables):
     def __init__(self, spark: SparkSession, sf_dir: str, seen: str | None = None):
-        self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         # new data under the same folder name gets tables of its own
         seen = fingerprint(spark, self.sf_dir) if seen is None else seen
         key = hashlib.sha1(f"{self.sf_dir} {seen}".encode()).hexdigest()[:10]
-        self.root = f"{scratch_root(spark)}/tallgrass_sources/{key}/{roles.roles_version()}"
-        self._frames: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        super().__init__(spark, f"{scratch_root(spark)}/tallgrass_sources/{key}/{roles.roles_version()}")
         self._raw_registered = False
-        self._role_locks: dict[str, threading.Lock] = {}
 
     # driver tables -------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -106,27 +133,6 @@ class SourceCatalog:
                 self._frames[name] = df
             return df
 
-    def derived(self, name: str, build, sort_within: tuple[str, ...] = ()) -> DataFrame:
-        """Write a table Spark derives from the sources once, then scan it.
-
-        Cuts long lineages (and re-derivation at every use) the way a
-        written table in the shared folder does.
-        """
-        key = f"derived:{name}"
-        with self._lock:
-            if key in self._frames:
-                return self._frames[key]
-            lock = self._role_locks.setdefault(key, threading.Lock())
-        with lock:
-            if key in self._frames:
-                return self._frames[key]
-            path = f"{self.root}/derived/{name}"
-            write_parquet_atomic(build(), path, sort_within=sort_within)
-            df = self.spark.read.parquet(path)
-            with self._lock:
-                self._frames[key] = df
-            return df
-
     def __getattr__(self, item: str) -> DataFrame:
         if item in SOURCE_ROLES:
             return self.role(SOURCE_ROLES[item])

@@ -77,29 +77,83 @@ def test_index_to_baseline_matches_self_join(spark):
     assert got == [("x", 2015, 10, 1.0), ("x", 2016, 10, 1.5)]   # y has no base row: dropped
 
 
+def plain_fanout(pairs, hows):
+    first, *rest = (r.select("id", a).distinct() for r, a in pairs)
+    for r, how in zip(rest, hows):
+        first = first.join(r, "id", how)
+    return first.groupBy(*[a for _, a in pairs]).agg(F.count(F.lit(1)).alias("n"))
+
+
 def test_fanout_splits_a_hot_id_and_keeps_the_counts(spark):
-    # id 0 holds a third of the schools; ids 1-9 are small; id 11 has no county
-    edu = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 11).alias("id"),
-                                  (F.col("id") % 97).cast("string").alias("school"))
-    cty = spark.range(40).select((F.col("id") % 10).alias("id"), (F.col("id") % 4).cast("string").alias("county"))
-    occ = spark.range(30).select((F.col("id") % 10).alias("id"), (F.col("id") % 6).cast("string").alias("occ"))
+    # id 0 holds a third of the schools; ids 1-9 are small; id 10 has no county, ids 3 and 5 no
+    # occupation; null ids and null attributes are there too
+    edu = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 50 != 1, F.col("id") % 11).alias("id"),
+                                  F.when(F.col("id") % 90 != 0, F.col("id") % 97).cast("string").alias("school"))
+    cty = spark.range(40).select((F.col("id") % 10).alias("id"), (F.col("id") % 7).cast("string").alias("county"))
+    occ = spark.range(300).filter("id % 10 not in (3, 5)").select((F.col("id") % 10).alias("id"),
+                                                                  (F.col("id") % 60).cast("string").alias("occ"))
     pairs = [(edu, "school"), (cty, "county"), (occ, "occ")]
-
-    def plain():
-        e, c, o = (r.select("id", a).distinct() for r, a in pairs)
-        return e.join(c, "id").join(o, "id", "left").groupBy("school", "county", "occ").agg(F.count(F.lit(1)).alias("n"))
-
-    split = O.entity_fanout_count(pairs, "id", ["inner", "left"], "n", hot_pairs=20, salts=4)
-    unsplit = O.entity_fanout_count(pairs, "id", ["inner", "left"], "n", hot_pairs=10 ** 9)
-    want = sorted(map(tuple, plain().collect()), key=repr)
-    assert sorted(map(tuple, split.collect()), key=repr) == want
-    assert sorted(map(tuple, unsplit.collect()), key=repr) == want
-    # the salted join is planned only when there is a hot id
-    assert "xxhash64" in plan(split) and "xxhash64" not in plan(unsplit)
-    # the hot id really is split: its driving pairs land in several buckets
-    hot_buckets = (edu.select("id", "school").distinct().filter("id = 0")
-                   .select(F.pmod(F.xxhash64("school"), F.lit(4)).alias("b")).distinct().count())
-    assert hot_buckets > 1
+    for hows in (["inner", "left"], ["left", "left"], ["inner", "inner"]):
+        want = sorted(map(tuple, plain_fanout(pairs, hows).collect()), key=repr)
+        for cell in (1, 7, 30, 10 ** 9):
+            out = O.entity_fanout_count(pairs, "id", hows, "n", cell=cell)
+            assert sorted(map(tuple, out.collect()), key=repr) == want, (hows, cell)
+            # the grid is planned only when an id needs it
+            assert ("__cell" in plan(out)) == (cell < 10 ** 9)
+
+
+def test_fanout_grid_counts_products_not_rows(spark):
+    # three relations of 60 rows each: no relation is long, their product is
+    three = [(spark.range(60).select(F.lit(7).alias("id"), F.col("id").alias(a)), a) for a in "abc"]
+    # one long relation of repeated pairs whose product stays small
+    dull = [(spark.range(5000).select(F.lit(8).alias("id"), (F.col("id") % 2).alias(a)), a) for a in "abc"]
+    pairs = [(x.unionByName(y), a) for (x, a), (y, _) in zip(three, dull)]
+    rows = O.fanout_grid(pairs, "id", ["inner", "inner"], cell=1000).collect()
+    assert [(r["id"], list(r["__n"]), list(r["__g"])) for r in rows] == [(7, [60, 60, 60], [6, 6, 6])]
+    uneven = spark.createDataFrame([([1, 1000, 4],), ([5000, 1, 1],), ([0, 0, 10],)], "n array<bigint>")
+    got = [list(r[0]) for r in uneven.select(O._axis_buckets(F.col("n"), 100)).collect()]
+    assert got == [[1, 40, 1], [50, 1, 1], [1, 1, 1]]
+    # 216,000 joined rows of one id, made in many tasks, and as many as the plain join makes
+    out = O.entity_fanout_count(pairs, "id", ["inner", "inner"], "n", cell=1000)
+    assert out.agg(F.sum("n")).first()[0] == 60 ** 3 + 2 ** 3
+
+
+def test_flags_meet_the_ids_before_they_are_shuffled(spark):
+    flags = spark.range(1000).select((F.col("id") * 3).alias("id"))
+    df = spark.range(50).select("id", (F.col("id") % 3).alias("k"))
+    text = plan(O.flagged_count(df, flags, "id", ["k"], "n", "f"))
+    # the id list is broadcast and tested in the stage that reads the flags
+    assert "LeftSemi" in text
+    out = {r["k"]: (r["n"], r["f"]) for r in O.flagged_count(df, flags, "id", ["k"], "n", "f").collect()}
+    assert out == {0: (17, 17), 1: (17, 0), 2: (16, 0)}
+
+
+def test_long_id_lists_reach_the_flags_as_a_bloom_filter(spark, scratch, monkeypatch):
+    monkeypatch.setattr(O, "BROADCAST_LIMIT_BYTES", 0)
+    spark.range(100_000).select("id", (F.col("id") % 50).alias("county")).write.parquet(f"{scratch}/jobs")
+    spark.range(300_000).select(F.col("id")).write.parquet(f"{scratch}/flags")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        jobs = spark.read.parquet(f"{scratch}/jobs").filter("county = 7")
+        out = O.flagged_count(jobs, spark.read.parquet(f"{scratch}/flags"), "id", ["county"], "n", "f")
+        text = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in text.lower()
+        assert [tuple(r) for r in out.collect()] == [(7, 2000, 2000)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_scorecard_reads_the_labour_force_once(spark, src, cfg):
+    from tallgrass.plans.regional import _labour_force, fact_regional_indicators
+    for out in (_labour_force(src, cfg), fact_regional_indicators(src, cfg)):
+        out.collect()
+        assert len([x for x in plan(out).split("== Initial Plan ==")[0].splitlines()
+                    if "FileScan" in x and "lfp_denom" in x]) == 1
 
 
 def test_link_discovery_stays_inside_the_page_row(spark):
