@@ -15,6 +15,9 @@ the only joins are with small per-workbook header tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from tallgrass.functions import (
     parse_fiscal_year,
     split_race_gender,
 )
+from tallgrass.functions.markup import decoded, file_name, fold_out, let, link_parts, resolve
 from tallgrass.operators.relational import broadcast_if_bounded
 
 # ---------------------------------------------------------------------------
@@ -131,161 +135,128 @@ def _norm_cells(c: Column) -> Column:
 _UNREAD = (r"(?is)<!--(?:.*?-->|.*\z)|<script\b(?:.*?</script\s*>|.*\z)|<style\b(?:.*?</style\s*>|.*\z)")
 _TAG = r"^<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>"
 _HREF = r"""(?i)(?:^|\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-_EDGE = "^[ \t\r\n\f ]+|[ \t\r\n\f ]+$"
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_CLASS = r"""class\s*=\s*["']([^"']*)["']"""
+_EDGE = "^[ \t\r\n\f\u00a0]+|[ \t\r\n\f\u00a0]+$"
 _STRUCTURE = ("div", "a", "h2", "li", "ul", "ol")
 _OPEN = "struct<pos:int,depth:int>"
-_ANCHOR = "struct<pos:int,stop:int,attrs:string,in_li:boolean,any_box:int,wrapped_box:int>"
+_ANCHOR = "struct<pos:int,stop:int,href:string,in_li:boolean,any_box:int,wrapped_box:int,heading:string>"
 _STATE = (f"struct<depth:int,items:int,lists:array<int>,wrapper:int,title:int,any_box:{_OPEN},wrapped_box:{_OPEN},"
-          f"has_wrapper:boolean,a:{_ANCHOR},anchors:array<{_ANCHOR}>,h2:int,headings:array<{_OPEN}>>")
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` over ``value``, which is evaluated once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _class_has(attrs: Column, *names: str) -> Column:
-    classes = F.split(F.trim(F.regexp_extract(attrs, r"""class\s*=\s*["']([^"']*)["']""", 1)), r"\s+")
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.array_contains(classes, F.lit(n))
-    return cond
-
-
-def _decoded(text: Column) -> Column:
-    """The few character references that links and headings use."""
-    for name, char in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+          f"has_wrapper:boolean,a:{_ANCHOR},h2:int,heading:string>")
 
 
 def _stripped(text: Column) -> Column:
     return F.regexp_replace(text, _EDGE, "")
 
 
-def _resolve(base: Column, href: Column) -> Column:
-    """Join a link with its page URL (absolute, root-relative, relative)."""
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    directory = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)", 1)
-    directory = F.when(directory == "", F.concat(origin, F.lit("/"))).otherwise(directory)
-    return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-             .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
-             .when(href.startswith("/"), _without_dots(F.concat(origin, href)))
-             .otherwise(_without_dots(F.concat(directory, href))))
-
-
-def _without_dots(link: Column) -> Column:
-    """Path segments ``.`` and ``..`` of an absolute link taken away; ``..`` at the root stays at the root."""
-    origin = F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    path = F.regexp_extract(link, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
-    rest = F.regexp_extract(link, r"([?#].*)$", 1)
-    # a last segment of dots names a folder
-    segments = F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/")
-    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, x: F.when(
-        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc)
-        .otherwise(F.concat(acc, F.array(x))))
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(origin, F.lit("/"), F.array_join(kept, "/"), rest)) \
-        .otherwise(link)
-
-
-def file_name(link: Column) -> Column:
-    """Last segment of a link with its query string, percent-decoded (``+``
-    stays); a link that does not decode stays as it is."""
-    decoded = F.try_url_decode(F.replace(link, F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(F.coalesce(decoded, link), r"([^/]*)$", 1)
-
-
 def _tokens(html: Column) -> Column:
-    """The page split before every ``<``: one tag and the text up to the next."""
+    """The page split before every ``<``: one tag (a div with its attributes, an anchor with
+    its link) and the text up to the next, character references replaced."""
     pieces = F.split(F.regexp_replace(F.coalesce(html, F.lit("")), _UNREAD, ""), "(?=<)")
-    return F.transform(pieces, lambda p, i: F.struct(
-        i.alias("pos"), F.lower(F.regexp_extract(p, _TAG, 2)).alias("tag"),
-        (F.regexp_extract(p, _TAG, 1) == "/").alias("closing"), F.regexp_extract(p, _TAG, 3).alias("attrs"),
-        F.regexp_replace(p, r"^<[^>]*>", "").alias("text")))
-
-
-def _step(s: Column, t: Column) -> Column:
-    """One tag of the fold.  A container is open while the div depth has not
-    fallen below the depth at its opening; only the outermost open one counts,
-    as it holds whatever an inner one holds.  ``items`` counts the open list
-    items; the end of a list ends the items opened in it."""
-    tag, opens = t["tag"], ~t["closing"]
+
+    def token(p: Column, i: Column) -> Column:
+        def of(t: Column) -> Column:
+            attrs = F.regexp_extract(p, _TAG, 3)
+            quoted = F.regexp_replace(F.regexp_extract(attrs, _HREF, 1), "^[\"']|[\"']$", "")
+            link = F.when((t["tag"] == "a") & ~t["closing"], F.when(attrs.rlike(_HREF), quoted))
+            # the text and the link, each once through the references
+            plain = F.transform(F.array(F.substring(p, t["cut"] + 1, F.char_length(p)), link),
+                                lambda x, at: decoded(x, at == 1))
+            return let(plain, lambda x: F.struct(
+                i.alias("pos"), t["tag"].alias("tag"), t["closing"].alias("closing"),
+                F.when((t["tag"] == "div") & ~t["closing"], attrs).alias("attrs"), x[0].alias("text"),
+                F.when(x[1].isNotNull(), _stripped(x[1])).alias("href")))
+        cut = F.when(p.startswith("<"), F.locate(">", p)).otherwise(0)
+        return let(F.struct(cut.alias("cut"), p.startswith("</").alias("closing"), F.when(
+            cut > 0, F.lower(F.regexp_extract(p, "^</?([A-Za-z][A-Za-z0-9]*)", 1))).otherwise("").alias("tag")), of)
+
+    return F.transform(pieces, token)
+
+
+def _structure(tokens: Column) -> Column:
+    """The tags that shape a page, with what their classes make them."""
+    def described(t: Column) -> Column:
+        box = (t["tag"] == "div") & ~t["closing"]
+        named = F.when(box, F.split(F.trim(F.regexp_extract(t["attrs"], _CLASS, 1)), r"\s+"))
+
+        def of(classes: Column) -> Column:
+            def has(*names: str) -> Column:
+                return F.coalesce(reduce(lambda a, b: a & b, [F.array_contains(classes, F.lit(n)) for n in names]), F.lit(False))
+            return F.struct(
+                t["pos"].alias("pos"), t["tag"].alias("tag"), (~t["closing"]).alias("opens"),
+                F.when(box, 1).when(t["tag"] == "div", -1).otherwise(0).alias("down"), t["href"].alias("href"),
+                has(*WRAPPER_CLASSES).alias("wrapper"), has("text", CONTAINER_CLASS).alias("box"),
+                has("title", CONTAINER_CLASS).alias("title"))
+        return let(named, of)
+    return F.transform(F.filter(tokens, lambda t: t["tag"].isin(*_STRUCTURE)), described)
+
+
+def _step(s: Column, t: Column, text) -> tuple[Column, Column]:
+    """One tag of the fold: the next state, and the anchor that ends here.
+
+    The state has a fixed size but for the open lists.  A container is open while the div
+    depth has not fallen below the depth at its opening; only the outermost open one counts,
+    as it holds whatever an inner one holds.  ``items`` counts the open list items; the end
+    of a list ends the items opened in it.  ``heading`` is the last FY heading that ended."""
+    tag, opens = t["tag"], t["opens"]
     div = tag == "div"
-    depth = s["depth"] + F.when(div & opens, 1).when(div, -1).otherwise(0)
-    is_wrapper = div & opens & _class_has(t["attrs"], *WRAPPER_CLASSES)
-    is_box = div & opens & _class_has(t["attrs"], "text", CONTAINER_CLASS)
-    is_title = div & opens & _class_has(t["attrs"], "title", CONTAINER_CLASS)
+    depth = s["depth"] + t["down"]
     here = F.struct(t["pos"].alias("pos"), depth.alias("depth"))
 
     def outermost(old: Column, old_depth: Column, opened: Column, new: Column) -> Column:
-        return F.when(old.isNotNull() & (depth >= old_depth), old).when(old.isNull() & opened, new)
+        return F.when(~div, old).when(old.isNotNull() & (depth >= old_depth), old).when(old.isNull() & opened, new)
 
-    is_list = (tag == "ul") | (tag == "ol")
+    is_list = tag.isin("ul", "ol")
     base = F.when(F.size(s["lists"]) > 0, F.element_at(s["lists"], -1)).otherwise(F.lit(0))
     items = (F.when((tag == "li") & opens, s["items"] + 1).when(tag == "li", F.greatest(s["items"] - 1, base))
               .when(is_list & ~opens, base).otherwise(s["items"]))
-    lists = (F.when(is_list & opens, F.concat(s["lists"], F.array(s["items"])))
-              .when(is_list & (F.size(s["lists"]) > 0), F.slice(s["lists"], F.lit(1), F.size(s["lists"]) - 1))
+    lists = (F.when(~is_list, s["lists"]).when(opens, F.concat(s["lists"], F.array(s["items"])))
+              .when(F.size(s["lists"]) > 0, F.slice(s["lists"], F.lit(1), F.size(s["lists"]) - 1))
               .otherwise(s["lists"]))
-    anchor = F.struct(t["pos"].alias("pos"), F.lit(None).cast("int").alias("stop"), t["attrs"].alias("attrs"),
+    anchor = F.struct(t["pos"].alias("pos"), F.lit(None).cast("int").alias("stop"), t["href"].alias("href"),
                       (s["items"] > 0).alias("in_li"), s["any_box"]["pos"].alias("any_box"),
-                      s["wrapped_box"]["pos"].alias("wrapped_box"))
-    return F.struct(
+                      s["wrapped_box"]["pos"].alias("wrapped_box"), s["heading"].alias("heading"))
+    ended = let(text(s["h2"], t["pos"]), lambda x: F.when(F.upper(x).startswith("FY"), x).otherwise(s["heading"]))
+    after = F.struct(
         depth.alias("depth"), items.alias("items"), lists.alias("lists"),
-        outermost(s["wrapper"], s["wrapper"], is_wrapper, depth).alias("wrapper"),
-        outermost(s["title"], s["title"], is_title, depth).alias("title"),
-        outermost(s["any_box"], s["any_box"]["depth"], is_box, here).alias("any_box"),
-        outermost(s["wrapped_box"], s["wrapped_box"]["depth"], is_box & s["wrapper"].isNotNull(), here)
+        outermost(s["wrapper"], s["wrapper"], t["wrapper"], depth).alias("wrapper"),
+        outermost(s["title"], s["title"], t["title"], depth).alias("title"),
+        outermost(s["any_box"], s["any_box"]["depth"], t["box"], here).alias("any_box"),
+        outermost(s["wrapped_box"], s["wrapped_box"]["depth"], t["box"] & s["wrapper"].isNotNull(), here)
         .alias("wrapped_box"),
-        (s["has_wrapper"] | is_wrapper).alias("has_wrapper"),
+        (s["has_wrapper"] | t["wrapper"]).alias("has_wrapper"),
         F.when(tag != "a", s["a"]).when(opens, anchor).alias("a"),
-        F.when((tag == "a") & s["a"].isNotNull(), _closed(s, t["pos"])).otherwise(s["anchors"]).alias("anchors"),
         F.when(tag != "h2", s["h2"]).when(opens & s["title"].isNotNull(), t["pos"]).alias("h2"),
-        F.when((tag == "h2") & s["h2"].isNotNull(), _headed(s, t["pos"])).otherwise(s["headings"]).alias("headings"))
-
+        F.when((tag == "h2") & s["h2"].isNotNull(), ended).otherwise(s["heading"]).alias("heading"))
+    return after, F.when((tag == "a") & s["a"].isNotNull(), s["a"].withField("stop", t["pos"]))
 
-def _closed(s: Column, pos: Column) -> Column:
-    return F.concat(s["anchors"], F.array(s["a"].withField("stop", pos)))
 
+def _page_row(html: Column, url: Column) -> Column:
+    """struct(has_wrapper, anchors) of one page."""
+    start = F.from_json(F.lit('{"depth":0,"items":0,"lists":[],"has_wrapper":false}'), _STATE)
 
-def _headed(s: Column, pos: Column) -> Column:
-    """``headings`` with the open heading, from its tag (pos) up to ``pos`` (held as depth)."""
-    return F.concat(s["headings"], F.array(F.struct(s["h2"].alias("pos"), pos.alias("depth"))))
+    def of(tokens: Column) -> Column:
+        def text(first: Column, stop: Column) -> Column:
+            inner = F.slice(tokens, first + 1, stop - first)
+            return _stripped(F.array_join(F.transform(inner, lambda t: t["text"]), ""))
 
+        def read(f: Column, base: Column) -> Column:
+            s = f["s"]
+            open_ = F.when(s["a"].isNotNull(), F.array(s["a"].withField("stop", F.size(tokens)))) \
+                .otherwise(F.array().cast(f"array<{_ANCHOR}>"))
+            anchors = F.transform(F.filter(F.concat(f["out"], open_), lambda a: a["href"].isNotNull()), lambda a: F.struct(
+                a["pos"].alias("pos"), a["href"].alias("href"), resolve(url, base, a["href"]).alias("link"),
+                text(a["pos"], a["stop"]).alias("text"), a["in_li"].alias("in_li"),
+                F.when(s["has_wrapper"], a["wrapped_box"]).otherwise(a["any_box"]).alias("container"),
+                a["heading"].alias("heading")))
+            return F.struct(s["has_wrapper"].alias("has_wrapper"), anchors.alias("anchors"))
 
-def _folded(tokens: Column) -> Column:
-    start = F.from_json(F.lit('{"depth":0,"items":0,"lists":[],"has_wrapper":false,"anchors":[],"headings":[]}'),
-                        _STATE)
-    tags = F.filter(tokens, lambda t: t["tag"].isin(*_STRUCTURE))
-    return F.aggregate(tags, start, lambda s, t: _step(s, t).cast(_STATE))
+        folded = let(_structure(tokens), lambda tags: fold_out(tags, start, _ANCHOR, lambda s, t: _step(s, t, text)))
+        return let(folded, lambda f: let(link_parts(url), lambda base: read(f, base)))
+    return let(_tokens(html), of)
 
 
-def _page_row(html: Column, url: Column) -> Column:
-    """struct(has_wrapper, anchors) of one page."""
-    def of(tokens: Column) -> Column:
-        def text(start: Column, stop: Column) -> Column:
-            inner = F.slice(tokens, start + 1, stop - start)
-            return _stripped(_decoded(F.array_join(F.transform(inner, lambda t: t["text"]), "")))
-
-        def read(s: Column) -> Column:
-            size = F.size(tokens)
-            anchors = F.when(s["a"].isNotNull(), _closed(s, size)).otherwise(s["anchors"])
-            headings = F.filter(F.transform(s["headings"], lambda h: F.struct(
-                h["depth"].alias("stop"), text(h["pos"], h["depth"]).alias("text"))),
-                lambda h: F.upper(h["text"]).startswith("FY"))
-            def described(heads: Column) -> Column:
-                return F.transform(F.filter(anchors, lambda a: a["attrs"].rlike(_HREF)), lambda a: _let(
-                    _stripped(_decoded(F.regexp_replace(F.regexp_extract(a["attrs"], _HREF, 1), "^[\"']|[\"']$", ""))),
-                    lambda href: F.struct(
-                        a["pos"].alias("pos"), href.alias("href"), _resolve(url, href).alias("link"),
-                        text(a["pos"], a["stop"]).alias("text"), a["in_li"].alias("in_li"),
-                        F.when(s["has_wrapper"], a["wrapped_box"]).otherwise(a["any_box"]).alias("container"),
-                        F.try_element_at(F.filter(heads, lambda h: h["stop"] <= a["pos"]), F.lit(-1))["text"]
-                        .alias("heading"))))
-            return F.struct(s["has_wrapper"].alias("has_wrapper"), _let(headings, described).alias("anchors"))
-        return _let(_folded(tokens), read)
-    return _let(_tokens(html), of)
+#: The expression of a page's row, by Spark context.
+_PAGE_ROWS: dict[SparkContext, Column] = {}
 
 
 def page_markup(pages: DataFrame) -> DataFrame:
@@ -298,7 +269,10 @@ def page_markup(pages: DataFrame) -> DataFrame:
     anchor or heading to the next of its kind); stray closing tags end nothing
     that was opened after them.
     """
-    return pages.select("page_id", _page_row(F.col("html"), F.col("url")).alias("m")) \
+    context = SparkContext._active_spark_context
+    if context not in _PAGE_ROWS:   # some thousand calls into the JVM, made once
+        _PAGE_ROWS[context] = _page_row(F.col("html"), F.col("url"))
+    return pages.select("page_id", _PAGE_ROWS[context].alias("m")) \
         .select("page_id", "m.has_wrapper", "m.anchors")
 
 
@@ -322,25 +296,37 @@ def classify_anchor(text: Column, in_li: Column) -> Column:
              .when(in_li & (n == py_normalize(COMPANION_LINK_TEXT)), F.lit("school_site_li")))
 
 
+_LINK = "struct<pos:int,link:string,text:string,pattern:string,heading:string,container:int>"
+
+
 def _page_links(anchors: Column) -> Column:
     """The links that count, in page order: classified anchors inside a text
     container; companions only beside a primary link of their container; a URL
-    at its first occurrence."""
+    at its first occurrence.  Both rules look at neighbours in a sorted array."""
     named = F.filter(F.transform(F.filter(anchors, lambda a: a["container"].isNotNull()), lambda a: F.struct(
         a["pos"].alias("pos"), a["link"].alias("link"), a["text"].alias("text"),
         classify_anchor(a["text"], a["in_li"]).alias("pattern"), a["heading"].alias("heading"),
         a["container"].alias("container"))), lambda a: a["pattern"].isNotNull())
 
     def beside_primary(found: Column) -> Column:
-        primaries = F.transform(F.filter(found, lambda a: a["pattern"] == "school_ethgen_li"), lambda a: a["container"])
-        return _let(primaries, lambda p: F.filter(found, lambda a: (a["pattern"] != "school_site_li")
-                                                  | F.array_contains(p, a["container"])))
+        # a container's primaries come before its other links
+        ordered = F.array_sort(F.transform(found, lambda a: F.struct(
+            a["container"].alias("container"), (a["pattern"] != "school_ethgen_li").alias("other"), a["pos"].alias("pos"),
+            a.alias("a"))))
+
+        def step(s: Column, e: Column) -> tuple[Column, Column]:
+            primary = F.when(e["other"], s["primary"]).otherwise(e["container"])
+            stays = (e["a"]["pattern"] != "school_site_li") | F.coalesce(s["primary"] == e["container"], F.lit(False))
+            return F.struct(primary.alias("primary")), F.when(stays, e["a"])
+
+        return let(ordered, lambda o: fold_out(o, F.struct(F.lit(None).cast("int").alias("primary")), _LINK, step)["out"])
 
     def first_only(found: Column) -> Column:
-        return _let(F.transform(found, lambda a: a["link"]), lambda urls: F.filter(
-            found, lambda a, i: F.array_position(urls, a["link"]) == i + 1))
+        ordered = F.array_sort(F.transform(found, lambda a: F.struct(a["link"].alias("link"), a["pos"].alias("pos"), a.alias("a"))))
+        return let(ordered, lambda o: F.array_sort(F.transform(
+            F.filter(o, lambda e, i: (i == 0) | (F.get(o, i - 1)["link"] != e["link"])), lambda e: e["a"])))
 
-    return _let(_let(named, beside_primary), first_only)
+    return let(let(named, beside_primary), first_only)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
