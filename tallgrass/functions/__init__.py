@@ -114,9 +114,9 @@ def format_grade(c) -> Column:
 
 
 def end_year(c) -> Column:
-    """'2025-2026' -> 2026 (last four-digit year in the text), else NULL."""
-    years = F.regexp_extract_all(_col(c).cast("string"), F.lit(r"((?:19|20)\d{2})"), 1)
-    return F.when(F.size(years) > 0, F.try_element_at(years, F.lit(-1)).cast("int"))
+    """'2025-2026', '2026' or '2026.0' -> 2026; NULL for anything but a school year of this century."""
+    year = F.regexp_extract(clean_year(c), r"^20\d{2}-(20\d{2})$", 1)
+    return F.when(year != "", year.cast("int"))
 
 
 # Race and gender labels of the enrollment sheets.

@@ -9,6 +9,7 @@ measurement itself, which is one aggregation pass over the staged table
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -63,20 +64,62 @@ def run_record(run_id: str, pipeline: str, dataset: str, status: str, started_at
 
 
 def append_run_records(spark: SparkSession, path: str, records: Sequence[dict]) -> None:
-    """Append rows to the manifest table (partitioned by start day)."""
-    df = spark.createDataFrame([tuple(r[f.name] for f in MANIFEST_SCHEMA.fields) for r in records],
-                               MANIFEST_SCHEMA)
-    (df.withColumn("run_date", F.to_date("started_at"))
-       .write.mode("append").partitionBy("run_date").parquet(path))
+    """Append records to the run log (partitioned by start day).
 
+    A run appends a ``running`` record when it begins and one of its end; the log is never
+    rewritten, ``run_states`` folds it."""
+    by_day: dict[_dt.date, list[tuple]] = {}
+    for r in records:
+        by_day.setdefault(r["started_at"].date(), []).append(tuple(r[f.name] for f in MANIFEST_SCHEMA.fields))
+    for day, rows in by_day.items():
+        # a folder of its own: writers at the same time share no temporary files
+        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(
+            f"{path}/run_date={day.isoformat()}/append={uuid.uuid4().hex}")
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """All appended records."""
     from tallgrass.sources.fs import exists
     if not exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.parquet(path).select(*[f.name for f in MANIFEST_SCHEMA.fields])
 
 
+def run_states(log: DataFrame) -> DataFrame:
+    """The latest state of each run of a dataset: its end if there is one, else ``running``.
+
+    Of several ends the first counts, so a run that was closed as lost and reports after all
+    does not change what others have seen."""
+    keys = ["run_id", "pipeline", "dataset"]
+    rest = [c for c in log.columns if c not in keys]
+    last = F.min_by(F.struct(*rest), F.struct((F.col("status") == "running").alias("open"), F.col("finished_at")))
+    return log.groupBy(*keys).agg(last.alias("__s")).select(
+        *[F.col(c) if c in keys else F.col(f"__s.{c}").alias(c) for c in log.columns])
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run of a dataset."""
+    return run_states(read_run_log(spark, path))
+
+
+def lost_runs(runs: DataFrame, as_of: _dt.datetime, hours: int) -> DataFrame:
+    """Ends for runs still ``running`` more than ``hours`` after their start: their driver died."""
+    gone = runs.filter((F.col("status") == "running") & (F.col("started_at") < F.lit(as_of - _dt.timedelta(hours=hours))))
+    now = F.lit(as_of).cast("timestamp_ntz")
+    seconds = F.timestamp_diff("MILLISECOND", "started_at", now) / 1000
+    changed = {"status": F.lit("failed"), "finished_at": now, "duration_seconds": seconds.cast("double"),
+               "error": F.lit(f"RunLost: no end within {hours} h")}
+    return gone.select(*[changed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA.fields])
+
+
+def close_lost_runs(spark: SparkSession, path: str, as_of: _dt.datetime, hours: int = 24) -> int:
+    """Append the ends of lost runs to the log; how many there were."""
+    rows = lost_runs(read_manifest(spark, path), as_of, hours).collect()   # runs in flight: a handful
+    if rows:
+        append_run_records(spark, path, [r.asDict() for r in rows])
+    return len(rows)
+
+
 # ---------------------------------------------------------------------------
 # manifest views
 # ---------------------------------------------------------------------------
@@ -196,13 +239,12 @@ def freshness_message(stale: DataFrame, top: int = 20) -> DataFrame:
     """
     n = stale.select(F.count(F.lit(1))).scalar()
     oldest = stale.orderBy(F.col("age_hours").desc(), "pipeline", "dataset", "group_name").limit(top)
-    item = F.format_string("%s.%s (%s) %d h old, limit %d h", "pipeline", "dataset", "group_name",
-                           "age_hours", "max_age_hours")
+    item = F.format_string("%s/%s, %s: %d hours of %d", "pipeline", "dataset", "group_name", "age_hours", "max_age_hours")
     listed = oldest.withColumn("__item", item).agg(F.expr(
-        "listagg(__item, '; ') WITHIN GROUP (ORDER BY age_hours DESC, pipeline, dataset, group_name)")
+        "listagg(__item, ' | ') WITHIN GROUP (ORDER BY age_hours DESC, pipeline, dataset, group_name)")
         .alias("__items"))
     return listed.select(F.when(n > 0, F.format_string(
-        "PIPELINE FRESHNESS FAILURE: %d dataset(s) overdue: %s", n, F.col("__items"))).alias("message"))
+        "STALE: %d past their limit, the oldest: %s", n, F.col("__items"))).alias("message"))
 
 
 class FreshnessError(RuntimeError):
@@ -275,43 +317,36 @@ def quality_report(measurement: DataFrame, dataset: str, cfg: QualityConfig,
               .withColumn("prev_year", prev.select(F.max(F.col("max_year").cast("bigint"))).scalar()))
     else:
         m = m.withColumn("prev_rows", F.lit(None).cast("bigint")).withColumn("prev_year", F.lit(None).cast("bigint"))
+    rows, year = F.col("row_count"), F.col("max_year")
+    prev_rows, prev_year = F.col("prev_rows"), F.col("prev_year")
+    limit = float(cfg.row_count_drift_pct)
+    moved = F.when(prev_rows == 0, F.lit(0.0)).otherwise(
+        F.abs(rows - prev_rows).cast("double") / prev_rows.cast("double") * 100.0)
     checks: list[Column] = []
 
-    def check(name: str, applies: Column, passed: Column, detail: Column, observed: Column, expected: Column):
+    def check(name: str, passed: Column, observed: Column, expected: Column, detail: Column, applies: Column = F.lit(True)):
         checks.append(F.when(applies, F.struct(
             F.lit(name).alias("check"), passed.alias("passed"), detail.alias("detail"),
             observed.cast("string").alias("observed"), expected.cast("string").alias("expected"))))
 
-    rows = F.col("row_count")
-    if not allow_empty:
-        check("empty_result", F.lit(True), rows > 0,
-              F.when(rows == 0, F.lit(f"{dataset} returned 0 rows")).otherwise(F.format_string("%d rows", rows)),
-              rows, F.lit("> 0"))
+    for column in cfg.not_null.get(dataset, []):
+        measured = f"null__{column}" in measurement.columns
+        nulls = F.col(f"null__{column}") if measured else F.lit(None).cast("bigint")
+        check("not_null", F.coalesce(nulls == 0, F.lit(False)), nulls, F.lit(0),
+              F.format_string(f"{column} of {dataset}: %d rows without a value", nulls) if measured
+              else F.lit(f"{column} of {dataset}: must have values, but there is no such column"))
+    had = prev_rows.isNotNull()
+    check("max_year_regressed", year >= prev_year, year, F.format_string("%d or later", prev_year),
+          F.format_string(f"{dataset}: newest period %d, before %d", year, prev_year),
+          had & year.isNotNull() & prev_year.isNotNull())
+    check("row_count_drift", (prev_rows == 0) | (moved <= limit), rows, F.format_string(f"within {limit} %% of %d", prev_rows),
+          F.format_string(f"{dataset}: %d rows, before %d, apart by %.1f %%", rows, prev_rows, moved), had)
     known = None if limited else cfg.known_row_counts.get(dataset)
     if known is not None:
-        check("known_row_count", F.lit(True), rows == known,
-              F.format_string(f"{dataset} has %d rows, expected exactly {known}", rows), rows, F.lit(known))
-    prev_rows, prev_year = F.col("prev_rows"), F.col("prev_year")
-    pct = F.when(prev_rows == 0, F.lit(0.0)).otherwise(
-        F.abs(rows - prev_rows).cast("double") / prev_rows.cast("double") * 100.0)
-    limit = float(cfg.row_count_drift_pct)
-    check("row_count_drift", prev_rows.isNotNull(), (prev_rows == 0) | (pct <= limit),
-          F.format_string(f"{dataset} row count moved %.1f%% (%d -> %d), limit {limit}%%", pct, prev_rows, rows),
-          rows, F.format_string(f"%d ±{limit}%%", prev_rows))
-    year = F.col("max_year")
-    check("max_year_regressed", prev_rows.isNotNull() & year.isNotNull() & prev_year.isNotNull(), year >= prev_year,
-          F.format_string(f"{dataset} max(YEAR) went backwards: %d -> %d", prev_year, year),
-          year, F.format_string(">= %d", prev_year))
-    cols = set(measurement.columns)
-    for column in cfg.not_null.get(dataset, []):
-        nc = f"null__{column}"
-        if nc not in cols:
-            check("not_null", F.lit(True), F.lit(False),
-                  F.lit(f"{dataset}.{column} is configured not-null but was not measured"),
-                  F.lit(None), F.lit(0))
-        else:
-            check("not_null", F.lit(True), F.col(nc) == 0,
-                  F.format_string(f"{dataset}.{column} has %d null(s)", F.col(nc)), F.col(nc), F.lit(0))
+        check("known_row_count", rows == known, rows, F.lit(known),
+              F.format_string(f"{dataset}: %d rows where {known} are known", rows))
+    if not allow_empty:
+        check("empty_result", rows > 0, rows, F.lit("1 or more"), F.format_string(f"{dataset}: %d rows", rows))
     exploded = m.select(F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())).alias("c"))
     return exploded.select(F.lit(dataset).alias("dataset"), "c.*")
 
@@ -323,8 +358,8 @@ class QualityCheckError(RuntimeError):
 def raise_if_failed(report_rows: list, dataset: str) -> None:
     failures = [r for r in report_rows if not r["passed"]]
     if failures:
-        raise QualityCheckError(f"{dataset}: {len(failures)} quality check(s) failed: "
-                                + "; ".join(r["detail"] for r in failures))
+        raise QualityCheckError(f"{dataset} fails {len(failures)} of {len(report_rows)} checks: "
+                                + "; ".join(f"{r['check']} ({r['detail']})" for r in failures))
 
 
 # ---------------------------------------------------------------------------
@@ -357,6 +392,68 @@ def publishable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast a chunk to the first chunk's schema by name."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds every value of both; text where there is no other."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    order = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if type(a) in order and type(b) in order:
+        return max(a, b, key=lambda t: order.index(type(t)))
+    floats = (T.FloatType, T.DoubleType)
+    numbers = (*order, *floats, T.DecimalType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        if isinstance(a, floats) or isinstance(b, floats):
+            return T.FloatType() if isinstance(a, T.FloatType) and isinstance(b, T.FloatType) else T.DoubleType()
+        parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (digits[type(t)], 0) for t in (a, b)]
+        whole, scale = max(p[0] for p in parts), max(p[1] for p in parts)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    dates = (T.DateType, T.TimestampNTZType, T.TimestampType)
+    if isinstance(a, dates) and isinstance(b, dates):
+        return max(a, b, key=lambda t: dates.index(type(t)))
+    return T.StringType()
+
+
+def common_schema(schemas: Sequence[T.StructType]) -> T.StructType:
+    """Chunk schemas folded into one: columns by name in order of first sight, each of the
+    common type of the chunks that have it."""
+    kinds: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            kinds[f.name] = common_type(kinds[f.name], f.dataType) if f.name in kinds else f.dataType
+    return T.StructType([T.StructField(n, T.StringType() if isinstance(t, T.NullType) else t) for n, t in kinds.items()])
+
+
+def conform(df: DataFrame, schema: T.StructType, faults: str | None = None) -> DataFrame:
+    """A chunk cast to a schema by name (A8); columns it lacks are NULL, others go.
+
+    With ``faults`` a value that cannot be cast becomes NULL and its column is named in that
+    array column of its row; without, the cast fails the job."""
+    cols, failed = [], []
+    for f in schema.fields:
+        if f.name not in df.columns:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"`{f.name}`")
+        if df.schema[f.name].dataType == f.dataType:
+            cols.append(c.alias(f.name))
+        elif faults is None:
+            cols.append(c.cast(f.dataType).alias(f.name))
+        else:
+            cols.append(c.try_cast(f.dataType).alias(f.name))
+            failed.append(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), F.lit(f.name)))
+    if faults is not None:
+        cols.append((F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")).alias(faults))
+    return df.select(*cols)
+
+
+def merge_chunks(chunks: Sequence[DataFrame], first_decides: bool = True, faults: str = "faults") -> DataFrame:
+    """All rows of the chunks in one schema: the first chunk's, or the common one."""
+    schema = chunks[0].schema if first_decides else common_schema([c.schema for c in chunks])
+    merged = [conform(c, schema, faults) for c in chunks]
+    out = merged[0]
+    for part in merged[1:]:
+        out = out.unionByName(part)
+    return out

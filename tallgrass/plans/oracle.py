@@ -748,27 +748,18 @@ links as (select page_id, pos, link, text, pattern, heading, {fy} as fiscal_year
 
 
 def _rename_body(years: str) -> str:
-    """Canonical names of each chosen header row: the header layouts the
-    derived workbooks carry (by year mod 3, companion layout), the alias
-    vocabulary as a lookup table, code column over prose column."""
-    from tallgrass.operators.reshape import alias_lookup
-    from tallgrass.plans.enrollment import _PRIMARY_HEADERS
-
-    def arr(cells) -> str:
-        return "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in cells) + "]"
-
-    comp = ["County", "District", "School Name/Site", "School Name", "School Code", "Total"]
-    layout = " ".join(f"when cast(y as integer) % 3 = {k} then {arr(v)}" for k, v in _PRIMARY_HEADERS.items())
-    vocab = ", ".join(f"('{k}', '{v}')" for k, v in alias_lookup().items())
+    """Canonical names of each chosen header row, as known for the three layouts of the
+    derived workbooks (by year mod 3) and for the companions."""
+    races = ["His", "AmInd", "Asian", "Black", "Pac Is", "White", "Multi"]
+    values = "|".join(f"{r} {g}" for r in races for g in "MF")
+    none = "<none>"
+    layouts = {0: f"SchoolYear|County|District|School Name|{none}|Grade|{values}",
+               1: f"SchoolYear|County|District|School Name|{none}|Grade|{none}|{values}",
+               2: f"County|District|School Name|{none}|Grade|{values}"}
+    cases = " ".join(f"when cast(y as integer) % 3 = {k} then '{v}'" for k, v in layouts.items())
     return f"""
-, hdr as (select 'enrollment_' || y as workbook, case {layout} end as cells from {years} x
-  union all select 'site_totals_' || y, {arr(comp)} from {years} x),
-cells as (select workbook, list_contains(list_transform(cells, lambda c: trim(c)), 'Grade Code') as has_code,
-  unnest(cells) as cell, generate_subscripts(cells, 1) as i from hdr),
-al(k, v) as (values {vocab}),
-named as (select c.workbook, c.i, case when c.has_code and trim(c.cell) = 'Grade' then null else al.v end as name
-  from cells c left join al on al.k = regexp_replace(lower(c.cell), '[^a-z0-9]', '', 'g'))
-select workbook, string_agg(coalesce(name, '<none>'), '|' order by i) as names from named group by workbook"""
+select 'enrollment_' || y as workbook, case {cases} end as names from {years} x
+union all select 'site_totals_' || y, 'County|District|{none}|School Name|{none}|{none}' from {years} x"""
 
 
 def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
@@ -778,8 +769,32 @@ def reshape_sql(cfg: MartConfig | None = None) -> dict[str, str]:
     q["enrollment_primary"] = melt
     q["backfill_blank"] = melt
     years = "(select distinct schoolyear as y from r_wide_enrollment)"
+    kinder = "(select schoolyear as y, count(*) as n from r_wide_enrollment where grade = 'K' group by 1)"
     q["findings"] = _wrap(["r_wide_enrollment"], f"""
-select 'no_matching_sheet' as kind, 'summary_' || y || ' (pattern school_ethgen_li)' as detail from {years} x""")
+select 'no_matching_sheet' as kind, 'summary_' || y || ' (pattern school_ethgen_li)' as detail from {years} x
+union all select 'source_file_unreachable', 'lost_' || y || ': no answer in 60 s' from {years} x
+union all select 'workbook_unreadable', 'broken_' || y || ': no zip file' from {years} x
+union all select 'workbook_reshape_skipped', 'twice_' || y || ': twice School Name' from {years} x
+union all select 'missing_race_gender_columns', 'moved_' || y || ': His M' from {years} x
+union all select 'unparseable_counts', 'stars_' || y || ': ' || cast(2 * n as varchar) || ' such as ***' from {kinder} x""")
+    sheet = "'School Totals by Race'"
+    q["workbook_status"] = _wrap(["r_wide_enrollment"], f"""
+, per_year as (select schoolyear as y, count(*) as n, count_if(grade = 'K') as k from r_wide_enrollment group by 1)
+select 'enrollment_' || y as workbook, 'school_ethgen_li' as pattern, 'reshaped' as status, {sheet} as sheet,
+ cast(14 * n as bigint) as rows, cast(0 as bigint) as unparsed from per_year
+union all select 'site_totals_' || y, 'school_site_li', 'companion', 'ALL sites', 0, 0 from per_year
+union all select 'summary_' || y, 'school_ethgen_li', 'no_matching_sheet', null, 0, 0 from per_year
+union all select 'lost_' || y, 'school_ethgen_li', 'unreachable', null, 0, 0 from per_year
+union all select 'broken_' || y, 'school_ethgen_li', 'unreadable', null, 0, 0 from per_year
+union all select 'twice_' || y, 'school_ethgen_li', 'skipped', 'Data', 0, 0 from per_year
+union all select 'moved_' || y, 'school_ethgen_li', 'reshaped', 'Data', 13, 0 from per_year
+union all select 'stars_' || y, 'click_here', 'reshaped', {sheet}, 14 * k, 2 * k from per_year""")
+    moved = _melt_body().replace("r_wide_enrollment", "w20").replace(", u as", """
+, w20 as (select * replace (cast(cast(schoolyear as integer) + 20 as varchar) as schoolyear) from r_wide_enrollment),
+u as""", 1)
+    q["enrollment_run"] = _wrap(["r_wide_enrollment"], moved.replace(
+        "select * from m where", """select 'enrollment_primary' as dataset, m.*, cast(1 as bigint) as published,
+ cast(1 as bigint) as unchanged, (select count(*) from m) as recorded from m where"""))
     q["find_header"] = _wrap(["r_wide_enrollment"], f"""
 select 'enrollment_' || y as workbook, 'School Totals by Race' as sheet, cast(1 as bigint) as header_row
 from {years} x""")
@@ -792,17 +807,11 @@ select 'site_totals_' || y, 'school_site_li', 'ALL sites', cast(1 as bigint) fro
     q["pair_companion"] = _wrap(["r_wide_enrollment"], f"""
 select 'enrollment_' || y as workbook, {_clean_year('y')} as fiscal_year, 'site_totals_' || y || '.xlsx' as companion_file
 from {years} x""")
-    end_year = ("cast(list_extract(regexp_extract_all({x}, '((?:19|20)[0-9]{{2}})'), -1) as integer)")
-    q["newer_period_check"] = _wrap(["r_wide_enrollment"], _melt_body().replace(
-        "select * from m where", "select * from m where", 1).replace(
-        "\nselect * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan'",
-        ", mm as (select * from m where Year is not null and trim(Year) <> '' and lower(trim(Year)) <> 'nan')") + f"""
-, c as (select max({end_year.format(x='Year')}) as collected_end_year from mm),
-w as (select max({end_year.format(x='schoolyear')}) as watched_end_year from r_wide_enrollment)
-select c.collected_end_year, w.watched_end_year,
- case when c.collected_end_year is null or w.watched_end_year is null then 'unknown'
-  when w.watched_end_year > c.collected_end_year then 'newer_period_available' else 'ok' end as status
-from c, w""")
+    q["newer_period_check"] = _wrap(["r_wide_enrollment"], """
+, w as (select cast(max(cast(schoolyear as integer)) + 20 as integer) as y from r_wide_enrollment)
+select 'all collected' as collected, y as collected_end_year, y as watched_end_year, 'ok' as status from w
+union all select 'one behind', y - 1, y, 'newer_period_available' from w
+union all select 'no heading', null, y, 'unknown' from w""")
     q["page_anchors"] = ("WITH x AS (select 1)" + _links_body()
                          + "\nselect page_id, pos, href, link, text, in_li, container, heading from resolved")
     q["discover_links"] = "WITH x AS (select 1)" + _links_body() + "\nselect * from links"
@@ -813,9 +822,10 @@ union all
 select p.page_id, 'no_enrollment_links' as kind from pages p
  where not exists (select 1 from links l where l.page_id = p.page_id)"""
     q["incremental_skip"] = "WITH x AS (select 1)" + _links_body() + """
-select 1 as RUN, count(distinct file_name) as NEW_FILES,
- case when count(distinct file_name) = 0 then 'success_no_change' else 'rebuild' end as STATUS from links
-union all select 2, 0, 'success_no_change'"""
+, f as (select distinct file_name from links), n as (select count(*) as n, count_if(length(file_name) % 3 = 0) as n3 from f)
+select 1 as RUN, n as NEW_FILES, cast(0 as bigint) as KEPT_FILES, case when n = 0 then 'success_no_change' else 'rebuild' end as STATUS from n
+union all select 2, 0, n, 'success_no_change' from n
+union all select 3, n3, n - n3, case when n3 = 0 then 'success_no_change' else 'rebuild' end from n"""
     return q
 
 
@@ -860,9 +870,12 @@ stale as (select l.pipeline, l.dataset, l.group_name,
     q["freshness_message"] = _wrap(["r_runs"], stale + """
 , top as (select * from stale order by age_hours desc, pipeline, dataset, group_name limit 20)
 select case when (select count(*) from stale) > 0 then
- printf('PIPELINE FRESHNESS FAILURE: %d dataset(s) overdue: %s', (select count(*) from stale),
-  (select string_agg(printf('%s.%s (%s) %d h old, limit %d h', pipeline, dataset, group_name, age_hours,
-     max_age_hours), '; ' order by age_hours desc, pipeline, dataset, group_name) from top)) end as message""")
+ printf('STALE: %d past their limit, the oldest: %s', (select count(*) from stale),
+  (select string_agg(printf('%s/%s, %s: %d hours of %d', pipeline, dataset, group_name, age_hours,
+     max_age_hours), ' | ' order by age_hours desc, pipeline, dataset, group_name) from top)) end as message""")
+    q["stale_gate"] = _wrap(["r_runs"], stale + """
+select 'as found' as CASE_NAME, count(*) > 0 as RAISED, case when count(*) > 0 then true end as NAMED from stale
+union all select 'none stale', false, null""")
     q["manifest_recent"] = _wrap(["r_runs"], """
 select started_at, finished_at, pipeline, dataset, group_name, status, row_count, max_year,
  round(duration_seconds, 1) as duration_seconds, bytes, source_query_id, source_uri, git_sha, env, run_id, error
@@ -881,7 +894,7 @@ select count(*) as row_count, cast(max(YEAR_POSTED) as bigint) as max_year,
 from ({jobs}) j"""
     measured = ["AREAID", "OCCID", "INDID", "MIN_EDULEVELS"]   # fact_jobs columns configured not-null
     not_null = "".join(f"""
-union all select 'fact_jobs', 'not_null', null__{c} = 0, printf('fact_jobs.{c} has %d null(s)', null__{c}),
+union all select 'fact_jobs', 'not_null', null__{c} = 0, printf('{c} of fact_jobs: %d rows without a value', null__{c}),
  cast(null__{c} as varchar), '0' from p""" for c in measured)
     q["quality_report"] = _wrap(["r_runs"], f"""
 , m as ({q["measure_staging"]}),
@@ -892,16 +905,17 @@ p as (select m.*, (select max(pr) from b) as prev_rows, (select max(py) from b)
   case when (select max(pr) from b) = 0 then 0.0
    else abs(row_count - (select max(pr) from b)) / cast((select max(pr) from b) as double) * 100.0 end as pct from m)
 select 'fact_jobs' as dataset, 'empty_result' as "check", row_count > 0 as passed,
- case when row_count = 0 then 'fact_jobs returned 0 rows' else printf('%d rows', row_count) end as detail,
- cast(row_count as varchar) as observed, '> 0' as expected from p
+ printf('fact_jobs: %d rows', row_count) as detail, cast(row_count as varchar) as observed, '1 or more' as expected from p
+union all select 'fact_jobs', 'known_row_count', row_count = 12345,
+ printf('fact_jobs: %d rows where 12345 are known', row_count), cast(row_count as varchar), '12345' from p
 union all select 'fact_jobs', 'row_count_drift', prev_rows = 0 or pct <= 20.0,
- printf('fact_jobs row count moved %.1f%% (%d -> %d), limit 20.0%%', pct, prev_rows, row_count),
- cast(row_count as varchar), printf('%d ±20.0%%', prev_rows) from p where prev_rows is not null
+ printf('fact_jobs: %d rows, before %d, apart by %.1f %%', row_count, prev_rows, pct),
+ cast(row_count as varchar), printf('within 20.0 %% of %d', prev_rows) from p where prev_rows is not null
 union all select 'fact_jobs', 'max_year_regressed', max_year >= prev_year,
- printf('fact_jobs max(YEAR) went backwards: %d -> %d', prev_year, max_year), cast(max_year as varchar),
- printf('>= %d', prev_year) from p where prev_rows is not null and max_year is not null and prev_year is not null
+ printf('fact_jobs: newest period %d, before %d', max_year, prev_year), cast(max_year as varchar),
+ printf('%d or later', prev_year) from p where prev_rows is not null and max_year is not null and prev_year is not null
 {not_null}
-union all select 'fact_jobs', 'not_null', false, 'fact_jobs.SKILL_ID is configured not-null but was not measured',
+union all select 'fact_jobs', 'not_null', false, 'SKILL_ID of fact_jobs: must have values, but there is no such column',
  cast(null as varchar), '0' from p""")
     q["publish_cycle"] = f"""
 select * replace (cast(YEAR_POSTED as bigint) as YEAR_POSTED, cast(QUARTER_POSTED as bigint) as QUARTER_POSTED,
@@ -921,6 +935,42 @@ select 'Program ' || p_name as CIP2020Title,
  cast(11 + p_size % 4 as varchar) || '-' || cast(1011 + p_partkey % 7 as varchar) as OCCID,
  'Occupation ' || p_type as SOC2018Title
 from part"""
-    q["snapshot_pages"] = "select page_id, url, length(html) as html_chars, 'snapshot' as run_id from pages"
-    q["incremental_landing"] = "select page_id, url, length(html) as html_chars from pages"
+    q["snapshot_pages"] = "select page_id, url, html, 'snapshot' as run_id from pages"
+    q["incremental_landing"] = "select page_id, url, html from pages"
+    q["schema_normalize"] = """
+select e.vec_id, cast(e.label as bigint) as label,
+ '[' || array_to_string(list_transform(e.embedding, lambda x: cast(cast(floor(x * cast(1000 as float)) as integer) as varchar)), ',') || ']' as steps,
+ case when l.doc_id is null then '{}' else '{"quality":' || l.quality || ',"toxic":' || l.toxic || '}' end as marks,
+ cast(e.embedding[1] as double) as "first", e.label > 4 as high
+from embeddings e left join labels l on l.doc_id = e.vec_id"""
+    q["run_log"] = f"""
+select 'dim_area' as dataset, 'success' as status, 'monthly' as group_name, (select count(*) from ({marts["dim_area"]}) a) as row_count,
+ cast(null as varchar) as error, cast(2 as bigint) as records, true as timed
+union all select 'dim_area', 'success_no_change', 'monthly', (select count(*) from ({marts["dim_area"]}) a), null, 1, true
+union all select 'no_such_mart', 'failed', null, null, 'KeyError', 2, true
+union all select 'dim_occ', 'failed', null, null, 'RunLost', 2, true
+union all select 'dim_ind', 'running', null, null, null, 1, null"""
+    q["publish_history"] = _wrap(["r_ref_area"], f"""
+, n as (select (select count(*) from ({marts["dim_area"]}) a) as a, (select count(*) from r_ref_area) as b)
+select cast(1 as bigint) as ENTRY, 'publish' as ACTION, a as READ_ROWS, true as LATE_REFUSED from n
+union all select 2, 'publish', b, true from n union all select 3, 'restore', a, true from n
+union all select 4, 'publish', b, true from n union all select 5, 'publish', b, true from n""")
+    q["empty_publish"] = """
+select * from (values ('YEAR', 'bigint', 0::bigint, 0::bigint), ('AREAID', 'string', 0, 0), ('OCCID', 'string', 0, 0),
+ ('OPENINGS', 'bigint', 0, 0)) t(COLUMN_NAME, TYPE, STAGED_ROWS, READ_ROWS)"""
+    q["chunk_agreement"] = """
+select cast(o_orderkey as bigint) as ID, case when o_orderkey % 3 = 2 and o_orderkey % 5 = 0 then null else cast(o_custkey as integer) end
+  as PRIORITY, case when o_orderkey % 3 = 1 then null else o_orderstatus end as STATUS,
+ case when o_orderkey % 3 = 2 and o_orderkey % 5 = 0 then 'PRIORITY' else '' end as faults from orders"""
+    q["chunk_common_type"] = """
+select cast(o_orderkey as bigint) as ID, case when o_orderkey % 3 = 2 and o_orderkey % 5 = 0 then 'n/a'
+  else cast(o_custkey as varchar) end as PRIORITY, case when o_orderkey % 3 = 1 then null else o_orderstatus end as STATUS,
+ 0 as FAULTS from orders"""
+    q["file_inventory"] = """
+with p as (select page_id % 5 = 0 as late, page_id % 7 = 0 as again, page_id % 11 = 0 as gone, octet_length(encode(html)) as b from pages),
+second as (select case when gone then 'removed' when late then 'new' when again then 'changed' else 'same' end as change,
+  b + case when again and not gone then 2 else 0 end as b from p where not (gone and late))
+select 'new' as change, count(*) as files, cast(sum(b) as bigint) as bytes, 1 as version from p where not late
+union all select change, count(*), cast(sum(b) as bigint), 2 from second group by change
+union all select 'stored', count(*), cast(sum(b) as bigint), 2 from second where change <> 'removed'"""
     return q

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -25,23 +26,6 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically: a temp name, then one rename that
-    replaces the old file, so a reader sees the old or the new text."""
-    fs, p = _fs_and_path(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    jvm = spark.sparkContext._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = overwrite
-    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
-
-
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):
@@ -89,3 +73,79 @@ def write_parquet_atomic(df, path: str, sort_within: tuple[str, ...] = ()) -> st
     if not rename(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
         raise RuntimeError(f"could not move {tmp} to {path}")
     return path
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs_and_path(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless there is one of that name; of several writers one succeeds.
+
+    HDFS decides at creation, object stores with conditional writes when the file is closed
+    (Hadoop's option for it is set and ignored by stores without), local disks by an exclusive
+    open."""
+    fs, p = _fs_and_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    data = bytearray(text.encode("utf-8"))
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = jvm.java.io.File(p.toUri().getPath())
+            local.getParentFile().mkdirs()
+            option = spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
+            option[0] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW
+            option[1] = jvm.java.nio.file.StandardOpenOption.WRITE
+            jvm.java.nio.file.Files.write(local.toPath(), data, option)
+        else:
+            out = fs.createFile(p).recursive().overwrite(False).opt("fs.option.create.conditional.overwrite", True).build()
+            out.write(data)
+            out.close()
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise RuntimeError(f"could not write {path}") from e
+    return True
+
+
+class CommitLog:
+    """Numbered text entries in a folder: the highest complete one is the present state.
+
+    An entry is added under the next free number, put if absent, so entries have one order
+    and none replaces another; nothing is renamed or overwritten.  An entry without its
+    closing mark (a writer died over it) counts as taken, but is passed over by readers."""
+
+    END = "\n."
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _path(self, number: int) -> str:
+        return f"{self.folder}/{number:020d}"
+
+    def numbers(self) -> list[int]:
+        return [int(n) for n in list_names(self.spark, self.folder) if n.isdigit()]
+
+    def read(self, number: int) -> str | None:
+        text = read_text(self.spark, self._path(number))
+        return text[:-len(self.END)] if text is not None and text.endswith(self.END) else None
+
+    def entries(self) -> list[tuple[int, str]]:
+        return [(n, text) for n in self.numbers() if (text := self.read(n)) is not None]
+
+    def latest(self) -> tuple[int, str] | None:
+        for n in reversed(self.numbers()):
+            text = self.read(n)
+            if text is not None:
+                return n, text
+        return None
+
+    def append(self, text: str, after: int | None = None) -> int | None:
+        """Add an entry; its number.  With ``after`` (the entry the writer has seen, 0 for none)
+        only directly behind it: None if another writer was there first."""
+        number = (max(self.numbers(), default=0) if after is None else after) + 1
+        while not put_if_absent(self.spark, self._path(number), text + self.END):
+            if after is not None:
+                return None
+            number += 1
+        return number

@@ -3,19 +3,22 @@
 Layout under a warehouse root (any Hadoop filesystem path)::
 
     <root>/marts/<table>/run_id=<id>/     one folder per run (the artifact)
-    <root>/marts/<table>/_CURRENT          pointer: the run id readers see
-    <root>/ops/pipeline_runs/              run manifest, partitioned by day
+    <root>/marts/<table>/_commits/<n>      numbered entries; the highest names the run readers see
+    <root>/ops/pipeline_runs/              run log, partitioned by day
 
 A run writes its folder (staging), measures it while writing
 (``DataFrame.observe``: row count, max period, null counts ride on the same
-scan), checks it, and only then moves the pointer, so a failed check leaves
-the published table exactly as it was (K8).  Rolling back moves the pointer
-to an earlier run's folder (A11, K14).
+scan), checks it, and only then adds an entry, so a failed check leaves
+the published table exactly as it was (K8).  Rolling back adds an entry that
+names an earlier run's folder (A11, K14).  Entries are put if absent and never
+replaced, which needs no rename: publishers of one table at the same time get
+numbers of their own, in one order that every reader sees.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import logging
 import uuid
 from collections.abc import Callable
@@ -38,7 +41,7 @@ from tallgrass.operators.dataops import (
     rollback_targets,
     run_record,
 )
-from tallgrass.sources.fs import exists, read_text, write_text
+from tallgrass.sources.fs import CommitLog, exists
 
 
 def new_run_id() -> str:
@@ -46,6 +49,10 @@ def new_run_id() -> str:
     return now.strftime("%Y%m%dT%H%M%SZ") + "-" + uuid.uuid4().hex[:8]
 
 
+class ConcurrentPublishError(RuntimeError):
+    pass
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -64,9 +71,16 @@ class Warehouse:
     def manifest(self) -> DataFrame:
         return read_manifest(self.spark, self.manifest_path)
 
+    def commits(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.table_dir(table)}/_commits")
+
+    def history(self, table: str) -> list[dict]:
+        """Every entry of a table: number, action (publish or restore) and run id."""
+        return [{"number": n, **json.loads(text)} for n, text in self.commits(table).entries()]
+
     def current_run(self, table: str) -> str | None:
-        text = read_text(self.spark, f"{self.table_dir(table)}/_CURRENT")
-        return text.strip() if text else None
+        last = self.commits(table).latest()
+        return json.loads(last[1])["run_id"] if last else None
 
     def read(self, table: str) -> DataFrame:
         run_id = self.current_run(table)
@@ -81,10 +95,14 @@ class Warehouse:
             return None
         return self.read(table).count()
 
-    def point_to(self, table: str, run_id: str) -> None:
+    def point_to(self, table: str, run_id: str, action: str = "publish", after: int | None = None) -> int:
+        """Add an entry; its number.  With ``after`` only behind the entry of that number."""
         if not exists(self.spark, f"{self.run_dir(table, run_id)}/_SUCCESS"):
             raise FileNotFoundError(f"no artifact for {table} run {run_id}")
-        write_text(self.spark, f"{self.table_dir(table)}/_CURRENT", run_id)
+        number = self.commits(table).append(json.dumps({"action": action, "run_id": run_id}), after)
+        if number is None:
+            raise ConcurrentPublishError(f"{table} was published by another run after entry {after}")
+        return number
 
 
 @dataclass
@@ -111,11 +129,11 @@ def write_observed(df: DataFrame, path: str, table: str, quality: QualityConfig)
 
 def publish_cycle(wh: Warehouse, df: DataFrame | Callable[[], DataFrame], table: str, quality: QualityConfig, *,
                   pipeline: str = "labour_market", group_name: str | None = None, run_id: str | None = None,
-                  allow_empty: bool = False, row_limit: int | None = None, records: list | None = None) -> LandResult:
+                  allow_empty: bool = False, row_limit: int | None = None, announced: bool = False) -> LandResult:
     """Stage -> measure -> validate -> publish -> record.
 
-    The run record is appended to the manifest, or to ``records`` when a
-    caller (a batch) writes all of its records in one append.
+    A ``running`` record is appended first, unless a caller has ``announced`` the
+    run, and one of the end last.
     """
     spark = wh.spark
     run_id = run_id or new_run_id()
@@ -124,6 +142,8 @@ def publish_cycle(wh: Warehouse, df: DataFrame | Callable[[], DataFrame], table:
     if limited and row_limit <= 0:
         raise ValueError("row limit must be positive")
     path = wh.run_dir(table, run_id)
+    if not announced:
+        _record(wh, run_record(run_id, pipeline, table, "running", started, group_name=group_name))
     status, error, report_rows, m = "failed", None, [], {"row_count": None, "max_year": None}
     try:
         if callable(df):
@@ -152,19 +172,16 @@ def publish_cycle(wh: Warehouse, df: DataFrame | Callable[[], DataFrame], table:
         rec = run_record(run_id, pipeline, table, status, started, finished, group_name=group_name,
                          row_count=m.get("row_count"), max_year=m.get("max_year"),
                          source_uri=path if status == "success" else None, error=error)
-        if records is None:
-            _record(wh, rec)
-        else:
-            records.append(rec)
+        _record(wh, rec)
     return LandResult(table, run_id, status, m["row_count"], m.get("max_year"), not limited, report_rows)
 
 
-def _record(wh: Warehouse, rec: dict) -> None:
-    """Append a run record; a failing append is logged and leaves the run's outcome as it is."""
+def _record(wh: Warehouse, *records: dict) -> None:
+    """Append run records; a failing append is logged and leaves the run's outcome as it is."""
     try:
-        append_run_records(wh.spark, wh.manifest_path, [rec])
+        append_run_records(wh.spark, wh.manifest_path, records)
     except Exception:  # noqa: BLE001
-        logging.getLogger(__name__).exception("run record of %s not appended", rec["dataset"])
+        logging.getLogger(__name__).exception("run records of %s not appended", ", ".join(r["dataset"] for r in records))
 
 
 def record_no_change(wh: Warehouse, table: str, *, pipeline: str = "enrollment",
@@ -174,7 +191,7 @@ def record_no_change(wh: Warehouse, table: str, *, pipeline: str = "enrollment",
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rec = run_record(run_id or new_run_id(), pipeline, table, "success_no_change", now, now,
                      group_name=group_name, row_count=wh.published_row_count(table))
-    append_run_records(wh.spark, wh.manifest_path, [rec])
+    _record(wh, rec)
     return rec
 
 
@@ -192,11 +209,16 @@ def run_batch(wh: Warehouse, builders: dict, quality: QualityConfig, *, pipeline
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    begun = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    ids = {name: new_run_id() for name in builders}
+    _record(wh, *[run_record(ids[name], pipeline, name, "running", begun, group_name=(groups or {}).get(name))
+                  for name in builders])
+
     def one(item):
         name, build = item
         try:
-            r = publish_cycle(wh, build, name, quality, pipeline=pipeline, row_limit=row_limit,
-                              group_name=(groups or {}).get(name))
+            r = publish_cycle(wh, build, name, quality, pipeline=pipeline, row_limit=row_limit, run_id=ids[name],
+                              group_name=(groups or {}).get(name), announced=True)
             return (name, r.status, r.row_count, None)
         except Exception as e:  # noqa: BLE001
             return (name, "failed", None, f"{type(e).__name__}: {str(e)[:ERROR_LIMIT]}")
@@ -222,9 +244,9 @@ def rollback(wh: Warehouse, table: str, run_id: str | None = None) -> str:
     if not rows:
         raise LookupError(f"no successful run with an artifact found for {table}")
     chosen = rows[0]["run_id"]
-    wh.point_to(table, chosen)
+    wh.point_to(table, chosen, "restore")
     return chosen
 
 
 __all__ = ["Warehouse", "LandResult", "publish_cycle", "run_batch", "rollback", "write_observed", "record_no_change",
-           "QualityCheckError", "new_run_id"]
+           "QualityCheckError", "ConcurrentPublishError", "new_run_id"]

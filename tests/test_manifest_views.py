@@ -61,8 +61,8 @@ def test_freshness_gate_message_and_raise(spark):
     stale = D.stale_datasets(r, D.thresholds_frame(spark), now)
     assert [x["dataset"] for x in stale.collect()] == ["d1"]
     msg = D.freshness_message(stale).first()["message"]
-    assert msg == "PIPELINE FRESHNESS FAILURE: 1 dataset(s) overdue: labour_market.d1 (monthly) 840 h old, limit 792 h"
-    with pytest.raises(D.FreshnessError, match="PIPELINE FRESHNESS FAILURE"):
+    assert msg == "STALE: 1 past their limit, the oldest: labour_market/d1, monthly: 840 hours of 792"
+    with pytest.raises(D.FreshnessError, match="STALE"):
         D.raise_if_stale(D.freshness_message(stale))
     fresh = D.stale_datasets(r, D.thresholds_frame(spark), T(2024, 1, 20))
     assert D.freshness_message(fresh).first()["message"] is None

@@ -84,6 +84,74 @@ def test_publishable_type_mapping(spark):
     assert out.first()["a"] == "[1,2]"
 
 
+def test_entries_are_put_once(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tallgrass.sources.fs import CommitLog, put_if_absent
+    assert put_if_absent(spark, f"{scratch}/a/b", "one") and not put_if_absent(spark, f"{scratch}/a/b", "two")
+    log = CommitLog(spark, f"{scratch}/log")
+    assert log.latest() is None and log.append("x", after=0) == 1 and log.append("late", after=0) is None
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda i: log.append(f"e{i}"), range(12)))
+    assert sorted(numbers) == list(range(2, 14))
+    assert {text for _, text in log.entries()} == {"x", *[f"e{i}" for i in range(12)]}
+    # a writer that died over its entry: the number is taken, readers pass it over
+    put_if_absent(spark, f"{scratch}/log/{14:020d}", "half")
+    assert log.latest()[0] == 13 and log.append("next") == 15 and log.latest() == (15, "next")
+
+
+def test_late_publisher_is_refused(spark, scratch):
+    from tallgrass.sources.sinks import ConcurrentPublishError
+    wh = Warehouse(spark, scratch)
+    r = publish_cycle(wh, frame(spark, 3), "t", QualityConfig())
+    wh.point_to("t", r.run_id, after=1)
+    with pytest.raises(ConcurrentPublishError):
+        wh.point_to("t", r.run_id, after=1)
+    assert [(h["number"], h["action"]) for h in wh.history("t")] == [(1, "publish"), (2, "publish")]
+
+
+def test_run_log_folds_to_states_and_closes_lost_runs(spark, scratch):
+    from tallgrass.operators import dataops as D
+    t0 = dt.datetime(2024, 1, 1)
+    path = f"{scratch}/runs"
+    D.append_run_records(spark, path, [D.run_record(i, "p", "d", "running", t0) for i in ("a", "b", "c")])
+    D.append_run_records(spark, path, [D.run_record("a", "p", "d", "success", t0, t0 + dt.timedelta(hours=1), row_count=5)])
+    now = t0 + dt.timedelta(hours=30)
+    D.append_run_records(spark, path, [D.run_record("d", "p", "d", "running", now)])
+    assert D.close_lost_runs(spark, path, now, hours=24) == 2
+    assert D.close_lost_runs(spark, path, now, hours=24) == 0
+    # a run that reports after it was closed does not change its state
+    D.append_run_records(spark, path, [D.run_record("b", "p", "d", "success", t0, now + dt.timedelta(hours=1))])
+    got = {r["run_id"]: (r["status"], r["row_count"], r["error"]) for r in D.read_manifest(spark, path).collect()}
+    lost = ("failed", None, "RunLost: no end within 24 h")
+    assert got == {"a": ("success", 5, None), "b": lost, "c": lost, "d": ("running", None, None)}
+    assert D.read_run_log(spark, path).count() == 8
+
+
+def test_chunk_types_fold_to_the_least_common_one():
+    from pyspark.sql import types as T
+
+    from tallgrass.operators.dataops import common_schema, common_type
+    cases = [(T.IntegerType(), T.LongType(), T.LongType()), (T.IntegerType(), T.DoubleType(), T.DoubleType()),
+             (T.DecimalType(10, 2), T.IntegerType(), T.DecimalType(12, 2)), (T.DecimalType(38, 0), T.DecimalType(10, 9), T.DoubleType()),
+             (T.DateType(), T.TimestampType(), T.TimestampType()), (T.NullType(), T.DateType(), T.DateType()),
+             (T.LongType(), T.StringType(), T.StringType()), (T.BooleanType(), T.LongType(), T.StringType()),
+             (T.FloatType(), T.FloatType(), T.FloatType())]
+    for a, b, want in cases:
+        assert common_type(a, b) == common_type(b, a) == want
+    schemas = [T.StructType([T.StructField("a", T.NullType())]), T.StructType([T.StructField("b", T.LongType())])]
+    assert [(f.name, f.dataType) for f in common_schema(schemas)] == [("a", T.StringType()), ("b", T.LongType())]
+
+
+def test_failing_casts_are_named_in_their_rows(spark):
+    from tallgrass.operators.dataops import merge_chunks
+    first = spark.createDataFrame([(1, "x")], "a long, b string")
+    later = spark.createDataFrame([("2", 7), ("two", 8), (None, 9)], "a string, extra int")
+    got = sorted(((r["a"], r["b"], list(r["faults"])) for r in merge_chunks([first, later]).collect()), key=repr)
+    assert got == sorted([(1, "x", []), (2, None, []), (None, None, ["a"]), (None, None, [])], key=repr)
+    assert {r["a"] for r in merge_chunks([first, later], first_decides=False).collect()} == {"1", "2", "two", None}
+
+
 def test_chunks_conform_to_first_schema(spark):
     first = spark.createDataFrame([(1, "a")], "AREAID bigint, COUNTY_NAME string")
     later = spark.createDataFrame([(2, "b")], "AREAID int, COUNTY_NAME string")
