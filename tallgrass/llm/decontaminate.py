@@ -18,9 +18,12 @@ within the tolerance of the window's.  Equal passages always collide: the
 first repeat samples steps that lie inside every item.  The recall at the
 tolerance is measured (README), not derived.
 
-Before embedding, windows that cannot pass are left out without loss: a
+Before embedding, windows that cannot pass are left out without loss.  A
 window within the tolerance has all but that many of its words from the
-item, so at least that many from the words of all items of its class.
+item, so at least that many from the words of all items of its class.  And an
+edit touches at most ``GRAM`` of an item's runs of ``GRAM`` words: of n - GRAM + 1
+runs all but GRAM times the edits stand in the stretch unchanged, so a window of
+the class's longest stretch must hold as many runs of items of the class.
 
 Items are a stated query set.  They are broadcast in blocks of at most
 ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes, one pass over the documents
@@ -53,6 +56,8 @@ SAMPLED = 3
 #: Steps of a walk for a word of a class's shortest items.
 STEPS = 2.25
 MIN_ITEM_WORDS = 8
+#: Words of the runs that a stretch must share with the items.
+GRAM = 3
 CLASS_STEP = 1.25
 BLOCK_ITEMS = 50_000
 BLOCK_BYTES = 32 << 20
@@ -73,6 +78,15 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return runs.hashes(data, starts, ends), np.searchsorted(starts, begin)
 
 
+def gram_hashes(words: np.ndarray) -> np.ndarray:
+    """One hash for the run of GRAM words that begins at each word (none at the last ones)."""
+    n = max(0, len(words) - GRAM + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        out = runs.mix(out + words[i:i + n])
+    return out
+
+
 def edit_distance(item: np.ndarray, text: np.ndarray, most: int, skip: int = 0) -> int:
     """Least word edit distance between the item and a prefix of the text (of
     what is left after up to ``skip`` words), or ``most + 1`` if it is above
@@ -118,6 +132,9 @@ class Index:
             sampled = [sorted(rng.choice(steps if r else low, SAMPLED, replace=False).tolist()) for r in range(REPEATS)]
             vocab = np.unique(np.concatenate([self.words[k] for k in members]))
             most = max(self.most[k] for k in members)
+            grams = np.unique(np.concatenate([gram_hashes(self.words[k]) for k in members]))
+            least = min(len(self.words[k]) - GRAM + 1 - GRAM * self.most[k] for k in members)
+            longest = max(len(self.words[k]) + self.most[k] for k in members)
             flat = np.concatenate([a for k in members for a in (self.words[k], _PAD)])
             end = np.cumsum([len(self.words[k]) + 1 for k in members])
             keys, whole = self._keys(flat, np.concatenate([[0], end[:-1]]), walks, sampled)
@@ -126,7 +143,7 @@ class Index:
                 order = np.argsort(keys[r], kind="stable")
                 order = order[whole[r][order]]
                 tables.append((keys[r][order], np.asarray(members)[order]))
-            self.classes.append((low, most, vocab, walks, sampled, tables))
+            self.classes.append((low, most, vocab, (grams, least, longest), walks, sampled, tables))
 
     @staticmethod
     def _keys(words: np.ndarray, at: np.ndarray, walks: np.ndarray, sampled: list) -> tuple[np.ndarray, np.ndarray]:
@@ -155,11 +172,12 @@ class Index:
         owner = np.repeat(np.arange(len(texts)), np.diff(first))
         ends = first[1:][owner]
         padded = np.insert(words, first[1:], _PAD[0])
-        for low, most, vocab, walks, sampled, tables in self.classes:
+        runs_of_words = gram_hashes(words)
+        for low, most, vocab, (grams, least, longest), walks, sampled, tables in self.classes:
+            at = self._shared_runs(runs_of_words, ends, grams, least, longest)
             known = _member(vocab, words)
             upto = np.concatenate([[0], np.cumsum(known)])
-            stop = np.minimum(np.arange(len(words)) + low, ends)
-            at = np.flatnonzero(upto[stop] - upto[:-1] >= low - most)
+            at = at[upto[np.minimum(at + low, ends[at])] - upto[at] >= low - most]
             if not len(at):
                 continue
             keys, _ = self._keys(padded, at + owner[at], walks, sampled)
@@ -173,6 +191,15 @@ class Index:
                     found[doc][item] = min(d, found[doc].get(item, d))
         return found
 
+    @staticmethod
+    def _shared_runs(text_grams: np.ndarray, ends: np.ndarray, grams: np.ndarray, least: int, longest: int) -> np.ndarray:
+        """Places from which a stretch of ``longest`` words (within its text) holds at least
+        ``least`` runs that are in ``grams``."""
+        upto = np.concatenate([[0], np.cumsum(_member(grams, text_grams))])
+        place = np.arange(len(ends))
+        stop = np.maximum(np.minimum(place + longest, ends) - GRAM + 1, 0)
+        return np.flatnonzero(upto[np.minimum(stop, len(upto) - 1)] - upto[np.minimum(place, len(upto) - 1)] >= max(1, least))
+
     @staticmethod
     def _candidates(at: np.ndarray, keys: np.ndarray, tables: list) -> list[tuple[int, int]]:
         pairs = []
