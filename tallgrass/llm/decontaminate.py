@@ -1,7 +1,8 @@
 """Benchmark decontamination by CGK embedding, bit sampling and edit verification.
 
 Texts and items become sequences of words (ASCII letters in lower case; other
-ASCII characters than letters and digits separate).  A document is
+ASCII characters than letters and digits separate; a character of a script
+without spaces between words is a word).  A document is
 contaminated by an item if some stretch of it has a word edit distance of at
 most ``TOLERANCE`` of the item's words.
 
@@ -25,20 +26,25 @@ edit touches at most ``GRAM`` of an item's runs of ``GRAM`` words: of n - GRAM +
 runs all but GRAM times the edits stand in the stretch unchanged, so a window of
 the class's longest stretch must hold as many runs of items of the class.
 
+Items of fewer than ``MIN_ITEM_WORDS`` words are matched exactly: their words in
+their order, found by a hash of so many words and compared.
+
 Items are a stated query set.  They are broadcast in blocks of at most
-``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes, one pass over the documents
-each, so any number of items works.
+``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes, ``BLOCKS_A_PASS`` of them in one
+pass over the documents, so any number of items works.
 
-Defined results: null and empty texts hold no item; items of fewer than
-``MIN_ITEM_WORDS`` words (null ones too) give no evidence and are never
-matched; repeated items each count; repeated rows get equal results; extra
+Defined results: null and empty texts hold no item; items without words (null
+ones too) are never matched; repeated items each count; repeated rows get equal results; extra
 columns are ignored; empty tables give an empty result, or no contamination.
 Whole texts are searched, in segments of words within memory bounds.
 """
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -48,10 +54,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tallgrass.llm import runs
-from tallgrass.llm.common import few_arrow_rows
+from tallgrass.llm.common import durable, few_arrow_rows
 
 TOLERANCE = 0.2
-REPEATS = 56
+REPEATS = 72
 SAMPLED = 3
 #: Steps of a walk for a word of a class's shortest items.
 STEPS = 2.25
@@ -61,6 +67,8 @@ GRAM = 3
 CLASS_STEP = 1.25
 BLOCK_ITEMS = 50_000
 BLOCK_BYTES = 32 << 20
+#: Blocks searched in one pass; a worker keeps the indexes of as many.
+BLOCKS_A_PASS = 2
 #: Bytes of text that are searched together.
 GATHER = 4 << 20
 
@@ -70,19 +78,45 @@ _BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = F
 _PAD = np.zeros(1, np.uint64)
 
 
+# Code points of scripts written without spaces between words (Thai, Lao, Burmese, Khmer,
+# kana, Han).
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+             (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of UTF-8 text (behind which there is a break)."""
+    starts, ends = runs.bounds(data, _BREAKS)
+    if not len(data) or data.max() < 0xE0:
+        return starts, ends
+    cuts = []
+    for least, size in ((0xE0, 3), (0xF0, 4)):
+        at = np.flatnonzero((data >= least) & (data < least + 16))
+        at = at[at + size <= len(data)]
+        code = data[at].astype(np.int64) & (0x0F if size == 3 else 0x07)
+        for i in range(1, size):
+            code = code << 6 | data[at + i].astype(np.int64) & 0x3F
+        alone = at[np.logical_or.reduce([(code >= a) & (code <= b) for a, b in _UNSPACED])]
+        cuts += [alone, alone + size]
+    inside = np.unique(np.concatenate(cuts))
+    inside = inside[(inside > 0) & (inside < len(data))]
+    inside = inside[~_BREAKS[data[inside]] & ~_BREAKS[data[inside - 1]]]
+    return np.sort(np.concatenate([starts, inside])), np.sort(np.concatenate([ends, inside]))
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the place of each text's first word (and the end)."""
     data, begin = runs.join_texts(texts)
     data = runs.LOWER[data]
-    starts, ends = runs.bounds(data, _BREAKS)
+    starts, ends = word_bounds(data)
     return runs.hashes(data, starts, ends), np.searchsorted(starts, begin)
 
 
-def gram_hashes(words: np.ndarray) -> np.ndarray:
-    """One hash for the run of GRAM words that begins at each word (none at the last ones)."""
-    n = max(0, len(words) - GRAM + 1)
+def gram_hashes(words: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """One hash for the run of ``size`` words that begins at each word (none at the last ones)."""
+    n = max(0, len(words) - size + 1)
     out = np.zeros(n, np.uint64)
-    for i in range(GRAM):
+    for i in range(size):
         out = runs.mix(out + words[i:i + n])
     return out
 
@@ -112,10 +146,16 @@ class Index:
     def __init__(self, items: list[tuple[int, bytes]], seed: int = 7) -> None:
         hashes, first = word_hashes([t for _, t in items])
         self.ids, self.words = [], []
+        short = defaultdict(list)
         for (item_id, _), a, b in zip(items, first[:-1], first[1:]):
-            if b - a >= MIN_ITEM_WORDS:
+            if 0 < b - a < MIN_ITEM_WORDS:
+                short[int(b - a)].append((gram_hashes(hashes[a:b], int(b - a))[0], item_id, hashes[a:b]))
+            elif b - a:
                 self.ids.append(item_id)
                 self.words.append(hashes[a:b])
+        #: Short items by their number of words: sorted hashes, and (item id, words) in that order.
+        self.short = {n: (np.array([h for h, _, _ in own], np.uint64), [o[1:] for o in own])
+                      for n, own in ((n, sorted(x, key=lambda o: o[0])) for n, x in sorted(short.items()))}
         self.most = [int(TOLERANCE * len(w)) for w in self.words]
         rng = np.random.Generator(np.random.PCG64(seed))
         self.classes = []
@@ -167,10 +207,19 @@ class Index:
         """For every text: item id -> least edit distance found."""
         found: list[dict[int, int]] = [{} for _ in texts]
         words, first = word_hashes(texts)
-        if not len(words) or not self.words:
+        if not len(words):
             return found
         owner = np.repeat(np.arange(len(texts)), np.diff(first))
         ends = first[1:][owner]
+        for n, (table, items) in self.short.items():
+            grams = gram_hashes(words, n)
+            lo = np.searchsorted(table, grams)
+            for at in np.flatnonzero((table[np.minimum(lo, len(table) - 1)] == grams) & (np.arange(len(grams)) + n <= ends[:len(grams)])):
+                for item_id, own in items[lo[at]:np.searchsorted(table, grams[at], "right")]:
+                    if (own == words[at:at + n]).all():
+                        found[owner[at]][item_id] = 0
+        if not self.words:
+            return found
         padded = np.insert(words, first[1:], _PAD[0])
         runs_of_words = gram_hashes(words)
         for low, most, vocab, (grams, least, longest), walks, sampled, tables in self.classes:
@@ -225,23 +274,24 @@ def _member(vocab: np.ndarray, words: np.ndarray) -> np.ndarray:
     return known
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=BLOCKS_A_PASS)
 def _index(items: tuple[tuple[int, bytes], ...]) -> Index:
     return Index(list(items))
 
 
-def item_blocks(spark: SparkSession, items: DataFrame, item_id: str = "item_id", text: str = "text") -> list:
-    """Broadcasts of at most BLOCK_ITEMS items and BLOCK_BYTES bytes each."""
+def item_blocks(spark: SparkSession, items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator:
+    """Broadcasts of at most BLOCK_ITEMS items and BLOCK_BYTES bytes each, made as they are asked for."""
     own = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    blocks, block, size = [], [], 0
+    block, size = [], 0
     for r in own.orderBy("i", "t").toLocalIterator():
         raw = r.t.encode()
         if block and (len(block) >= BLOCK_ITEMS or size + len(raw) > BLOCK_BYTES):
-            blocks.append(spark.sparkContext.broadcast(tuple(block)))
+            yield spark.sparkContext.broadcast(tuple(block))
             block, size = [], 0
         block.append((r.i, raw))
         size += len(raw)
-    return blocks + [spark.sparkContext.broadcast(tuple(block))] if block else blocks
+    if block:
+        yield spark.sparkContext.broadcast(tuple(block))
 
 
 _HITS = ArrayType(StructType([StructField("item_id", LongType()), StructField("edits", LongType())]))
@@ -265,12 +315,15 @@ def hits_column(text: Column, block) -> Column:
     return search(F.coalesce(text, F.lit("")))
 
 
-def with_hits(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus hits: array of (item_id, edits) over all items."""
+def with_hits(docs: DataFrame, items: DataFrame, text: str = "text", hits: str = "hits") -> DataFrame:
+    """``docs`` plus a column ``hits``: array of (item_id, edits) over all items."""
     few_arrow_rows(docs.sparkSession)
-    parts = [hits_column(F.col(text), b) for b in item_blocks(docs.sparkSession, items)]
-    empty = F.array().cast("array<struct<item_id:bigint,edits:bigint>>")
-    return docs.withColumn("hits", F.concat(*parts) if len(parts) > 1 else parts[0] if parts else empty)
+    out = docs.withColumn(hits, F.array().cast("array<struct<item_id:bigint,edits:bigint>>"))
+    for n, part in enumerate(itertools.batched(item_blocks(docs.sparkSession, items), BLOCKS_A_PASS)):
+        if n:   # one pass is written before the next pair of blocks
+            out = durable(out, "searched")
+        out = out.withColumn(hits, F.concat(hits, *[hits_column(F.col(text), b) for b in part]))
+    return out
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -284,5 +337,6 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns as they are."""
-    return with_hits(docs.select("*"), items, text).where(F.size("hits") == 0).select(*docs.columns)
+    """The rows of ``docs`` that hold no item, all columns as they are, whatever their names."""
+    hits = f"hits_{uuid.uuid4().hex}"
+    return with_hits(docs, items, text, hits).where(F.size(hits) == 0).drop(hits)

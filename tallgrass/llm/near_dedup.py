@@ -3,7 +3,7 @@
 A document's set is its distinct 64-bit hashes of 5-word shingles (A-Z in
 lower case; below five words the whole sequence is one shingle).  Documents
 with equal sets are one class.  Two classes are linked if the Jaccard
-similarity of their full sets reaches ``PERCENT``; components of links get the
+similarity of their full sets reaches ``percent``; components of links get the
 smallest document id.
 
 One hash function gives every class the ``SKETCH`` smallest values of its set.
@@ -35,6 +35,7 @@ by a 64-bit hash of their sorted set.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +49,11 @@ PERCENT = 85
 OPEN_PAIRS = 4
 BROADCAST_IDS = 2_000_000
 
-_SPREAD = 5 * math.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / SKETCH)
-LEAST_ESTIMATE = PERCENT / 100 - _SPREAD
+
+def least_estimate(percent: int) -> float:
+    """Sketch estimates below this belong to no link: five standard deviations off."""
+    limit = percent / 100
+    return limit - 5 * math.sqrt(limit * (1 - limit) / SKETCH)
 
 
 def shingle_set(text: Column, n: int = SHINGLE) -> Column:
@@ -61,21 +65,22 @@ def shingle_set(text: Column, n: int = SHINGLE) -> Column:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sketch) of (doc_id, text)."""
-    one = docs.select("doc_id", let(shingle_set(F.col("text")), lambda s: F.struct(
+    """(doc_id, content, n, node, sketch) of (doc_id, text)."""
+    one = docs.select("doc_id", F.xxhash64("text").alias("content"), let(shingle_set(F.col("text")), lambda s: F.struct(
         F.size(s).cast("long").alias("n"), F.xxhash64(s).alias("node"),
         F.slice(s, 1, SKETCH).alias("sketch"))).alias("d"))
-    return one.select("doc_id", "d.n", "d.node", "d.sketch")
+    return one.select("doc_id", "content", "d.n", "d.node", "d.sketch")
 
 
-def prefix_length(n: Column) -> Column:
+def prefix_length(n: Column, percent: int) -> Column:
     """How many of its rarest retained values a class of n shingles must list."""
     size = F.least(n, F.lit(SKETCH))
-    exact = n - F.ceil(n * PERCENT / 100) + 1
-    return F.when(n <= SKETCH * PERCENT // 100, exact).otherwise(size - F.ceil(size * LEAST_ESTIMATE) + 1).cast("int")
+    exact = n - F.ceil(n * percent / 100) + 1
+    return F.when(n <= SKETCH * percent // 100, exact).otherwise(
+        size - F.ceil(size * least_estimate(percent)) + 1).cast("int")
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
+def inverted_lists(nodes: DataFrame, percent: int) -> DataFrame:
     """(value, node, n, own, rank): the lists each class enters; ``own`` counts
     its values that no other class retains, ``rank`` orders by rarity."""
     spread = nodes.select("node", "n", F.explode("sketch").alias("value")).repartition("value")
@@ -83,19 +88,19 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     shared = spread.join(often, "value").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("held", "value"))).alias("values"))  # at most SKETCH of them
     own = F.least(F.col("n"), F.lit(SKETCH)).cast("int") - F.size("values")
-    room = F.greatest(F.lit(0), prefix_length(F.col("n")) - F.col("own"))
+    room = F.greatest(F.lit(0), prefix_length(F.col("n"), percent) - F.col("own"))
     return shared.withColumn("own", own).where(room > 0).select(
         "node", "n", "own", F.posexplode(F.slice("values", F.lit(1), room)).alias("rank", "v")) \
         .select("v.value", "node", "n", "own", "rank")
 
 
-def _near_size(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _near_size(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _alike(a: Column, b: Column) -> Column:
+def _alike(a: Column, b: Column, percent: int) -> Column:
     """The exact test on two full sets: 100 i >= P (|a| + |b| - i) for the intersection's size i."""
-    return (100 + PERCENT) * F.size(F.array_intersect(a, b)) >= PERCENT * (F.size(a) + F.size(b))
+    return (100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (F.size(a) + F.size(b))
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -104,22 +109,22 @@ def _estimate(a: Column, b: Column) -> Column:
     return let(union, lambda u: F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.size(u))
 
 
-def hub_links(lists: DataFrame, order: Column, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def hub_links(lists: DataFrame, order: Column, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links (a, b) between every class and the hub of each of its
     lists; ``lists`` has comp, and classes of one component are not compared."""
     hubs = lists.groupBy("value").agg(F.min(F.struct(order.alias("o"), "node", "n", "comp")).alias("hub"))
-    met = lists.join(hubs, "value").where((F.col("comp") != F.col("hub.comp")) & _near_size(F.col("n"), F.col("hub.n")))
+    met = lists.join(hubs, "value").where((F.col("comp") != F.col("hub.comp")) & _near_size(F.col("n"), F.col("hub.n"), percent))
     pairs = met.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
     sketches = nodes.select("node", "sketch")
     likely = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a") \
         .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b") \
-        .where(_estimate(F.col("sa"), F.col("sb")) >= LEAST_ESTIMATE).select("a", "b")
+        .where(_estimate(F.col("sa"), F.col("sb")) >= least_estimate(percent)).select("a", "b")
     full = likely.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    return durable(full.where(_alike(F.col("sa"), F.col("sb"))).select("a", "b"), "links")
+    return durable(full.where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"), "links")
 
 
-def last_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
+def last_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes of different components that share a list; a pair
     is tested in the first list that both are in."""
     mine = lists.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))),
@@ -127,9 +132,9 @@ def last_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     full = lists.join(mine, "node").join(sets, "node").select("value", "node", "n", "comp", "values", "set")
     a, b = full.alias("a"), full.alias("b")
     on = (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node")) \
-        & (F.col("a.comp") != F.col("b.comp")) & _near_size(F.col("a.n"), F.col("b.n")) \
+        & (F.col("a.comp") != F.col("b.comp")) & _near_size(F.col("a.n"), F.col("b.n"), percent) \
         & (F.array_intersect("a.values", "b.values")[0] == F.col("a.value")) \
-        & _alike(F.col("a.set"), F.col("b.set"))
+        & _alike(F.col("a.set"), F.col("b.set"), percent)
     return durable(a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "links")
 
 
@@ -168,40 +173,48 @@ def _open_pairs(mixed: DataFrame) -> int:
     return held.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.lit(0))).first()[0]
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
+    return _verdicts(docs, doc_id, text, percent).drop("content")
+
+
+def _verdicts(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """``near_duplicates`` with a hash of each row's text (content)."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = durable(_described(own), "described")
     nodes = durable(rows.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "nodes")
-    lists = durable(inverted_lists(nodes), "lists")
+    lists = durable(inverted_lists(nodes, percent), "lists")
     listed = durable(lists.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "listed")
     ids = listed.select(F.col("first_id").alias("_first"))
     some = own.join(small_side(ids.distinct(), BROADCAST_IDS), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
     named = some.select(shingle_set(F.col("text")).alias("set")).withColumn("node", F.xxhash64("set"))
     sets = durable(named.join(small_side(listed.select("node"), BROADCAST_IDS), "node", "left_semi")
                    .groupBy("node").agg(F.min("set").alias("set")), "sets")
-    links = hub_links(lists.withColumn("comp", F.col("node")), F.col("own"), nodes, sets)
+    links = hub_links(lists.withColumn("comp", F.col("node")), F.col("own"), nodes, sets, percent)
     mixed = durable(_with_comp(lists, components(links)), "mixed")
     few, before, left, salt = OPEN_PAIRS * nodes.count(), math.inf, _open_pairs(mixed), 0
     while left > few and left <= before / 2:
-        links = links.unionByName(hub_links(mixed, F.xxhash64("node", "value", F.lit(salt)), nodes, sets))
+        links = links.unionByName(hub_links(mixed, F.xxhash64("node", "value", F.lit(salt)), nodes, sets, percent))
         mixed = durable(_with_comp(lists, components(links)), "mixed")
         before, left, salt = left, _open_pairs(mixed), salt + 1
-    comps = components(links.unionByName(last_links(mixed, sets)))
+    comps = components(links.unionByName(last_links(mixed, sets, percent)))
     named = nodes.select("node", "first_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     of_node = durable(named.join(firsts, "comp").select("node", "component_id"), "components")
-    linked = rows.where("n > 0").select("doc_id", "n", "node").join(of_node, "node")
-    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return linked.select("doc_id", "n", "component_id").unionByName(alone).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+    linked = rows.where("n > 0").select("doc_id", "content", "n", "node").join(of_node, "node")
+    alone = rows.where("n = 0").select("doc_id", "content", "n", F.col("doc_id").alias("component_id"))
+    return linked.select("doc_id", "content", "n", "component_id").unionByName(alone).select(
+        "doc_id", "content", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component: the rows of ``docs`` (column doc_id,
-    text) that are kept, all columns as they are.  Rows are found again by id
-    and set size, so a repeated id keeps the rows whose own verdict is kept."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each component: the rows of ``docs`` (columns doc_id and
+    text) that are kept, all columns as they are, whatever their names.  Rows are
+    found again by id and text, so of an id with several texts each has its own verdict."""
+    mark = uuid.uuid4().hex
+    kept = _verdicts(docs, "doc_id", "text", percent).where("kept").select(
+        F.col("doc_id").alias(f"id_{mark}"), F.col("content").alias(f"content_{mark}")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(f"id_{mark}"))
+                     & (F.xxhash64("text") == F.col(f"content_{mark}")), "left_semi")

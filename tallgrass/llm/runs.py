@@ -1,9 +1,10 @@
 """Vectorised splitting and hashing of UTF-8 text in numpy.
 
 A run is a maximal stretch of bytes outside a set of break bytes (all ASCII,
-so runs never split a character).  Hashes are sums of per-byte random numbers
-times powers by place in the run, modulo 2**64, mixed; they are the same in
-every process.
+so runs never split a character).  Hashes are sums of random numbers of the bytes
+times random numbers of their places in the run, modulo 2**64, mixed; they are the
+same in every process.  No two places stand in a fixed proportion (as powers of one
+base do, on which texts can be made that cancel out), so texts agree by chance alone.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ import numpy as np
 
 _RNG = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Bytes hashed at a time (a longer run is hashed in one go).
 SEGMENT = 1 << 20
@@ -24,7 +24,14 @@ BLANK[0x20] = True
 #: Upper-case ASCII to lower case.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_POWERS = np.cumprod(np.full(1 << 16, _BASE, np.uint64))
+
+
+def _random_places(n: int) -> np.ndarray:
+    """Odd random numbers; a longer draw begins with the shorter one."""
+    return np.random.Generator(np.random.PCG64(51_966)).integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
+
+
+_PLACES = _random_places(1 << 16)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,11 +39,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if n > len(_POWERS):
-        _POWERS = np.cumprod(np.full(1 << int(n - 1).bit_length(), _BASE, np.uint64))
-    return _POWERS
+def _places(n: int) -> np.ndarray:
+    global _PLACES
+    if n > len(_PLACES):
+        _PLACES = _random_places(1 << int(n - 1).bit_length())
+    return _PLACES
 
 
 def bounds(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +66,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         offs = np.cumsum(lens) - lens
         place = np.arange(int(lens.sum())) - np.repeat(offs, lens)
         part = data[np.repeat(starts[at:to], lens) + place]
-        out[at:to] = np.add.reduceat(_BYTE[part] * _powers(int(lens.max()))[place], offs)
+        out[at:to] = np.add.reduceat(_BYTE[part] * _places(int(lens.max()))[place], offs)
         at = to
     return mix(out)
 

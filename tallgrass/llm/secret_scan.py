@@ -114,7 +114,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> d
     found.distinct().write.parquet(f"{ledger}/findings/{run}")
     pending.select("blob", "rule", "rule_version").write.parquet(f"{ledger}/pairs/{run}")
     return {"paths": paths.select("path", "blob"), "scanned": pending.select("blob", "rule", "rule_version"),
-            "findings": _read(spark, ledger, "findings", FINDINGS_SCHEMA)}
+            # a run that died before its pairs were written left findings that its next scan finds again
+            "findings": _read(spark, ledger, "findings", FINDINGS_SCHEMA).distinct()}
 
 
 def _with_rules(own: DataFrame, wanted: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -169,12 +170,14 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RU
     n_chars follows the text.  Rows, other columns and null texts stay."""
     out = scan(docs.select(F.col("doc_id").alias("path"), "text"), ledger or scratch_path(docs.sparkSession, "ledger"),
                rules)
-    by_blob = spans_by_blob(out["findings"], rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    # names that no input has
+    key, blob, found = (f"{n}_{uuid.uuid4().hex}" for n in ("key", "blob", "spans"))
+    by_blob = spans_by_blob(out["findings"], rules).select(F.col("blob").alias(blob), F.col("spans").alias(found))
     held = F.size(_triggered(F.coalesce("text", F.lit("")), rules)) > 0
     # only rows that can hold a finding are joined
     rest = docs.where(~held)
-    joined = docs.where(held).withColumn("_key", F.sha2("text", 256)) \
-        .join(by_blob, F.col("_key") == F.col("_blob"), "left")
+    joined = docs.where(held).withColumn(key, F.sha2("text", 256)) \
+        .join(by_blob, F.col(key) == F.col(blob), "left")
 
     def step(acc: Column, e: Column) -> Column:
         """Spans come by start: text up to a span that begins after the last end, then the mask."""
@@ -184,12 +187,12 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RU
                         F.greatest(acc["upto"], e["end"]).alias("upto"))
 
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("upto"))
-    cut = F.aggregate("_spans", zero, step, lambda a: F.concat(
+    cut = F.aggregate(found, zero, step, lambda a: F.concat(
         a["out"], F.substring(F.col("text"), (a["upto"] + 1).cast("int"), F.lit(2147483647))))
-    new = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
+    new = F.when(F.col(found).isNull(), F.col("text")).otherwise(cut)
     cols = {c: F.col(c) for c in docs.columns}
     masked = joined.withColumn("text", new)
     if "n_chars" in docs.columns:
-        cols["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        cols["n_chars"] = F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(
             F.char_length("text").cast(docs.schema["n_chars"].dataType)).alias("n_chars")
     return rest.unionByName(masked.select(*cols.values()))

@@ -176,6 +176,44 @@ def test_components_with_null_and_repeated_ids(make_docs):
         (False, 7, True), (False, 7, True), (True, 7, False)]
 
 
+def test_limit_is_a_parameter(make_docs):
+    # 60 words, 56 shingles; one word replaced in the middle: 51 of 61 shared (0.836)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base[:30], "new", *base[31:]])]
+    assert [r.kept for r in near_dedup.near_duplicates(make_docs(texts)).orderBy("doc_id").collect()] == [True, True]
+    assert [r.kept for r in near_dedup.near_duplicates(make_docs(texts), percent=80).orderBy("doc_id").collect()] == [True, False]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_components_match_brute_force_at_other_limits(make_docs, percent):
+    rng = np.random.default_rng(percent)
+    texts = []
+    for g in range(3):
+        core = [f"g{g}w{k}" for k in range(80)]
+        for _ in range(10):
+            own = list(core)
+            for k in rng.integers(0, len(core), rng.integers(0, 3)):
+                own[k] = f"z{rng.integers(10**9)}"
+            texts.append(" ".join(own))
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(76)} for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= percent * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    out = by_id(near_dedup.near_duplicates(make_docs(texts), percent=percent))
+    assert [out[i].component_id for i in range(len(texts))] == root
+
+
+def test_kept_rows_follow_their_own_text(make_docs):
+    long, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"o{i}" for i in range(40))
+    docs = make_docs([long, long, other], [1, 2, 2]).selectExpr("*", "1 as _id", "'x' as content", "2 as n")
+    out = near_dedup.keep_first(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.text == other) for r in out.collect()) == [(1, False), (2, True)]
+
+
 # -- 6 Pitman-Yor ---------------------------------------------------------------------
 def test_scores(make_docs):
     texts = [f"alpha beta gamma {'delta' if i % 2 else 'eps'} Alpha" for i in range(80)] + ODD
@@ -235,6 +273,23 @@ def test_ledger_scans_only_what_is_new(make_docs, scratch):
     assert {(r.rule, r.rule_version) for r in again.collect()} == {("assign", 2)}
 
 
+def test_a_scan_that_died_leaves_no_double_findings(make_docs, scratch):
+    docs = make_docs(SECRETS)
+    once = {r.doc_id: tuple(r) for r in secret_scan.secret_spans(docs).collect()}
+    out = secret_scan.scan(docs.selectExpr("doc_id as path", "text"), scratch)
+    # as if the first run had ended between its findings and its pairs
+    out["findings"].write.parquet(f"{scratch}-again/findings/first")
+    got = {r.doc_id: tuple(r) for r in secret_scan.secret_spans(docs, ledger=f"{scratch}-again").collect()}
+    assert got == once
+
+
+def test_redaction_with_clashing_columns(make_docs):
+    docs = make_docs(SECRETS).selectExpr("*", "'k' as _key", "'s' as _spans", "'b' as _blob", "3 as hits")
+    out = secret_scan.redact(docs)
+    assert out.columns == docs.columns and {(r._key, r._spans, r._blob) for r in out.collect()} == {("k", "s", "b")}
+    assert decontaminate.clean_documents(docs, docs.selectExpr("doc_id as item_id", "'' as text")).columns == docs.columns
+
+
 def test_redaction(make_docs):
     docs = make_docs(SECRETS)
     out = secret_scan.redact(docs)
@@ -260,6 +315,52 @@ def test_leaks_exact_and_edited(make_docs, spark):
     assert decontaminate.clean_documents(make_docs(texts), items).count() == len(texts) - 2
 
 
+def test_short_items_match_exactly(make_docs, spark):
+    items = spark.createDataFrame([(1, "Seven Words are too few for walks"), (2, "two words"), (3, "人工知能は面白い"), (4, "-- !"),
+                                   (5, "ภาษาไทย"), (None, "two, words")], "item_id bigint, text string")
+    texts = ["x seven words ARE too few -- for walks y", "seven words are too few for long walks", "two\nwords", "two other words",
+             "私は人工知能は面白いと思う", "人工の面白さ", "คำว่าภาษาไทยนี้", "two", None, "", "words two words"]
+    out = by_id(decontaminate.contamination(make_docs(texts), items))
+    assert {i: (r.item_ids, r.n_items) for i, r in out.items() if r.contaminated} == {
+        0: ("1", 1), 2: ("2", 2), 4: ("3", 1), 6: ("5", 1), 10: ("2", 2)}
+    # a short item at the end of a batch's text does not run into the next one
+    assert decontaminate.Index([(1, b"two words")]).search([b"one two", b"words"]) == [{}, {}]
+
+
+def test_many_blocks_of_items(make_docs, spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 1)
+    body = [" ".join(f"i{k}w{j}" for j in range(12)) for k in range(5)]
+    items = spark.createDataFrame(list(enumerate(body)), "item_id bigint, text string")
+    out = by_id(decontaminate.contamination(make_docs([f"a {b} z" for b in body] + ["none"]), items))
+    assert [out[i].item_ids for i in range(6)] == ["0", "1", "2", "3", "4", ""]
+
+
+def test_windows_left_out_hold_no_item():
+    """With the run test or without, a brute-force search over all starts finds the same items."""
+    rng = np.random.default_rng(8)
+    vocabulary = [f"v{i}" for i in range(30)]
+    items = [[str(w) for w in rng.choice(vocabulary, n)] for n in (8, 9, 10, 14, 15, 21, 33)]
+    texts = []
+    for k in range(60):
+        own = list(items[k % len(items)])
+        for _ in range(int(rng.integers(0, int(0.2 * len(own)) + 2))):
+            i, kind = int(rng.integers(0, len(own))), rng.integers(0, 3)
+            own[i:i + 1] = ["new"] if kind == 0 else [] if kind == 1 else ["new", own[i]]
+        texts.append([*rng.choice(vocabulary, 6), *own, *rng.choice(vocabulary, 6)])
+    index = decontaminate.Index([(i, " ".join(w).encode()) for i, w in enumerate(items)])
+    found = index.search([" ".join(t).encode() for t in texts])
+    missed = total = 0
+    for t, f in zip(texts, found):
+        for i, w in enumerate(items):
+            most = int(0.2 * len(w))
+            a, b = np.array([hash(x) for x in w]), np.array([hash(x) for x in t])
+            least = min((decontaminate.edit_distance(a, b[s:], most) for s in range(len(b))), default=99)
+            assert (i in f) <= (least <= most)          # nothing is found that is not there
+            total += least <= most
+            missed += least <= most and i not in f
+    assert total > 40 and missed <= 0.05 * total
+
+
 def edited_leaks(n, where, draws, rng):
     """Items of n words, and texts that hold them with as many edits as the tolerance allows."""
     items, texts = [], []
@@ -373,3 +474,14 @@ def test_runs_are_words(texts):
     assert got == want
     keys = runs.hashes(data, a, b)
     assert len(set(keys.tolist())) == len(set(want))
+
+
+def test_hashes_tell_doubling_sequences_apart(codec):
+    """Two texts that cancel out under any polynomial modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = ("".join("ab"[x ^ y] for x in bits) for y in (0, 1))
+    data, begin = runs.join_texts([a.encode(), b.encode()])
+    starts, ends = runs.bounds(data, runs.BLANK)
+    assert len(set(runs.hashes(data, starts, ends).tolist())) == 2
+    for t, ids in zip((a, b), codec.encode_batch([a, b])):
+        assert codec.decode(ids.tolist()) == t
