@@ -20,12 +20,16 @@ from tallgrass.llm import bpe, decontaminate, near_dedup, quality_gam, secret_sc
 from tallgrass.llm.common import durable, table
 
 
+#: Near duplicates from this similarity of their 5-word shingles on, in percent.
+SIMILARITY = 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_gam.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_first(docs)
+    return near_dedup.keep_first(docs, percent=SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
