@@ -26,8 +26,7 @@ def con():
 def test_every_query_is_registered_with_an_oracle_or_a_reason():
     # the training-data queries have tests of their own beside them
     without = sorted(set(QUERIES) - set(E.LLM_QUERIES) - set(ORACLE))
-    # non-SQL output: JSON text of float arrays (float formatting differs by engine)
-    assert without == ["schema_normalize"]
+    assert without == []
     assert set(ORACLE) <= set(QUERIES)
 
 
