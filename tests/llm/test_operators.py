@@ -236,8 +236,39 @@ def test_table_counts_follow_the_stirling_law():
     t = pitman_yor.sample_tables(c, np.full(len(c), 2.0), 0.5, rng)
     w = np.exp(pitman_yor.log_stirling(0.5)[5, 1:6]) * 2.0 ** np.arange(1, 6)
     assert np.abs(np.bincount(t, minlength=6)[1:] / len(c) - w / w.sum()).max() < 0.01
-    big = pitman_yor.sample_tables(np.array([10, 100_000]), np.array([1e-12, 5.0]), 0.75, rng)
-    assert big[0] == 1 and 1 < big[1] < 100_000
+    few = pitman_yor.sample_tables(np.array([10, 100_000]), np.array([1e-12, 1e-12]), 0.75, rng)
+    assert few.tolist() == [1, 1]
+
+
+@pytest.mark.parametrize("c,top,x,d", [(257, 257, 3.0, 0.7), (512, 512, 5.0, 0.75), (512, 512, 1e4, 0.75), (4_096, 4_096, 0.5, 0.75),
+                                       (4_096, 4_096, 500.0, 0.75), (4_096, 4_096, 1e5, 0.7), (100_000, 400, 50.0, 0.75)])
+def test_table_counts_of_large_dishes_follow_the_same_law(c, top, x, d):
+    """Against the recurrence S(c+1, t) = S(c, t-1) + (c - d t) S(c, t), in logarithms up to t = top."""
+    weight, t = np.full(top + 1, -np.inf), np.arange(top + 1)
+    weight[0] = 0.0
+    with np.errstate(all="ignore"):
+        for k in range(c):
+            stay = np.where(k > d * t, np.log(np.maximum(k - d * t, 1e-300)) + weight, -np.inf)
+            weight = np.logaddexp(stay, np.concatenate([[-np.inf], weight[:-1]]))
+    weight += t * np.log(x)
+    w = np.exp(weight - weight.max())
+    w /= w.sum()
+    mean = (w * t).sum()
+    spread = np.sqrt((w * (t - mean) ** 2).sum())
+    got = pitman_yor.sample_tables(np.full(20_000, c), np.full(20_000, x), d, np.random.default_rng(5))
+    assert abs(got.mean() - mean) < 5 * spread / np.sqrt(len(got))
+    assert abs(got.std() / spread - 1) < 0.03
+
+
+def test_split_buckets_give_the_same_scores(make_docs, monkeypatch):
+    """A bucket whose requests are dealt over many copies scores as a whole one does."""
+    docs = make_docs([f"the cat {i} sat on the mat the end" for i in range(60)])
+    monkeypatch.setattr(pitman_yor, "BATCH_BYTES", 200)
+    whole = {r.doc_id: (r.score, r.base_score) for r in pitman_yor.language_scores(docs).collect()}
+    monkeypatch.setattr(pitman_yor, "REQUESTS", 10)
+    split = {r.doc_id: (r.score, r.base_score) for r in pitman_yor.language_scores(docs).collect()}
+    assert whole.keys() == split.keys()
+    assert all(split[k] == pytest.approx(whole[k], rel=1e-9) for k in whole)
 
 
 # -- 7 secrets -------------------------------------------------------------------------
