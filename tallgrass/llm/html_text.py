@@ -52,7 +52,7 @@ SIDE_STEMS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "navbar", "
 MAIN_WORDS = frozenset("article content entry main post story".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+)>"
                     r"|<[!?][^>]*>", re.S)
 _UNSEEN = re.compile(r"display\s*:\s*none|\shidden(?=[\s=/]|$)", re.I)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
