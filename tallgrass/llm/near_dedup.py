@@ -19,10 +19,14 @@ fewest values of its own, the nearest to what the group has in common.  The
 union sketch of a pair estimates its similarity and drops pairs five standard
 deviations below the limit; the rest is verified on the full sets.  Links
 join into components; rounds with other hubs follow while many pairs are open
-and a round settles at least half of them.  A last join compares, within all
-lists that still hold several components, classes of different components;
-its condition is the exact test, so it emits links only, and pairs inside a
-component are not compared any more.
+and a round settles at least half of them.  A last join compares, within the
+lists that still hold several components, classes of different components.
+In short lists its condition is the exact test, so it emits links only.  The
+classes of long lists (families of pages that share much, but too little for a
+link) go by the rarest values of their full sets instead, as many as a
+linked partner of that size cannot lack: the common part of a family below the
+limit is in none of these lists, so its pairs are never formed.  What is left
+is families within one band of sizes (2 %) of the limit.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is its own component; repeated rows and ids are fine (classes go by set,
@@ -48,6 +52,12 @@ PERCENT = 85
 #: Hub rounds end below this many open pairs a class; the last join compares those.
 OPEN_PAIRS = 4
 BROADCAST_IDS = 2_000_000
+#: Pairs of a list up to this long are tested one by one; the classes of longer lists join on
+#: the rarest values of their full sets.
+LONG_LIST = 128
+#: Set sizes from which on bands hold several sizes, and the ratio of a band's ends.
+BAND_FROM = 50
+BAND = 1.02
 
 
 def least_estimate(percent: int) -> float:
@@ -125,8 +135,16 @@ def hub_links(lists: DataFrame, order: Column, nodes: DataFrame, sets: DataFrame
 
 
 def last_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components that share a list; a pair
-    is tested in the first list that both are in."""
+    """Links between classes of different components that share a list."""
+    sizes = lists.groupBy("value").agg(F.count("*").alias("held"))
+    sized = durable(lists.join(sizes, "value"), "sized")
+    found = short_list_links(sized.where(F.col("held") <= LONG_LIST).drop("held"), sets, percent)
+    crowd = durable(sized.where(F.col("held") > LONG_LIST).select("node", "n", "comp").distinct(), "crowd")
+    return found if crowd.isEmpty() else found.unionByName(prefix_links(crowd, sets, percent))
+
+
+def short_list_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair in a list of at most ``LONG_LIST`` classes, tested in the first such list that both are in."""
     mine = lists.groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))),
                                                  lambda e: e["value"]).alias("values"))  # at most SKETCH
     full = lists.join(mine, "node").join(sets, "node").select("value", "node", "n", "comp", "values", "set")
@@ -138,6 +156,74 @@ def last_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return durable(a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "links")
 
 
+def size_band(n: Column) -> Column:
+    """Number of the band of set sizes: one size each up to ``BAND_FROM``, then of ratio ``BAND``."""
+    return F.when(n <= BAND_FROM, n.cast("int")).otherwise(
+        BAND_FROM + F.floor(F.log(n / BAND_FROM) / math.log(BAND))).cast("int")
+
+
+def least_size(band: Column) -> Column:
+    """No set of the band is smaller."""
+    return F.when(band <= BAND_FROM, band.cast("long")).otherwise(
+        F.floor(F.pow(F.lit(BAND), band - BAND_FROM) * (BAND_FROM * (1 - 1e-9)))).cast("long")
+
+
+def _shared_at_least(total: Column, percent: int) -> Column:
+    """Elements that two linked sets with sizes of this sum must share."""
+    return F.ceil(total * percent / (100 + percent))
+
+
+def prefix_lists(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(value, low, high, band, node, n, comp, place): full-set lists for pairs of size bands.
+
+    Towards partners of a band, a class lists its rarest values that cannot all
+    be missing from a linked partner; ``place`` counts them from the rarest on."""
+    spread = crowd.join(sets, "node").select("node", "n", "comp", F.explode("set").alias("value"))
+    often = spread.groupBy("value").agg(F.count("*").alias("held")).where(F.col("held") > 1)
+    ranked = spread.join(often, "value").groupBy("node", "n", "comp").agg(
+        F.sort_array(F.collect_list(F.struct("held", "value"))).alias("values"))  # of one class's set
+    own = (F.col("n") - F.size("values")).cast("int")
+    partners = F.sequence(size_band(F.ceil(F.col("n") * percent / 100)), size_band(F.floor(F.col("n") * 100 / percent)))
+    towards = ranked.select("node", "n", "comp", "values", own.alias("own"), F.explode(partners).alias("band"))
+    room = F.col("n") - _shared_at_least(F.col("n") + least_size(F.col("band")), percent) + 1 - F.col("own")
+    listed = towards.withColumn("room", room.cast("int")).where("room > 0").select(
+        "node", "n", "comp", "own", "band", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("at", "v"))
+    mine = size_band(F.col("n"))
+    return listed.select(F.col("v.value").alias("value"), F.least(mine, "band").alias("low"),
+                         F.greatest(mine, "band").alias("high"), mine.alias("band"), "node", "n", "comp",
+                         (F.col("own") + F.col("at")).alias("place"))
+
+
+def prefix_links(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of different components of ``crowd`` (node, n, comp), without loss.
+
+    Linked sets a and b share at least m = P (|a| + |b|) / (100 + P) values, so one of the |a| - m + 1
+    rarest of a is one of the |b| - m + 1 rarest of b.  What a family of pages has in common is in no
+    such list unless it is enough for a link by itself.  The largest component of a list is on one side
+    a join only, so its own pairs are not formed."""
+    key = ["value", "low", "high"]
+    lists = durable(prefix_lists(crowd, sets, percent), "prefix")
+    parts = lists.groupBy(*key, "comp").agg(F.count("*").alias("m"), F.min("band").alias("x"), F.max("band").alias("y"))
+    tops = parts.groupBy(*key).agg(F.count("*").alias("parts"), F.min("x").alias("x"), F.max("y").alias("y"),
+                                   F.max(F.struct("m", "comp"))["comp"].alias("top")) \
+        .where("parts > 1 and x = low and y = high").select(*key, "top")
+    found = durable(lists.join(tops, key), "open")
+    a, b = found.where("band = low").alias("a"), found.where("band = high").alias("b")
+    miss = _shared_at_least(F.col("a.n") + F.col("b.n"), percent)
+    on = (F.col("a.comp") != F.col("b.comp")) \
+        & (F.col("a.place") <= F.col("a.n") - miss) & (F.col("b.place") <= F.col("b.n") - miss)
+    for name in key:
+        on = (F.col(f"a.{name}") == F.col(f"b.{name}")) & on
+    once = (F.col("a.low") < F.col("a.high")) | (F.col("a.comp") == F.col("a.top")) | (F.col("a.node") < F.col("b.node"))
+    ends = [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
+    met = a.join(b.where("comp <> top"), on & once).select(*ends).unionByName(
+        a.where("comp <> top and low < high").join(b.where("comp = top"), on).select(*ends))
+    pairs = durable(met.distinct(), "pairs")
+    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    return durable(full.where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): components of undirected links, by alternating large-star
     and small-star steps; every step is a written table."""

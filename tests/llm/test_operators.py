@@ -169,6 +169,56 @@ def test_links_beyond_the_rarest_lists(make_docs):
     assert {i: out[i].component_id for i in comp} == comp
 
 
+def template_family(rng, n, own):
+    """Pages of one template: 60 common words, then ``own`` words of their own."""
+    common = [f"t{k}" for k in range(60)]
+    return [" ".join(common + [f"z{rng.integers(10**9)}" for _ in range(own)]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("long_list", [0, 16])
+def test_long_lists_match_brute_force(make_docs, monkeypatch, long_list):
+    # no hub round, so all that is linked beyond the first hubs is found in the last join
+    monkeypatch.setattr(near_dedup, "LONG_LIST", long_list)
+    monkeypatch.setattr(near_dedup, "OPEN_PAIRS", 10**9)
+    rng = np.random.default_rng(31)
+    texts = template_family(rng, 40, 6) + template_family(rng, 6, 11)
+    for g in range(3):  # shorter and longer copies in the family
+        base = texts[g].split()
+        texts += [" ".join(base[:-2]), " ".join([*base, "more", f"words{g}"]), " ".join([f"x{g}", *base[1:]])]
+    for n in (48, 50, 51, 53, 120):  # at the ends of size bands
+        base = [f"b{n}w{k}" for k in range(n)]
+        texts += [" ".join(base[k:n - j]) for k in range(4) for j in range(3)]
+    sets, comp = jaccard_components(texts)
+    out = by_id(near_dedup.near_duplicates(make_docs(texts)))
+    assert {i: out[i].component_id for i in comp} == comp
+    assert len(set(comp.values())) > 30
+
+
+def test_every_linked_pair_meets_in_a_prefix_list(make_docs, spark):
+    rng = np.random.default_rng(37)
+    sets = {i: sorted({int(v) for v in rng.integers(0, 90, size=int(rng.integers(2, 70)))}) for i in range(60)}
+    for i in range(60, 140):
+        base = [v for v in sets[i - 60] if rng.random() > 0.06]
+        sets[i] = sorted({*base, *map(int, rng.integers(0, 90, size=int(rng.integers(0, 4))))}) or [1]
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len({*sets[a], *sets[b]})}
+    rows = [(i, len(s), i, s) for i, s in sets.items()]
+    all_rows = spark.createDataFrame(rows, "node long, n long, comp long, set array<long>")
+    found = near_dedup.prefix_links(all_rows.drop("set"), all_rows.select("node", "set"), 85)
+    assert {(r.a, r.b) for r in found.collect()} == linked and len(linked) > 20
+
+
+def test_families_below_the_limit_form_no_pairs(make_docs, spark):
+    # 60 common words (56 shingles), 8 to 10 of their own: Jaccard 0.74 to 0.78
+    rng = np.random.default_rng(41)
+    docs = make_docs([t for own in (8, 9, 10) for t in template_family(rng, 70, own)])
+    rows = docs.select("doc_id", near_dedup.shingle_set(docs["text"]).alias("set"))
+    nodes = rows.selectExpr("cast(doc_id as long) node", "cast(size(set) as long) n", "cast(doc_id as long) comp")
+    lists = near_dedup.prefix_lists(nodes, rows.selectExpr("cast(doc_id as long) node", "set"), 85)
+    met = lists.alias("a").join(lists.alias("b"), ["value", "low", "high"]).where(
+        "a.band = low and b.band = high and a.node <> b.node").count()
+    assert met == 0
+
+
 def test_components_with_null_and_repeated_ids(make_docs):
     long = " ".join(f"w{i}" for i in range(40))
     out = near_dedup.near_duplicates(make_docs([long, long, long, "other"], [7, None, 7, None])).collect()
