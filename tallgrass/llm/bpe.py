@@ -111,7 +111,7 @@ class Codec:
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.hashed: dict[int, bytes] = {}
+        self.hashed: dict[int, tuple[str, bytes]] = {}
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.pre: dict[str, bytes] = {}
@@ -132,7 +132,8 @@ class Codec:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text.  Pieces of all texts are hashed together, and each
         distinct piece is looked up once; texts with white space beside a space
-        or with added tokens go one by one."""
+        or with added tokens go one by one, and so do texts with a piece whose
+        hash is that of another piece: all pieces that share ids are compared."""
         raw = [t.encode() for t in texts]
         data, begin = runs.join_texts(raw)
         odd = self._odd(data, begin, texts)
@@ -147,14 +148,19 @@ class Codec:
         codes, uniques = pd.factorize(keys)
         sample = np.empty(len(uniques), np.int64)
         sample[codes[::-1]] = np.arange(len(codes))[::-1]
-        values = [self.hashed.get(h) for h in uniques.tolist()]
-        for j in [j for j, v in enumerate(values) if v is None]:
-            k = sample[j]
+        like = sample[codes]
+        clash = np.unique(owner[~(runs.same(data, starts, ends, like) & (first == first[like]))])
+        values = []
+        for h, k in zip(uniques.tolist(), sample.tolist()):
             text = data[starts[k]:ends[k]].tobytes().decode()
-            values[j] = b"".join(map(self._pre_token, self._pre_tokens(text if first[k] else " " + text)))
-            if len(values[j]) <= 4 * MEMO_CHARS:
-                self.hashed[int(uniques[j])] = values[j]
-        if len(self.hashed) > 2 * MEMO:
+            text = text if first[k] else " " + text
+            kept = self.hashed.get(h)
+            if kept is None or kept[0] != text:
+                kept = text, b"".join(map(self._pre_token, self._pre_tokens(text)))
+                if len(text) <= MEMO_CHARS:
+                    self.hashed[h] = kept
+            values.append(kept[1])
+        if len(self.hashed) > MEMO:
             self.hashed.clear()
         lens = np.fromiter(map(len, values), np.int64, len(values)) // 4
         flat = np.frombuffer(b"".join(values), "<u4")
@@ -162,7 +168,10 @@ class Codec:
         upto = np.cumsum(counts)
         ids = flat[np.repeat((np.cumsum(lens) - lens)[codes] - (upto - counts), counts) + np.arange(counts.sum())]
         cut = np.concatenate([[0], upto])[np.searchsorted(starts, begin)]
-        return [ids[cut[i]:cut[i + 1]] if o is None else o for i, o in enumerate(out)]
+        out = [ids[cut[i]:cut[i + 1]] if o is None else o for i, o in enumerate(out)]
+        for i in clash.tolist():
+            out[i] = np.frombuffer(self.encode_bytes(texts[i]), "<u4")
+        return out
 
     def _odd(self, data: np.ndarray, begin: np.ndarray, texts: list[str]) -> np.ndarray:
         """Texts with white space beside a space or at an end, or with an added token."""

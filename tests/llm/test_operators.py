@@ -557,6 +557,17 @@ def test_runs_are_words(texts):
     assert len(set(keys.tolist())) == len(set(want))
 
 
+def test_ids_do_not_rest_on_hashes(codec, monkeypatch):
+    from tallgrass.llm import bpe, runs
+    plain = runs.hashes
+    monkeypatch.setattr(runs, "hashes", lambda *a: plain(*a) & np.uint64(7))
+    weak = bpe.Codec(bpe.tokenizer_path())
+    batches = [[f"some words {i} of text number {i * i}" for i in range(40)], ["text of words", "words", " words", "of", ""],
+               ["x" * 70_000, "y" * 70_000 + " end"]]
+    for texts in batches + batches[::-1]:
+        assert [ids.tolist() for ids in weak.encode_batch(texts)] == [codec.encode(t) for t in texts]
+
+
 def test_hashes_tell_doubling_sequences_apart(codec):
     """Two texts that cancel out under any polynomial modulo a power of two."""
     bits = [bin(i).count("1") % 2 for i in range(1024)]
