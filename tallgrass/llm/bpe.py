@@ -2,8 +2,10 @@
 
 A text splits exactly before a space that stands between two characters that
 are no white space: no pre-token crosses such a place, and none looks past it.
-The pieces between repeat, so their ids are kept in a bounded memo; a new piece
-goes through the tokenizer's own pre-tokenizer and BPE model.
+Long texts are encoded in parts that end there.  Pre-tokens repeat, so their ids
+are kept in a bounded memo; a new one goes through the tokenizer's own BPE model.
+Text beyond Latin-1 goes piece by piece (a memo again) through the tokenizer's
+own pre-tokenizer.
 
 A pre-token longer than ``LEAF`` bytes has no place to split.  It is halved
 down to leaves, which are encoded as one parallel batch of the tokenizers
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack
 
@@ -38,7 +40,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tallgrass.llm import runs
 from tallgrass.llm.common import few_arrow_rows
 
 LEAF = 2_048
@@ -50,8 +51,10 @@ GATHER = 8 << 20
 #: Pieces beyond this many characters are not kept.
 MEMO_CHARS = 64
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r" \s|\s ")
+#: A text beyond this many characters is encoded in parts.
+PART_CHARS = 1 << 16
+
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 # The byte-level pre-token pattern, its classes written out for
 # texts of Latin-1 alone (any other text takes the library's pre-tokenizer).
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -75,17 +78,37 @@ def _byte_symbols() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
 
-_ASCII_SPACE = np.zeros(256, bool)
-_ASCII_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
-_C2_SPACE = np.zeros(256, bool)
-_C2_SPACE[[0x85, 0xA0]] = True
+class _Memo(dict):
+    """Ids of strings met before, of ``MEMO`` strings at most; longer ones than ``MEMO_CHARS`` are not kept."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.make(key)
+        if len(key) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.clear()
+            self[key] = ids
+        return ids
 
 
-def _wide_space(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Whether three bytes are white space beyond Latin-1."""
-    general = (b == 0x80) & (((c >= 0x80) & (c <= 0x8A)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
-    return ((a == 0xE2) & (general | ((b == 0x81) & (c == 0x9F)))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) \
-        | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+def _is_latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return False
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text in parts of about ``PART_CHARS`` characters (more if it has no place to split)."""
+    at = 0
+    while cut := _CUT.search(text, at + PART_CHARS):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 def _u4(ids: list[int]) -> bytes:
@@ -111,15 +134,16 @@ class Codec:
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.hashed: dict[int, tuple[str, bytes]] = {}
-        self.first: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-        self.pre: dict[str, bytes] = {}
+        self.pre = _Memo(self._pre_token)
+        self.pieces = _Memo(self._piece)
 
     # -- encoding ---------------------------------------------------------
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(self.encode_bytes(t), "<u4") for t in texts]
+
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -129,114 +153,29 @@ class Codec:
         return b"".join(_u4([self.added[part]]) if part in self.added else self._plain(part)
                         for part in self.added_re.split(text))
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text.  Pieces of all texts are hashed together, and each
-        distinct piece is looked up once; texts with white space beside a space
-        or with added tokens go one by one, and so do texts with a piece whose
-        hash is that of another piece: all pieces that share ids are compared."""
-        raw = [t.encode() for t in texts]
-        data, begin = runs.join_texts(raw)
-        odd = self._odd(data, begin, texts)
-        out = [np.frombuffer(self.encode_bytes(texts[i]), "<u4") if odd[i] else None for i in range(len(texts))]
-        if odd.any():
-            data, begin = runs.join_texts([b"" if o else r for o, r in zip(odd, raw)])
-        starts, ends = runs.bounds(data, runs.BLANK)
-        keys = runs.hashes(data, starts, ends)
-        owner = np.searchsorted(begin, starts, side="right") - 1
-        first = starts == begin[owner]  # no space before it
-        keys[first] = runs.mix(keys[first] + np.uint64(1))
-        codes, uniques = pd.factorize(keys)
-        sample = np.empty(len(uniques), np.int64)
-        sample[codes[::-1]] = np.arange(len(codes))[::-1]
-        like = sample[codes]
-        clash = np.unique(owner[~(runs.same(data, starts, ends, like) & (first == first[like]))])
-        values = []
-        for h, k in zip(uniques.tolist(), sample.tolist()):
-            text = data[starts[k]:ends[k]].tobytes().decode()
-            text = text if first[k] else " " + text
-            kept = self.hashed.get(h)
-            if kept is None or kept[0] != text:
-                kept = text, b"".join(map(self._pre_token, self._pre_tokens(text)))
-                if len(text) <= MEMO_CHARS:
-                    self.hashed[h] = kept
-            values.append(kept[1])
-        if len(self.hashed) > MEMO:
-            self.hashed.clear()
-        lens = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        counts = lens[codes]
-        upto = np.cumsum(counts)
-        ids = flat[np.repeat((np.cumsum(lens) - lens)[codes] - (upto - counts), counts) + np.arange(counts.sum())]
-        cut = np.concatenate([[0], upto])[np.searchsorted(starts, begin)]
-        out = [ids[cut[i]:cut[i + 1]] if o is None else o for i, o in enumerate(out)]
-        for i in clash.tolist():
-            out[i] = np.frombuffer(self.encode_bytes(texts[i]), "<u4")
-        return out
-
-    def _odd(self, data: np.ndarray, begin: np.ndarray, texts: list[str]) -> np.ndarray:
-        """Texts with white space beside a space or at an end, or with an added token."""
-        pad = np.concatenate([np.full(3, 120, np.uint8), data, np.full(3, 120, np.uint8)])
-        at = np.flatnonzero(data == 32) + 3
-        p1, p2, p3, n1, n2, n3 = (pad[at + d] for d in (-1, -2, -3, 1, 2, 3))
-        bad = _ASCII_SPACE[p1] | _ASCII_SPACE[n1]
-        wide = np.flatnonzero((p1 >= 128) | (n1 >= 128))
-        bad[wide] |= _wide_space(p3[wide], p2[wide], p1[wide]) | _wide_space(n1[wide], n2[wide], n3[wide]) \
-            | ((p2[wide] == 0xC2) & _C2_SPACE[p1[wide]]) | ((n1[wide] == 0xC2) & _C2_SPACE[n2[wide]])
-        odd = np.zeros(len(texts), bool)
-        # a gap after a text belongs to the text before it
-        odd[np.searchsorted(begin, at[bad] - 3, side="right") - 1] = True
-        for i, t in enumerate(texts):
-            if not odd[i] and (not t or t[0].isspace() or t[-1].isspace() or any(a in t for a in self.added)):
-                odd[i] = True
-        # white space that begins the next text is not this one's
-        return odd
-
     def _plain(self, text: str) -> bytes:
         """Text without added tokens."""
-        if not text:
-            return b""
-        if _UNSAFE.search(text) or text[0] == " " or text[-1] == " ":
-            pieces = _CUT.split(text)
-        else:
-            pieces = text.split(" ")
-        head, inner = pieces[0], self.inner
-        out = self.first.get(head) or self._piece(head, head, self.first)
-        if len(inner) > MEMO:
-            inner.clear()
-        del pieces[0]
-        try:
-            return out + b"".join(map(inner.__getitem__, pieces))
-        except KeyError:
-            return out + b"".join([inner.get(p) or self._piece(p, " " + p, inner) for p in pieces])
-
-    def _piece(self, key: str, text: str, memo: dict) -> bytes:
-        ids = b"".join(map(self._pre_token, self._pre_tokens(text)))
-        if len(key) <= MEMO_CHARS:
-            if len(memo) > MEMO:
-                memo.clear()
-            memo[key] = ids
-        return ids
+        return self._part(text) if len(text) <= PART_CHARS else b"".join(map(self._part, _parts(text)))
+
+    def _part(self, text: str) -> bytes:
+        if _is_latin1(text):
+            return b"".join(map(self.pre.__getitem__, _PRE_LATIN1.findall(text)))
+        # the library's pre-tokenizer is slow: only new pieces go there
+        return b"".join(map(self.pieces.__getitem__, _CUT.split(text)))
+
+    def _piece(self, piece: str) -> bytes:
+        return b"".join(map(self.pre.__getitem__, self._pre_tokens(piece)))
 
     def _pre_tokens(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
+        if _is_latin1(text):
             return _PRE_LATIN1.findall(text)
-        except UnicodeEncodeError:
-            return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def _pre_token(self, piece: str) -> bytes:
-        kept = self.pre.get(piece)
-        if kept is not None:
-            return kept
         if len(piece) > LEAF // 4 and len(piece.encode()) > LEAF:
             return _u4(self.tree(piece))
         symbols = piece.encode().decode("latin-1").translate(self.symbols)
-        ids = _u4([t.id for t in self.model.tokenize(symbols)])
-        if len(piece) <= MEMO_CHARS:
-            if len(self.pre) > MEMO:
-                self.pre.clear()
-            self.pre[piece] = ids
-        return ids
+        return _u4([t.id for t in self.model.tokenize(symbols)])
 
     def tree(self, piece: str, leaf: int = LEAF, window: int = WINDOW) -> list[int]:
         """Ids of one unsplit piece by tree concatenation."""

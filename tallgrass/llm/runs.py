@@ -71,24 +71,6 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix(out)
 
 
-def same(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> np.ndarray:
-    """Whether each run has the bytes of the run whose number ``like`` gives."""
-    lens = ends - starts
-    out = lens == lens[like]
-    look = np.flatnonzero(out & (like != np.arange(len(like))))
-    upto = np.cumsum(lens[look])
-    at = 0
-    while at < len(look):
-        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SEGMENT)))
-        part, n = look[at:to], lens[look[at:to]]
-        offs = np.cumsum(n) - n
-        place = np.arange(int(n.sum())) - np.repeat(offs, n)
-        equal = data[np.repeat(starts[part], n) + place] == data[np.repeat(starts[like[part]], n) + place]
-        out[part] = np.logical_and.reduceat(equal, offs)
-        at = to
-    return out
-
-
 def join_texts(texts: list[bytes], gap: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
     """One buffer with a gap after every text, and the place where each begins (and the end)."""
     begin = np.zeros(len(texts) + 1, np.int64)

@@ -82,6 +82,28 @@ def test_tree_concatenation_is_exact(codec, unit, n, leaf, window):
     assert codec.tree(text, leaf, window) == codec.raw.encode(text, add_special_tokens=False).ids
 
 
+def test_encoding_holds_little_beside_text_and_ids(codec):
+    import tracemalloc
+    texts = [" ".join(f"word{(i * j) % 997}," for j in range(20_000)) for i in range(1, 11)]
+    want = codec.encode_batch(texts)  # fills the memo
+    tracemalloc.start()
+    got = codec.encode_batch(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(want, got))
+    assert peak < 4 * (sum(map(len, texts)) + sum(x.nbytes for x in got))
+
+
+@pytest.mark.parametrize("piece", ["plain words, it's 12 times", "“quoted” — 日本 😀 it's", "a  b \t c\n d \u00a0 e \u3000 f"])
+def test_parts_of_long_texts(codec, monkeypatch, piece):
+    monkeypatch.setattr(bpe, "PART_CHARS", 7)
+    monkeypatch.setattr(bpe, "MEMO", 5)
+    fresh = bpe.Codec(bpe.tokenizer_path())
+    for text in (piece * 3, " ".join([piece] * 3), f" {piece} "):
+        assert fresh.encode(text) == codec.tokenizer.encode(text, add_special_tokens=False).ids
+        assert max(len(fresh.pre), len(fresh.pieces)) <= 5
+
+
 def test_round_trip_and_files(make_docs, codec, scratch):
     docs = make_docs(ODD)
     rows = by_id(bpe.round_trip(docs))
