@@ -25,8 +25,10 @@ In short lists its condition is the exact test, so it emits links only.  The
 classes of long lists (families of pages that share much, but too little for a
 link) go by the rarest values of their full sets instead, as many as a
 linked partner of that size cannot lack: the common part of a family below the
-limit is in none of these lists, so its pairs are never formed.  What is left
-is families within one band of sizes (2 %) of the limit.
+limit is in none of these lists, so its pairs are never formed.  Where such a
+list is long again (copies of one page about the limit), its classes meet one
+hub, the class with the fewest rare values; those it does not settle are
+compared if they share a change from the hub, as linked ones must.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is its own component; repeated rows and ids are fine (classes go by set,
@@ -174,7 +176,7 @@ def _shared_at_least(total: Column, percent: int) -> Column:
 
 
 def prefix_lists(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(value, low, high, band, node, n, comp, place): full-set lists for pairs of size bands.
+    """(value, low, high, band, node, n, comp, own, place): full-set lists for pairs of size bands.
 
     Towards partners of a band, a class lists its rarest values that cannot all
     be missing from a linked partner; ``place`` counts them from the rarest on."""
@@ -190,24 +192,52 @@ def prefix_lists(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "node", "n", "comp", "own", "band", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("at", "v"))
     mine = size_band(F.col("n"))
     return listed.select(F.col("v.value").alias("value"), F.least(mine, "band").alias("low"),
-                         F.greatest(mine, "band").alias("high"), mine.alias("band"), "node", "n", "comp",
+                         F.greatest(mine, "band").alias("high"), mine.alias("band"), "node", "n", "comp", "own",
                          (F.col("own") + F.col("at")).alias("place"))
 
 
 def prefix_links(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components of ``crowd`` (node, n, comp), without loss.
+    """Links between classes of different components of ``crowd`` (node, n, comp), without loss
+    (within a component that these links join, only enough of them to join it).
 
     Linked sets a and b share at least m = P (|a| + |b|) / (100 + P) values, so one of the |a| - m + 1
     rarest of a is one of the |b| - m + 1 rarest of b.  What a family of pages has in common is in no
-    such list unless it is enough for a link by itself.  The largest component of a list is on one side
-    a join only, so its own pairs are not formed."""
+    such list unless it is enough for a link by itself.  Lists of at most ``LONG_LIST`` entries form
+    their pairs; the classes of longer ones meet their list's hub, then each other by ``changed_pairs``."""
     key = ["value", "low", "high"]
     lists = durable(prefix_lists(crowd, sets, percent), "prefix")
-    parts = lists.groupBy(*key, "comp").agg(F.count("*").alias("m"), F.min("band").alias("x"), F.max("band").alias("y"))
-    tops = parts.groupBy(*key).agg(F.count("*").alias("parts"), F.min("x").alias("x"), F.max("y").alias("y"),
-                                   F.max(F.struct("m", "comp"))["comp"].alias("top")) \
-        .where("parts > 1 and x = low and y = high").select(*key, "top")
-    found = durable(lists.join(tops, key), "open")
+    held = durable(_crossing(lists, key), "crossing")
+    met = lists.join(held.where(F.col("held") > LONG_LIST).select(*key, "hub"), key) \
+        .select(F.col("node").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct()
+    changes = durable(hub_changes(met, sets, percent), "changes")
+    near = changes.where("linked").select("a", "b")
+    merged = durable(_merged(crowd, near), "merged")
+    few = lists.join(held.where(F.col("held") <= LONG_LIST).select(*key), key).drop("comp") \
+        .join(merged.select("node", "comp"), "node")
+    found = band_pairs(few, key, percent).unionByName(changed_pairs(changes, merged, percent))
+    pairs = durable(found.distinct(), "pairs")
+    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    return durable(full.where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b").unionByName(near), "links")
+
+
+def _crossing(lists: DataFrame, key: list[str]) -> DataFrame:
+    """key, held, top, hub of the lists with classes of both bands and of several components: the entries, the
+    largest component, and the class with the fewest values rarer than the list's, nearest to what they share."""
+    parts = lists.groupBy(*key, "comp").agg(
+        F.count("*").alias("m"), F.min("band").alias("x"), F.max("band").alias("y"),
+        F.min(F.struct("place", "own", "node")).alias("first"))
+    return parts.groupBy(*key).agg(
+        F.sum("m").alias("held"), F.count("*").alias("parts"), F.min("x").alias("x"), F.max("y").alias("y"),
+        F.max(F.struct("m", "comp"))["comp"].alias("top"), F.min("first")["node"].alias("hub")) \
+        .where("parts > 1 and x = low and y = high").select(*key, "held", "top", "hub")
+
+
+def band_pairs(lists: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in lists of two size bands.
+
+    The largest component of a list is on one side of a join only, so its own pairs are not formed."""
+    found = durable(lists.join(_crossing(lists, key).select(*key, "top"), key), "open")
     a, b = found.where("band = low").alias("a"), found.where("band = high").alias("b")
     miss = _shared_at_least(F.col("a.n") + F.col("b.n"), percent)
     on = (F.col("a.comp") != F.col("b.comp")) \
@@ -216,12 +246,70 @@ def prefix_links(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         on = (F.col(f"a.{name}") == F.col(f"b.{name}")) & on
     once = (F.col("a.low") < F.col("a.high")) | (F.col("a.comp") == F.col("a.top")) | (F.col("a.node") < F.col("b.node"))
     ends = [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
-    met = a.join(b.where("comp <> top"), on & once).select(*ends).unionByName(
+    return a.join(b.where("comp <> top"), on & once).select(*ends).unionByName(
         a.where("comp <> top and low < high").join(b.where("comp = top"), on).select(*ends))
-    pairs = durable(met.distinct(), "pairs")
-    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
+
+
+def hub_changes(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, linked, change): whether a is linked with its hub b, and the values that only one of them has."""
+    full = met.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    return durable(full.where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"), "links")
+    return full.select("a", "b", F.size("sa").cast("long").alias("n"),
+                       _alike(F.col("sa"), F.col("sb"), percent).alias("linked"),
+                       F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")).alias("change"))
+
+
+def _merged(crowd: DataFrame, links: DataFrame) -> DataFrame:
+    """``crowd`` with the components that ``links`` make of its components."""
+    of = crowd.select("node", "comp")
+    ends = links.join(of.select(F.col("node").alias("a"), F.col("comp").alias("x")), "a") \
+        .join(of.select(F.col("node").alias("b"), F.col("comp").alias("y")), "b")
+    joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))) \
+        .select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+    return crowd.join(joined, "comp", "left").select("node", "n", F.coalesce("into", "comp").alias("comp"))
+
+
+def _most_apart(total: Column, percent: int) -> Column:
+    """Most values that only one of two linked sets with sizes of this sum has."""
+    return total - 2 * _shared_at_least(total, percent)
+
+
+def changed_pairs(changes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components with one hub that share a change from it, without loss.
+
+    Sets are linked if at most c (|a| + |b|) values are in one of them only, c = (100 - P) / (100 + P).
+    If a is not linked with hub h, their change has more than c (|a| + |h|) values, and that of b at
+    least | |b| - |h| |: together more than a link of a and b allows, so a linked pair shares changes
+    (if both are linked with h, they are one component).  The part that a family has in common is in
+    no change.  Lists run over the rarest changes of each class, like ``prefix_lists``; a change that one
+    component alone has makes no list."""
+    sized = changes.select(F.col("a").alias("node"), F.col("b").alias("hub"), "n", "change") \
+        .join(comps.select("node", "comp"), "node")
+    mixed = sized.groupBy("hub").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("hub")
+    spread = durable(sized.join(mixed, "hub").select(
+        "hub", "node", "n", "comp", F.size("change").alias("apart"), F.explode("change").alias("value")), "changed")
+    key = ["hub", "value"]
+    parts = spread.groupBy(*key, "comp").agg(F.count("*").alias("m"))
+    often = parts.groupBy(*key).agg(F.sum("m").alias("held"), F.count("*").alias("parts"),
+                                    F.max(F.struct("m", "comp"))["comp"].alias("top")).where("parts > 1").drop("parts")
+    one = ["hub", "node", "n", "comp", "apart"]
+    ranked = spread.join(often, key).groupBy(*one).agg(
+        F.sort_array(F.collect_list(F.struct("held", "value", "top"))).alias("values"))  # of one class's change
+    own = (F.col("apart") - F.size("values")).cast("int")
+    partner = F.floor(F.col("n") * 100 / percent)
+    room = F.least(F.col("apart").cast("long"), _most_apart(F.col("n") + partner, percent) + 2) - own
+    listed = ranked.withColumn("own", own).withColumn("room", room.cast("int")).where("room > 0").select(
+        *one, "own", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("at", "v")) \
+        .select(*one, F.col("v.value").alias("value"), F.col("v.top").alias("top"), (F.col("own") + F.col("at")).alias("place"))
+    found = durable(listed, "listed-changes")
+    a, b = found.alias("a"), found.where("comp <> top").alias("b")
+    apart = F.col("a.apart") + F.col("b.apart")
+    common = F.ceil((apart - _most_apart(F.col("a.n") + F.col("b.n"), percent)) / 2)
+    on = (F.col("a.hub") == F.col("b.hub")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.comp") != F.col("b.comp")) \
+        & ((F.col("a.comp") == F.col("a.top")) | (F.col("a.node") < F.col("b.node"))) \
+        & _near_size(F.col("a.n"), F.col("b.n"), percent) \
+        & (F.col("a.place") <= F.col("a.apart") - common) & (F.col("b.place") <= F.col("b.apart") - common)
+    return a.join(b, on).select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -241,6 +241,68 @@ def test_families_below_the_limit_form_no_pairs(make_docs, spark):
     assert met == 0
 
 
+def edited_copies(rng, n, with_page):
+    """Copies of one page of 150 words (146 shingles) with 1 to 6 words replaced, some at a few common places: two
+    replacements keep 136 shingles, a link takes 135."""
+    page = [f"t{k}" for k in range(150)]
+    texts = [" ".join(page)] if with_page else []
+    while len(texts) < n:
+        own = list(page)
+        for k in rng.integers(4, 146, size=int(rng.integers(1 if with_page else 2, 7))):
+            own[k] = f"z{rng.integers(10**9)}" if rng.random() < 0.7 else f"c{rng.integers(3)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("with_page", [True, False])
+def test_copies_about_the_limit_form_few_pairs(make_docs, monkeypatch, with_page):
+    formed, durable = {}, near_dedup.durable
+
+    def counted(df, tag):
+        out = durable(df, tag)
+        formed[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 16)
+    monkeypatch.setattr(near_dedup, "durable", counted)
+    texts = edited_copies(np.random.default_rng(43), 400, with_page)
+    sets, comp = jaccard_components(texts)
+    docs = make_docs(texts)
+    rows = docs.select("doc_id", near_dedup.shingle_set(docs["text"]).alias("set"))
+    nodes = durable(rows.selectExpr("cast(doc_id as long) node", "cast(size(set) as long) n", "cast(doc_id as long) comp", "set"), "t")
+    links = near_dedup.prefix_links(nodes.drop("set"), nodes.select("node", "set"), 85).collect()
+    found = {i: i for i in comp}
+    for _ in comp:
+        for r in links:
+            found[r.a] = found[r.b] = min(found[r.a], found[r.b])
+    assert found == comp and 100 < len(set(comp.values())) < 400
+    assert all(100 * len(sets[r.a] & sets[r.b]) >= 85 * len(sets[r.a] | sets[r.b]) for r in links)
+    assert formed["pairs"] <= 5 * len(texts)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_change_from_any_hub(spark, percent):
+    # small sets of all sizes, everything in long lists: the pairs that hubs leave are all found
+    rng = np.random.default_rng(percent + 1)
+    sets = {i: sorted({int(v) for v in rng.integers(0, 60, size=int(rng.integers(2, 60)))}) for i in range(30)}
+    for i in range(30, 180):
+        base = [v for v in sets[i - 30] if rng.random() > 0.05]
+        sets[i] = sorted({*base, *map(int, rng.integers(0, 60, size=int(rng.integers(0, 3))))}) or [1]
+    linked = {(a, b) for a in sets for b in sets
+              if a < b and 100 * len(set(sets[a]) & set(sets[b])) >= percent * len({*sets[a], *sets[b]})}
+    all_rows = spark.createDataFrame([(i, len(s), i, s) for i, s in sets.items()], "node long, n long, comp long, set array<long>")
+    only = all_rows.select("node", "set")
+    for hub in (0, 45, 100):
+        met = all_rows.selectExpr("node a", f"{hub}L b")
+        changes = near_dedup.hub_changes(met, only, percent)
+        with_hub = {r.a for r in changes.where("linked").collect()}
+        pairs = {(r.a, r.b) for r in near_dedup.changed_pairs(changes, all_rows.drop("set"), percent).collect()}
+        missed = linked - pairs
+        assert with_hub == {hub} | {a + b - hub for a, b in linked if hub in (a, b)}
+        assert all({a, b} <= with_hub or hub in (a, b) for a, b in missed)
+    assert len(linked) > 30
+
+
 def test_components_with_null_and_repeated_ids(make_docs):
     long = " ".join(f"w{i}" for i in range(40))
     out = near_dedup.near_duplicates(make_docs([long, long, long, "other"], [7, None, 7, None])).collect()
