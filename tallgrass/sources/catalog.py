@@ -122,7 +122,7 @@ class SourceCatalog(DerivedTables):
         with lock:  # one writer per table; other tables proceed in parallel
             if name in self._frames:
                 return self._frames[name]
-            for dep in roles.ROLE_DEPENDS.get(name, ()):
+            for dep in roles.SPARK_DEPENDS.get(name, ()):
                 self.role(dep).createOrReplaceTempView(dep)
             self._register_raw()
             path = f"{self.root}/{name}"

@@ -3,7 +3,8 @@
 The marts read nineteen source tables that are not available here.  Each is
 built from the driver's TPC-H-like tables by one portable SQL text that Spark
 and DuckDB both run, so the Spark marts and their DuckDB oracles start from
-identical inputs.  Spark materialises every role table once per input folder
+identical inputs; for the four tables over all order lines Spark runs texts of
+its own with the same rows (``SPARK_ROLE_SQL``).  Spark materialises every role table once per input folder
 (a written Parquet table in the shared checkpoint folder), which is what a
 mart sees in production: a plain source table.
 
@@ -232,11 +233,48 @@ from orders join customer on o_custkey = c_custkey join nation on c_nationkey =
 group by year(o_orderdate), c_nationkey, n_name, c_mktsegment, c_custkey % 9, c_custkey % 13""",
 }
 
+# What Spark runs for role tables over all order lines: the lines meet orders,
+# customers, parts and nations once, as a written table with the columns these
+# tables add up.  Same rows as ROLE_SQL.
+SPARK_ROLE_SQL: dict[str, str] = {
+    "r_lines": f"""
+select year, nationkey, areaid, areaid_name, {_IND_P} as indid, {_OCC_P} as occid, classid, raceid, q, p, g
+from (select l_orderkey, l_partkey, {_CLASS_L} as classid, cast(l_linenumber % 3 as int) as raceid,
+ cast(l_quantity as bigint) as q, cast(l_extendedprice as decimal(18,2)) as p,
+ case when l_linestatus = 'O' then 1 else 0 end as g from lineitem) l
+join (select o_orderkey, cast(year(o_orderdate) as int) as year, c_nationkey as nationkey, {_AREA_C} as areaid,
+ n_name as areaid_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey) o
+on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
+    "r_staffing": """
+with s as (select year, areaid, 'COUNTY' as areaid_type, areaid_name, indid, occid, classid,
+ cast(sum(q) as bigint) as emp from r_lines group by year, areaid, areaid_name, indid, occid, classid
+ union all select year, '40', 'STATE', 'Oklahoma', indid, occid, classid, cast(sum(q) as bigint)
+ from r_lines where nationkey < 15 group by year, indid, occid, classid)
+select year, areaid, areaid_type, areaid_name, indid, occid, classid, emp,
+ cast(emp as double) / cast(sum(emp) over (partition by year, areaid, areaid_type, indid, classid) as double) as percent
+from s""",
+    "r_occ": """
+select year, areaid, 'COUNTY' as areaid_type, occid, classid, cast(sum(q) as bigint) as emp,
+ cast(max(p) as decimal(18,2)) as earn_avg, cast(count(*) as bigint) as replacements, cast(sum(g) as bigint) as growth
+from r_lines group by year, areaid, occid, classid""",
+    "r_ind": """
+select year, areaid, 'COUNTY' as areaid_type, indid, classid, cast(sum(q) as bigint) as emp,
+ cast(sum(p) as decimal(28,2)) as earn
+from r_lines group by year, areaid, indid, classid""",
+    "r_hiresseps": """
+select year, areaid, 'COUNTY' as areaid_type, indid, raceid, cast(count(*) as bigint) as hira,
+ cast(sum(case when classid = '4' then 1 else 0 end) as bigint) as sep
+from r_lines group by year, areaid, indid, raceid""",
+}
+
 # Role views that read other role views (built after them).
 ROLE_DEPENDS: dict[str, tuple[str, ...]] = {
     "r_crosswalk": ("r_postings",),
     "r_profiles": ("r_postings",),
 }
+#: The same for the texts that only Spark runs.
+SPARK_DEPENDS: dict[str, tuple[str, ...]] = {
+    **ROLE_DEPENDS, **{name: ("r_lines",) for name in ("r_staffing", "r_occ", "r_ind", "r_hiresseps")}}
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -250,7 +288,7 @@ _STARTED_AT = {
 
 
 def role_sql(name: str, dialect: str = "spark") -> str:
-    text = ROLE_SQL[name]
+    text = SPARK_ROLE_SQL[name] if dialect == "spark" and name in SPARK_ROLE_SQL else ROLE_SQL[name]
     quote = "`" if dialect == "spark" else '"'
     return text.replace("{q}", quote).replace("{started_at}", _STARTED_AT[dialect]).strip()
 
@@ -258,9 +296,10 @@ def role_sql(name: str, dialect: str = "spark") -> str:
 def roles_version() -> str:
     """Short digest of all role texts; a changed text gets a new folder."""
     digest = hashlib.sha1()
-    for name in sorted(ROLE_SQL):
-        digest.update(name.encode())
-        digest.update(ROLE_SQL[name].encode())
+    for texts in (ROLE_SQL, SPARK_ROLE_SQL):
+        for name in sorted(texts):
+            digest.update(name.encode())
+            digest.update(texts[name].encode())
     return digest.hexdigest()[:12]
 
 
