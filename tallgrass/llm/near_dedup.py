@@ -57,6 +57,8 @@ BROADCAST_IDS = 2_000_000
 #: Pairs of a list up to this long are tested one by one; the classes of longer lists join on
 #: the rarest values of their full sets.
 LONG_LIST = 128
+#: Links that one task takes in a step of ``components``.
+LINKS_A_TASK = 100_000
 #: Set sizes from which on bands hold several sizes, and the ratio of a band's ends.
 BAND_FROM = 50
 BAND = 1.02
@@ -137,11 +139,9 @@ def hub_links(lists: DataFrame, order: Column, nodes: DataFrame, sets: DataFrame
 
 
 def last_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components that share a list."""
-    sizes = lists.groupBy("value").agg(F.count("*").alias("held"))
-    sized = durable(lists.join(sizes, "value"), "sized")
-    found = short_list_links(sized.where(F.col("held") <= LONG_LIST).drop("held"), sets, percent)
-    crowd = durable(sized.where(F.col("held") > LONG_LIST).select("node", "n", "comp").distinct(), "crowd")
+    """Links between classes of different components that share a list (its entries: held)."""
+    found = short_list_links(lists.where(F.col("held") <= LONG_LIST).drop("held"), sets, percent)
+    crowd = durable(lists.where(F.col("held") > LONG_LIST).select("node", "n", "comp").distinct(), "crowd")
     return found if crowd.isEmpty() else found.unionByName(prefix_links(crowd, sets, percent))
 
 
@@ -314,30 +314,40 @@ def changed_pairs(changes: DataFrame, comps: DataFrame, percent: int) -> DataFra
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): components of undirected links, by alternating large-star
-    and small-star steps; every step is a written table."""
-    edges = durable(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .distinct(), "stars")
-    state = None
+    and small-star steps; every step is a written table.
+
+    A step's table is dealt in proportion to its rows: a few links need no exchange."""
+    edges = durable(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "stars")
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        part = edges.coalesce(max(1, math.ceil(edges.count() / LINKS_A_TASK)))
+        if _all_stars(part):
+            return part.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        both = _pairs(part, ("u", "v"), ("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v") \
-            .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = durable(small, "stars")
-        now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v") % (1 << 40)), F.lit(0))).first()
-        if state == tuple(now):
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        state = tuple(now)
+        small = _pairs(large.join(low, "u"), ("v", "m"), ("u", "m")).where("u <> v")
+        edges = durable(small.distinct(), "stars")
+
+
+def _pairs(df: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """(u, v): each row's pairs of these columns."""
+    return df.select(F.inline(F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ends])))
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u, v) has one edge to a smaller node, or none and is such a node."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))
+    return edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")) \
+        .where("ups > 1 or ups = 1 and least = 0").isEmpty()
 
 
 def _with_comp(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """``lists`` with each class's component, only lists that hold several."""
+    """``lists`` with each class's component and the list's number of entries (held), only lists of several components."""
     named = lists.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = named.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("value")
-    return named.join(mixed, "value", "left_semi")
+    mixed = named.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("held")) \
+        .where("x <> y").select("value", "held")
+    return named.join(mixed, "value")
 
 
 def _open_pairs(mixed: DataFrame) -> int:

@@ -178,6 +178,24 @@ def test_components_match_brute_force(make_docs):
         assert (out[i].n_shingles, out[i].component_id, out[i].kept) == (len(sets[i]), comp[i], comp[i] == i), texts[i]
 
 
+@pytest.mark.parametrize("a_task", [10, 100_000])
+def test_components_of_few_links_need_no_exchange(spark, monkeypatch, a_task):
+    # a long chain, a star about its largest node, repeated and turned links, a loop; dealt to several tasks, or to one
+    plans, durable = [], near_dedup.durable
+
+    def planned(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df, tag)
+
+    monkeypatch.setattr(near_dedup, "durable", planned)
+    monkeypatch.setattr(near_dedup, "LINKS_A_TASK", a_task)
+    links = [(k, k + 1) for k in range(-20, 20)] + [(1000, k) for k in range(900, 960)] + [(901, 900), (900, 901)] * 2 + [(5000, 5000)]
+    rows = near_dedup.components(spark.createDataFrame(links, "a long, b long").repartition(8)).collect()
+    assert sorted((r.node, r.comp) for r in rows) == [(k, -20) for k in range(-19, 21)] + [(k, 900) for k in [*range(901, 960), 1000]]
+    if a_task > len(links):
+        assert len(plans) > 1 and not any("Exchange hashpartitioning" in p for p in plans)
+
+
 def test_links_beyond_the_rarest_lists(make_docs):
     # a + passage is linked to its base only; the passage's values are rarer than the base's, whose hubs are trimmed copies
     texts = []
