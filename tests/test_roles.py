@@ -58,3 +58,31 @@ def test_line_tables_have_the_portable_rows(spark, odd_lines, monkeypatch):
 def test_order_lines_are_joined_once_for_all_tables(name):
     assert "lineitem" not in roles.role_sql(name) and roles.SPARK_DEPENDS[name] == ("r_lines",)
     assert "lineitem" in roles.role_sql(name, "duckdb")  # the oracle's text stays
+
+
+def exchanged(node):
+    """The schemas of all shuffles of a plan."""
+    out = [node.schema().simpleString()] if node.nodeName() == "Exchange" else []
+    return out + [x for i in range(node.children().size()) for x in exchanged(node.children().apply(i))]
+
+
+def test_completions_have_the_portable_rows_and_shuffle_no_text(spark, tmp_path):
+    own = spark.newSession()
+    rows = [(k % 37 if k % 19 else None, k % 67 - 6 if k % 23 else None, k % 5 if k % 13 else None, k % 8 if k % 17 else None,
+             k % 50 + 1.5 if k % 11 else None, f"199{k % 7}-03-0{1 + k % 9}" if k % 29 else None) for k in range(900)]
+    df = own.createDataFrame(rows * 2, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate string")
+    df.withColumn("l_shipdate", df["l_shipdate"].cast("date")).createOrReplaceTempView("lineitem")
+    ours, plain = own.sql(roles.role_sql("r_completions")), own.sql(roles.ROLE_SQL["r_completions"])
+    assert ours.dtypes == plain.dtypes and counted(ours) == counted(plain) and not plain.isEmpty()
+    shuffles = exchanged(ours._jdf.queryExecution().executedPlan().initialPlan())
+    assert shuffles and not any("string" in x for x in shuffles)
+
+
+def test_order_lines_shuffle_no_text(spark, odd_lines):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for table in TABLES:
+        own.read.parquet(f"{odd_lines}/{table}.parquet").createOrReplaceTempView(table)
+    plan = own.sql(roles.role_sql("r_lines"))._jdf.queryExecution().executedPlan().initialPlan()
+    lines = [x for x in exchanged(plan) if "l_partkey" in x]
+    assert len(lines) == 2 and not any("string" in x for x in lines)
