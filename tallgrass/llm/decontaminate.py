@@ -46,6 +46,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -71,6 +72,8 @@ BLOCK_BYTES = 32 << 20
 BLOCKS_A_PASS = 2
 #: Bytes of text that are searched together.
 GATHER = 4 << 20
+#: Numbers in an array of the walks, or of the dynamic programme, at a time (one window or stretch at least).
+AT_ONCE = 1 << 15
 
 _BREAKS = np.ones(256, bool)
 _BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -121,23 +124,72 @@ def gram_hashes(words: np.ndarray, size: int = GRAM) -> np.ndarray:
     return out
 
 
-def edit_distance(item: np.ndarray, text: np.ndarray, most: int, skip: int = 0) -> int:
-    """Least word edit distance between the item and a prefix of the text (of
-    what is left after up to ``skip`` words), or ``most + 1`` if it is above
-    ``most``."""
-    n = min(len(text), skip + len(item) + most)
-    if len(item) <= n and (item == text[:len(item)]).all():
-        return 0
-    row = np.maximum(np.arange(n + 1) - skip, 0)
-    steps = np.arange(1, n + 1)
-    for i, w in enumerate(item, 1):
-        best = np.minimum(row[:-1] + (text[:n] != w), row[1:] + 1)
+def edit_distances(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, most: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """For every row, the least word edit distance between the item (``sizes`` words) and a prefix of the
+    text (of what is left after up to ``skip`` words), or ``most + 1`` if it is above ``most``.  Padding of
+    the texts is a word of no item."""
+    steps = np.arange(1, texts.shape[1] + 1, dtype=np.int32)
+    row = np.maximum(np.arange(texts.shape[1] + 1) - skip[:, None], 0).astype(np.int32)
+    out, own = most + 1, np.arange(len(items))
+    for i in range(1, items.shape[1] + 1):
         # insertions: a running minimum along the row
-        run = np.minimum.accumulate(np.concatenate([[i], best - steps]))
-        row = np.concatenate([[i], np.minimum(best, run[1:] + steps)])
-        if row.min() > most:
-            return most + 1
-    return int(min(row.min(), most + 1))
+        run = np.empty_like(row)
+        run[:, 0] = i
+        np.minimum(row[:, :-1] + (texts != items[:, i - 1:i]), row[:, 1:] + 1, out=run[:, 1:])
+        run[:, 1:] -= steps
+        row = np.minimum.accumulate(run, axis=1)
+        row[:, 1:] += steps
+        least = row.min(axis=1)
+        ready = sizes == i
+        out[own[ready]] = np.minimum(least, most + 1)[ready]
+        going = np.flatnonzero((sizes > i) & (least <= most))
+        if not len(going):
+            break
+        if len(going) <= 0.75 * len(own):
+            own, items, sizes, texts, most, row = (a[going] for a in (own, items, sizes, texts, most, row))
+    return out
+
+
+def edit_distance(item: np.ndarray, text: np.ndarray, most: int, skip: int = 0) -> int:
+    """The same for one item and one text."""
+    text = text[:skip + len(item) + most]
+    return int(edit_distances(item[None], np.array([len(item)]), text[None], np.array([most]), np.array([skip]))[0])
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class Lookup:
+    """Sorted hashes: a bit table by the low bits first, the exact test for those that pass."""
+
+    def __init__(self, values: np.ndarray, most_bits: int = 1 << 20) -> None:
+        bits = 1 << 12
+        while bits < min(8 * len(values), most_bits):
+            bits *= 2
+        self.values, self.low, self.bits = values, np.uint64(bits - 1), np.zeros(bits, bool)
+        self.bits[values & self.low] = True
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``asked`` are there, and the place of the first equal value."""
+        at = np.flatnonzero(self.bits[(asked & self.low).view(np.int64)])
+        first = np.searchsorted(self.values, asked[at])
+        there = self.values[np.minimum(first, len(self.values) - 1)] == asked[at]
+        return at[there], first[there]
+
+
+class SizeClass(NamedTuple):
+    low: int            # words of the shortest item the class may hold
+    most: int           # edits
+    vocab: Lookup
+    grams: Lookup
+    least: int          # runs of words that a stretch of `longest` words must share
+    longest: int
+    walks: np.ndarray
+    sampled: np.ndarray
+    keys: Lookup
+    members: np.ndarray  # the item of each key
 
 
 class Index:
@@ -153,10 +205,11 @@ class Index:
             elif b - a:
                 self.ids.append(item_id)
                 self.words.append(hashes[a:b])
-        #: Short items by their number of words: sorted hashes, and (item id, words) in that order.
-        self.short = {n: (np.array([h for h, _, _ in own], np.uint64), [o[1:] for o in own])
+        #: Short items by their number of words: their hashes, and (item id, words) in that order.
+        self.short = {n: (Lookup(np.array([h for h, _, _ in own], np.uint64)), [o[1:] for o in own])
                       for n, own in ((n, sorted(x, key=lambda o: o[0])) for n, x in sorted(short.items()))}
-        self.most = [int(TOLERANCE * len(w)) for w in self.words]
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.most = np.array([int(TOLERANCE * len(w)) for w in self.words], np.int64)
         rng = np.random.Generator(np.random.PCG64(seed))
         self.classes = []
         by_size = defaultdict(list)
@@ -169,38 +222,49 @@ class Index:
             steps = int(STEPS * low)
             walks = rng.integers(0, 2**64, (REPEATS, steps), dtype=np.uint64) | np.uint64(1)
             # the first repeat's coordinates lie within `low` steps: inside every item whatever the walk
-            sampled = [sorted(rng.choice(steps if r else low, SAMPLED, replace=False).tolist()) for r in range(REPEATS)]
-            vocab = np.unique(np.concatenate([self.words[k] for k in members]))
-            most = max(self.most[k] for k in members)
-            grams = np.unique(np.concatenate([gram_hashes(self.words[k]) for k in members]))
-            least = min(len(self.words[k]) - GRAM + 1 - GRAM * self.most[k] for k in members)
-            longest = max(len(self.words[k]) + self.most[k] for k in members)
+            sampled = np.array([sorted(rng.choice(steps if r else low, SAMPLED, replace=False).tolist()) for r in range(REPEATS)])
+            vocab = Lookup(np.unique(np.concatenate([self.words[k] for k in members])))
+            most = max(int(self.most[k]) for k in members)
+            grams = Lookup(np.unique(np.concatenate([gram_hashes(self.words[k]) for k in members])))
+            least = min(int(self.size[k] - GRAM + 1 - GRAM * self.most[k]) for k in members)
+            longest = max(int(self.size[k] + self.most[k]) for k in members)
             flat = np.concatenate([a for k in members for a in (self.words[k], _PAD)])
             end = np.cumsum([len(self.words[k]) + 1 for k in members])
             keys, whole = self._keys(flat, np.concatenate([[0], end[:-1]]), walks, sampled)
-            tables = []
-            for r in range(REPEATS):
-                order = np.argsort(keys[r], kind="stable")
-                order = order[whole[r][order]]
-                tables.append((keys[r][order], np.asarray(members)[order]))
-            self.classes.append((low, most, vocab, (grams, least, longest), walks, sampled, tables))
+            owner = np.broadcast_to(np.asarray(members), keys.shape)[whole]
+            order = np.argsort(keys[whole], kind="stable")
+            self.classes.append(SizeClass(low, most, vocab, grams, least, longest, walks, sampled,
+                                          Lookup(keys[whole][order]), owner[order]))
+        if self.classes:
+            self.grams = Lookup(np.unique(np.concatenate([c.grams.values for c in self.classes])), 1 << 22)
 
     @staticmethod
-    def _keys(words: np.ndarray, at: np.ndarray, walks: np.ndarray, sampled: list) -> tuple[np.ndarray, np.ndarray]:
-        """One key per repeat for the window that begins at each of ``at``, and
+    def _keys(words: np.ndarray, at: np.ndarray, walks: np.ndarray, sampled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One key per repeat (different in every repeat) for the window that begins at each of ``at``, and
         whether all its coordinates lie before the padding."""
-        out = np.zeros((len(sampled), len(at)), np.uint64)
-        whole = np.ones(out.shape, bool)
-        for r, coords in enumerate(sampled):
-            place = at.astype(np.int64)
-            for j in range(coords[-1] + 1):
-                word = words[place]
-                if j in coords:
-                    out[r] = runs.mix(out[r] + word)
-                    whole[r] &= word != _PAD
-                word *= walks[r, j]
+        order = np.argsort(-sampled[:, -1], kind="stable")     # the longest walks first: those that have ended are behind
+        walks, sampled = walks[order], sampled[order]
+        going = np.searchsorted(-sampled[:, -1], -np.arange(sampled.max() + 1), "right")
+        drawn = [np.nonzero(sampled[:n] == j) for j, n in enumerate(going)]
+        out = np.empty((len(sampled), len(at)), np.uint64)
+        whole = np.empty(out.shape, bool)
+        part = max(1, AT_ONCE // len(sampled))
+        for a in range(0, len(at), part):
+            place = np.repeat(at[None, a:a + part].astype(np.int64), len(sampled), axis=0)
+            seen = np.empty((len(sampled), SAMPLED, place.shape[1]), np.uint64)
+            for j, n in enumerate(going):
+                word = words[place[:n]]
+                rows, which = drawn[j]
+                if len(rows):
+                    seen[rows, which] = word[rows]
+                word *= walks[:n, j:j + 1]
                 word >>= np.uint64(63)
-                place += word.view(np.int64)
+                place[:n] += word.view(np.int64)
+            key = np.repeat(order.astype(np.uint64)[:, None] + np.uint64(1), place.shape[1], axis=1)
+            for i in range(SAMPLED):
+                key = runs.mix(key + seen[:, i])
+            out[order, a:a + part] = key
+            whole[order, a:a + part] = (seen != _PAD).all(axis=1)
         return out, whole
 
     def search(self, texts: list[bytes]) -> list[dict[int, int]]:
@@ -209,69 +273,94 @@ class Index:
         words, first = word_hashes(texts)
         if not len(words):
             return found
-        owner = np.repeat(np.arange(len(texts)), np.diff(first))
-        ends = first[1:][owner]
         for n, (table, items) in self.short.items():
             grams = gram_hashes(words, n)
-            lo = np.searchsorted(table, grams)
-            for at in np.flatnonzero((table[np.minimum(lo, len(table) - 1)] == grams) & (np.arange(len(grams)) + n <= ends[:len(grams)])):
-                for item_id, own in items[lo[at]:np.searchsorted(table, grams[at], "right")]:
+            for at, k in zip(*(x.tolist() for x in table.find(grams))):
+                doc = int(np.searchsorted(first, at, "right")) - 1
+                while at + n <= first[doc + 1] and k < len(items) and table.values[k] == grams[at]:
+                    item_id, own = items[k]
                     if (own == words[at:at + n]).all():
-                        found[owner[at]][item_id] = 0
-        if not self.words:
+                        found[doc][item_id] = 0
+                    k += 1
+        if not self.classes:
             return found
-        padded = np.insert(words, first[1:], _PAD[0])
-        runs_of_words = gram_hashes(words)
-        for low, most, vocab, (grams, least, longest), walks, sampled, tables in self.classes:
-            at = self._shared_runs(runs_of_words, ends, grams, least, longest)
-            known = _member(vocab, words)
-            upto = np.concatenate([[0], np.cumsum(known)])
-            at = at[upto[np.minimum(at + low, ends[at])] - upto[at] >= low - most]
+        text_grams = gram_hashes(words)
+        shared, _ = self.grams.find(text_grams)
+        owner = np.searchsorted(first, shared, "right") - 1
+        inside = shared + GRAM <= first[owner + 1]
+        shared, owner = shared[inside], owner[inside]
+        shared_grams = text_grams[shared]
+        padded = None
+        for c in self.classes:
+            own, _ = c.grams.find(shared_grams)
+            at, doc = self._shared_runs(shared[own], owner[own], first, c.least, c.longest)
+            upto = np.minimum(at + c.low, first[doc + 1])
+            likely = self._known(words, at, upto, c.vocab) >= c.low - c.most
+            at, doc = at[likely], doc[likely]
             if not len(at):
                 continue
-            keys, _ = self._keys(padded, at + owner[at], walks, sampled)
-            for place, k in self._candidates(at, keys, tables):
-                doc, item = owner[place], self.ids[k]
-                if found[doc].get(item) == 0:
-                    continue
-                begin = max(first[doc], place - self.most[k])
-                d = edit_distance(self.words[k], words[begin:ends[place]], self.most[k], place - begin + self.most[k])
-                if d <= self.most[k]:
-                    found[doc][item] = min(d, found[doc].get(item, d))
+            if padded is None:
+                padded = np.insert(words, first[1:], _PAD[0])
+            keys, _ = self._keys(padded, at + doc, c.walks, c.sampled)
+            for k, text, edits in self._verified(words, first, *self._candidates(at, doc, keys, c), c.longest):
+                found[text][self.ids[k]] = min(edits, found[text].get(self.ids[k], edits))
         return found
 
     @staticmethod
-    def _shared_runs(text_grams: np.ndarray, ends: np.ndarray, grams: np.ndarray, least: int, longest: int) -> np.ndarray:
-        """Places from which a stretch of ``longest`` words (within its text) holds at least
-        ``least`` runs that are in ``grams``."""
-        upto = np.concatenate([[0], np.cumsum(_member(grams, text_grams))])
-        place = np.arange(len(ends))
-        stop = np.maximum(np.minimum(place + longest, ends) - GRAM + 1, 0)
-        return np.flatnonzero(upto[np.minimum(stop, len(upto) - 1)] - upto[np.minimum(place, len(upto) - 1)] >= max(1, least))
+    def _shared_runs(at: np.ndarray, owner: np.ndarray, first: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places (and their texts) from which a stretch of ``longest`` words within its text holds at least
+        ``least`` of the runs that begin at ``at`` in the texts ``owner``."""
+        more = max(1, least) - 1
+        # with at[i] the first run of a stretch, at[i + more] must be inside, too
+        a, last, doc = at[:max(0, len(at) - more)], at[more:], owner[:max(0, len(at) - more)]
+        start = np.maximum(first[doc], last - longest + GRAM)
+        start[1:] = np.maximum(start[1:], a[:-1] + 1)
+        size = np.where(owner[more:] == doc, np.maximum(a + 1 - start, 0), 0)
+        return _ranges(start, size), np.repeat(doc, size)
+
+    @staticmethod
+    def _known(words: np.ndarray, at: np.ndarray, upto: np.ndarray, vocab: Lookup) -> np.ndarray:
+        """How many words of each window (in order of their places) are in the vocabulary."""
+        start = at.copy()
+        start[1:] = np.maximum(at[1:], upto[:-1])       # every word is looked up once
+        place = _ranges(start, np.maximum(upto - start, 0))
+        known = place[vocab.find(words[place])[0]]
+        return np.searchsorted(known, upto) - np.searchsorted(known, at)
 
     @staticmethod
-    def _candidates(at: np.ndarray, keys: np.ndarray, tables: list) -> list[tuple[int, int]]:
-        pairs = []
-        for key, (table, members) in zip(keys, tables):
-            lo, hi = np.searchsorted(table, key, "left"), np.searchsorted(table, key, "right")
-            hit = np.flatnonzero(hi > lo)
-            n = hi[hit] - lo[hit]
-            offs = np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            pairs.append(np.stack([np.repeat(at[hit], n), members[offs]], 1))
-        return np.unique(np.concatenate(pairs), axis=0).tolist()
-
-
-def _member(vocab: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Whether each word is in the sorted vocabulary: a bit table by the low
-    bits first, the exact test for those that pass."""
-    bits = np.zeros(1 << 20, bool)
-    low = np.uint64((1 << 20) - 1)
-    bits[vocab & low] = True
-    known = bits[words & low]
-    k = np.flatnonzero(known)
-    place = np.minimum(np.searchsorted(vocab, words[k]), len(vocab) - 1)
-    known[k] = vocab[place] == words[k]
-    return known
+    def _candidates(at: np.ndarray, doc: np.ndarray, keys: np.ndarray, c: SizeClass) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place and text of windows that share a key with an item, in this order, once each."""
+        hit, lo = c.keys.find(keys.reshape(-1))
+        n = np.searchsorted(c.keys.values, keys.reshape(-1)[hit], "right") - lo
+        pairs = np.unique(c.members[_ranges(lo, n)] * len(at) + np.repeat(hit % len(at), n))
+        return pairs // len(at), at[pairs % len(at)], doc[pairs % len(at)]
+
+    def _verified(self, words: np.ndarray, first: np.ndarray, item: np.ndarray, at: np.ndarray, doc: np.ndarray,
+                  longest: int) -> Iterator[tuple[int, int, int]]:
+        """(item, text, edits) of the candidates within the tolerance.  Candidates whose starts adjoin are one stretch."""
+        if not len(item):
+            return
+        most = self.most[item]
+        new = np.ones(len(item), bool)
+        new[1:] = ((np.diff(item) != 0) | (np.diff(doc) != 0) | (np.diff(at) > 2 * most[1:] + 1)
+                   | (np.diff(at // longest) != 0))
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(item)) - 1
+        item, doc, most, begin, skip = item[head], doc[head], most[head], at[head] - most[head], at[tail] - at[head] + 2 * most[head]
+        size = self.size[item]
+        width = skip + size + most
+        part = max(1, AT_ONCE // int(width.max()))
+        for a in range(0, len(item), part):
+            p = slice(a, a + part)
+            own = np.zeros((len(item[p]), int(size[p].max())), np.uint64)
+            for i, k in enumerate(item[p].tolist()):
+                own[i, :len(self.words[k])] = self.words[k]
+            place = begin[p, None] + np.arange(int(width[p].max()))
+            inside = (place >= first[doc[p], None]) & (place < np.minimum(first[doc[p] + 1], begin[p] + width[p])[:, None])
+            text = np.where(inside, words[np.clip(place, 0, len(words) - 1)], _PAD[0])
+            edits = edit_distances(own, size[p], text, most[p], skip[p])
+            for i in np.flatnonzero(edits <= most[p]).tolist():
+                yield int(item[p][i]), int(doc[p][i]), int(edits[i])
 
 
 @lru_cache(maxsize=BLOCKS_A_PASS)

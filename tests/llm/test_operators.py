@@ -1,5 +1,6 @@
 """The ten operators against brute force on small inputs, odd ones included."""
 
+import cProfile
 import hashlib
 import re
 import zlib
@@ -571,6 +572,36 @@ def test_recall_at_the_tolerance(n):
         assert recall >= 0.98, (where, recall)
 
 
+def test_leaks_are_verified_together():
+    """Calls of numpy do not grow with the leaks: candidates are walked and verified in arrays."""
+    rng = np.random.default_rng(4)
+    items, texts = edited_leaks(30, "spread", 240, rng)
+    index, calls = decontaminate.Index(list(enumerate(items))), []
+    for part in (texts[:12], texts):
+        profile = cProfile.Profile()
+        found = profile.runcall(index.search, part)
+        calls.append(sum(entry.callcount for entry in profile.getstats()))
+        assert sum(i in f for i, f in enumerate(found)) >= 0.98 * len(part) - 1
+    assert calls[1] < 5 * calls[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=5), st.integers(-1, 4), st.integers(3, 9))
+def test_windows_are_those_that_share_enough(texts, least, longest):
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    words = np.array([w + 1 for t in texts for w in t], np.uint64)
+    held = {(1, 2, 3), (2, 3, 1), (1, 1, 1), (4, 4, 4)}
+    runs_at = [(i, d) for d, t in enumerate(texts) for i in range(first[d], first[d + 1] - 2) if tuple(words[i:i + 3].tolist()) in held]
+    at, doc = (np.array([r[i] for r in runs_at], np.int64) for i in range(2))
+    got = decontaminate.Index._shared_runs(at, doc, first, least, longest)
+    want = [(i, d) for d in range(len(texts)) for i in range(first[d], first[d + 1])
+            if sum(i <= r <= min(i + longest, first[d + 1]) - 3 for r, _ in runs_at) >= max(1, least)]
+    assert list(zip(*(x.tolist() for x in got))) == want
+    upto = np.minimum(got[0] + 4, first[got[1] + 1])
+    known = decontaminate.Index._known(words, got[0], upto, decontaminate.Lookup(np.array([1, 3], np.uint64)))
+    assert known.tolist() == [sum(w in (1, 3) for w in words[a:b].tolist()) for a, b in zip(got[0], upto)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), max_size=10))
 def test_edit_distance(a, b):
