@@ -66,6 +66,45 @@ def test_batch_keeps_going_and_fails_at_the_end(spark, scratch):
     assert {r["dataset"]: r["status"] for r in out.collect()} == {"a": "success", "b": "failed"}
 
 
+def test_derived_datasets_read_what_their_base_has_written(spark, scratch):
+    built = []
+
+    def build(name, n=3):
+        return lambda: built.append(name) or frame(spark, n)
+
+    def boom():
+        raise RuntimeError("query failed")
+
+    def later(df):
+        return df.withColumn("YEAR", F.col("YEAR") + 1)
+
+    derived = {"a_later": ("a", later), "b_later": ("b", later), "c_later": ("c", later)}
+    builders = {"a_later": build("a_later"), "b_later": build("b_later"), "a": build("a"), "b": boom, "c_later": build("c_later")}
+    out = run_batch(Warehouse(spark, f"{scratch}/all"), builders, QualityConfig(), raise_at_end=False, derived=derived, parallelism=1)
+    assert [(r["dataset"], r["status"]) for r in out.collect()] == [
+        ("a_later", "success"), ("b_later", "success"), ("a", "success"), ("b", "failed"), ("c_later", "success")]
+    # built once; the failed base and the one that is not in the batch leave their datasets to their own builders
+    assert sorted(built) == ["a", "b_later", "c_later"]
+    rows = Warehouse(spark, f"{scratch}/all").read("a_later").collect()
+    assert sorted(tuple(r) for r in rows) == [(0, 2025), (1, 2025), (2, 2025)]
+    built.clear()
+    run_batch(Warehouse(spark, f"{scratch}/some"), {"a": build("a"), "a_later": build("a_later")}, QualityConfig(),
+              row_limit=1, derived=derived)
+    assert sorted(built) == ["a", "a_later"]   # limited rows are nobody's base
+
+
+def test_lagged_marts_of_a_batch_are_the_lagged_marts(spark, src, cfg, scratch):
+    from tallgrass.plans import LAGGED, MARTS, run_marts
+    names = [n for pair in LAGGED.items() for n in (pair[0], pair[1][0])]
+    wh = Warehouse(spark, scratch)
+    run_marts(wh, src, cfg, names=names, quality=QualityConfig())
+    for name in LAGGED:
+        own = publishable(MARTS[name](src, cfg))
+        back = wh.read(name)
+        assert back.dtypes == own.dtypes and not back.isEmpty()
+        assert back.exceptAll(own).isEmpty() and own.exceptAll(back).isEmpty()
+
+
 def test_empty_result_writes_typed_parquet(spark, scratch):
     df = spark.createDataFrame([], "AREAID bigint, COUNTY_NAME string")
     df.write.parquet(f"{scratch}/empty")

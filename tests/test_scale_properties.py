@@ -128,6 +128,42 @@ def test_flags_meet_the_ids_before_they_are_shuffled(spark):
     assert out == {0: (17, 17), 1: (17, 0), 2: (16, 0)}
 
 
+def test_id_lists_are_broadcast_by_their_number(spark, monkeypatch):
+    # an estimate far under the limit in bytes says nothing of the rows
+    monkeypatch.setattr(O, "BROADCAST_LIMIT_IDS", 49)
+    flags = spark.range(1000).select((F.col("id") * 3).alias("id"))
+    df = spark.range(50).select("id", (F.col("id") % 3).alias("k"))
+    assert O.estimated_bytes(df) < O.BROADCAST_LIMIT_BYTES
+    assert O.reduce_to_ids(flags, "id", df) is flags
+    out = {r["k"]: (r["n"], r["f"]) for r in O.flagged_count(df, flags, "id", ["k"], "n", "f").collect()}
+    assert out == {0: (17, 17), 1: (17, 0), 2: (16, 0)}
+
+
+def test_partitions_fit_a_task(spark):
+    from tallgrass.session import apply_session_settings
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    apply_session_settings(own)
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_distinct_rows_of_ids_shuffle_no_text_by_id(spark):
+    # key 3 and the null key stand with several rows, of which some have ids in the list; 5 has none there
+    data = [(1, 1, "a"), (2, 1, "a"), (3, 2, None), (4, 3, "x"), (9, 3, "y"), (1, 3, "z"), (2, None, "n"), (8, None, "m"),
+            (None, 4, "q"), (9, 5, "r"), (4, 6, "s"), (9, 6, "s"), (4, None, None), (4, 3, None)]
+    df = spark.createDataFrame(data, "id long, k long, t string")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (4,), (4,), (None,), (77,)], "id long")
+    for rows in (df, df.filter("k <> 3")):
+        plain = rows.join(ids, "id", "left_semi").select("t", "k").distinct()
+        got = O.distinct_of_ids(rows, ["t", "k"], "k", "id", ids)
+        assert got.dtypes == plain.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    # without such keys only (id, key) meets the ids
+    clear = O.distinct_of_ids(df.filter("k not in (3)"), ["t", "k"], "k", "id", ids)
+    semi = [line for line in plan(clear).splitlines() if "Exchange hashpartitioning(id" in line]
+    assert "LeftSemi" in plan(clear) and not any("t#" in line for line in semi)
+
+
 def test_long_id_lists_reach_the_flags_as_a_bloom_filter(spark, scratch, monkeypatch):
     monkeypatch.setattr(O, "BROADCAST_LIMIT_BYTES", 0)
     spark.range(100_000).select("id", (F.col("id") % 50).alias("county")).write.parquet(f"{scratch}/jobs")
