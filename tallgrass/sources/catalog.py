@@ -12,9 +12,9 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.session import apply_session_settings, scratch_root
+from tallgrass.session import apply_session_settings, scratch_root, size_partitions
 from tallgrass.sources import roles
-from tallgrass.sources.fs import fingerprint, write_parquet_atomic
+from tallgrass.sources.fs import fingerprint, folder_bytes, write_parquet_atomic
 
 # logical source name -> role table
 SOURCE_ROLES = {
@@ -149,6 +149,7 @@ class SourceCatalog(DerivedTables):
 def catalog(spark: SparkSession, sf_dir: str) -> SourceCatalog:
     """Per-session, per-folder catalog (role tables are written once)."""
     apply_session_settings(spark)
+    size_partitions(spark, folder_bytes(spark, sf_dir))
     seen = fingerprint(spark, sf_dir)
     key = (id(spark), sf_dir.rstrip("/"), seen)
     with _LOCK:

@@ -147,6 +147,26 @@ def test_partitions_fit_a_task(spark):
     assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
 
 
+def test_shuffles_begin_with_partitions_by_the_input(spark, monkeypatch):
+    from tallgrass import session
+    from tallgrass.sources.catalog import catalog
+    from tallgrass.sources.fs import folder_bytes
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    folder = "/root/testdata/sf0.001"
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "8")
+    catalog(own, folder)
+    assert own.conf.get(key, None) is None   # little input: the session's number
+    monkeypatch.setattr(session, "PARTITION_INPUT_BYTES", 1000)
+    catalog(own, folder)
+    n = -(-folder_bytes(own, folder) // 1000)
+    assert n > 8 and own.conf.get(key) == str(n)
+    text = plan(own.range(100).select((F.col("id") % 7).alias("k")).groupBy("k").count())
+    assert "hashpartitioning(k#" in text and f", {n})" in text
+    session.size_partitions(own, 1)
+    assert own.conf.get(key) == str(n)
+
+
 def test_distinct_rows_of_ids_shuffle_no_text_by_id(spark):
     # key 3 and the null key stand with several rows, of which some have ids in the list; 5 has none there
     data = [(1, 1, "a"), (2, 1, "a"), (3, 2, None), (4, 3, "x"), (9, 3, "y"), (1, 3, "z"), (2, None, "n"), (8, None, "m"),
